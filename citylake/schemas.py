@@ -19,63 +19,103 @@ AQ_METRICS = {
 }
 MAJOR_POLLUTANTS = ["avg_pm25", "avg_no2", "avg_o3"]
 
-TRIP = T.StructType.fromDDL(
-    "VendorID BIGINT, tpep_pickup_datetime TIMESTAMP_NTZ, tpep_dropoff_datetime TIMESTAMP_NTZ, "
-    "lpep_pickup_datetime TIMESTAMP_NTZ, lpep_dropoff_datetime TIMESTAMP_NTZ, passenger_count DOUBLE, "
-    "trip_distance DOUBLE, PULocationID INT, DOLocationID INT, fare_amount DOUBLE, tip_amount DOUBLE, "
-    "total_amount DOUBLE, payment_type BIGINT, trip_type BIGINT, RatecodeID DOUBLE, "
-    "airport_fee DOUBLE, ehail_fee DOUBLE"
+INT, LONG, DOUBLE, STRING, DATE = T.IntegerType(), T.LongType(), T.DoubleType(), T.StringType(), T.DateType()
+TIMESTAMP, LOCAL_TIME = T.TimestampType(), T.TimestampNTZType()
+
+
+def struct(**fields: T.DataType) -> T.StructType:
+    """Nullable fields in the order given."""
+    return T.StructType([T.StructField(name, data_type) for name, data_type in fields.items()])
+
+
+TRIP = struct(
+    VendorID=LONG,
+    tpep_pickup_datetime=LOCAL_TIME,
+    tpep_dropoff_datetime=LOCAL_TIME,
+    lpep_pickup_datetime=LOCAL_TIME,
+    lpep_dropoff_datetime=LOCAL_TIME,
+    passenger_count=DOUBLE,
+    trip_distance=DOUBLE,
+    PULocationID=INT,
+    DOLocationID=INT,
+    fare_amount=DOUBLE,
+    tip_amount=DOUBLE,
+    total_amount=DOUBLE,
+    payment_type=LONG,
+    trip_type=LONG,
+    RatecodeID=DOUBLE,
+    airport_fee=DOUBLE,
+    ehail_fee=DOUBLE,
 )
 
-ZONE_CSV = T.StructType.fromDDL("LocationID INT, Borough STRING, Zone STRING, service_zone STRING")
+ZONE_CSV = struct(LocationID=INT, Borough=STRING, Zone=STRING, service_zone=STRING)
 
-FX_CSV = T.StructType.fromDDL("TIME_PERIOD STRING, CURRENCY STRING, OBS_VALUE DOUBLE")
-
-SENSOR_LOCATIONS = T.StructType.fromDDL(
-    "results ARRAY<STRUCT<name: STRING, coordinates: STRUCT<latitude: DOUBLE, longitude: DOUBLE>, "
-    "sensors: ARRAY<STRUCT<id: BIGINT, parameter: STRUCT<name: STRING, units: STRING>>>>>"
-)
-
-SENSOR_DAYS = T.StructType.fromDDL(
-    "sensor_id BIGINT, results ARRAY<STRUCT<value: DOUBLE, period: STRUCT<"
-    "datetimeFrom: STRUCT<utc: STRING>, datetimeTo: STRUCT<utc: STRING>>>>"
+SENSOR_LOCATIONS = struct(
+    results=T.ArrayType(
+        struct(
+            name=STRING,
+            coordinates=struct(latitude=DOUBLE, longitude=DOUBLE),
+            sensors=T.ArrayType(struct(id=LONG, parameter=struct(name=STRING, units=STRING))),
+        )
+    )
 )
 
-GDP_ROW = T.StructType.fromDDL(
-    "country STRUCT<id: STRING, value: STRING>, indicator STRUCT<id: STRING, value: STRING>, "
-    "countryiso3code STRING, date STRING, value DOUBLE, obs_status STRING"
+SENSOR_DAYS = struct(
+    sensor_id=LONG,
+    results=T.ArrayType(
+        struct(
+            value=DOUBLE,
+            period=struct(datetimeFrom=struct(utc=STRING), datetimeTo=struct(utc=STRING)),
+        )
+    ),
 )
 
-FORECAST = T.StructType.fromDDL(
-    "list ARRAY<STRUCT<dt: BIGINT, main: STRUCT<temp: DOUBLE, feels_like: DOUBLE, humidity: BIGINT, "
-    "pressure: BIGINT>, weather: ARRAY<STRUCT<description: STRING>>, wind: STRUCT<speed: DOUBLE>>>"
+GDP_ROW = struct(
+    country=struct(id=STRING, value=STRING),
+    indicator=struct(id=STRING, value=STRING),
+    countryiso3code=STRING,
+    date=STRING,
+    value=DOUBLE,
+    obs_status=STRING,
 )
 
-BRONZE_AQ = T.StructType.fromDDL(
-    "sensor_id BIGINT, location_name STRING, parameter STRING, lat DOUBLE, lon DOUBLE, value DOUBLE, "
-    "unit STRING, date_utc STRING"
+FORECAST = struct(
+    list=T.ArrayType(
+        struct(
+            dt=LONG,
+            main=struct(temp=DOUBLE, feels_like=DOUBLE, humidity=LONG, pressure=LONG),
+            weather=T.ArrayType(struct(description=STRING)),
+            wind=struct(speed=DOUBLE),
+        )
+    )
 )
 
-DIM_ZONE = T.StructType.fromDDL("location_id INT, borough STRING, zone_name STRING, service_zone STRING")
-DIM_DATE = T.StructType.fromDDL(
-    "date_key DATE, year INT, month INT, month_name STRING, day_name STRING, is_weekend INT"
-)
-DIM_GDP = T.StructType.fromDDL(
-    "country_name STRING, countryiso3code STRING, indicator_name STRING, gdp_year INT, "
-    "gdp_value DOUBLE, obs_status STRING"
+DIM_ZONE = struct(location_id=INT, borough=STRING, zone_name=STRING, service_zone=STRING)
+DIM_DATE = struct(date_key=DATE, year=INT, month=INT, month_name=STRING, day_name=STRING, is_weekend=INT)
+DIM_GDP = struct(
+    country_name=STRING,
+    countryiso3code=STRING,
+    indicator_name=STRING,
+    gdp_year=INT,
+    gdp_value=DOUBLE,
+    obs_status=STRING,
 )
-DIM_FX = T.StructType.fromDDL("fx_date DATE, CURRENCY STRING, exchange_rate_to_eur DOUBLE")
-SILVER_AQ = T.StructType.fromDDL(
-    "location_name STRING, reading_date DATE, lat DOUBLE, lon DOUBLE, "
-    + ", ".join(f"{p} DOUBLE" for p in PARAMETERS)
+DIM_FX = struct(fx_date=DATE, CURRENCY=STRING, exchange_rate_to_eur=DOUBLE)
+SILVER_AQ = struct(
+    location_name=STRING, reading_date=DATE, lat=DOUBLE, lon=DOUBLE, **{p: DOUBLE for p in PARAMETERS}
 )
-FACT_AQ = T.StructType.fromDDL(
-    "reading_date DATE, location_name STRING, lat DOUBLE, lon DOUBLE, "
-    + ", ".join(f"{m} DOUBLE" for m in AQ_METRICS.values())
+FACT_AQ = struct(
+    reading_date=DATE, location_name=STRING, lat=DOUBLE, lon=DOUBLE, **{m: DOUBLE for m in AQ_METRICS.values()}
 )
-WEATHER = T.StructType.fromDDL(
-    "forecast_time TIMESTAMP, temperature DOUBLE, feels_like DOUBLE, humidity BIGINT, pressure BIGINT, "
-    "condition STRING, wind_speed DOUBLE, ingested_at TIMESTAMP"
+WEATHER = struct(
+    forecast_time=TIMESTAMP,
+    temperature=DOUBLE,
+    feels_like=DOUBLE,
+    humidity=LONG,
+    pressure=LONG,
+    condition=STRING,
+    wind_speed=DOUBLE,
+    ingested_at=TIMESTAMP,
 )
 
 # How the model summarises a numeric column unless told otherwise. Columns that are not
