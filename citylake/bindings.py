@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from citylake.functions import exact_sum
 from citylake.operators.conform import conform_trips
-from citylake.operators.facts import fact_aq_daily, fact_taxi_daily, silver_air_quality, taxi_daily_by_zone
+from citylake.operators.facts import fact_aq_daily, fact_taxi_daily, silver_air_quality
 from citylake.plans.dimensions import dim_date, dim_fx, weather_forecast
 from citylake.plans.measures import CityModel
 from citylake.sources.calendar import calendar
@@ -286,7 +286,7 @@ def taxi_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def model(spark: SparkSession, sf_dir: str, with_fx: bool = False) -> CityModel:
     return CityModel(
-        taxi=taxi_daily_by_zone(taxi_fact(spark, sf_dir)),
+        taxi=taxi_fact(spark, sf_dir).withColumnRenamed("pickup_location_id", "pickup_zone_id"),
         dates=dates(spark),
         zones=zones(spark, sf_dir),
         fx=fx(spark, sf_dir) if with_fx else None,

@@ -19,7 +19,7 @@ from citylake.operators.conform import (
     trailing_days,
     union_conformed,
 )
-from citylake.operators.facts import fact_taxi_daily, pivot_parameters, summarize
+from citylake.operators.facts import fact_taxi_daily, pivot_parameters, summarize, taxi_daily_by_zone
 from citylake.operators.joins import sensor_measurements
 from citylake.operators.quality import (
     quality_report,
@@ -37,7 +37,7 @@ from citylake.sources.calendar import calendar_over
 from citylake.sources.files import flatten_days, flatten_sensors, rows_of_meta_array
 from citylake.sources.manifest import load_summary, manifest_over, pending_slots
 from citylake.sources.sinks import export_top_n, read_evolving
-from citylake.streaming import ingest_stream
+from citylake.streaming import ingest_mixed_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -195,7 +195,7 @@ def trip_daily_no_tip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def trip_daily_by_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(b.model(spark, sf_dir).taxi, "avg_trip_distance")
+    return _rounded(taxi_daily_by_zone(b.taxi_fact(spark, sf_dir)), "avg_trip_distance")
 
 
 def _order_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -256,7 +256,7 @@ def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
         "month": F.month("l_shipdate"),
     }
     for _ in range(2):  # the second run finds nothing new
-        ingest_stream(spark, source, schema, out, checkpoint, slot).awaitTermination()
+        ingest_mixed_stream(spark, source, schema, out, checkpoint, slot).awaitTermination()
     return (
         read_evolving(spark, out)
         .groupBy("taxi_type", "year", "month")
@@ -395,13 +395,13 @@ def aq_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = insights.overlay(b.model(spark, sf_dir).taxi, b.aq_fact(spark, sf_dir))
+    out = insights.overlay(b.taxi_fact(spark, sf_dir), b.aq_fact(spark, sf_dir))
     return _rounded(out, "avg_pm25")
 
 
 @query
 def overlay_corr(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = insights.overlay_corr(b.model(spark, sf_dir).taxi, b.aq_fact(spark, sf_dir))
+    out = insights.overlay_corr(b.taxi_fact(spark, sf_dir), b.aq_fact(spark, sf_dir))
     return _rounded(out, "corr_trips_pm25")
 
 

@@ -47,7 +47,11 @@ def _filtered(df: DataFrame, where: Filters, names: Sequence[str]) -> DataFrame:
 
 @dataclass(frozen=True)
 class CityModel:
-    """The star: the daily taxi fact by zone, its two dimensions, and the exchange rates."""
+    """The star: the daily taxi fact, its two dimensions, and the exchange rates.
+
+    ``taxi`` has ``pickup_date``, ``pickup_zone_id``, ``total_trips`` and ``daily_revenue_usd``; it may be
+    finer, e.g. by taxi type, since measures add it up anyway.
+    """
 
     taxi: DataFrame
     dates: DataFrame

@@ -4,30 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from citylake.sources.manifest import slot_of_path
+from citylake.sources.sinks import balanced
 
 
-def ingest_stream(
+def landed_stream(
     spark: SparkSession,
     landing: str,
     schema: T.StructType,
-    out: str,
-    checkpoint: str,
     slot: Mapping[str, Column] | None = None,
     files_per_batch: int = 1000,
-) -> StreamingQuery:
-    """Append new files below ``landing`` to the table at ``out`` and stop when all are in.
-
-    The stream's checkpoint, not the existence of a folder, says what has been loaded, and the sink's
-    commit log hides files of a batch that did not finish. ``slot`` gives the partition columns; by
-    default they come from the file's path. A file holds one slot, so no shuffle is needed to partition
-    the output.
-    """
+) -> DataFrame:
+    """New files below ``landing`` with load time, file name and slot; by default the path tells the slot."""
     path = F.col("_metadata.file_path")
     columns = dict(slot) if slot is not None else slot_of_path(path)
     landed = (
@@ -36,18 +29,64 @@ def ingest_stream(
         .option("maxFilesPerTrigger", files_per_batch)
         .parquet(landing)
     )
-    loaded = landed.select(
+    return landed.select(
         "*",
         F.current_timestamp().alias("ingestion_timestamp"),
         path.alias("source_file"),
         *[c.alias(n) for n, c in columns.items()],
     )
+
+
+def ingest_stream(
+    spark: SparkSession,
+    landing: str,
+    schema: T.StructType,
+    out: str,
+    checkpoint: str,
+    slot: Mapping[str, Column] | None = None,
+    files_per_batch: int = 1000,
+) -> StreamingQuery:
+    """Append new files to the table at ``out`` and stop when all are in. For files that hold one slot each.
+
+    The stream's checkpoint, not the existence of a folder, says what has been loaded, and the sink's
+    commit log hides files of a batch that did not finish. One slot per file means that the output is
+    partitioned without a shuffle.
+    """
+    loaded = landed_stream(spark, landing, schema, slot, files_per_batch)
     return (
         loaded.writeStream.format("parquet")
         .option("path", out)
         .option("checkpointLocation", checkpoint)
-        .partitionBy(*columns)
+        .partitionBy(*(slot or slot_of_path(F.lit(""))))
         .outputMode("append")
         .trigger(availableNow=True)
         .start()
     )
+
+
+def ingest_mixed_stream(
+    spark: SparkSession,
+    landing: str,
+    schema: T.StructType,
+    out: str,
+    checkpoint: str,
+    slot: Mapping[str, Column],
+    files_per_batch: int = 1000,
+) -> StreamingQuery:
+    """As :func:`ingest_stream`, for files that mix slots.
+
+    Written as they come, every task would open a file for every slot. Each batch is therefore
+    rebalanced by slot, which also splits a slot that holds very many rows. A batch is written to a
+    folder of its own, ``batch=<id>``: when a batch is repeated after a failure it replaces itself.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        balanced(batch, list(slot)).write.mode("overwrite").partitionBy(*slot).parquet(f"{out}/batch={batch_id}")
+
+    return (
+        landed_stream(spark, landing, schema, slot, files_per_batch)
+        .writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
