@@ -31,3 +31,8 @@ def values(df, *columns):
     """Rows as a sorted list of tuples; NULLs come last."""
     rows = [tuple(r) for r in (df.select(*columns) if columns else df).collect()]
     return sorted(rows, key=lambda r: [(v is None, str(type(v)), v if v is not None else 0) for v in r])
+
+
+def plan_of(df):
+    """Physical plan before it has run."""
+    return df.select("*")._jdf.queryExecution().executedPlan().toString()

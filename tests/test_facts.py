@@ -20,7 +20,7 @@ from citylake.operators.joins import (
     with_dim,
 )
 from citylake.operators.ordering import ordered, top_k
-from tests.conftest import values
+from tests.conftest import plan_of, values
 
 DAY = dt.date(2024, 3, 1)
 NEXT = dt.date(2024, 3, 2)
@@ -108,7 +108,7 @@ def test_aq_fact_keeps_rows_with_a_major_pollutant(spark):
 
 
 def test_pivot_and_fact_share_one_shuffle(spark):
-    plan = fact_aq_daily(silver_air_quality(readings(spark)))._jdf.queryExecution().executedPlan().toString()
+    plan = plan_of(fact_aq_daily(silver_air_quality(readings(spark))))
     assert plan.count("Exchange hashpartitioning") == 1
 
 
@@ -170,5 +170,5 @@ def test_order_and_top_k(spark):
     assert [r["k"] for r in top_k(df, 9, "n", "k").collect()] == ["b", "c", "a"]
     assert [r["k"] for r in ordered(df, ["n", "k"], limit=2).collect()] == ["d", "a"]
     assert [r["k"] for r in ordered(df, "k", desc=True).collect()] == ["d", "c", "b", "a"]
-    plan = top_k(df, 2, "n", "k")._jdf.queryExecution().executedPlan().toString()
+    plan = plan_of(top_k(df, 2, "n", "k"))
     assert "TakeOrderedAndProject" in plan

@@ -1,0 +1,99 @@
+import pytest
+from pyspark.sql import functions as F
+
+from citylake.operators.quality import (
+    QualityGateError,
+    bad_trip,
+    between,
+    failure_rate,
+    gate,
+    impossible_pm25,
+    missing_rate,
+    not_null,
+    quality_report,
+    quarantine,
+    report_text,
+    rule_counts,
+    run_suite,
+    suite_status,
+    weather_rules,
+)
+from tests.conftest import plan_of, values
+
+
+def trips(spark, passengers):
+    return spark.createDataFrame([(p, 1.0) for p in passengers], "passenger_count int, trip_distance double")
+
+
+def air(spark, readings):
+    return spark.createDataFrame([(r,) for r in readings], "pm25 double")
+
+
+def rates(spark, rows):
+    return spark.createDataFrame([(r,) for r in rows], "exchange_rate_to_eur double")
+
+
+def report(spark, passengers=(1,) * 100, readings=(1.0,), fx=(1.0,)):
+    return quality_report(trips(spark, passengers), air(spark, readings), rates(spark, fx))
+
+
+def test_rules_judge_the_edges(spark):
+    assert trips(spark, [0, -1, None, 1]).filter(bad_trip()).count() == 2
+    assert values(air(spark, [-1.0, 0.0, 500.0, 501.0, None]).filter(impossible_pm25())) == [(-1.0,), (501.0,)]
+    assert rates(spark, [None, 0.0]).filter(missing_rate()).count() == 1
+
+
+def test_counts_come_from_one_pass(spark):
+    df = trips(spark, [0, 1, 2, None])
+    counts = rule_counts(df, {"zero": F.col("passenger_count") <= 0, "null": F.col("passenger_count").isNull()})
+    assert values(counts) == [("null", 4, 1), ("zero", 4, 1)]
+    assert df.filter(~F.coalesce(F.col("passenger_count") <= 0, F.lit(False))).count() + 1 == 4
+    plan = plan_of(counts)
+    assert plan.count("Exchange") == 1
+    empty = failure_rate(rule_counts(df.limit(0), {"zero": F.col("passenger_count") <= 0}))
+    assert values(empty) == [("zero", 0, 0, None)]
+
+
+def test_gate_passes_at_the_threshold_and_halts_above(spark):
+    gate(report(spark))
+    gate(report(spark, passengers=[0] + [1] * 99))
+    with pytest.raises(QualityGateError, match="bad trips"):
+        gate(report(spark, passengers=[0, 0] + [1] * 98))
+    gate(report(spark, passengers=[0, 0] + [1] * 98), max_rate=0.02)
+    with pytest.raises(QualityGateError, match="exchange rates"):
+        gate(report(spark, fx=[1.0, None]))
+    with pytest.raises(QualityGateError, match="no trips"):
+        gate(report(spark, passengers=[]))
+    gate(report(spark, readings=[900.0]))  # reported only
+
+
+def test_report_text(spark):
+    shown = values(report_text(report(spark, passengers=[0] + [1] * 99)))
+    assert ("bad_trips", 100, 1, "1.0000%") in shown
+
+
+def test_suite_results_and_status(spark):
+    df = spark.createDataFrame(
+        [(60.0, 1, "t"), (-50.0, None, "t"), (None, 3, "t")], "temperature double, humidity int, forecast_time string"
+    )
+    result = run_suite(df, weather_rules())
+    assert values(result) == [
+        ("forecast_time not null", 3, 0, True),
+        ("humidity not null", 3, 1, False),
+        ("temperature between -50 and 60", 3, 0, True),
+    ]
+    status = suite_status(result).first()
+    assert (status["status"], status["total_checks"]) == ("Failure", 3)
+    assert status["success_percent"] == pytest.approx(200 / 3)
+    good = suite_status(run_suite(df, [between("temperature", -50, 60), not_null("forecast_time")])).first()
+    assert (good["status"], good["success_percent"]) == ("Success", 100.0)
+
+
+def test_quarantine_keeps_every_row_with_its_reasons(spark):
+    df = trips(spark, [0, 1, None])
+    out = quarantine(df, {"empty": F.col("passenger_count") <= 0, "unknown": F.col("passenger_count").isNull()})
+    assert sorted((r["passenger_count"], tuple(r["reasons"])) for r in out.na.fill(9).collect()) == [
+        (0, ("empty",)),
+        (1, ()),
+        (9, ("unknown",)),
+    ]

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from citylake.operators.series import forward_fill, forward_fill_bucketed
 from citylake.plans.dimensions import dim_fx
-from tests.conftest import values
+from tests.conftest import plan_of, values
 
 SCHEMA = "k string, d int, id int, v double"
 
@@ -59,7 +59,7 @@ def test_bucketed_fill_broadcasts_fewer_rows_than_slices(spark):
     )
     filled = forward_fill_bucketed(df, ["k"], ["d", "id"], "v", 8)
     assert filled.filter("v IS NOT NULL").count() == 1997
-    plan = filled._jdf.queryExecution().executedPlan().toString()
+    plan = plan_of(filled)
     assert "BroadcastHashJoin" in plan and "CartesianProduct" not in plan
 
 
