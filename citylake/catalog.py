@@ -32,7 +32,7 @@ from citylake.operators.series import forward_fill, forward_fill_bucketed
 from citylake.plans import insights
 from citylake.plans.dimensions import dim_date, dim_gdp, dim_zone, weather_forecast
 from citylake.plans.measures import latest_value, measure
-from citylake.session import path_bytes, prepare, size_shuffles, staging_path
+from citylake.session import path_bytes, prepare, size_for, staging_path
 from citylake.sources.calendar import calendar_over
 from citylake.sources.files import flatten_days, flatten_sensors, rows_of_meta_array
 from citylake.sources.manifest import load_summary, manifest_over, pending_slots
@@ -50,7 +50,7 @@ def named(name: str) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             prepare(spark)
-            size_shuffles(spark, path_bytes(spark, sf_dir))
+            size_for(spark, path_bytes(spark, *[b.table_path(sf_dir, name) for name in b.TABLES]))
             return fn(spark, sf_dir)
 
         CATALOG[name] = run
@@ -247,8 +247,7 @@ def load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = f"{sf_dir.rstrip('/')}/lineitem.parquet"
-    schema = spark.read.parquet(source).schema
+    source, schema = b.table_path(sf_dir, "lineitem"), b.table(spark, sf_dir, "lineitem").schema
     out, checkpoint = staging_path(spark, "bronze"), staging_path(spark, "ingest")
     slot = {
         "taxi_type": F.col("l_returnflag"),

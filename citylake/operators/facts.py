@@ -15,7 +15,7 @@ from citylake.schemas import AQ_METRICS, DEFAULT_SUMMARY, MAJOR_POLLUTANTS, PARA
 def fact_taxi_daily(trips: DataFrame) -> DataFrame:
     """Trips, revenue and averages per day, pickup zone and taxi type."""
     return (
-        trips.withColumn("pickup_date", as_date("pickup_datetime"))
+        trips.withColumn("pickup_date", F.to_date("pickup_datetime"))
         .groupBy("pickup_date", "pickup_location_id", "taxi_type")
         .agg(
             F.count(F.lit(1)).alias("total_trips"),

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citylake.functions import as_date, rate
+from citylake.functions import rate
 from citylake.operators import joins
 from citylake.operators.facts import summarize
 from citylake.operators.ordering import ordered, top_k
@@ -80,7 +80,7 @@ def mobility_gdp(taxi: DataFrame, gdp: DataFrame) -> DataFrame:
 
 def daily_summary(trips: DataFrame, aq: DataFrame, max_rate: float = 0.01) -> DataFrame:
     """What a daily status message says: trips, quality of the trips, mean PM2.5."""
-    day = trips.groupBy(as_date("pickup_datetime").alias("day")).agg(
+    day = trips.groupBy(F.to_date("pickup_datetime").alias("day")).agg(
         F.count(F.lit(1)).alias("total_trips"), F.count_if(bad_trip()).alias("bad_trips")
     )
     share = rate("bad_trips", "total_trips")

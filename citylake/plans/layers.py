@@ -22,7 +22,7 @@ from citylake.operators.joins import sensor_measurements
 from citylake.operators.quality import gate, quality_report, run_suite, suite_status, weather_rules
 from citylake.operators.series import forward_fill_bucketed
 from citylake.plans.dimensions import dim_date, dim_fx, dim_gdp, dim_zone, weather_forecast
-from citylake.session import path_bytes, size_shuffles
+from citylake.session import path_bytes, size_for
 from citylake.sources import files
 from citylake.sources.calendar import calendar
 from citylake.sources.sinks import (
@@ -118,7 +118,7 @@ def run_daily(
     max_rate: float = 0.01,
 ) -> DataFrame:
     """All layers in order. A failed gate raises before the star is touched. Gives the quality report."""
-    size_shuffles(spark, path_bytes(spark, at.trips))
+    size_for(spark, path_bytes(spark, at.trips))
     run_bronze(spark, at, run_ts)
     run_silver(spark, at, run_ts)
     report = check_silver(spark, max_rate)

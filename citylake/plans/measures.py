@@ -61,8 +61,9 @@ class CityModel:
     def taxi_totals(self, by: Sequence[str] = (), where: Filters | None = None) -> DataFrame:
         """Revenue and trips by any attributes the taxi fact can be reached from.
 
-        The fact is reduced to the foreign keys in use before it meets a dimension, so the join sees one
-        row per day and/or zone and a busy zone is already combined on the map side.
+        When only one of the fact's two foreign keys is in use, the fact is first reduced to that key: the
+        join then sees one row per day or zone, and a busy zone is combined on the map side. With both
+        keys in use that would shuffle the fact at its own grain and gain nothing.
         """
         where = where or {}
         used = [*by, *[n for n in where if n not in by]]
@@ -77,7 +78,7 @@ class CityModel:
         keys += ["pickup_date"] if date_attrs and "pickup_date" not in keys else []
         keys += ["pickup_zone_id"] if zone_attrs and "pickup_zone_id" not in keys else []
         rows = _filtered(self.taxi, where, own)
-        if date_attrs or zone_attrs:
+        if bool(date_attrs) != bool(zone_attrs):
             rows = _totals(rows, keys)
         if date_attrs:
             rows = with_dim(rows, self.dates, "pickup_date", "date_key", date_attrs)

@@ -7,9 +7,12 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Bytes of input one shuffle partition should stand for.
-TARGET_PARTITION_BYTES = 128 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 100_000
+# Bytes of input one shuffle partition should stand for. What is shuffled is smaller: pruned columns.
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+# The driver keeps a few bits per pair of map task and shuffle partition, so both counts are bounded:
+# beyond them the partitions grow, and what does not fit in memory is spilled.
+MAX_SHUFFLE_PARTITIONS = 32_768
+MAX_SCAN_TASKS = 100_000
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -56,13 +59,27 @@ def shuffle_partitions_for(input_bytes: int, floor: int) -> int:
     return int(min(max(floor, needed), MAX_SHUFFLE_PARTITIONS))
 
 
-def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
-    """Raise (never lower) the shuffle partition count to fit the input; AQE merges what is too many."""
-    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = shuffle_partitions_for(input_bytes, current)
-    if wanted > current:
+def size_for(spark: SparkSession, input_bytes: int) -> tuple[int, int]:
+    """Raise (never lower) shuffle partitions and scan splits to fit the input: ``(partitions, split bytes)``.
+
+    Adaptive execution merges partitions that turn out small.
+    """
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = shuffle_partitions_for(input_bytes, partitions)
+    if wanted > partitions:
         spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-    return wanted
+    split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    wanted_split = -(-input_bytes // MAX_SCAN_TASKS)
+    if wanted_split > split:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", f"{wanted_split}b")
+    return wanted, max(split, wanted_split)
+
+
+def _bytes(text: str) -> int:
+    """Number of bytes of a setting such as ``134217728b`` or ``128MB``."""
+    number = text.lower().rstrip("b")
+    scale = {"k": 10, "m": 20, "g": 30}.get(number[-1:], 0)
+    return int(number.rstrip("kmg")) << scale
 
 
 def durable_root(spark: SparkSession) -> str:

@@ -9,7 +9,7 @@ from citylake.operators.facts import silver_air_quality
 from citylake.operators.joins import sensor_measurements
 from citylake.plans.dimensions import dim_gdp, dim_zone
 from citylake.schemas import SchemaMismatch, enforce_schema
-from citylake.session import TARGET_PARTITION_BYTES, path_bytes, shuffle_partitions_for, staging_path
+from citylake.session import TARGET_PARTITION_BYTES, path_bytes, shuffle_partitions_for, size_for, staging_path
 from citylake.sources import files
 from citylake.sources.calendar import calendar, calendar_over
 from citylake.sources.manifest import (
@@ -216,7 +216,14 @@ def test_report_and_export_files(spark, tmp_path):
 def test_shuffle_size_follows_the_input(spark, tmp_path):
     assert shuffle_partitions_for(0, 8) == 8
     assert shuffle_partitions_for(1000 * TARGET_PARTITION_BYTES + 1, 8) == 1001
-    assert shuffle_partitions_for(10**18, 8) == 100_000
+    assert shuffle_partitions_for(10**18, 8) == 32_768
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes")}
+    assert size_for(spark, 1000) == (4, 128 * 1024 * 1024)
+    assert size_for(spark, 10**14) == (32_768, 10**9)
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "1000000000b"
+    assert size_for(spark, 1000) == (32_768, 10**9)
+    for key, value in before.items():
+        spark.conf.set(key, value)
     land(tmp_path / "f", "x.txt", "12345")
     assert path_bytes(spark, str(tmp_path / "f"), str(tmp_path / "absent")) == 5
     assert staging_path(spark, "a") != staging_path(spark, "a")
