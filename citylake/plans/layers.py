@@ -33,7 +33,7 @@ from citylake.sources.sinks import (
     read_evolving,
     write_report,
 )
-from citylake.streaming import ingest_stream
+from citylake.streaming import ingest_drifting_stream
 
 
 @dataclass(frozen=True)
@@ -54,7 +54,7 @@ class Landing:
 
 def run_bronze(spark: SparkSession, at: Landing, run_ts: dt.datetime | None = None) -> None:
     """Load what has landed: trips incrementally, the small sources in full."""
-    ingest_stream(spark, at.trips, schemas.TRIP, at.bronze_trips, at.checkpoint).awaitTermination()
+    ingest_drifting_stream(spark, at.trips, schemas.TRIP, at.bronze_trips, at.checkpoint).awaitTermination()
     overwrite_table(files.read_zones(spark, at.zones), "bronze_taxi_zone")
     sensors = files.flatten_sensors(files.read_sensor_locations(spark, at.sensor_locations))
     days = files.flatten_days(files.read_sensor_days(spark, at.sensor_days))

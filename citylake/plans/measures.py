@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -57,6 +57,7 @@ class CityModel:
     dates: DataFrame
     zones: DataFrame
     fx: DataFrame | None = None
+    weather: DataFrame | None = None
 
     def taxi_totals(self, by: Sequence[str] = (), where: Filters | None = None) -> DataFrame:
         """Revenue and trips by any attributes the taxi fact can be reached from.
@@ -133,6 +134,15 @@ class CityModel:
         return revenue.join(renamed, same, "left").select(*by, "revenue_usd", "average_rate")
 
 
+    def latest(self, column: str, by: Sequence[str] = (), where: Filters | None = None) -> DataFrame:
+        """A forecast column at the latest forecast time. The forecast has no relations, only own columns."""
+        if self.weather is None:
+            raise ValueError("the model has no forecast")
+        where = where or {}
+        rows = _filtered(self.weather, where, list(where))
+        return latest_value(rows, "forecast_time", column, by).drop("latest_time")
+
+
 def _totals(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(
         F.sum("total_trips").alias("total_trips"), exact_sum("daily_revenue_usd").alias("daily_revenue_usd")
@@ -142,8 +152,14 @@ def _totals(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
 def measure(
     model: CityModel, name: str, by: Sequence[str] = (), where: Filters | None = None, **options: Any
 ) -> DataFrame:
-    """Evaluate a measure by name: ``avg_fare`` or ``revenue_eur``."""
-    measures = {"avg_fare": model.avg_fare, "revenue_eur": model.revenue_eur}
+    """Evaluate a measure by name."""
+    measures: dict[str, Callable[..., DataFrame]] = {
+        "avg_fare": model.avg_fare,
+        "revenue_eur": model.revenue_eur,
+        "latest_temperature": partial(model.latest, "temperature"),
+        "latest_humidity": partial(model.latest, "humidity"),
+        "latest_condition": partial(model.latest, "condition"),
+    }
     if name not in measures:
         raise ValueError(f"measure is one of {list(measures)}")
     return measures[name](by=by, where=where, **options)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,19 +24,25 @@ def read_trips(spark: SparkSession, path: str | Sequence[str], schema: T.StructT
 def read_trip_slots(
     spark: SparkSession, paths: Iterable[str], schema: T.StructType = schemas.TRIP
 ) -> DataFrame:
-    """Trip slots whose column types differ, e.g. passengers as a long in one month and a double in another.
+    """Trip files whose columns drift, e.g. passengers as a long in one month and a double in another.
 
-    Each slot is read by its own footer, its known columns are cast to ``schema`` and unknown ones are
-    kept, then the slots are united by name. The loop runs over slot folders (months), not over rows.
+    Known columns are cast to ``schema``, unknown ones are kept, and the file each row came from is added
+    as ``source_file``. Spark merges the footers of all files in one job; only where types conflict is the
+    list of files halved, so the reads are about as many as the changes of type over the months.
     """
-    target = {f.name: f.dataType.simpleString() for f in schema.fields}
-    slots = []
-    for path in paths:
-        raw = spark.read.parquet(path)
-        slots.append(
-            raw.select(*[cast_to(c, target[c]).alias(c) if c in target else F.col(c) for c in raw.columns])
+    ordered = sorted(paths)
+    try:
+        raw = spark.read.option("mergeSchema", "true").parquet(*ordered)
+    except (PySparkException, Py4JJavaError) as error:  # which of them depends on who calls
+        if len(ordered) == 1 or "CANNOT_MERGE" not in str(error):
+            raise
+        half = len(ordered) // 2
+        return union_conformed(
+            read_trip_slots(spark, ordered[:half], schema), read_trip_slots(spark, ordered[half:], schema)
         )
-    return union_conformed(*slots)
+    target = {f.name: f.dataType.simpleString() for f in schema.fields}
+    columns = [cast_to(c, target[c]).alias(c) if c in target else F.col(c) for c in raw.columns]
+    return raw.select(*columns, F.col("_metadata.file_path").alias("source_file"))
 
 
 def read_zones(spark: SparkSession, path: str) -> DataFrame:

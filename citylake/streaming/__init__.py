@@ -1,5 +1,5 @@
 """Incremental ingest with Structured Streaming."""
 
-from citylake.streaming.ingest import ingest_mixed_stream, ingest_stream
+from citylake.streaming.ingest import ingest_drifting_stream, ingest_mixed_stream, ingest_stream
 
-__all__ = ["ingest_mixed_stream", "ingest_stream"]
+__all__ = ["ingest_drifting_stream", "ingest_mixed_stream", "ingest_stream"]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from citylake.sources.files import read_trip_slots
 from citylake.sources.manifest import slot_of_path
 from citylake.sources.sinks import balanced
 
@@ -90,3 +91,53 @@ def ingest_mixed_stream(
         .trigger(availableNow=True)
         .start()
     )
+
+
+# Columns of a file listing.
+LISTING = T.StructType(
+    [
+        T.StructField("path", T.StringType()),
+        T.StructField("modificationTime", T.TimestampType()),
+        T.StructField("length", T.LongType()),
+        T.StructField("content", T.BinaryType()),
+    ]
+)
+
+
+def ingest_drifting_stream(
+    spark: SparkSession,
+    landing: str,
+    schema: T.StructType,
+    out: str,
+    checkpoint: str,
+    files_per_batch: int = 1000,
+) -> StreamingQuery:
+    """As :func:`ingest_stream`, for files whose columns or types change from month to month.
+
+    The stream carries file names only (contents are not read by it), so at most ``files_per_batch``
+    names reach the driver. The files of a batch are then read with their drift resolved, columns that
+    are new to the table included, and replace the batch's own folder.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        paths = [r["path"] for r in batch.collect()]
+        if not paths:
+            return
+        trips = read_trip_slots(spark, paths, schema)
+        slot = slot_of_path(F.col("source_file"))
+        stamped = trips.withColumns({"ingestion_timestamp": F.current_timestamp(), **slot})
+        stamped.write.mode("overwrite").partitionBy(*slot).parquet(f"{out}/batch={batch_id}")
+
+    return (
+        spark.readStream.schema(LISTING)
+        .format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.parquet")
+        .option("maxFilesPerTrigger", files_per_batch)
+        .load(landing)
+        .select("path")
+        .writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )

@@ -130,6 +130,19 @@ def test_latest_value_of_everything_and_of_nothing(spark):
     assert values(latest_value(df.limit(0), "t", "a")) == [(None, None)]
 
 
+def test_latest_measures_by_name(spark, model):
+    weather = spark.createDataFrame(
+        [(T1, 1.0, 5, "rain"), (T2, 2.0, 6, "sun"), (T2, 2.0, 7, "sun")],
+        "forecast_time timestamp, temperature double, humidity int, condition string",
+    )
+    full = CityModel(model.taxi, model.dates, model.zones, weather=weather)
+    assert values(measure(full, "latest_temperature")) == [(2.0,)]
+    assert values(measure(full, "latest_humidity")) == [(None,)]
+    assert values(measure(full, "latest_condition", where={"condition": "rain"})) == [("rain",)]
+    with pytest.raises(ValueError):
+        measure(model, "latest_condition")
+
+
 def test_forecast_from_documents(spark):
     docs = spark.createDataFrame(
         [

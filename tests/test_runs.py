@@ -12,7 +12,7 @@ from citylake.plans.layers import Landing, run_daily, run_weather
 from citylake.session import build_session, staging_path
 from citylake.sources.manifest import slot_path
 from citylake.sources.sinks import read_evolving
-from citylake.streaming import ingest_mixed_stream, ingest_stream
+from citylake.streaming import ingest_drifting_stream, ingest_mixed_stream, ingest_stream
 from tests.conftest import values
 
 RUN = dt.datetime(2024, 4, 1, tzinfo=dt.timezone.utc)
@@ -63,6 +63,30 @@ def test_mixed_files_are_split_by_slot_once(spark, tmp_path):
     assert values(loaded.select("kind").distinct()) == [("cold",), ("hot",)]
 
 
+def test_drifting_files_bring_new_columns_and_types_once(spark, tmp_path):
+    landing, out, checkpoint = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp")
+
+    def land(month, schema, row):
+        df = spark.createDataFrame([row], schema).coalesce(1)
+        df.write.parquet(f"{landing}/{slot_path('yellow', 2024, month)}")
+
+    def run():
+        ingest_drifting_stream(spark, landing, schemas.TRIP, out, checkpoint, 2).awaitTermination()
+        return read_evolving(spark, out)
+
+    land(1, "VendorID bigint, passenger_count bigint", (1, 2))
+    land(2, "VendorID int, passenger_count double, airport_fee double", (2, 1.5, 0.5))
+    land(3, "VendorID bigint, passenger_count bigint", (3, 4))
+    expected = [(1, 2.0, None, 1), (2, 1.5, 0.5, 2), (3, 4.0, None, 3)]
+    columns = ["VendorID", "passenger_count", "airport_fee", "month"]
+    assert values(run(), *columns) == expected
+    assert values(run(), *columns) == expected
+    land(4, "VendorID bigint, congestion_fee double", (4, 9.0))
+    after = run()
+    assert values(after.filter("congestion_fee IS NOT NULL"), "VendorID", "congestion_fee") == [(4, 9.0)]
+    assert after.count() == 4
+
+
 def write_json(path, content):
     path.parent.mkdir(parents=True, exist_ok=True)
     path.write_text(json.dumps(content))
