@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citylake.functions import exact_sum
@@ -57,36 +57,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(table_path(sf_dir, name))
 
 
-def is_yellow() -> Column:
-    return F.col("l_linestatus") == "F"
-
-
-def total_amount() -> Column:
-    return F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))
+YELLOW = "l_linestatus = 'F'"
+TOTAL = "l_extendedprice * (1 - l_discount) * (1 + l_tax)"
 
 
 def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw trip table of both taxi types: each type has its own time columns, only yellow has tips."""
     lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
-    joined = lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"])
-    yellow, green = is_yellow(), ~is_yellow()
-    return joined.select(
-        F.col("o_custkey").alias("VendorID"),
-        F.when(yellow, F.lit("yellow")).otherwise(F.lit("green")).alias("taxi_type"),
-        F.when(yellow, F.col("o_orderdate")).alias("tpep_pickup_datetime"),
-        F.when(yellow, F.col("l_shipdate")).alias("tpep_dropoff_datetime"),
-        F.when(green, F.col("o_orderdate")).alias("lpep_pickup_datetime"),
-        F.when(green, F.col("l_shipdate")).alias("lpep_dropoff_datetime"),
-        (F.col("l_linenumber") - 1).cast("double").alias("passenger_count"),
-        F.col("l_quantity").alias("trip_distance"),
-        F.col("l_suppkey").alias("PULocationID"),
-        F.col("l_partkey").alias("DOLocationID"),
-        F.col("l_extendedprice").alias("fare_amount"),
-        F.when(yellow, F.col("l_extendedprice") * F.col("l_tax")).alias("tip_amount"),
-        total_amount().alias("total_amount"),
-        F.when(F.col("l_returnflag") == "R", 1).when(F.col("l_returnflag") == "A", 2).otherwise(3).cast("bigint").alias("payment_type"),
-        F.when(green, F.lit(1)).otherwise(F.lit(2)).cast("bigint").alias("trip_type"),
-        F.col("l_linenumber").cast("double").alias("RatecodeID"),
+    return lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"]).selectExpr(
+        "o_custkey as VendorID",
+        f"if({YELLOW}, 'yellow', 'green') as taxi_type",
+        f"if({YELLOW}, o_orderdate, null) as tpep_pickup_datetime",
+        f"if({YELLOW}, l_shipdate, null) as tpep_dropoff_datetime",
+        f"if({YELLOW}, null, o_orderdate) as lpep_pickup_datetime",
+        f"if({YELLOW}, null, l_shipdate) as lpep_dropoff_datetime",
+        "cast(l_linenumber - 1 as double) as passenger_count",
+        "l_quantity as trip_distance",
+        "l_suppkey as PULocationID",
+        "l_partkey as DOLocationID",
+        "l_extendedprice as fare_amount",
+        f"if({YELLOW}, l_extendedprice * l_tax, null) as tip_amount",
+        f"{TOTAL} as total_amount",
+        "cast(case l_returnflag when 'R' then 1 when 'A' then 2 else 3 end as bigint) as payment_type",
+        f"cast(if({YELLOW}, 2, 1) as bigint) as trip_type",
+        "cast(l_linenumber as double) as RatecodeID",
     )
 
 
@@ -98,22 +92,22 @@ def trip_variants(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
     """The two trip files with their own column names; each has a fee that the other lacks."""
     lines = table(spark, sf_dir, "lineitem")
     shared = [
-        F.col("l_orderkey").alias("VendorID"),
-        F.col("l_quantity").alias("trip_distance"),
-        F.col("l_suppkey").alias("PULocationID"),
-        F.col("l_extendedprice").alias("fare_amount"),
+        "l_orderkey as VendorID",
+        "l_quantity as trip_distance",
+        "l_suppkey as PULocationID",
+        "l_extendedprice as fare_amount",
     ]
-    yellow = lines.filter(is_yellow()).select(
+    yellow = lines.where(YELLOW).selectExpr(
         *shared,
-        F.col("l_shipdate").alias("tpep_dropoff_datetime"),
-        (F.col("l_linenumber") - 1).cast("double").alias("passenger_count"),
-        F.col("l_discount").alias("airport_fee"),
+        "l_shipdate as tpep_dropoff_datetime",
+        "cast(l_linenumber - 1 as double) as passenger_count",
+        "l_discount as airport_fee",
     )
-    green = lines.filter(~is_yellow()).select(
+    green = lines.where(f"not ({YELLOW})").selectExpr(
         *shared,
-        F.col("l_shipdate").alias("lpep_dropoff_datetime"),
-        (F.col("l_linenumber") - 1).cast("bigint").alias("passenger_count"),
-        F.col("l_tax").alias("ehail_fee"),
+        "l_shipdate as lpep_dropoff_datetime",
+        "cast(l_linenumber - 1 as bigint) as passenger_count",
+        "l_tax as ehail_fee",
     )
     return yellow, green
 
@@ -124,11 +118,8 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         supplier.join(nation, supplier["s_nationkey"] == nation["n_nationkey"])
         .join(region, nation["n_regionkey"] == region["r_regionkey"])
-        .select(
-            F.col("s_suppkey").alias("location_id"),
-            F.col("r_name").alias("borough"),
-            F.col("s_name").alias("zone_name"),
-            F.col("n_name").alias("service_zone"),
+        .selectExpr(
+            "s_suppkey as location_id", "r_name as borough", "s_name as zone_name", "n_name as service_zone"
         )
     )
 
@@ -143,41 +134,31 @@ def dates(spark: SparkSession) -> DataFrame:
     return dim_date(calendar(spark, *CALENDAR))
 
 
-def _parameter() -> Column:
-    cases = F.lit(None).cast("string")
-    for event_type, parameter in EVENT_PARAMETER.items():
-        cases = F.when(F.col("event_type") == event_type, F.lit(parameter)).otherwise(cases)
-    return cases
-
-
-def _lat() -> Column:
-    return F.lit(40.4) + (F.col("user_id") % 100) * F.lit(0.01)
-
-
-def _lon() -> Column:
-    return F.lit(-74.3) + (F.col("user_id") % 80) * F.lit(0.01)
-
-
-def _sensor_id() -> Column:
-    codes = [F.when(F.col("event_type") == e, F.lit(i)) for i, e in enumerate(EVENT_PARAMETER)]
-    return F.col("user_id") * 10 + F.coalesce(*codes)
+def _case(column: str, values: dict[str, object]) -> str:
+    """SQL that maps a column's values."""
+    arms = " ".join(f"when '{k}' then {v!r}" for k, v in values.items())
+    return f"case {column} {arms} end"
 
 
-def _utc_text() -> Column:
-    """Reading time as ISO text, moved back 25 years into the years of the trips."""
-    return F.date_format(F.col("ts") - F.expr("interval 25 year"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+PARAMETER = _case("event_type", EVENT_PARAMETER)
+SENSOR_CODE = _case("event_type", {e: i for i, e in enumerate(EVENT_PARAMETER)})
+LAT = "40.4D + (user_id % 100) * 0.01D"
+LON = "-74.3D + (user_id % 80) * 0.01D"
+LOCATION = "concat('loc-', user_id)"
+# Reading time as ISO text, moved back 25 years into the years of the trips.
+UTC_TEXT = "date_format(ts - interval 25 year, \"yyyy-MM-dd'T'HH:mm:ss'Z'\")"
 
 
 def readings_of(events: DataFrame) -> DataFrame:
-    return events.select(
-        _sensor_id().alias("sensor_id"),
-        F.concat(F.lit("loc-"), F.col("user_id").cast("string")).alias("location_name"),
-        _parameter().alias("parameter"),
-        _lat().alias("lat"),
-        _lon().alias("lon"),
+    return events.selectExpr(
+        f"user_id * 10 + {SENSOR_CODE} as sensor_id",
+        f"{LOCATION} as location_name",
+        f"{PARAMETER} as parameter",
+        f"{LAT} as lat",
+        f"{LON} as lon",
         "value",
-        F.lit("ug/m3").alias("unit"),
-        _utc_text().alias("date_utc"),
+        "'ug/m3' as unit",
+        f"{UTC_TEXT} as date_utc",
     )
 
 
@@ -188,31 +169,22 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sensor_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One location document per user, holding one sensor for each of its event types (five at most)."""
     users = table(spark, sf_dir, "events").groupBy("user_id").agg(F.collect_set("event_type").alias("types"))
-
-    def sensor(event_type: Column) -> Column:
-        code, parameter = F.lit(None).cast("int"), F.lit(None).cast("string")
-        for i, (e, p) in enumerate(EVENT_PARAMETER.items()):
-            code = F.when(event_type == e, F.lit(i)).otherwise(code)
-            parameter = F.when(event_type == e, F.lit(p)).otherwise(parameter)
-        return F.struct(
-            (F.col("user_id") * 10 + code).alias("id"),
-            F.struct(parameter.alias("name"), F.lit("ug/m3").alias("units")).alias("parameter"),
-        )
-
-    place = F.struct(
-        F.concat(F.lit("loc-"), F.col("user_id").cast("string")).alias("name"),
-        F.struct(_lat().alias("latitude"), _lon().alias("longitude")).alias("coordinates"),
-        F.transform("types", sensor).alias("sensors"),
+    sensor = f"""named_struct('id', user_id * 10 + {SENSOR_CODE},
+        'parameter', named_struct('name', {PARAMETER}, 'units', 'ug/m3'))"""
+    return users.selectExpr(
+        f"""array(named_struct('name', {LOCATION},
+            'coordinates', named_struct('latitude', {LAT}, 'longitude', {LON}),
+            'sensors', transform(types, event_type -> {sensor}))) as results"""
     )
-    return users.select(F.array(place).alias("results"))
 
 
 def day_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One document with one reading per event."""
-    utc = F.struct(_utc_text().alias("utc"))
-    reading = F.struct("value", F.struct(utc.alias("datetimeFrom"), utc.alias("datetimeTo")).alias("period"))
-    return table(spark, sf_dir, "events").select(
-        _sensor_id().alias("sensor_id"), F.array(reading).alias("results")
+    utc = f"named_struct('utc', {UTC_TEXT})"
+    period = f"named_struct('datetimeFrom', {utc}, 'datetimeTo', {utc})"
+    return table(spark, sf_dir, "events").selectExpr(
+        f"user_id * 10 + {SENSOR_CODE} as sensor_id",
+        f"array(named_struct('value', value, 'period', {period})) as results",
     )
 
 
@@ -226,17 +198,15 @@ def aq_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fx_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One rate per order priority and day: the mean price in 100,000; none on weekends."""
-    day = F.col("o_orderdate").cast("date")
     daily = (
         table(spark, sf_dir, "orders")
-        .groupBy(F.col("o_orderpriority").alias("CURRENCY"), day.alias("day"))
-        .agg(exact_sum("o_totalprice").alias("total"), F.count(F.lit(1)).alias("n"))
+        .groupBy(F.expr("o_orderpriority as CURRENCY"), F.expr("cast(o_orderdate as date) as day"))
+        .agg(exact_sum("o_totalprice").alias("total"), F.expr("count(*) as n"))
     )
-    mean = F.col("total") / F.col("n") / F.lit(1e5)
-    return daily.select(
-        F.date_format("day", "yyyy-MM-dd").alias("TIME_PERIOD"),
+    return daily.selectExpr(
+        "date_format(day, 'yyyy-MM-dd') as TIME_PERIOD",
         "CURRENCY",
-        F.when(~F.dayofweek("day").isin(1, 7), mean).alias("OBS_VALUE"),
+        "if(dayofweek(day) in (1, 7), null, total / n / 1e5D) as OBS_VALUE",
     )
 
 
@@ -257,41 +227,34 @@ def gdp_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("c_nationkey", "y")
         .agg(exact_sum("spent").alias("value"))
     )
-    return by_nation.join(nation, by_nation["c_nationkey"] == nation["n_nationkey"]).select(
-        F.struct(F.col("n_nationkey").cast("string").alias("id"), F.col("n_name").alias("value")).alias("country"),
-        F.struct(F.lit("NY.GDP.MKTP.CD").alias("id"), F.lit("GDP (current US$)").alias("value")).alias("indicator"),
-        F.concat(F.lit("N"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0")).alias("countryiso3code"),
-        F.col("y").cast("string").alias("date"),
+    return by_nation.join(nation, by_nation["c_nationkey"] == nation["n_nationkey"]).selectExpr(
+        "named_struct('id', cast(n_nationkey as string), 'value', n_name) as country",
+        "named_struct('id', 'NY.GDP.MKTP.CD', 'value', 'GDP (current US$)') as indicator",
+        "concat('N', lpad(n_nationkey, 2, '0')) as countryiso3code",
+        "cast(y as string) as date",
         "value",
-        F.lit(None).cast("string").alias("obs_status"),
+        "cast(null as string) as obs_status",
     )
 
 
 def forecast_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One document of two steps per event; empty for a signup, and without weather for an error."""
 
-    def step(hours: int) -> Column:
-        weather = F.slice(
-            F.array(F.struct(F.col("event_type").alias("description"))),
-            F.lit(1),
-            F.when(F.col("event_type") == "error", F.lit(0)).otherwise(F.lit(1)),
-        )
-        k = F.get_json_object("props", "$.k").cast("bigint")
-        return F.struct(
-            (F.unix_timestamp("ts") + F.lit(3600 * hours)).alias("dt"),
-            F.struct(
-                (F.col("value") + F.lit(hours)).alias("temp"),
-                (F.col("value") - F.lit(hours)).alias("feels_like"),
-                k.alias("humidity"),
-                (k + 1000).alias("pressure"),
-            ).alias("main"),
-            weather.alias("weather"),
-            F.struct((F.col("value") / 2).alias("speed")).alias("wind"),
-        )
-
-    length = F.when(F.col("event_type") == "signup", F.lit(0)).otherwise(F.lit(2))
-    return table(spark, sf_dir, "events").select(
-        F.col("event_id").alias("doc_id"), F.slice(F.array(step(0), step(3)), F.lit(1), length).alias("list")
+    def step(hours: int) -> str:
+        return f"""named_struct(
+            'dt', unix_timestamp(ts) + {3600 * hours},
+            'main', named_struct('temp', value + {hours}, 'feels_like', value - {hours},
+                                 'humidity', k, 'pressure', k + 1000),
+            'weather', slice(array(named_struct('description', event_type)), 1, if(event_type = 'error', 0, 1)),
+            'wind', named_struct('speed', value / 2))"""
+
+    # The property is read once, in a projection of its own, and used four times.
+    events = table(spark, sf_dir, "events").selectExpr(
+        "event_id", "ts", "value", "event_type", "cast(get_json_object(props, '$.k') as bigint) as k"
+    )
+    return events.selectExpr(
+        "event_id as doc_id",
+        f"slice(array({step(0)}, {step(3)}), 1, if(event_type = 'signup', 0, 2)) as list",
     )
 
 
@@ -317,17 +280,19 @@ def slots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     A slot that has yellow trips has landed, except in July; nothing was published for November.
     """
-    month = F.trunc(F.col("l_shipdate").cast("date"), "month")
     found = (
         table(spark, sf_dir, "lineitem")
-        .groupBy(F.col("l_returnflag").alias("taxi_type"), month.alias("first_day"))
-        .agg(F.bool_or(is_yellow()).alias("has_yellow"))
+        .groupBy(
+            F.expr("l_returnflag as taxi_type"),
+            F.expr("trunc(cast(l_shipdate as date), 'month') as first_day"),
+        )
+        .agg(F.expr(f"bool_or({YELLOW}) as has_yellow"))
     )
-    return found.select(
+    return found.selectExpr(
         "taxi_type",
         "first_day",
-        F.year("first_day").cast("string").alias("year"),
-        F.lpad(F.month("first_day").cast("string"), 2, "0").alias("month"),
-        (F.col("has_yellow") & (F.month("first_day") != 7) & (F.month("first_day") != 11)).alias("landed"),
-        (F.month("first_day") != 11).alias("available"),
+        "cast(year(first_day) as string) as year",
+        "lpad(month(first_day), 2, '0') as month",
+        "has_yellow and month(first_day) not in (7, 11) as landed",
+        "month(first_day) <> 11 as available",
     )

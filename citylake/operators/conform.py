@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from citylake.functions import cast_to, duration_minutes, first_of
+from citylake.functions import cast_to, duration_minutes
 
 
 def rename(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
@@ -91,11 +91,8 @@ def dedup(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None = N
 
 def valid_trips(df: DataFrame) -> DataFrame:
     """Trips with a distance, an amount, and an end after the start; a NULL in any of them drops the row."""
-    return df.filter(
-        (F.col("trip_distance") > 0)
-        & (F.col("total_amount") > 0)
-        & (F.col("pickup_datetime") < F.col("dropoff_datetime"))
-    )
+    moved, paid, forward = "trip_distance > 0", "total_amount > 0", "pickup_datetime < dropoff_datetime"
+    return df.where(f"{moved} and {paid} and {forward}")
 
 
 # Types of the conformed trip columns that drift between files.
@@ -118,21 +115,23 @@ def conform_trips(bronze: DataFrame, run_ts: dt.datetime | None = None) -> DataF
     """
     have = set(bronze.columns)
 
-    def variants(*names: str) -> Column:
-        return first_of(*[n for n in names if n in have])
+    def variants(*names: str) -> str:
+        return f"coalesce({', '.join(n for n in names if n in have)})"
 
     picked = {
-        "VendorID": F.col("VendorID"),
-        "taxi_type": F.col("taxi_type"),
+        "VendorID": "VendorID",
+        "taxi_type": "taxi_type",
         "pickup_datetime": variants("tpep_pickup_datetime", "lpep_pickup_datetime"),
         "dropoff_datetime": variants("tpep_dropoff_datetime", "lpep_dropoff_datetime"),
-        "pickup_location_id": F.col("PULocationID"),
-        "dropoff_location_id": F.col("DOLocationID"),
+        "pickup_location_id": "PULocationID",
+        "dropoff_location_id": "DOLocationID",
     }
-    picked.update({name: cast_to(name, t) for name, t in TRIP_CASTS.items() if name in have})
-    trips = bronze.select(*[c.alias(name) for name, c in picked.items()])
-    trips = valid_trips(trips).withColumn(
-        "trip_duration_minutes", duration_minutes("pickup_datetime", "dropoff_datetime")
-    )
+    picked.update({name: f"try_cast({name} as {t})" for name, t in TRIP_CASTS.items() if name in have})
+    trips = valid_trips(bronze.selectExpr(*[f"{text} as {name}" for name, text in picked.items()]))
     stamp = F.current_timestamp() if run_ts is None else F.lit(run_ts).cast("timestamp")
-    return trips.withColumn("silver_processing_time", stamp)
+    return trips.withColumns(
+        {
+            "trip_duration_minutes": duration_minutes("pickup_datetime", "dropoff_datetime"),
+            "silver_processing_time": stamp,
+        }
+    )

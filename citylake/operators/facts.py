@@ -51,7 +51,7 @@ def pivot_parameters(
     column, and all columns are conditional averages of one aggregation: one shuffle, after the map side
     has combined.
     """
-    cells = [F.avg(F.when(F.col("parameter") == v, F.col("value"))).alias(v) for v in values]
+    cells = [F.expr(f"avg(value) filter (where parameter = '{v}') as `{v}`") for v in values]
     return readings.groupBy(*keys).agg(*cells)
 
 

@@ -15,15 +15,13 @@ from citylake.operators.series import forward_fill
 
 def dim_date(days: DataFrame) -> DataFrame:
     """Attributes of each ``date_key``."""
-    day = F.col("date_key")
-    return days.select(
+    return days.selectExpr(
         "date_key",
-        F.year(day).alias("year"),
-        F.month(day).alias("month"),
-        F.date_format(day, "MMMM").alias("month_name"),
-        F.date_format(day, "EEEE").alias("day_name"),
-        is_weekend(day).alias("is_weekend"),
-    )
+        "year(date_key) as year",
+        "month(date_key) as month",
+        "date_format(date_key, 'MMMM') as month_name",
+        "date_format(date_key, 'EEEE') as day_name",
+    ).withColumn("is_weekend", is_weekend("date_key"))
 
 
 def dim_zone(zones: DataFrame) -> DataFrame:

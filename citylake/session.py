@@ -20,6 +20,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Recording the Python line of every column expression doubles the time to build a plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
