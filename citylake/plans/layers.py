@@ -75,12 +75,16 @@ def run_silver(spark: SparkSession, at: Landing, run_ts: dt.datetime | None = No
 
 
 def check_silver(spark: SparkSession, max_rate: float = 0.01) -> DataFrame:
-    """Quality report of the conformed tables; raises when the run must stop."""
+    """Quality report of the conformed tables; raises when the run must stop.
+
+    The report is written before it is judged: it is computed once, and stays for looking into a halt.
+    """
     report = quality_report(
         spark.table("silver_nyc_taxi"), spark.table("silver_openaq"), spark.table("silver_fx")
     )
-    gate(report, max_rate)
-    return report
+    overwrite_table(report, "quality_report")
+    gate(spark.table("quality_report"), max_rate)
+    return spark.table("quality_report")
 
 
 def run_gold(spark: SparkSession, start: dt.date, end: dt.date) -> None:
@@ -102,7 +106,8 @@ def run_weather(spark: SparkSession, at: Landing, run_ts: dt.datetime | None = N
     """The forecast branch: table, expectations, report, and a small export. Gives the suite's status."""
     table = "gold_weather_forecast"
     overwrite_enforced(weather_forecast(files.read_forecast(spark, at.forecast), run_ts), table, schemas.WEATHER)
-    status = suite_status(run_suite(spark.table(table), weather_rules()))
+    overwrite_table(run_suite(spark.table(table), weather_rules()), "weather_quality")
+    status = suite_status(spark.table("weather_quality"))
     write_report(status, f"{at.reports}/weather_quality_report.json", run_ts)
     day = (run_ts or dt.datetime.now()).date()
     export_top_n(spark.table(table), 5, ["forecast_time", "temperature", "condition"], at.reports, day)

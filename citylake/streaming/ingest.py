@@ -19,7 +19,7 @@ def landed_stream(
     landing: str,
     schema: T.StructType,
     slot: Mapping[str, Column] | None = None,
-    files_per_batch: int = 1000,
+    files_per_batch: int = 10_000,
 ) -> DataFrame:
     """New files below ``landing`` with load time, file name and slot; by default the path tells the slot."""
     path = F.col("_metadata.file_path")
@@ -45,7 +45,7 @@ def ingest_stream(
     out: str,
     checkpoint: str,
     slot: Mapping[str, Column] | None = None,
-    files_per_batch: int = 1000,
+    files_per_batch: int = 10_000,
 ) -> StreamingQuery:
     """Append new files to the table at ``out`` and stop when all are in. For files that hold one slot each.
 
@@ -72,7 +72,7 @@ def ingest_mixed_stream(
     out: str,
     checkpoint: str,
     slot: Mapping[str, Column],
-    files_per_batch: int = 1000,
+    files_per_batch: int = 10_000,
 ) -> StreamingQuery:
     """As :func:`ingest_stream`, for files that mix slots.
 

@@ -152,6 +152,7 @@ def test_daily_run_builds_the_star_and_repeats_without_change(spark, landing):
     with pytest.raises(QualityGateError):
         run()
     assert values(spark.table("gold_fact_taxi_daily")) == first["gold_fact_taxi_daily"]
+    assert ("bad_trips", 60, 20) in values(spark.table("quality_report"), "rule", "total", "failed")
 
 
 def test_weather_branch(spark, landing, tmp_path):
