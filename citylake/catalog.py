@@ -32,7 +32,7 @@ from citylake.operators.series import forward_fill, forward_fill_bucketed
 from citylake.plans import insights
 from citylake.plans.dimensions import dim_date, dim_gdp, dim_zone, weather_forecast
 from citylake.plans.measures import latest_value, measure
-from citylake.session import path_bytes, prepare, size_for, staging_path
+from citylake.session import durable_checkpoint, path_bytes, prepare, size_for, staging_path
 from citylake.sources.calendar import calendar_over
 from citylake.sources.files import flatten_days, flatten_sensors, rows_of_meta_array
 from citylake.sources.manifest import load_summary, manifest_over, pending_slots
@@ -230,16 +230,21 @@ def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest_over(b.slots(spark, sf_dir), "taxi_type", "first_day")
 
 
+def _staged_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The slots, a row per type and month, fixed on shared storage: several joins read them, one scan makes them."""
+    return durable_checkpoint(b.slots(spark, sf_dir))
+
+
 @named("pending_slots")
 def pending(spark: SparkSession, sf_dir: str) -> DataFrame:
-    slots = b.slots(spark, sf_dir)
+    slots = _staged_slots(spark, sf_dir)
     wanted = manifest_over(slots, "taxi_type", "first_day")
     return pending_slots(wanted, slots.filter("landed"), slots.filter("available"))
 
 
 @named("load_summary")
 def load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    slots = b.slots(spark, sf_dir)
+    slots = _staged_slots(spark, sf_dir)
     wanted = manifest_over(slots, "taxi_type", "first_day")
     failed = slots.filter("available AND NOT landed AND taxi_type = 'A'")
     return load_summary(wanted, slots.filter("landed"), slots.filter("available"), failed)

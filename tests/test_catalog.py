@@ -14,7 +14,7 @@ from tests.conftest import plan_of  # noqa: E402
 SF = "/root/testdata/sf0.001"
 needs_data = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables are not here")
 # These run a job while they are built, so they are left out where only the plan is of interest.
-ACTING = {"fx_ffill_bucketed", "incremental_ingest"}
+ACTING = {"fx_ffill_bucketed", "incremental_ingest", "load_summary", "pending_slots"}
 
 
 @pytest.fixture(scope="module")
