@@ -243,7 +243,7 @@ def pack(docs: DataFrame, room: int = SEQUENCE_TOKENS, path: str | None = None,
     ``text`` are not read. No documents give no rows. ``path`` names the tokenizer's vocabulary file.
     """
     spark = docs.sparkSession
-    rows = docs.select("doc_id", text_of().alias("text"))
+    rows = docs.select(F.col("doc_id").cast("bigint"), text_of().alias("text"))
     run = _pieces(path or tokenizer_path(), room, end_id)
     pieces = staged(rows.mapInArrow(run, PIECE_SCHEMA), "pieces")
 

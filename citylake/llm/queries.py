@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from citylake.llm import exact_dedup, packing
+from citylake.llm import exact_dedup, license_scan, packing, secret_scan, simhash
 from citylake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +18,11 @@ def query(fn):
     return fn
 
 
+@query
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.annotate(table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -36,6 +41,16 @@ ORACLES["op3_exact_dedup"] = """
 """
 
 
+@query
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest_columns(secret_scan.scan(table(spark, sf_dir, "documents")))
+
+
+@query
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.annotate(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))

@@ -1,0 +1,39 @@
+"""Small inputs with the cases every operator must take, and the test tables."""
+
+from pyspark.sql import functions as F
+
+SF = "/root/testdata/sf0.001"
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
+def documents(spark, sf=SF):
+    return spark.read.parquet(f"{sf}/documents.parquet")
+
+
+def texts(spark, sf=SF):
+    return {r["doc_id"]: r["text"] for r in documents(spark, sf).select("doc_id", "text").collect()}
+
+
+def docs_of(spark, rows):
+    """Documents from ``(doc_id, text)`` or ``(doc_id, text, lang, source)``."""
+    full = [(*r, *("en", "s")[len(r) - 2 :], len(r[1] or "")) if len(r) < 4 else (*r, len(r[1] or "")) for r in rows]
+    return spark.createDataFrame(full, SCHEMA)
+
+
+def odd_documents(spark):
+    """Nulls, empty and very long texts, ties, a repeated row, characters outside ASCII, a missing id."""
+    long_text = " ".join(f"word{i % 997} x" for i in range(40000))
+    rows = [
+        (1, None), (2, ""), (3, " "), (4, "Same Text here"), (5, "same text HERE"), (5, "same text HERE"),
+        (6, "É è 日本 語"), (7, long_text), (None, "no id at all"), (8, "12345 !!"), (9, "\n\n\t"),
+    ]
+    return docs_of(spark, rows)
+
+
+def empty_documents(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def clashing(docs, *names):
+    """The same documents with further columns named like ones the operators use."""
+    return docs.withColumns({n: F.lit(f"mine {n}") for n in names})

@@ -1,0 +1,54 @@
+import re
+
+from citylake.llm import license_scan as ls
+from tests.llm.fixtures import clashing, docs_of, documents, empty_documents, odd_documents
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def words_of(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
+
+
+def brute(doc_id, text):
+    words, places, labels = words_of(text), [], set()
+    for phrase, label in ls.PHRASES:
+        p = phrase.split()
+        hits = [i for i in range(len(words)) if words[i : i + len(p)] == p]
+        places += hits
+        labels |= {label} if hits else set()
+    return doc_id, len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(labels))
+
+
+def test_phrases_against_brute_force(spark):
+    extra = docs_of(spark, [
+        (1, "MIT License, mit license; the mit  license!"), (2, "gnu general public gnu general public license"),
+        (3, "CC-BY cc by"), (4, "xmit license mit licenses"), (5, "apacheé license apache license"),
+    ])
+    names = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels"]
+    for docs in (documents(spark), odd_documents(spark), extra):
+        got = sorted((tuple(r) for r in ls.annotate(docs).select(names).collect()), key=str)
+        assert got == sorted((brute(r["doc_id"], r["text"]) for r in docs.collect()), key=str)
+
+
+def test_notices_with_changes(spark):
+    notice = ls.NOTICES[7][0].split()
+    changed = notice[:6] + ["inserted"] + notice[6:12] + notice[13:]
+    far = notice[:5] + ["other"] * 40 + notice[5:9]
+    docs = docs_of(spark, [(1, "x y " + " ".join(notice)), (2, " ".join(changed)), (3, " ".join(far)), (4, "of the to any")])
+    found = {r["doc_id"]: r for r in ls.annotate(docs).collect()}
+    assert found[1]["labels"] == "mit-notice" and found[1]["score"] == 1.0
+    assert found[2]["labels"] == "mit-notice" and 0.6 <= found[2]["score"] < 1
+    assert found[3]["labels"] == "" and found[4]["labels"] == "" and found[4]["score"] == 0.0
+    spans = ls.spans(docs).filter("doc_id = 1 and template is not null").collect()
+    assert [(r["first_word"], r["end_word"]) for r in spans] == [(2, 2 + len(notice))]
+
+
+def test_no_python_and_no_text_shuffle(spark):
+    plan = ls.annotate(documents(spark))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_empty_and_clashing(spark):
+    assert ls.annotate(empty_documents(spark)).count() == 0
+    assert ls.annotate(clashing(odd_documents(spark), "words", "p", "hash", "label")).count() == 11
