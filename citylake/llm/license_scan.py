@@ -90,8 +90,10 @@ def spans(docs: DataFrame, phrases=PHRASES, notices=NOTICES, k: int = GRAM_WORDS
     votes = (
         hashed.join(found, same, "left")
         .filter("template is not null or p is null or p = 0")
-        .select("row_id", "doc_id", F.coalesce(F.size("words"), F.lit(0)).cast("long").alias("n_words"),
-                "template", "label", "exact", "runs", "t", (F.col("p") - F.col("t")).alias("diagonal"))
+        .select(
+            "row_id", "doc_id", F.size("words").cast("long").alias("n_words"),
+            "template", "label", "exact", "runs", "t", (F.col("p") - F.col("t")).alias("diagonal"),
+        )
     )
     # One shuffle of votes, by row; all that follows is grouped by it.
     doc, one = ["row_id", "doc_id", "n_words"], ["template", "label", "exact", "runs"]

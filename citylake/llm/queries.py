@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from citylake.llm import exact_dedup, license_scan, packing, secret_scan, simhash
+from citylake.llm import exact_dedup, license_scan, mixing, packing, secret_scan, simhash
 from citylake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,6 +51,40 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.annotate(table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc.*", "copy", "n_copies", "shuffle_key")
+
+
+ORACLES["op7_source_mix"] = """
+    with recursive sized as (
+        select source, sum(length(coalesce(text, ''))) as size from documents group by source
+    ), rated as (
+        select source, case when size > 0
+            then sqrt(size::double) / sum(sqrt(size::double)) over () * sum(size) over () / size else 1.0 end as rate
+        from sized
+    ), parted as (
+        select source, greatest(ceil(rate / 16.0), 1) as parts, rate / greatest(ceil(rate / 16.0), 1) as mean from rated
+    ), steps as (
+        select source, parts, mean, 0 as k, exp(-mean) as p, exp(-mean) as total from parted
+        union all
+        select source, parts, mean, k + 1, p * mean / (k + 1), total + p * mean / (k + 1) from steps where k < 80
+    ), drawn as (
+        select doc_id, source, part,
+            ('0x' || substr(md5('mix-1:' || coalesce(doc_id::varchar, '') || ':' || part), 1, 13))::bigint::double
+                / 4503599627370496.0 as u
+        from documents join parted using (source), range(1, 100) as r(part) where part <= parts
+    ), counted as (
+        select doc_id, count(*)::int as n_copies
+        from drawn join steps using (source) where total <= u group by doc_id
+    )
+    select d.*, c.copy::int as copy, n_copies, md5('mix-1:order:' || doc_id || ':' || c.copy) as shuffle_key
+    from documents d join counted using (doc_id), range(1, 1000) as c(copy)
+    where c.copy <= n_copies
+"""
+
+
 @query
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))

@@ -48,13 +48,16 @@ def random_strings(spark: SparkSession, n: int = TRAIN_STRINGS) -> DataFrame:
 
 
 def identifiers(docs: DataFrame, n: int = TRAIN_DOCS) -> DataFrame:
-    """Labelled samples of ordinary identifiers: tokens of about ``n`` documents, drawn by a hash of their text."""
+    """Labelled samples of ordinary identifiers: tokens of about ``n`` documents, drawn by a hash of their text.
+
+    Tokens long enough to be judged are left out, or an unknown secret would teach that it is ordinary.
+    """
     total = docs.count()
     share = min(1.0, n / total) if total else 1.0
     drawn = docs.filter(F.expr(f"pmod(xxhash64(text, 'train'), 1000000) < {share * 1000000:.0f}"))
     plain = F.regexp_replace(text_of(), f"{ASSIGN}|{ACCESS}|{HEX}", " ")
     tokens = F.regexp_extract_all(plain, F.lit(TOKEN % IDENTIFIER_CHARS), F.lit(0))
-    return drawn.select(F.explode(tokens).alias("token"))
+    return drawn.select(F.explode(tokens).alias("token")).filter(F.length("token") < TOKEN_CHARS)
 
 
 def log_ratios(secret: DataFrame, ordinary: DataFrame) -> list[float]:
@@ -75,8 +78,8 @@ def log_ratios(secret: DataFrame, ordinary: DataFrame) -> list[float]:
     return [s - o for a, b in zip(*tables) for s, o in zip(a, b)]
 
 
-def _found(text: str, pattern: str, kind: str, test: str = "true") -> Column:
-    """Spans of all matches of a pattern that pass a test on the match ``m``, in code points.
+def _found(text: str, pattern: str, kind: str, value_chars: int = 0) -> Column:
+    """Spans of all matches of a pattern, in code points; with ``value_chars``, those whose assigned value is as long.
 
     The texts between the matches give the positions: their lengths and those of the matches are added up.
     """
@@ -96,12 +99,9 @@ def _found(text: str, pattern: str, kind: str, test: str = "true") -> Column:
 
     pairs = F.zip_with(F.slice(between, 1, F.size(matches)), matches, lambda b, m: F.struct(b.alias("b"), m.alias("m")))
     spans = F.aggregate(pairs, start, step, lambda acc: acc["out"])
-    kept = F.filter(spans, lambda s: F.expr("true") if test == "true" else _passes(s, test))
-    return F.when(F.size(matches) > 0, kept).otherwise(F.array().cast(f"array<{span}>"))
-
-
-def _passes(span: Column, test: str) -> Column:
-    return F.length(F.regexp_extract(span["token"], ASSIGN, 2)) >= ASSIGN_VALUE_CHARS
+    if value_chars:
+        spans = F.filter(spans, lambda s: F.length(F.regexp_extract(s["token"], ASSIGN, 2)) >= value_chars)
+    return F.when(F.size(matches) > 0, spans).otherwise(F.array().cast(f"array<{span}>"))
 
 
 def log_ratio(token: Column, model: Column) -> Column:
@@ -124,7 +124,7 @@ def scan(docs: DataFrame, train_docs: int = TRAIN_DOCS, min_log_ratio: float = M
     model = F.split(F.lit(",".join(map(repr, ratios))), ",").cast("array<double>")
     found = docs.select("doc_id", text_of().alias("text")).select(
         "doc_id",
-        _found("text", ASSIGN, "assign", "value").alias("assign"),
+        _found("text", ASSIGN, "assign", ASSIGN_VALUE_CHARS).alias("assign"),
         _found("text", ACCESS, "access").alias("access"),
         _found("text", HEX, "hex").alias("hex"),
         _found("text", TOKEN % TOKEN_CHARS, "markov").alias("tokens"),
