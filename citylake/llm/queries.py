@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from citylake.llm import exact_dedup, license_scan, mixing, packing, secret_scan, simhash
+from citylake.llm import exact_dedup, license_scan, mixing, packing, quality_rules, secret_scan, simhash
 from citylake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,6 +85,11 @@ ORACLES["op7_source_mix"] = """
 """
 
 
+@query
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))

@@ -1,0 +1,69 @@
+import re
+from collections import Counter
+
+import numpy as np
+
+from citylake.llm import quality_rules as qr
+from tests.llm.fixtures import clashing, docs_of, documents, empty_documents, odd_documents
+
+NAMES = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+
+
+def brute(doc_id, text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    grams = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
+    counts = Counter(grams)
+    repeat = len({i + k for i, g in enumerate(grams) if counts[g] > 1 for k in range(5)})
+    lines = text.split("\n")
+    dup = sum(1 for i, x in enumerate(lines) if re.search(r"[^\x20\x09-\x0D]", x) and x in lines[:i])
+    n = len(words)
+    return doc_id, n, sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), dup, repeat, n < 10 or 100 * repeat > 20 * n
+
+
+def test_base_against_brute_force(spark):
+    for docs in (documents(spark), odd_documents(spark)):
+        got = sorted((tuple(r) for r in qr.judge(docs).select(NAMES).collect()), key=str)
+        assert got == sorted((brute(r["doc_id"], r["text"]) for r in docs.collect()), key=str)
+
+
+def test_rejects_junk_and_keeps_clean_documents(spark):
+    docs = documents(spark, "/root/testdata/sf0.1")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    found = qr.judge(docs).join(labels, "doc_id").filter("not base_failed")
+    share = {r["quality"]: r["kept"] for r in found.groupBy("quality").agg(qr.F.avg(qr.F.col("kept").cast("int")).alias("kept")).collect()}
+    assert share[1] > 0.999 and share[0] < 0.75
+
+
+def test_fit_finds_the_core_despite_contamination(spark):
+    rng = np.random.default_rng(1)
+    core = rng.normal(0, [0.5, 1, 1, 1, 1], (3000, 5)) + [1, 2, 3, 4, 5]
+    core[:, 1] += core[:, 2]
+    bad = rng.normal(0, 0.5, (900, 5)) + [6, -20, 30, 4, 9]
+    rows = [("a", *map(float, x)) for x in np.r_[core, bad]]
+    df = spark.createDataFrame(rows, "g string, " + qr.VECTOR)
+    model = qr.fit(df).first()
+    assert np.allclose(model["mean"], core.mean(0), atol=0.2)
+    cov = np.linalg.inv(np.array(model["precision"]).reshape(5, 5))
+    assert cov[1, 2] / np.sqrt(cov[1, 1] * cov[2, 2]) > 0.4
+    far = df.join(qr.fit(df), "g").select((qr._distance() / qr.F.col("loose")).alias("d")).collect()
+    flags = np.array([r["d"] for r in far]) > qr.chi_square(1 - qr.TAIL, 5)
+    assert flags[3000:].all() and flags[:3000].mean() < 0.003
+
+
+def test_chi_square():
+    assert abs(qr.chi_square(0.95, 5) - 11.07) < 0.05 and abs(qr.chi_square(0.5, 5) - 4.35) < 0.02
+
+
+def test_small_groups_are_pooled_or_left_alone(spark):
+    few = docs_of(spark, [(i, f"plain words here {i} and more of them follow so it is long enough") for i in range(20)])
+    rows = qr.judge(few).collect()
+    assert all(r["kept"] and r["distance"] is None for r in rows)
+    assert all(r["distance"] is not None for r in qr.judge(few, min_group=10).collect())
+    mixed = docs_of(spark, [(i, f"plain words here {i} and more of them follow so it is long enough", None if i % 2 else "en", None if i % 3 else f"s{i}") for i in range(30)])
+    assert qr.judge(mixed, min_group=10).count() == 30
+
+
+def test_empty_and_clashing(spark):
+    assert qr.judge(empty_documents(spark)).count() == 0
+    assert qr.judge(clashing(odd_documents(spark), "g", "mean", "n_words", "bin", "x_word")).count() == 11
