@@ -51,3 +51,6 @@ def whole_rows(docs: DataFrame, *columns: str) -> DataFrame:
     Columns the operator adds cannot clash with those of the caller, whatever they are called.
     """
     return docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), *[docs[c] for c in columns])
+
+
+ship(__name__)

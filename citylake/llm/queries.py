@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from citylake.llm import exact_dedup, license_scan, mixing, packing, quality_rules, secret_scan, simhash
+from citylake.llm import (
+    exact_dedup,
+    language_id,
+    license_scan,
+    mixing,
+    packing,
+    pii,
+    quality_rules,
+    secret_scan,
+    simhash,
+    url_filter,
+)
 from citylake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +29,11 @@ def query(fn):
     return fn
 
 
+@query
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest_columns(pii.spans(table(spark, sf_dir, "documents")))
+
+
 @query
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.annotate(table(spark, sf_dir, "documents"))
@@ -41,6 +57,11 @@ ORACLES["op3_exact_dedup"] = """
 """
 
 
+@query
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
 @query
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest_columns(secret_scan.scan(table(spark, sf_dir, "documents")))
@@ -93,3 +114,9 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_id.identify(docs, language_id.fit(docs))

@@ -8,22 +8,40 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from citylake.llm import exact_dedup, packing
+from citylake.llm import exact_dedup, language_id, mixing, packing, simhash
 from citylake.llm.common import staged, table
 
 
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language the network tells; it learns from the labelled ones that are not held out."""
+    return language_id.accepted(docs, language_id.fit(docs))
+
+
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the document with the largest id stays."""
     return exact_dedup.deduplicate(docs, exact_dedup.DigestIndex.temporary(spark))
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of every group of near copies the document with the smallest id stays."""
+    return simhash.deduplicate(docs)
+
+
+def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Copies of the documents in a global random order, as many as bring each source to its share."""
+    return mixing.mix(docs).select("doc.*")
+
+
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token sequences; one row per piece of a document."""
     return packing.pack(docs)
 
 
 STAGES = [
+    ("language_id", known_language),
     ("exact_dedup", exact_copies),
+    ("simhash", near_copies),
+    ("mixing", mixed_sources),
     ("packing", packed),
 ]
 
