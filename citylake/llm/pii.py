@@ -14,6 +14,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -237,8 +238,6 @@ def _cleaned(texts, spans) -> list:
 
 def sanitise(docs: DataFrame, **thresholds) -> DataFrame:
     """The documents, with all their columns and a cleaned ``text``. Of overlapping spans the first counts."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def cleaned(text: pd.Series, spans: pd.Series) -> pd.Series:
         return pd.Series(_cleaned(text, spans), dtype=object)

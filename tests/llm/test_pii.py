@@ -15,7 +15,7 @@ PATTERNS = {
 def valid(kind, text):
     digits = [int(d) for d in re.findall("[0-9]", text)]
     if kind == "ip":
-        return all(int(p) <= 255 for p in text.split("."))
+        return all(len(p.lstrip("0")) <= 3 and int(p[-3:]) <= 255 for p in text.split("."))
     if kind == "card":
         doubled = [sum(divmod(2 * d, 10)) if k % 2 else d for k, d in enumerate(reversed(digits))]
         return 13 <= len(digits) <= 19 and sum(doubled) % 10 == 0
