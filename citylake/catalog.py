@@ -64,15 +64,6 @@ def query(fn: Query) -> Query:
     return named(fn.__name__)(fn)
 
 
-def _rounded(df: DataFrame, *cols: str, digits: int = 6) -> DataFrame:
-    """Cut the last digits of averages, which depend on the order of addition.
-
-    The nudge moves exact halves, which are common in averages of a few short decimals, off the edge.
-    """
-    nudge = F.lit(10.0 ** -(digits + 3))
-    return df.withColumns({c: F.round(F.col(c) + nudge, digits) for c in cols})
-
-
 def _ntz(df: DataFrame, *cols: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in cols})
 
@@ -134,14 +125,14 @@ def json_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def sensor_flatten_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     sensors = flatten_sensors(b.sensor_documents(spark, sf_dir))
-    return _rounded(sensor_measurements(sensors, flatten_days(b.day_documents(spark, sf_dir))), "lat", "lon")
+    return sensor_measurements(sensors, flatten_days(b.day_documents(spark, sf_dir)))
 
 
 @query
 def bbox_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
     recent = trailing_days(b.table(spark, sf_dir, "events"), "ts", 15, "2024-01-31")
     inside = in_bbox(b.readings_of(recent), -74.259, 40.477, -73.700, 40.917)
-    return _rounded(inside, "lat", "lon")
+    return inside
 
 
 # Series and air quality
@@ -165,18 +156,18 @@ def fx_ffill_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def aq_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(b.silver_aq(spark, sf_dir), "lat", "lon", *schemas.PARAMETERS)
+    return b.silver_aq(spark, sf_dir)
 
 
 @query
 def aq_pivot_by_sensor(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = pivot_parameters(b.readings(spark, sf_dir), ["pm25", "no2", "pm10"], ["sensor_id", "unit"])
-    return _rounded(wide, "pm25", "no2", "pm10")
+    return wide
 
 
 @query
 def aq_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(b.aq_fact(spark, sf_dir), "lat", "lon", *schemas.AQ_METRICS.values())
+    return b.aq_fact(spark, sf_dir)
 
 
 # Facts and dimensions
@@ -184,18 +175,18 @@ def aq_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def trip_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(b.taxi_fact(spark, sf_dir), "avg_trip_distance", "avg_tip_amount")
+    return b.taxi_fact(spark, sf_dir)
 
 
 @query
 def trip_daily_no_tip(spark: SparkSession, sf_dir: str) -> DataFrame:
     trips = conform_trips(b.raw_trips(spark, sf_dir).drop("tip_amount"), b.RUN_TS)
-    return _rounded(fact_taxi_daily(trips), "avg_trip_distance")
+    return fact_taxi_daily(trips)
 
 
 @query
 def trip_daily_by_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(taxi_daily_by_zone(b.taxi_fact(spark, sf_dir)), "avg_trip_distance")
+    return taxi_daily_by_zone(b.taxi_fact(spark, sf_dir))
 
 
 def _order_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -324,28 +315,24 @@ def avg_fare_weekends(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def revenue_eur_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = measure(b.model(spark, sf_dir, with_fx=True), "revenue_eur", ["year", "month"])
-    return _rounded(out, "revenue_eur", digits=2)
+    return measure(b.model(spark, sf_dir, with_fx=True), "revenue_eur", ["year", "month"])
 
 
 @query
 def revenue_eur_by_borough(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = measure(b.model(spark, sf_dir, with_fx=True), "revenue_eur", ["borough"])
-    return _rounded(out, "revenue_eur", digits=2)
+    return measure(b.model(spark, sf_dir, with_fx=True), "revenue_eur", ["borough"])
 
 
 @query
 def revenue_eur_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = measure(b.model(spark, sf_dir, with_fx=True), "revenue_eur", mode="divide")
-    return _rounded(out, "revenue_eur", digits=2)
+    return measure(b.model(spark, sf_dir, with_fx=True), "revenue_eur", mode="divide")
 
 
 @query
 def revenue_eur_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = measure(
+    return measure(
         b.model(spark, sf_dir, with_fx=True), "revenue_eur", ["year", "borough"], where={"day_name": "Monday"}
     )
-    return _rounded(out, "revenue_eur", digits=2)
 
 
 @query
@@ -364,13 +351,12 @@ def forecast_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def forecast_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = insights.forecast_series(b.weather(spark, sf_dir))
-    return _ntz(_rounded(out, "temperature", "feels_like"), "forecast_time")
+    return _ntz(out, "forecast_time")
 
 
 @query
 def default_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = summarize(b.aq_fact(spark, sf_dir), "location_name")
-    return _rounded(out, "lat", "lon", *schemas.AQ_METRICS.values())
+    return summarize(b.aq_fact(spark, sf_dir), "location_name")
 
 
 # Insights
@@ -388,43 +374,40 @@ def busiest_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def aq_hotspots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(insights.aq_hotspots(b.aq_fact(spark, sf_dir), 10), "avg_pm25")
+    return insights.aq_hotspots(b.aq_fact(spark, sf_dir), 10)
 
 
 @query
 def aq_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = insights.aq_trend(b.aq_fact(spark, sf_dir), b.dates(spark))
-    return _rounded(out, "avg_pm25", "avg_no2", "avg_o3")
+    return insights.aq_trend(b.aq_fact(spark, sf_dir), b.dates(spark))
 
 
 @query
 def overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = insights.overlay(b.taxi_fact(spark, sf_dir), b.aq_fact(spark, sf_dir))
-    return _rounded(out, "avg_pm25")
+    return insights.overlay(b.taxi_fact(spark, sf_dir), b.aq_fact(spark, sf_dir))
 
 
 @query
 def overlay_corr(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = insights.overlay_corr(b.taxi_fact(spark, sf_dir), b.aq_fact(spark, sf_dir))
-    return _rounded(out, "corr_trips_pm25")
+    # A correlation's last digits depend on the order of its rows.
+    return out.withColumn("corr_trips_pm25", F.round("corr_trips_pm25", 9))
 
 
 @query
 def revenue_usd_eur(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = insights.revenue_usd_eur(b.model(spark, sf_dir, with_fx=True))
-    return _rounded(_rounded(out, "average_rate"), "revenue_eur", "revenue_eur_divided", digits=2)
+    return insights.revenue_usd_eur(b.model(spark, sf_dir, with_fx=True))
 
 
 @query
 def mobility_gdp(spark: SparkSession, sf_dir: str) -> DataFrame:
     gdp = dim_gdp(b.gdp_rows(spark, sf_dir))
-    return _rounded(insights.mobility_gdp(b.taxi_fact(spark, sf_dir), gdp), "gdp_growth")
+    return insights.mobility_gdp(b.taxi_fact(spark, sf_dir), gdp)
 
 
 @query
 def daily_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = insights.daily_summary(b.trips(spark, sf_dir), b.aq_fact(spark, sf_dir), max_rate=0.15)
-    return _rounded(out, "avg_pm25")
+    return insights.daily_summary(b.trips(spark, sf_dir), b.aq_fact(spark, sf_dir), max_rate=0.15)
 
 
 @named("export_top_n")
@@ -437,5 +420,4 @@ def export_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 def weather_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Forecast rows by condition, from the documents to the default summary."""
     rows = weather_forecast(b.forecast_documents(spark, sf_dir), b.RUN_TS)
-    out = summarize(rows, "condition", ["temperature", "feels_like", "humidity", "pressure", "wind_speed"])
-    return _rounded(out, "temperature", "feels_like", "wind_speed")
+    return summarize(rows, "condition", ["temperature", "feels_like", "humidity", "pressure", "wind_speed"])

@@ -6,6 +6,7 @@ from citylake.functions.scalars import (
     avg_or_zero,
     cast_to,
     duration_minutes,
+    exact_avg,
     exact_sum,
     first_element,
     first_of,
@@ -22,6 +23,7 @@ __all__ = [
     "avg_or_zero",
     "cast_to",
     "duration_minutes",
+    "exact_avg",
     "exact_sum",
     "first_element",
     "first_of",

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citylake.functions import as_date, avg_or_zero, exact_sum
+from citylake.functions import as_date, avg_or_zero, exact_avg, exact_sum
 from citylake.operators.conform import keep_any_not_null
 from citylake.schemas import AQ_METRICS, DEFAULT_SUMMARY, MAJOR_POLLUTANTS, PARAMETERS
 
@@ -20,7 +20,7 @@ def fact_taxi_daily(trips: DataFrame) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("total_trips"),
             exact_sum("total_amount").alias("daily_revenue_usd"),
-            F.avg("trip_distance").alias("avg_trip_distance"),
+            exact_avg("trip_distance").alias("avg_trip_distance"),
             avg_or_zero(trips, "tip_amount", "avg_tip_amount"),
         )
     )
@@ -28,7 +28,7 @@ def fact_taxi_daily(trips: DataFrame) -> DataFrame:
 
 def taxi_daily_by_zone(fact: DataFrame) -> DataFrame:
     """The daily fact without taxi type, under the column names the measures use."""
-    weighted = F.sum(F.col("avg_trip_distance") * F.col("total_trips"))
+    weighted = exact_sum("avg_trip_distance * total_trips")
     return (
         fact.withColumnRenamed("pickup_location_id", "pickup_zone_id")
         .groupBy("pickup_date", "pickup_zone_id")
@@ -51,8 +51,9 @@ def pivot_parameters(
     column, and all columns are conditional averages of one aggregation: one shuffle, after the map side
     has combined.
     """
-    cells = [F.expr(f"avg(value) filter (where parameter = '{v}') as `{v}`") for v in values]
-    return readings.groupBy(*keys).agg(*cells)
+    cells = {f"_cell_{k}": F.when(F.col("parameter") == v, F.col("value")) for k, v in enumerate(values)}
+    averages = [exact_avg(cell).alias(v) for cell, v in zip(cells, values)]
+    return readings.select(*keys, *[c.alias(cell) for cell, c in cells.items()]).groupBy(*keys).agg(*averages)
 
 
 def silver_air_quality(
@@ -69,7 +70,7 @@ def silver_air_quality(
 
 def fact_aq_daily(wide: DataFrame, metrics: Mapping[str, str] = AQ_METRICS) -> DataFrame:
     """Average pollutants per day and place; rows with none of the major ones are left out."""
-    averages = [F.avg(source).alias(name) for source, name in metrics.items()]
+    averages = [exact_avg(source).alias(name) for source, name in metrics.items()]
     fact = wide.groupBy("reading_date", "location_name", "lat", "lon").agg(*averages)
     return keep_any_not_null(fact, MAJOR_POLLUTANTS)
 
@@ -81,4 +82,6 @@ def summarize(df: DataFrame, by: Sequence[str] | str, cols: Sequence[str] | None
     unknown = [c for c in chosen if c not in DEFAULT_SUMMARY]
     if unknown:
         raise ValueError(f"columns without a default summary: {unknown}")
-    return df.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in chosen])
+    types = dict(df.dtypes)
+    sums = [(exact_sum(c) if types[c] == "double" else F.sum(c)).alias(c) for c in chosen]
+    return df.groupBy(*keys).agg(*sums)

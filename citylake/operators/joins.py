@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from citylake.functions import exact_sum
+from citylake.functions import exact_avg, exact_sum
 
 
 def with_dim(
@@ -34,7 +34,7 @@ def overlay_daily(taxi: DataFrame, aq: DataFrame) -> DataFrame:
     trips = taxi.groupBy(F.col("pickup_date").alias("day")).agg(
         F.sum("total_trips").alias("total_trips"), exact_sum("daily_revenue_usd").alias("revenue_usd")
     )
-    air = aq.groupBy(F.col("reading_date").alias("day")).agg(F.avg("avg_pm25").alias("avg_pm25"))
+    air = aq.groupBy(F.col("reading_date").alias("day")).agg(exact_avg("avg_pm25").alias("avg_pm25"))
     return trips.join(air, "day", "full")
 
 

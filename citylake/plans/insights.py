@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citylake.functions import rate
+from citylake.functions import exact_avg, rate
 from citylake.operators import joins
 from citylake.operators.facts import summarize
 from citylake.operators.ordering import ordered, top_k
@@ -37,7 +37,7 @@ def average_fare(model: CityModel, by: Sequence[str] = ("year", "month")) -> Dat
 def aq_hotspots(aq: DataFrame, k: int) -> DataFrame:
     """The ``k`` places with the highest mean PM2.5."""
     places = aq.groupBy("location_name").agg(
-        F.avg("avg_pm25").alias("avg_pm25"), F.count("avg_pm25").alias("days")
+        exact_avg("avg_pm25").alias("avg_pm25"), F.count("avg_pm25").alias("days")
     )
     return top_k(places, k, "avg_pm25", "location_name")
 
@@ -47,7 +47,7 @@ def aq_trend(aq: DataFrame, dates: DataFrame, by: Sequence[str] = ("year", "mont
     attrs = [n for n in by if n in dates.columns]
     rows = joins.with_dim(aq, dates, "reading_date", "date_key", attrs)
     return rows.groupBy(*by).agg(
-        F.avg("avg_pm25").alias("avg_pm25"), F.avg("avg_no2").alias("avg_no2"), F.avg("avg_o3").alias("avg_o3")
+        exact_avg("avg_pm25").alias("avg_pm25"), exact_avg("avg_no2").alias("avg_no2"), exact_avg("avg_o3").alias("avg_o3")
     )
 
 
@@ -90,7 +90,7 @@ def daily_summary(trips: DataFrame, aq: DataFrame, max_rate: float = 0.01) -> Da
             "quality": F.when(share > max_rate, F.lit("Failure")).otherwise(F.lit("Success")),
         }
     )
-    air = aq.groupBy(F.col("reading_date").alias("day")).agg(F.avg("avg_pm25").alias("avg_pm25"))
+    air = aq.groupBy(F.col("reading_date").alias("day")).agg(exact_avg("avg_pm25").alias("avg_pm25"))
     return day.join(air, "day", "left")
 
 

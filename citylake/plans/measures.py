@@ -22,7 +22,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from citylake.functions import exact_sum, rate
+from citylake.functions import exact_avg, exact_sum, rate
 from citylake.operators.joins import with_dim
 
 DATE_ATTRS = ("date_key", "year", "month", "month_name", "day_name", "is_weekend")
@@ -64,7 +64,8 @@ class CityModel:
 
         When only one of the fact's two foreign keys is in use, the fact is first reduced to that key: the
         join then sees one row per day or zone, and a busy zone is combined on the map side. With both
-        keys in use that would shuffle the fact at its own grain and gain nothing.
+        keys in use, the days are joined first (the calendar is small), and what is shuffled into the zone
+        join is one row per zone and combination of the days' attributes.
         """
         where = where or {}
         used = [*by, *[n for n in where if n not in by]]
@@ -83,6 +84,11 @@ class CityModel:
             rows = _totals(rows, keys)
         if date_attrs:
             rows = with_dim(rows, self.dates, "pickup_date", "date_key", date_attrs)
+        if date_attrs and zone_attrs:
+            rows = _filtered(rows, where, date_attrs)
+            reached = [n for n in by if n in date_attrs]
+            rows = _totals(rows, list(dict.fromkeys([*own, *reached, "pickup_zone_id"])))
+            date_attrs = []
         if zone_attrs:
             rows = with_dim(rows, self.zones, "pickup_zone_id", "location_id", zone_attrs)
         return _totals(_filtered(rows, where, [*date_attrs, *zone_attrs]), list(by))
@@ -95,7 +101,7 @@ class CityModel:
         used = list(dict.fromkeys([*by, *[n for n in where if n in DATE_ATTRS]]))
         rows = with_dim(self.fx, self.dates, "fx_date", "date_key", used) if used else self.fx
         return _filtered(rows, where, used).groupBy(*by).agg(
-            F.avg("exchange_rate_to_eur").alias("average_rate")
+            exact_avg("exchange_rate_to_eur").alias("average_rate")
         )
 
     def avg_fare(self, by: Sequence[str] = (), where: Filters | None = None) -> DataFrame:

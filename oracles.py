@@ -2,11 +2,20 @@
 
 from __future__ import annotations
 
+import re
+
 from citylake.schemas import AQ_METRICS, PARAMETERS
 
 
-def _exact(expr: str) -> str:
-    return f"cast(sum(cast({expr} as decimal(18,6))) as double)"
+def _exact(expr: str, where: str = "") -> str:
+    """Sum of doubles as 128-bit integers: multiplied by a power of two, which loses nothing, they are whole."""
+    one = "1152921504606846976"
+    total = f"sum(cast(({expr}) * {one}.0::double as hugeint)){where}"
+    return f"(cast({total} // {one}::hugeint as double) + cast({total} % {one}::hugeint as double) / {one}.0::double)"
+
+
+def _mean(expr: str, where: str = "") -> str:
+    return f"({_exact(expr, where)} / count({expr}){where})"
 
 
 RAW = """
@@ -40,7 +49,7 @@ FACT = (
 fact as (
   select cast(pickup_datetime as date) as pickup_date, pickup_location_id, taxi_type,
          count(*) as total_trips, {_exact('total_amount')} as daily_revenue_usd,
-         avg(trip_distance) as avg_trip_distance, avg(tip_amount) as avg_tip_amount
+         {_mean('trip_distance')} as avg_trip_distance, {_mean('tip_amount')} as avg_tip_amount
   from trips group by all)"""
 )
 
@@ -67,6 +76,23 @@ star as (
   from fact left join dates on pickup_date = date_key left join zones on pickup_location_id = location_id)"""
 )
 
+_REVENUE = _exact("daily_revenue_usd")
+_TRIPS = "cast(sum(total_trips) as bigint)"
+_FARE = f"{_REVENUE} / nullif({_TRIPS}, 0)"
+
+
+def _star(*attributes: str, where: str = "") -> str:
+    """The daily fact by attributes of days and zones, summed to days' attributes and zones before the zones join."""
+    of_zone = [a for a in attributes if a in ("borough", "zone_name")]
+    keys = [a for a in attributes if a not in of_zone] + (["pickup_location_id"] if of_zone else ["pickup_date"])
+    days = "left join dates on pickup_date = date_key" if where or len(keys) > 1 else ""
+    return MODEL + f""",
+reduced as (
+  select {', '.join(keys)}, {_TRIPS} as total_trips, {_REVENUE} as daily_revenue_usd
+  from fact {days} {where} group by {', '.join(keys)}),
+star as (select * from reduced {'left join zones on pickup_location_id = location_id' if of_zone else ''})"""
+
+
 FX_ROWS = f"""
 fx_rows as (
   select cast(o_orderdate as date) as fx_date, o_orderpriority as CURRENCY,
@@ -91,13 +117,13 @@ readings as (
          'loc-' || user_id as location_name,
          case event_type when 'click' then 'pm25' when 'error' then 'no2' when 'purchase' then 'o3'
            when 'signup' then 'temperature' else 'co' end as parameter,
-         round(40.4::double + (user_id % 100) * 0.01::double + 1e-9, 6) as lat,
-         round(-74.3::double + (user_id % 80) * 0.01::double + 1e-9, 6) as lon,
+         40.4::double + (user_id % 100) * 0.01::double as lat,
+         -74.3::double + (user_id % 80) * 0.01::double as lon,
          value, 'ug/m3' as unit, strftime(ts - interval 25 year, '%Y-%m-%dT%H:%M:%SZ') as date_utc,
          cast(ts - interval 25 year as date) as reading_date
   from events)"""
 
-_CELLS = ", ".join(f"avg(value) filter (parameter = '{p}') as {p}" for p in PARAMETERS)
+_CELLS = ", ".join(_mean("value", f" filter (parameter = '{p}')") + f" as {p}" for p in PARAMETERS)
 WIDE = READINGS + f""",
 wide as (select location_name, reading_date, lat, lon, {_CELLS} from readings group by all)"""
 
@@ -110,10 +136,11 @@ aq as (
 GDP = f"""
 gdp as (
   select n_name as country_name, 'N' || lpad(cast(n_nationkey as varchar), 2, '0') as countryiso3code,
-         'GDP (current US$)' as indicator_name, cast(year(o_orderdate) as integer) as gdp_year,
-         {_exact('o_totalprice')} as gdp_value, cast(null as varchar) as obs_status
-  from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey
-  group by n_name, n_nationkey, year(o_orderdate))"""
+         'GDP (current US$)' as indicator_name, cast(y as integer) as gdp_year,
+         {_exact('spent')} as gdp_value, cast(null as varchar) as obs_status
+  from (select o_custkey, year(o_orderdate) as y, {_exact('o_totalprice')} as spent from orders group by all)
+  join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey
+  group by n_name, n_nationkey, y)"""
 
 WEATHER = """
 weather as (
@@ -141,16 +168,14 @@ wanted as (
         from found))"""
 
 
-def _with(*parts: str) -> str:
-    return "with " + ",".join(parts)
-
-
-def _rounds(cols: list[str] | tuple[str, ...], digits: int = 6) -> str:
-    return ", ".join(f"round({c} + 1e-{digits + 3}, {digits}) as {c}" for c in cols)
+def _expanded(sql: str) -> str:
+    """``xsum`` and ``xavg`` of a column, with an optional filter, written out as exact sums."""
+    call = re.compile(r"\bx(sum|avg)\(([\w.]+)\)( filter \([^()]*\))?")
+    return call.sub(lambda m: (_exact if m[1] == "sum" else _mean)(m[2], m[3] or ""), sql)
 
 
-_REVENUE = _exact("daily_revenue_usd")
-_FARE = f"{_REVENUE} / nullif(cast(sum(total_trips) as bigint), 0)"
+def _with(*parts: str) -> str:
+    return "with " + ",".join(parts)
 
 
 def _latest(cols: tuple[str, ...], source: str, by: str = "") -> str:
@@ -170,7 +195,7 @@ def _latest(cols: tuple[str, ...], source: str, by: str = "") -> str:
 def _rates(by: str = "", where: str = "") -> str:
     lead, group = (f"{by}, ", f"group by {by}") if by else ("", "")
     return f"""rates as (
-      select {lead}avg(exchange_rate_to_eur) as average_rate
+      select {lead}{_mean('exchange_rate_to_eur')} as average_rate
       from fx left join dates on fx_date = date_key {where} {group})"""
 
 
@@ -212,23 +237,24 @@ ORACLES: dict[str, str] = {
              last_value(case when event_type <> 'purchase' then value end ignore nulls) over (
                partition by user_id order by ts, event_id rows between unbounded preceding and current row) as value
       from events""",
-    "aq_pivot": _with(WIDE) + f" select location_name, reading_date, lat, lon, {_rounds(PARAMETERS)} from wide",
+    "aq_pivot": _with(WIDE) + f" select location_name, reading_date, lat, lon, {', '.join(PARAMETERS)} from wide",
     "aq_pivot_by_sensor": _with(READINGS)
-    + """ select sensor_id, unit, round(avg(value) filter (parameter = 'pm25') + 1e-9, 6) as pm25,
-      round(avg(value) filter (parameter = 'no2') + 1e-9, 6) as no2,
-      round(avg(value) filter (parameter = 'pm10') + 1e-9, 6) as pm10 from readings group by all""",
+    + """ select sensor_id, unit, xavg(value) filter (parameter = 'pm25') as pm25,
+      xavg(value) filter (parameter = 'no2') as no2,
+      xavg(value) filter (parameter = 'pm10') as pm10 from readings group by all""",
     "aq_daily": _with(AQ)
-    + f" select reading_date, location_name, lat, lon, {_rounds(list(AQ_METRICS.values()))} from aq",
+    + f" select reading_date, location_name, lat, lon, {', '.join(AQ_METRICS.values())} from aq",
     "trip_daily": _with(FACT)
     + """ select pickup_date, pickup_location_id, taxi_type, total_trips, daily_revenue_usd,
-      round(avg_trip_distance + 1e-9, 6) as avg_trip_distance, round(avg_tip_amount + 1e-9, 6) as avg_tip_amount from fact""",
+      avg_trip_distance, avg_tip_amount from fact""",
     "trip_daily_no_tip": _with(FACT)
     + """ select pickup_date, pickup_location_id, taxi_type, total_trips, daily_revenue_usd,
-      round(avg_trip_distance + 1e-9, 6) as avg_trip_distance, 0.0::double as avg_tip_amount from fact""",
-    "trip_daily_by_zone": _with(TRIPS)
-    + f""" select cast(pickup_datetime as date) as pickup_date, pickup_location_id as pickup_zone_id,
-      count(*) as total_trips, {_exact('total_amount')} as daily_revenue_usd,
-      round(avg(trip_distance) + 1e-9, 6) as avg_trip_distance from trips group by all""",
+      avg_trip_distance, 0.0::double as avg_tip_amount from fact""",
+    "trip_daily_by_zone": _with(FACT)
+    + f""" select pickup_date, pickup_location_id as pickup_zone_id, cast(sum(total_trips) as bigint) as total_trips,
+      {_exact('daily_revenue_usd')} as daily_revenue_usd,
+      {_exact('avg_trip_distance * total_trips')} / cast(sum(total_trips) as bigint) as avg_trip_distance
+      from fact group by pickup_date, pickup_location_id""",
     "dim_date": """
       select cast(d as date) as date_key, cast(year(d) as integer) as year, cast(month(d) as integer) as month,
              monthname(d) as month_name, dayname(d) as day_name,
@@ -276,26 +302,25 @@ ORACLES: dict[str, str] = {
       concat_ws(',', case when passenger_count <= 0 then 'no passengers' end,
                      case when trip_distance <= 0 then 'no distance' end,
                      case when tip_amount <= 0 then 'no tip' end) as reasons from raw""",
-    "avg_fare_by_month": _with(STAR) + f" select year, month, {_FARE} as avg_fare from star group by year, month",
-    "avg_fare_by_borough": _with(STAR) + f" select borough, {_FARE} as avg_fare from star group by borough",
-    "avg_fare_by_zone_month": _with(STAR)
+    "avg_fare_by_month": _with(_star("year", "month")) + f" select year, month, {_FARE} as avg_fare from star group by year, month",
+    "avg_fare_by_borough": _with(_star("borough")) + f" select borough, {_FARE} as avg_fare from star group by borough",
+    "avg_fare_by_zone_month": _with(_star("zone_name", "year", "month"))
     + f" select zone_name, year, month, {_FARE} as avg_fare from star group by zone_name, year, month",
-    "avg_fare_weekends": _with(STAR)
-    + f""" select borough, {_FARE} as avg_fare from star
-      where is_weekend = 1 and year in (1996, 1997) group by borough""",
-    "revenue_eur_by_month": _with(STAR, FX, _rates("year, month"))
-    + f""" select s.year, s.month, round(revenue * average_rate + 1e-5, 2) as revenue_eur
+    "avg_fare_weekends": _with(_star("borough", where="where is_weekend = 1 and year in (1996, 1997)"))
+    + f""" select borough, {_FARE} as avg_fare from star group by borough""",
+    "revenue_eur_by_month": _with(_star("year", "month"), FX, _rates("year, month"))
+    + f""" select s.year, s.month, revenue * average_rate as revenue_eur
       from (select year, month, {_REVENUE} as revenue from star group by year, month) s
       left join rates r on s.year is not distinct from r.year and s.month is not distinct from r.month""",
-    "revenue_eur_by_borough": _with(STAR, FX, _rates())
-    + f""" select borough, round(revenue * average_rate + 1e-5, 2) as revenue_eur
+    "revenue_eur_by_borough": _with(_star("borough"), FX, _rates())
+    + f""" select borough, revenue * average_rate as revenue_eur
       from (select borough, {_REVENUE} as revenue from star group by borough), rates""",
     "revenue_eur_total": _with(STAR, FX, _rates())
-    + f""" select round(revenue / average_rate + 1e-5, 2) as revenue_eur
+    + f""" select revenue / average_rate as revenue_eur
       from (select {_REVENUE} as revenue from star), rates""",
-    "revenue_eur_filtered": _with(STAR, FX, _rates("year", "where day_name = 'Monday'"))
-    + f""" select s.year, borough, round(revenue * average_rate + 1e-5, 2) as revenue_eur
-      from (select year, borough, {_REVENUE} as revenue from star where day_name = 'Monday' group by year, borough) s
+    "revenue_eur_filtered": _with(_star("year", "borough", where="where day_name = 'Monday'"), FX, _rates("year", "where day_name = 'Monday'"))
+    + f""" select s.year, borough, revenue * average_rate as revenue_eur
+      from (select year, borough, {_REVENUE} as revenue from star group by year, borough) s
       left join rates r on s.year is not distinct from r.year""",
     "latest_values": _with(WEATHER)
     + """, steps as (
@@ -304,13 +329,13 @@ ORACLES: dict[str, str] = {
     + _latest(("temperature", "humidity", "condition"), "steps", "day"),
     "forecast_cards": _with(WEATHER) + " " + _latest(("temperature", "humidity", "condition"), "weather"),
     "forecast_series": _with(WEATHER)
-    + """ select forecast_time, round(sum(temperature) + 1e-9, 6) as temperature, round(sum(feels_like) + 1e-9, 6) as feels_like,
+    + """ select forecast_time, xsum(temperature) as temperature, xsum(feels_like) as feels_like,
       cast(sum(pressure) as bigint) as pressure from weather group by forecast_time""",
     "default_summary": _with(AQ)
     + " select location_name, "
-    + ", ".join(f"round(sum({c}) + 1e-9, 6) as {c}" for c in ["lat", "lon", *AQ_METRICS.values()])
+    + ", ".join(f"xsum({c}) as {c}" for c in ["lat", "lon", *AQ_METRICS.values()])
     + " from aq group by location_name",
-    "trip_volume": _with(STAR)
+    "trip_volume": _with(_star("year", "month"))
     + f""" select year, month, cast(sum(total_trips) as bigint) as total_trips, {_REVENUE} as daily_revenue_usd
       from star group by year, month""",
     "busiest_zones": _with(STAR)
@@ -318,33 +343,33 @@ ORACLES: dict[str, str] = {
       cast(sum(total_trips) as bigint) as total_trips
       from star group by all order by total_trips desc, pickup_zone_id limit 10""",
     "aq_hotspots": _with(AQ)
-    + """ select location_name, round(avg(avg_pm25) + 1e-9, 6) as avg_pm25, count(avg_pm25) as days from aq
-      group by location_name having avg(avg_pm25) is not null
-      order by avg(aq.avg_pm25) desc, location_name limit 10""",
+    + """ select location_name, xavg(avg_pm25) as avg_pm25, count(avg_pm25) as days from aq
+      group by location_name having xavg(avg_pm25) is not null
+      order by xavg(aq.avg_pm25) desc, location_name limit 10""",
     "aq_trend": _with(AQ, DATES)
-    + """ select year, month, location_name, round(avg(avg_pm25) + 1e-9, 6) as avg_pm25, round(avg(avg_no2) + 1e-9, 6) as avg_no2,
-      round(avg(avg_o3) + 1e-9, 6) as avg_o3
+    + """ select year, month, location_name, xavg(avg_pm25) as avg_pm25, xavg(avg_no2) as avg_no2,
+      xavg(avg_o3) as avg_o3
       from aq left join dates on reading_date = date_key group by year, month, location_name""",
     "overlay": _with(FACT, AQ)
-    + f""" select coalesce(pickup_date, reading_date) as day, total_trips, revenue_usd, round(avg_pm25 + 1e-9, 6) as avg_pm25
+    + f""" select coalesce(pickup_date, reading_date) as day, total_trips, revenue_usd, avg_pm25
       from (select pickup_date, cast(sum(total_trips) as bigint) as total_trips, {_REVENUE} as revenue_usd
             from fact group by pickup_date) t
-      full join (select reading_date, avg(avg_pm25) as avg_pm25 from aq group by reading_date) a
+      full join (select reading_date, xavg(avg_pm25) as avg_pm25 from aq group by reading_date) a
         on pickup_date = reading_date""",
     "overlay_corr": _with(FACT, AQ)
-    + """ select count(*) as days, round(corr(total_trips, avg_pm25) + 1e-9, 6) as corr_trips_pm25
+    + """ select count(*) as days, round(corr(total_trips, avg_pm25), 9) as corr_trips_pm25
       from (select pickup_date, sum(total_trips) as total_trips from fact group by pickup_date) t
-      join (select reading_date, avg(avg_pm25) as avg_pm25 from aq group by reading_date) a
+      join (select reading_date, xavg(avg_pm25) as avg_pm25 from aq group by reading_date) a
         on pickup_date = reading_date where avg_pm25 is not null""",
-    "revenue_usd_eur": _with(STAR, FX, _rates("year, month"))
-    + f""" select s.year, s.month, revenue as revenue_usd, round(average_rate + 1e-9, 6) as average_rate,
-        round(revenue * average_rate + 1e-5, 2) as revenue_eur, round(revenue / average_rate + 1e-5, 2) as revenue_eur_divided
+    "revenue_usd_eur": _with(_star("year", "month"), FX, _rates("year, month"))
+    + f""" select s.year, s.month, revenue as revenue_usd, average_rate as average_rate,
+        revenue * average_rate as revenue_eur, revenue / average_rate as revenue_eur_divided
       from (select year, month, {_REVENUE} as revenue from star group by year, month) s
       left join rates r on s.year is not distinct from r.year and s.month is not distinct from r.month""",
     "mobility_gdp": _with(FACT, GDP)
     + """, growing as (
         select *, lag(gdp_value) over (partition by country_name order by gdp_year) as before from gdp)
-      select t.year, country_name, total_trips, gdp_value, round((gdp_value - before) / before + 1e-9, 6) as gdp_growth
+      select t.year, country_name, total_trips, gdp_value, (gdp_value - before) / before as gdp_growth
       from (select cast(year(pickup_date) as integer) as year, cast(sum(total_trips) as bigint) as total_trips
             from fact group by 1) t
       left join growing on t.year = gdp_year""",
@@ -353,16 +378,18 @@ ORACLES: dict[str, str] = {
         select cast(pickup_datetime as date) as day, count(*) as total_trips,
                cast(count_if(passenger_count <= 0 or trip_distance <= 0) as bigint) as bad_trips
         from trips group by 1),
-      air as (select reading_date, avg(avg_pm25) as avg_pm25 from aq group by reading_date)
+      air as (select reading_date, xavg(avg_pm25) as avg_pm25 from aq group by reading_date)
       select day, total_trips, bad_trips, cast(bad_trips as double) / total_trips as failure_rate,
              case when cast(bad_trips as double) / total_trips > 0.15 then 'Failure' else 'Success' end as quality,
-             round(avg_pm25 + 1e-9, 6) as avg_pm25
+             avg_pm25
       from days left join air on day = reading_date""",
     "export_top_n": _with(WEATHER)
     + """ select forecast_time, temperature, feels_like, humidity, pressure, condition, wind_speed from weather
       order by forecast_time, temperature, condition nulls first, humidity limit 5""",
     "weather_documents": _with(WEATHER)
-    + """ select condition, round(sum(temperature) + 1e-9, 6) as temperature, round(sum(feels_like) + 1e-9, 6) as feels_like,
+    + """ select condition, xsum(temperature) as temperature, xsum(feels_like) as feels_like,
       cast(sum(humidity) as bigint) as humidity, cast(sum(pressure) as bigint) as pressure,
-      round(sum(wind_speed) + 1e-9, 6) as wind_speed from weather group by condition""",
+      xsum(wind_speed) as wind_speed from weather group by condition""",
 }
+
+ORACLES = {name: _expanded(sql) for name, sql in ORACLES.items()}

@@ -1,9 +1,12 @@
 import datetime as dt
+import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from citylake import schemas
+from citylake.functions import exact_avg, exact_sum
 from citylake.operators.facts import (
     fact_aq_daily,
     fact_taxi_daily,
@@ -44,7 +47,7 @@ def test_daily_fact_groups_nulls_and_ignores_them_in_averages(spark):
     trips = spark.createDataFrame(rows, TRIPS)
     fact = fact_taxi_daily(trips)
     assert values(fact) == [
-        (DAY, 1, "green", 2, 10.3, 2.0, 0.0),
+        (DAY, 1, "green", 2, 10.1 + 0.2, 2.0, 0.0),
         (DAY, 1, "yellow", 1, 5.0, 1.0, 0.0),
         (DAY, None, "green", 2, 14.0, 3.0, 0.0),
     ]
@@ -172,3 +175,43 @@ def test_order_and_top_k(spark):
     assert [r["k"] for r in ordered(df, "k", desc=True).collect()] == ["d", "c", "b", "a"]
     plan = plan_of(top_k(df, 2, "n", "k"))
     assert "TakeOrderedAndProject" in plan
+
+
+SPECIAL = [
+    ([1.5, float("nan")], "nan"),
+    ([1.5, float("inf")], float("inf")),
+    ([float("inf"), float("-inf")], "nan"),
+    ([5e18, 5e18], 1e19),
+    ([1.7e308, -1.0], 1.7e308),
+    ([-3.0, 0.01], -2.99),
+    ([1e12, -1e12, 2e-7], 2e-7),
+    ([0.1] * 10, 1.0),
+    ([None, None], None),
+    ([None, 2.5], 2.5),
+]
+
+
+@pytest.mark.parametrize("amounts, want", SPECIAL)
+def test_exact_sum_of_special_amounts(spark, amounts, want):
+    df = spark.createDataFrame([(a,) for a in amounts], "a double")
+    got = df.agg(exact_sum("a")).first()[0]
+    assert (math.isnan(got) if want == "nan" else got == want)
+    average = df.agg(exact_avg("a")).first()[0]
+    assert average is None if want is None else math.isnan(average) or average == got / sum(a is not None for a in amounts)
+
+
+def test_exact_sum_keeps_small_amounts_and_decimals(spark):
+    tiny = spark.range(1_000_000).select(F.lit(2e-7).alias("a"))
+    assert tiny.agg(exact_sum("a")).first()[0] == pytest.approx(0.2, rel=1e-12)
+    decimal = spark.sql("select cast('1.234567891' as decimal(20,9)) as a union all select cast('1e-9' as decimal(20,9))")
+    assert decimal.agg(exact_sum("a")).first()[0] == 1.234567892
+
+
+def test_exact_sum_is_the_rounded_true_sum_in_any_order(spark):
+    rng = random.Random(4)
+    values = [round(rng.uniform(-9e4, 9e4), rng.choice([2, 4, 6])) for _ in range(3000)]
+    want = math.fsum(values)
+    for n in (1, 3, 8):
+        rng.shuffle(values)
+        df = spark.createDataFrame([(v,) for v in values], "a double").repartition(n)
+        assert df.agg(exact_sum("a")).first()[0] == want

@@ -195,3 +195,19 @@ def test_calendar_defaults(spark):
     assert tuple(row) == (2161, 618, dt.date(2020, 1, 1), dt.date(2025, 11, 30))
     first = days.filter("date_key = '2020-01-01'").first()
     assert tuple(first) == (dt.date(2020, 1, 1), 2020, 1, "January", "Wednesday", 0)
+
+
+def test_two_key_measures_shuffle_reduced_rows_into_the_zone_join(spark):
+    """The zone join sees sums by zone and the days' attributes, not the fact at its own grain."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        from citylake import bindings
+
+        df = measure(bindings.model(spark, "/root/testdata/sf0.001"), "avg_fare", ["borough", "year"])
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    zone_join = next(i for i, line in enumerate(plan.splitlines()) if "Join" in line and ("pickup_zone_id" in line or "s_suppkey" in line))
+    below = plan.splitlines()[zone_join + 1 :]
+    first = next(line for line in below if "Aggregate" in line or "Join" in line)
+    assert "Aggregate" in first and "year" in first and "pickup_date" not in first
