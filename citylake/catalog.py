@@ -32,10 +32,10 @@ from citylake.operators.series import forward_fill, forward_fill_bucketed
 from citylake.plans import insights
 from citylake.plans.dimensions import dim_date, dim_gdp, dim_zone, weather_forecast
 from citylake.plans.measures import latest_value, measure
-from citylake.session import durable_checkpoint, path_bytes, prepare, size_for, staging_path
+from citylake.session import scanned_bytes, session_for, size_for, staging_path
 from citylake.sources.calendar import calendar_over
 from citylake.sources.files import flatten_days, flatten_sensors, rows_of_meta_array
-from citylake.sources.manifest import load_summary, manifest_over, pending_slots
+from citylake.sources.manifest import flagged_slots, manifest_over, pending_of, status_counts
 from citylake.sources.sinks import export_top_n, read_evolving
 from citylake.streaming import ingest_mixed_stream
 
@@ -45,13 +45,14 @@ CATALOG: dict[str, Query] = {}
 
 
 def named(name: str) -> Callable[[Query], Query]:
-    """Register a query; it runs with the session settings and shuffle size its input needs."""
+    """Register a query; it runs in a session of its own, sized for what it reads."""
 
     def register(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            prepare(spark)
-            size_for(spark, path_bytes(spark, *[b.table_path(sf_dir, name) for name in b.TABLES]))
-            return fn(spark, sf_dir)
+            own = session_for(spark)
+            df = fn(own, sf_dir)
+            size_for(own, scanned_bytes(df))  # before the query is planned
+            return df
 
         CATALOG[name] = run
         return run
@@ -221,24 +222,20 @@ def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest_over(b.slots(spark, sf_dir), "taxi_type", "first_day")
 
 
-def _staged_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The slots, a row per type and month, fixed on shared storage: several joins read them, one scan makes them."""
-    return durable_checkpoint(b.slots(spark, sf_dir))
+def _wanted_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slots that should exist, with what became of each; the slots are one row per type and month."""
+    slots = b.slots(spark, sf_dir).withColumn("failed", F.expr("available AND NOT landed AND taxi_type = 'A'"))
+    return flagged_slots(manifest_over(slots, "taxi_type", "first_day"), slots)
 
 
 @named("pending_slots")
 def pending(spark: SparkSession, sf_dir: str) -> DataFrame:
-    slots = _staged_slots(spark, sf_dir)
-    wanted = manifest_over(slots, "taxi_type", "first_day")
-    return pending_slots(wanted, slots.filter("landed"), slots.filter("available"))
+    return pending_of(_wanted_slots(spark, sf_dir))
 
 
 @named("load_summary")
 def load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    slots = _staged_slots(spark, sf_dir)
-    wanted = manifest_over(slots, "taxi_type", "first_day")
-    failed = slots.filter("available AND NOT landed AND taxi_type = 'A'")
-    return load_summary(wanted, slots.filter("landed"), slots.filter("available"), failed)
+    return status_counts(_wanted_slots(spark, sf_dir))
 
 
 @query

@@ -15,6 +15,7 @@ from citylake.functions.scalars import (
     pad2,
     percent_text,
     rate,
+    slot_path_text,
 )
 
 __all__ = [
@@ -32,4 +33,5 @@ __all__ = [
     "pad2",
     "percent_text",
     "rate",
+    "slot_path_text",
 ]

@@ -108,3 +108,8 @@ def pad2(c: Column | str) -> Column:
 def percent_text(c: Column | str, digits: int = 4) -> Column:
     """Fraction as percent text, e.g. 0.0123 -> '1.2300%'."""
     return F.concat(F.format_number(_col(c) * F.lit(100), digits), F.lit("%"))
+
+
+def slot_path_text(taxi_type: Column | str, year: Column | str, month: Column | str) -> Column:
+    """Landing folder of a slot as text."""
+    return F.format_string("%s/%04d/%02d", _col(taxi_type), cast_to(year, "int"), cast_to(month, "int"))

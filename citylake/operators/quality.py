@@ -82,19 +82,28 @@ def report_text(report: DataFrame) -> DataFrame:
     return report.select("rule", "total", "failed", percent_text("failure_rate").alias("failure_percent"))
 
 
-def gate(report: DataFrame, max_rate: float = 0.01) -> None:
-    """Raise when too many trips are bad or any rate is missing. Acts: reads the report's few rows.
+def gate_checks(report: DataFrame, max_rate: float = 0.01) -> DataFrame:
+    """What the gate looks at: ``rule, value, bound, halted``.
 
-    A share of exactly ``max_rate`` passes. An empty trip table has no share and does not pass.
+    A share of exactly ``max_rate`` passes. An empty trip table has no share and halts. Any missing rate halts.
     """
-    rows = {r["rule"]: r for r in report.collect()}
+    trips = report.filter("rule = 'bad_trips'").select(
+        "rule", F.col("failure_rate").alias("value"), F.lit(float(max_rate)).alias("bound")
+    )
+    fx = report.filter("rule = 'fx_nulls'").select("rule", F.col("failed").cast("double").alias("value"), F.lit(0.0).alias("bound"))
+    return trips.unionByName(fx).withColumn("halted", F.coalesce(F.col("value") > F.col("bound"), F.lit(True)))
+
+
+def gate(report: DataFrame, max_rate: float = 0.01) -> None:
+    """Raise when too many trips are bad or any rate is missing. Acts: reads the two rows of ``gate_checks``."""
+    rows = {r["rule"]: r for r in gate_checks(report, max_rate).collect()}
     trips, fx = rows["bad_trips"], rows["fx_nulls"]
-    if trips["failure_rate"] is None:
+    if trips["value"] is None:
         raise QualityGateError("no trips to judge")
-    if trips["failure_rate"] > max_rate:
-        raise QualityGateError(f"bad trips: {trips['failure_rate']:.2%} is over {max_rate:.2%}")
-    if fx["failed"] > 0:
-        raise QualityGateError(f"{fx['failed']} exchange rates are missing")
+    if trips["halted"]:
+        raise QualityGateError(f"bad trips: {trips['value']:.2%} is over {max_rate:.2%}")
+    if fx["halted"]:
+        raise QualityGateError(f"{fx['value']:.0f} exchange rates are missing")
 
 
 def run_suite(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:

@@ -22,7 +22,7 @@ from citylake.operators.joins import sensor_measurements
 from citylake.operators.quality import gate, quality_report, run_suite, suite_status, weather_rules
 from citylake.operators.series import forward_fill_bucketed
 from citylake.plans.dimensions import dim_date, dim_fx, dim_gdp, dim_zone, weather_forecast
-from citylake.session import path_bytes, size_for
+from citylake.session import path_bytes, session_for, size_for
 from citylake.sources import files
 from citylake.sources.calendar import calendar
 from citylake.sources.sinks import (
@@ -30,10 +30,9 @@ from citylake.sources.sinks import (
     overwrite_enforced,
     overwrite_table,
     promote,
-    read_evolving,
     write_report,
 )
-from citylake.streaming import ingest_drifting_stream
+from citylake.streaming import ingest_drifting_stream, read_drifting
 
 
 @dataclass(frozen=True)
@@ -66,7 +65,7 @@ def run_bronze(spark: SparkSession, at: Landing, run_ts: dt.datetime | None = No
 
 def run_silver(spark: SparkSession, at: Landing, run_ts: dt.datetime | None = None) -> None:
     """Conform the raw tables."""
-    overwrite_table(conform_trips(read_evolving(spark, at.bronze_trips), run_ts), "silver_nyc_taxi")
+    overwrite_table(conform_trips(read_drifting(spark, at.bronze_trips), run_ts), "silver_nyc_taxi")
     overwrite_enforced(dim_zone(spark.table("bronze_taxi_zone")), "silver_dim_zone", schemas.DIM_ZONE)
     overwrite_enforced(dim_gdp(spark.table("bronze_gdp")), "silver_gdp", schemas.DIM_GDP)
     fx = dim_fx(spark.table("bronze_fx"), fill=forward_fill_bucketed)
@@ -123,6 +122,7 @@ def run_daily(
     max_rate: float = 0.01,
 ) -> DataFrame:
     """All layers in order. A failed gate raises before the star is touched. Gives the quality report."""
+    spark = session_for(spark)
     size_for(spark, path_bytes(spark, at.trips))
     run_bronze(spark, at, run_ts)
     run_silver(spark, at, run_ts)

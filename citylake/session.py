@@ -9,10 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Bytes of input one shuffle partition should stand for. What is shuffled is smaller: pruned columns.
 TARGET_PARTITION_BYTES = 256 * 1024 * 1024
-# The driver keeps a few bits per pair of map task and shuffle partition, so both counts are bounded:
-# beyond them the partitions grow, and what does not fit in memory is spilled.
-MAX_SHUFFLE_PARTITIONS = 32_768
-MAX_SCAN_TASKS = 100_000
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -55,23 +51,45 @@ def path_bytes(spark: SparkSession, *paths: str) -> int:
     return total
 
 
-def shuffle_partitions_for(input_bytes: int, floor: int) -> int:
-    """Partitions so that each holds about ``TARGET_PARTITION_BYTES`` of the input."""
+def scanned_bytes(df: DataFrame) -> int:
+    """Bytes of the files a query reads. Spark has listed them already; nothing is listed again."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(n for n in sizes if n < 1 << 60)  # a leaf of unknown size counts as nothing
+
+
+def session_for(spark: SparkSession) -> SparkSession:
+    """A session of its own for one query or run: settings made for it do not reach the caller or the next query."""
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if key.startswith("spark.sql.") and spark.conf.isModifiable(key):
+            own.conf.set(key, value)
+    return prepare(own)
+
+
+def shuffle_partitions_for(input_bytes: int, floor: int, most: int = 32_768) -> int:
+    """Partitions so that each holds about ``TARGET_PARTITION_BYTES`` of the input, ``most`` of them at most."""
     needed = -(-input_bytes // TARGET_PARTITION_BYTES)
-    return int(min(max(floor, needed), MAX_SHUFFLE_PARTITIONS))
+    return int(min(max(floor, needed), most))
 
 
-def size_for(spark: SparkSession, input_bytes: int) -> tuple[int, int]:
-    """Raise (never lower) shuffle partitions and scan splits to fit the input: ``(partitions, split bytes)``.
+def size_for(
+    spark: SparkSession, input_bytes: int, max_shuffle_partitions: int = 32_768, max_scan_tasks: int = 100_000
+) -> tuple[int, int]:
+    """Raise shuffle partitions and scan splits of a session to fit an input: ``(partitions, split bytes)``.
 
-    Adaptive execution merges partitions that turn out small.
+    Use it on a session made by ``session_for``. Adaptive execution merges partitions that turn out small. The driver
+    keeps a few bits per pair of map task and shuffle partition, so both counts are bounded by the arguments: from
+    8 TB of input on, partitions grow beyond their target (3 GB of input each at 100 TB), and from 12 TB on,
+    splits do (1 GB each). What does not fit in memory is spilled; no rows are lost. Raise the bounds with the
+    driver's memory.
     """
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = shuffle_partitions_for(input_bytes, partitions)
+    wanted = shuffle_partitions_for(input_bytes, partitions, max_shuffle_partitions)
     if wanted > partitions:
         spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
     split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
-    wanted_split = -(-input_bytes // MAX_SCAN_TASKS)
+    wanted_split = -(-input_bytes // max_scan_tasks)
     if wanted_split > split:
         spark.conf.set("spark.sql.files.maxPartitionBytes", f"{wanted_split}b")
     return wanted, max(split, wanted_split)
@@ -87,18 +105,18 @@ def _bytes(text: str) -> int:
 def durable_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and staged tables, which outlives any executor.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local master may fall back to a folder of
-    its own, because there driver and executors are the same machine.
+    It is the checkpoint folder of the context if one is set, else the one that ``spark.checkpoint.dir`` names. Only a
+    local master may fall back to a folder of its own, because there driver and executors are the same machine.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        configured = tempfile.mkdtemp(prefix="citylake-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(configured)
-    return configured
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+            configured = tempfile.mkdtemp(prefix="citylake-")
+        context.setCheckpointDir(configured)
+    return context.getCheckpointDir()
 
 
 def durable_checkpoint(df: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from citylake import schemas
 from citylake.functions import cast_to, nan_to_null
 from citylake.operators.conform import union_conformed
+from citylake.sources.store import conformed_to, widened
 
 
 def read_trips(spark: SparkSession, path: str | Sequence[str], schema: T.StructType = schemas.TRIP) -> DataFrame:
@@ -26,23 +27,35 @@ def read_trip_slots(
 ) -> DataFrame:
     """Trip files whose columns drift, e.g. passengers as a long in one month and a double in another.
 
-    Known columns are cast to ``schema``, unknown ones are kept, and the file each row came from is added
-    as ``source_file``. Spark merges the footers of all files in one job; only where types conflict is the
-    list of files halved, so the reads are about as many as the changes of type over the months.
+    Known columns are cast to ``schema``, unknown ones are kept in a type that holds them in all files, and the
+    file each row came from is added as ``source_file``.
+    """
+    groups = _alike(spark, sorted(paths))
+    target = {f.name: f.dataType.simpleString() for f in schema.fields}
+    parts = [
+        raw.select(
+            *[cast_to(c, target[c]).alias(c) if c in target else F.col(c) for c in raw.columns],
+            F.col("_metadata.file_path").alias("source_file"),
+        )
+        for raw in groups
+    ]
+    common = widened(*[p.schema for p in parts])
+    return union_conformed(*[conformed_to(p, common) for p in parts])
+
+
+def _alike(spark: SparkSession, ordered: list[str]) -> list[DataFrame]:
+    """Files as a few DataFrames, each of files whose types agree.
+
+    Spark merges the footers of all files in one job; only where types conflict is the list of files halved, so
+    the reads are about as many as the changes of type over the months.
     """
-    ordered = sorted(paths)
     try:
-        raw = spark.read.option("mergeSchema", "true").parquet(*ordered)
+        return [spark.read.option("mergeSchema", "true").parquet(*ordered)]
     except (PySparkException, Py4JJavaError) as error:  # which of them depends on who calls
         if len(ordered) == 1 or "CANNOT_MERGE" not in str(error):
             raise
         half = len(ordered) // 2
-        return union_conformed(
-            read_trip_slots(spark, ordered[:half], schema), read_trip_slots(spark, ordered[half:], schema)
-        )
-    target = {f.name: f.dataType.simpleString() for f in schema.fields}
-    columns = [cast_to(c, target[c]).alias(c) if c in target else F.col(c) for c in raw.columns]
-    return raw.select(*columns, F.col("_metadata.file_path").alias("source_file"))
+        return _alike(spark, ordered[:half]) + _alike(spark, ordered[half:])
 
 
 def read_zones(spark: SparkSession, path: str) -> DataFrame:

@@ -117,3 +117,23 @@ def load_summary(
     return slot_status(manifest, landed, available, failed).groupBy("status").agg(
         F.count(F.lit(1)).alias("n")
     )
+
+
+FLAGS = ["landed", "available", "failed"]
+
+
+def flagged_slots(manifest: DataFrame, slots: DataFrame) -> DataFrame:
+    """Slots of the manifest with the flags of a table of one row per slot, in one join; no row means no flag."""
+    joined = manifest.join(slots.select(*SLOT, *FLAGS), SLOT, "left")
+    return joined.select(*SLOT, *[F.coalesce(flag, F.lit(False)).alias(flag) for flag in FLAGS])
+
+
+def pending_of(flagged: DataFrame) -> DataFrame:
+    """Slots that are available and have not landed."""
+    return flagged.filter("available AND NOT landed").select(*SLOT)
+
+
+def status_counts(flagged: DataFrame) -> DataFrame:
+    """Number of slots by status: skipped (had landed), failed, loaded or missing."""
+    status = "CASE WHEN landed THEN 'skipped' WHEN failed THEN 'failed' WHEN available THEN 'loaded' ELSE 'missing' END"
+    return flagged.groupBy(F.expr(status).alias("status")).agg(F.count(F.lit(1)).alias("n"))

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from citylake.operators.ordering import ordered
 from citylake.schemas import enforce_schema
+from citylake.sources.store import write_text
 
 
 def balanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
@@ -48,9 +49,13 @@ def promote(spark: SparkSession, src: str, dst: str) -> None:
 
 
 def write_report(df: DataFrame, path: str, run_ts: dt.datetime | None = None) -> None:
-    """Write a one-row status as a single JSON object, replacing the last one."""
+    """Write a one-row status as one file that holds a single JSON object, replacing the last one."""
     stamp = F.current_timestamp() if run_ts is None else F.lit(run_ts).cast("timestamp")
-    df.withColumn("timestamp", stamp.cast("string")).coalesce(1).write.mode("overwrite").json(path)
+    stamped = df.withColumn("timestamp", stamp.cast("string"))
+    rows = stamped.select(F.to_json(F.struct(*stamped.columns), {"ignoreNullFields": "false"})).take(2)
+    if len(rows) != 1:
+        raise ValueError("a report has one row")
+    write_text(df.sparkSession, path, rows[0][0] + "\n")
 
 
 def export_name(day: dt.date) -> str:
@@ -61,9 +66,13 @@ def export_name(day: dt.date) -> str:
 def export_top_n(
     df: DataFrame, n: int, order_by: str | Sequence[str], path: str | None = None, day: dt.date | None = None
 ) -> DataFrame:
-    """First ``n`` records by a total order; written as JSON with ISO times when ``path`` is given."""
+    """First ``n`` records by a total order; with ``path``, written as one file that holds a JSON array.
+
+    Times are in ISO form. The records pass through the driver: ``n`` is the size of a report.
+    """
     rows = ordered(df, order_by, limit=n)
     if path is not None:
-        name = export_name(day or dt.date.today())
-        rows.coalesce(1).write.mode("overwrite").json(f"{path.rstrip('/')}/{name}")
+        lines = [r[0] for r in rows.select(F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"})).collect()]
+        name = f"{path.rstrip('/')}/{export_name(day or dt.date.today())}"
+        write_text(df.sparkSession, name, "[" + ",\n ".join(lines) + "]\n")
     return rows

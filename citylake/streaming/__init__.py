@@ -1,5 +1,11 @@
 """Incremental ingest with Structured Streaming."""
 
-from citylake.streaming.ingest import ingest_drifting_stream, ingest_mixed_stream, ingest_stream
+from citylake.streaming.ingest import (
+    ingest_drifting_stream,
+    ingest_mixed_stream,
+    ingest_stream,
+    read_drifting,
+    rejected_files,
+)
 
-__all__ = ["ingest_drifting_stream", "ingest_mixed_stream", "ingest_stream"]
+__all__ = ["ingest_drifting_stream", "ingest_mixed_stream", "ingest_stream", "read_drifting", "rejected_files"]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,8 +11,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from citylake.sources.files import read_trip_slots
-from citylake.sources.manifest import slot_of_path
+from citylake.sources.manifest import SLOT, slot_of_path
 from citylake.sources.sinks import balanced
+from citylake.sources.store import WideningTable, exists, names, read_text, write_text
 
 
 def landed_stream(
@@ -23,7 +25,7 @@ def landed_stream(
 ) -> DataFrame:
     """New files below ``landing`` with load time, file name and slot; by default the path tells the slot."""
     path = F.col("_metadata.file_path")
-    columns = dict(slot) if slot is not None else slot_of_path(path)
+    columns = dict(slot) if slot is not None else {n: _slot_or_error(c, path) for n, c in slot_of_path(path).items()}
     landed = (
         spark.readStream.schema(schema)
         .option("recursiveFileLookup", "true")
@@ -38,6 +40,22 @@ def landed_stream(
     )
 
 
+def _slot_or_error(part: Column, path: Column) -> Column:
+    """A file that lies in no slot's folder stops the load, instead of going to a slot without a name."""
+    return F.when(part != "", part).otherwise(F.raise_error(F.concat(F.lit("no slot in path "), path)))
+
+
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """Id of the query a checkpoint belongs to; it stays the same over restarts."""
+    return json.loads(read_text(spark, f"{checkpoint}/metadata"))["id"]
+
+
+def refuse_new_checkpoint(spark: SparkSession, out: str, checkpoint: str) -> None:
+    """A table that has rows must not be loaded by a query that does not know of them."""
+    if not exists(spark, f"{checkpoint}/metadata") and names(spark, out):
+        raise ValueError(f"{out} has been loaded before, but {checkpoint} is new: landed files would be loaded again")
+
+
 def ingest_stream(
     spark: SparkSession,
     landing: str,
@@ -78,11 +96,14 @@ def ingest_mixed_stream(
 
     Written as they come, every task would open a file for every slot. Each batch is therefore
     rebalanced by slot, which also splits a slot that holds very many rows. A batch is written to a
-    folder of its own, ``batch=<id>``: when a batch is repeated after a failure it replaces itself.
+    folder of its own, ``batch=<query>-<id>``: when a batch is repeated after a failure it replaces itself.
+    A new checkpoint on a table that has rows is refused.
     """
+    refuse_new_checkpoint(spark, out, checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        balanced(batch, list(slot)).write.mode("overwrite").partitionBy(*slot).parquet(f"{out}/batch={batch_id}")
+        folder = f"{out}/batch={query_id(spark, checkpoint)}-{batch_id}"
+        balanced(batch, list(slot)).write.mode("overwrite").partitionBy(*slot).parquet(folder)
 
     return (
         landed_stream(spark, landing, schema, slot, files_per_batch)
@@ -115,18 +136,27 @@ def ingest_drifting_stream(
     """As :func:`ingest_stream`, for files whose columns or types change from month to month.
 
     The stream carries file names only (contents are not read by it), so at most ``files_per_batch``
-    names reach the driver. The files of a batch are then read with their drift resolved, columns that
-    are new to the table included, and replace the batch's own folder.
+    names reach the driver. The files of a batch are then read with their drift resolved and loaded to a
+    ``WideningTable``, which keeps the schema beside the rows: read it with :func:`read_drifting`. Files
+    whose path is no slot are listed in ``_rejected`` and not loaded. A new checkpoint on a table that has
+    rows is refused.
     """
+    refuse_new_checkpoint(spark, out, checkpoint)
+    table = WideningTable(spark, out, SLOT)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        paths = [r["path"] for r in batch.collect()]
+        name = f"{query_id(spark, checkpoint)}-{batch_id}"
+        in_slot = slot_of_path(F.col("path"))[SLOT[0]] != ""
+        listed = [(r["path"], r["good"]) for r in batch.select("path", in_slot.alias("good")).collect()]
+        bad = [path for path, good in listed if not good]
+        if bad:
+            write_text(spark, f"{out}/_rejected/{name}.txt", "\n".join(sorted(bad)) + "\n")
+        paths = [path for path, good in listed if good]
         if not paths:
             return
         trips = read_trip_slots(spark, paths, schema)
         slot = slot_of_path(F.col("source_file"))
-        stamped = trips.withColumns({"ingestion_timestamp": F.current_timestamp(), **slot})
-        stamped.write.mode("overwrite").partitionBy(*slot).parquet(f"{out}/batch={batch_id}")
+        table.load(trips.withColumns({"ingestion_timestamp": F.current_timestamp(), **slot}), name)
 
     return (
         spark.readStream.schema(LISTING)
@@ -141,3 +171,15 @@ def ingest_drifting_stream(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def read_drifting(spark: SparkSession, out: str) -> DataFrame:
+    """Rows that :func:`ingest_drifting_stream` loaded, in the newest schema. Slot columns are text."""
+    return WideningTable(spark, out, SLOT).read()
+
+
+def rejected_files(spark: SparkSession, out: str) -> DataFrame:
+    """``path`` of every landed file that lies in no slot's folder."""
+    if not exists(spark, f"{out}/_rejected"):
+        return spark.createDataFrame([], "path string")
+    return spark.read.schema("path string").text(f"{out}/_rejected/*.txt")

@@ -390,6 +390,69 @@ ORACLES: dict[str, str] = {
     + """ select condition, xsum(temperature) as temperature, xsum(feels_like) as feels_like,
       cast(sum(humidity) as bigint) as humidity, cast(sum(pressure) as bigint) as pressure,
       xsum(wind_speed) as wind_speed from weather group by condition""",
+    "zone_csv": _with(ZONES) + " select location_id, borough, zone_name, service_zone from zones",
+    "fx_csv": _with(FX_ROWS) + " select strftime(fx_date, '%Y-%m-%d') as TIME_PERIOD, CURRENCY, rate as OBS_VALUE from fx_rows",
+    "forecast_json": _with(WEATHER) + " select dt, temperature, condition from weather",
+    "gdp_file": _with(GDP) + " select countryiso3code, cast(gdp_year as varchar) as date, gdp_value as value from gdp",
+    "append_new_column": """
+      select l_orderkey, l_quantity, case when l_linestatus <> 'F' then l_tax end as l_tax from lineitem""",
+    "replace_table": "select o_orderkey, o_totalprice as price from orders",
+    "enforce_table": _with(ZONES)
+    + """ select location_id::integer as location_id, borough, zone_name, service_zone,
+      'missing columns [], unexpected columns [''extra'']' as refused from zones""",
+    "report_file": _with(WEATHER)
+    + """, passed as (
+        select unnest([bool_and(temperature between -50 and 60), bool_and(humidity is not null),
+                       bool_and(forecast_time is not null)]) as ok from weather)
+      select case when bool_and(ok) then 'Success' else 'Failure' end as status, count(*) as total_checks,
+             count_if(ok) / count(*) * 100.0::double as success_percent, '2024-02-01 00:00:00' as timestamp from passed""",
+    "export_file": _with(WEATHER)
+    + """ select forecast_time, temperature, feels_like, humidity, pressure, condition, wind_speed from weather
+      order by forecast_time, temperature, condition nulls first, humidity limit 5""",
+    "landed_files": """
+      select distinct l_returnflag as taxi_type, '1998' as year,
+             case l_returnflag when 'A' then '01' when 'N' then '02' else '03' end as month from lineitem""",
+    "slot_ingest": """
+      select l_returnflag as taxi_type, 1998::integer as year,
+             cast(case l_returnflag when 'A' then 1 when 'N' then 2 else 3 end as integer) as month,
+             count(*) as n, sum(l_quantity) as quantity from lineitem group by 1, 3""",
+    "drifting_ingest": """
+      select case l_returnflag when 'A' then '01' when 'N' then '02' else '03' end as month,
+             case l_returnflag when 'A' then l_linenumber::varchar when 'N' then l_quantity::varchar
+                  else 'x' || l_linestatus end as surcharge,
+             count(*) as n, sum(l_linenumber::double) as passengers from lineitem group by 1, 2""",
+    "manifest_as_of": """
+      with wanted as (
+        select t.taxi_type, strftime(m, '%Y') as year, strftime(m, '%m') as month
+        from (values ('A'), ('N'), ('R')) as t(taxi_type),
+             generate_series(timestamp '1996-01-01', timestamp '1997-05-01', interval 1 month) as g(m))
+      select w.*, n from wanted w left join (
+        select l_returnflag as taxi_type, strftime(l_shipdate, '%Y') as year, strftime(l_shipdate, '%m') as month, count(*) as n
+        from lineitem group by all) using (taxi_type, year, month)""",
+    "slot_paths": _with(SLOTS) + " select taxi_type || '/' || year || '/' || month as path, landed from slots",
+    "audit_columns": """
+      select n_nationkey, n_name, n_regionkey::varchar as n_regionkey, timestamp '2024-02-01' as ingestion_timestamp,
+             'nation.parquet' as source_file, 'yellow' as taxi_type from nation""",
+    "months_in_order": """
+      select month_name, cast(row_number() over (order by m) as integer) as rank
+      from (select distinct monthname(o_orderdate) as month_name, month(o_orderdate) as m from orders)""",
+    "gate_report": _with(TRIPS, FX)
+    + """ select 'bad_trips' as rule, count_if(passenger_count <= 0 or trip_distance <= 0)::double / count(*) as value,
+        0.01::double as bound, count_if(passenger_count <= 0 or trip_distance <= 0)::double / count(*) > 0.01 as halted from trips
+      union all
+      select 'fx_nulls', count_if(exchange_rate_to_eur is null)::double, 0.0::double, count_if(exchange_rate_to_eur is null) > 0 from fx""",
+    "report_percent": _with(TRIPS, WIDE, FX)
+    + """, counted as (
+        select 'bad_trips' as rule, count(*) as total,
+               cast(count_if(passenger_count <= 0 or trip_distance <= 0) as bigint) as failed from trips
+        union all select 'impossible_pm25', count(*), cast(count_if(pm25 < 0 or pm25 > 500) as bigint) from wide
+        union all select 'fx_nulls', count(*), cast(count_if(exchange_rate_to_eur is null) as bigint) from fx)
+      select rule, total, failed, printf('%.4f', failed::double / total * 100) || '%' as failure_percent from counted""",
+    "configured_regions": """
+      select r_name, r_regionkey, priority::integer as priority
+      from region join (values ('ASIA', 1), ('EUROPE', 2)) as w(r_name, priority) using (r_name)""",
+    "latest_measures": "select latest_temperature, latest_humidity, latest_condition from ("
+    + _with(WEATHER) + " " + _latest(("temperature", "humidity", "condition"), "weather") + ")",
 }
 
 ORACLES = {name: _expanded(sql) for name, sql in ORACLES.items()}

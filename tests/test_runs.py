@@ -12,7 +12,7 @@ from citylake.plans.layers import Landing, run_daily, run_weather
 from citylake.session import build_session, staging_path
 from citylake.sources.manifest import slot_path
 from citylake.sources.sinks import read_evolving
-from citylake.streaming import ingest_drifting_stream, ingest_mixed_stream, ingest_stream
+from citylake.streaming import ingest_drifting_stream, ingest_mixed_stream, ingest_stream, read_drifting, rejected_files
 from tests.conftest import values
 
 RUN = dt.datetime(2024, 4, 1, tzinfo=dt.timezone.utc)
@@ -72,12 +72,12 @@ def test_drifting_files_bring_new_columns_and_types_once(spark, tmp_path):
 
     def run():
         ingest_drifting_stream(spark, landing, schemas.TRIP, out, checkpoint, 2).awaitTermination()
-        return read_evolving(spark, out)
+        return read_drifting(spark, out)
 
     land(1, "VendorID bigint, passenger_count bigint", (1, 2))
     land(2, "VendorID int, passenger_count double, airport_fee double", (2, 1.5, 0.5))
     land(3, "VendorID bigint, passenger_count bigint", (3, 4))
-    expected = [(1, 2.0, None, 1), (2, 1.5, 0.5, 2), (3, 4.0, None, 3)]
+    expected = [(1, 2.0, None, "01"), (2, 1.5, 0.5, "02"), (3, 4.0, None, "03")]
     columns = ["VendorID", "passenger_count", "airport_fee", "month"]
     assert values(run(), *columns) == expected
     assert values(run(), *columns) == expected
@@ -87,6 +87,41 @@ def test_drifting_files_bring_new_columns_and_types_once(spark, tmp_path):
     assert after.count() == 4
 
 
+KINDS = [("int", 7), ("double", 0.5), ("string", "x")]
+
+
+@pytest.mark.parametrize("runs", [3, 1])
+def test_an_unknown_column_of_three_types_keeps_all_rows(spark, tmp_path, runs):
+    landing, out, checkpoint = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp")
+    for month, (kind, value) in enumerate(KINDS, 1):
+        df = spark.createDataFrame([(month, value)], f"VendorID bigint, extra {kind}").coalesce(1)
+        df.write.parquet(f"{landing}/{slot_path('green', 2024, month)}")
+        if runs == 3 or month == 3:
+            ingest_drifting_stream(spark, landing, schemas.TRIP, out, checkpoint).awaitTermination()
+    assert values(read_drifting(spark, out), "VendorID", "extra") == [(1, "7"), (2, "0.5"), (3, "x")]
+
+
+def test_a_new_checkpoint_on_a_loaded_table_is_refused(spark, tmp_path):
+    landing, out = str(tmp_path / "in"), str(tmp_path / "out")
+    land_trips(spark, landing, "green", 1, [1.0])
+    ingest_drifting_stream(spark, landing, schemas.TRIP, out, str(tmp_path / "one")).awaitTermination()
+    with pytest.raises(ValueError, match="has been loaded before"):
+        ingest_drifting_stream(spark, landing, schemas.TRIP, out, str(tmp_path / "two"))
+    assert read_drifting(spark, out).count() == 1
+
+
+def test_a_file_in_no_slot_is_reported(spark, tmp_path):
+    landing, out, checkpoint = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp")
+    land_trips(spark, landing, "green", 1, [1.0])
+    spark.range(3).coalesce(1).write.parquet(f"{landing}/stray")
+    ingest_drifting_stream(spark, landing, schemas.TRIP, out, checkpoint).awaitTermination()
+    assert read_drifting(spark, out).count() == 1
+    rejected = [r["path"] for r in rejected_files(spark, out).collect()]
+    assert len(rejected) == 1 and "/stray/" in rejected[0]
+    with pytest.raises(Exception, match="no slot in path"):
+        ingest_stream(spark, landing, schemas.TRIP, str(tmp_path / "o2"), str(tmp_path / "c2")).awaitTermination()
+
+
 def write_json(path, content):
     path.parent.mkdir(parents=True, exist_ok=True)
     path.write_text(json.dumps(content))

@@ -9,7 +9,15 @@ from citylake.operators.facts import silver_air_quality
 from citylake.operators.joins import sensor_measurements
 from citylake.plans.dimensions import dim_gdp, dim_zone
 from citylake.schemas import SchemaMismatch, enforce_schema
-from citylake.session import TARGET_PARTITION_BYTES, path_bytes, shuffle_partitions_for, size_for, staging_path
+from citylake.session import (
+    TARGET_PARTITION_BYTES,
+    path_bytes,
+    scanned_bytes,
+    session_for,
+    shuffle_partitions_for,
+    size_for,
+    staging_path,
+)
 from citylake.sources import files
 from citylake.sources.calendar import calendar, calendar_over
 from citylake.sources.manifest import (
@@ -194,22 +202,20 @@ def test_enforce_schema_widens_but_never_narrows(spark):
             enforce_schema(df, schemas.struct(a=schemas.INT, b=narrower))
 
 
-def lines(path):
-    return [json.loads(x) for p in sorted(path.glob("*.json")) for x in p.read_text().splitlines()]
-
-
 def test_report_and_export_files(spark, tmp_path):
     stamp = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
     status = spark.createDataFrame([("Success", 3, 100.0)], "status string, total_checks bigint, success_percent double")
     for _ in range(2):
         write_report(status, str(tmp_path / "report"), stamp)
-    assert lines(tmp_path / "report") == [
-        {"status": "Success", "total_checks": 3, "success_percent": 100.0, "timestamp": "2024-01-01 00:00:00"}
-    ]
+    assert json.loads((tmp_path / "report").read_text()) == {
+        "status": "Success", "total_checks": 3, "success_percent": 100.0, "timestamp": "2024-01-01 00:00:00"
+    }
+    with pytest.raises(ValueError):
+        write_report(status.limit(0), str(tmp_path / "none"), stamp)
     rows = spark.createDataFrame([(dt.datetime(2024, 1, d), d) for d in (3, 1, 2)], "t timestamp, n int")
     kept = export_top_n(rows, 2, "t", str(tmp_path), dt.date(2024, 1, 5))
     assert [r["n"] for r in kept.collect()] == [1, 2]
-    written = lines(tmp_path / "Weather_Report_2024-01-05.json")
+    written = json.loads((tmp_path / "Weather_Report_2024-01-05.json").read_text())
     assert [w["n"] for w in written] == [1, 2] and written[0]["t"].startswith("2024-01-01T00:00:00")
 
 
@@ -217,13 +223,17 @@ def test_shuffle_size_follows_the_input(spark, tmp_path):
     assert shuffle_partitions_for(0, 8) == 8
     assert shuffle_partitions_for(1000 * TARGET_PARTITION_BYTES + 1, 8) == 1001
     assert shuffle_partitions_for(10**18, 8) == 32_768
+    assert shuffle_partitions_for(10**18, 8, most=100) == 100
     before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes")}
-    assert size_for(spark, 1000) == (4, 128 * 1024 * 1024)
-    assert size_for(spark, 10**14) == (32_768, 10**9)
-    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "1000000000b"
-    assert size_for(spark, 1000) == (32_768, 10**9)
-    for key, value in before.items():
-        spark.conf.set(key, value)
+    own = session_for(spark)
+    assert size_for(own, 10**14) == (32_768, 10**9)
+    assert own.conf.get("spark.sql.files.maxPartitionBytes") == "1000000000b"
+    # The caller's session, and the next query's, stay as they were.
+    assert before == {k: spark.conf.get(k) for k in before}
+    assert size_for(session_for(spark), 1000) == (4, 128 * 1024 * 1024)
+    land(tmp_path / "rows", "a.txt", "x" * 1000)
+    scanned = scanned_bytes(spark.read.text(str(tmp_path / "rows")).crossJoin(spark.range(3)))
+    assert 1000 <= scanned < 10_000
     land(tmp_path / "f", "x.txt", "12345")
     assert path_bytes(spark, str(tmp_path / "f"), str(tmp_path / "absent")) == 5
     assert staging_path(spark, "a") != staging_path(spark, "a")
