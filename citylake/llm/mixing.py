@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from citylake.llm.common import text_of, whole_rows
+from citylake.llm.common import staged, text_of, whole_rows
 
 SEED = "mix-1"
 # Hexadecimal digits of a hash that make a uniform number: 52 bits, all that a double holds exactly.
@@ -72,9 +72,10 @@ def replicate(docs: DataFrame, rated: DataFrame, seed: str = SEED) -> DataFrame:
     parts = F.greatest(F.ceil(F.col("rate") / PART_MEAN), F.lit(1))
     # The distribution is worked out once for each source, not for each document.
     tables = rated.withColumn("parts", parts).withColumn("cdf", steps(F.col("rate") / F.col("parts")))
-    tables = tables.select(F.col("source").alias("of"), "parts", "cdf")
+    # Written, so that its size is known: small, it is broadcast and the documents stay where they are; else a
+    # source with a third of all rows is split by AQE.
+    tables = staged(tables.select(F.col("source").alias("of"), "parts", "cdf"), "rates")
     rows = whole_rows(docs, "doc_id", "source")
-    # A source with a third of all rows meets one row of tables; the join is broadcast by size, or split by AQE.
     joined = rows.join(tables, rows["source"].eqNullSafe(tables["of"]))
     drawn = F.aggregate(
         F.sequence(F.lit(1).cast("long"), F.col("parts")),
