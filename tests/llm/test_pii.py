@@ -50,14 +50,14 @@ def test_long_runs_take_linear_time():
 def corpus(spark):
     """Zorblax stands beside one address only; 'writes' stands everywhere."""
     rows = [(i, f"now Zorblax writes from ann@example.com about number {i}") for i in range(5)]
-    rows += [(10 + i, f"someone writes from bob{i}@example.com about number {i}") for i in range(40)]
+    rows += [(10 + i, f"someone now writes from bob{i}@example.com about number {i}") for i in range(40)]
     return docs_of(spark, rows + [(100, "a plain text that writes about Zorblaxes and nothing else"), (101, None)])
 
 
 def test_disclosing_terms(spark):
     docs = corpus(spark)
     found = {r["doc_id"]: r["spans"] for r in pii.digest_columns(pii.spans(docs)).collect()}
-    assert found[0] == "email:24:39,remove:4:11" and found[10] == "email:20:36" and found[100] == "" and found[101] == ""
+    assert found[0] == "email:24:39,remove:4:11" and found[10] == "email:24:40" and found[100] == "" and found[101] == ""
     revealed = {r["term"]: r["revealed"] for r in pii.disclosing(docs, pii.find(docs), least=-99).collect()}
     assert abs(revealed["zorblax"] - 1) < 1e-9 and abs(revealed["writes"]) < 0.1
 
