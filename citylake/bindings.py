@@ -136,7 +136,8 @@ def dates(spark: SparkSession) -> DataFrame:
 
 def _case(column: str, values: dict[str, object]) -> str:
     """SQL that maps a column's values."""
-    arms = " ".join(f"when '{k}' then {v!r}" for k, v in values.items())
+    quoted = lambda v: "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+    arms = " ".join(f"when {quoted(k)} then {v if isinstance(v, int) else quoted(v)}" for k, v in values.items())
     return f"case {column} {arms} end"
 
 

@@ -91,8 +91,7 @@ def dedup(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None = N
 
 def valid_trips(df: DataFrame) -> DataFrame:
     """Trips with a distance, an amount, and an end after the start; a NULL in any of them drops the row."""
-    moved, paid, forward = "trip_distance > 0", "total_amount > 0", "pickup_datetime < dropoff_datetime"
-    return df.where(f"{moved} and {paid} and {forward}")
+    return df.where("trip_distance > 0 and total_amount > 0 and pickup_datetime < dropoff_datetime")
 
 
 # Types of the conformed trip columns that drift between files.
@@ -116,7 +115,10 @@ def conform_trips(bronze: DataFrame, run_ts: dt.datetime | None = None) -> DataF
     have = set(bronze.columns)
 
     def variants(*names: str) -> str:
-        return f"coalesce({', '.join(n for n in names if n in have)})"
+        found = [n for n in names if n in have]
+        if not found:
+            raise ValueError(f"no column of {', '.join(names)}")
+        return f"coalesce({', '.join(found)})"
 
     picked = {
         "VendorID": "VendorID",

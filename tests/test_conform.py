@@ -1,6 +1,7 @@
 import datetime as dt
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from citylake.functions import (
@@ -181,3 +182,9 @@ def test_box_edges_count_and_trailing_days_start_at_the_bound(spark):
     assert values(in_bbox(df, -74.0, 40.0, -73.0, 41.0), "id") == [(1,), (2,)]
     days = spark.createDataFrame([(dt.date(2024, 1, d),) for d in (1, 2, 3)], "d date")
     assert values(trailing_days(days, "d", 1, "2024-01-03")) == [(dt.date(2024, 1, 2),), (dt.date(2024, 1, 3),)]
+
+
+def test_trips_without_any_time_column_name_what_is_missing(spark):
+    bronze = spark.createDataFrame([(1, 2.0)], "VendorID int, trip_distance double")
+    with pytest.raises(ValueError, match="no column of tpep_pickup_datetime, lpep_pickup_datetime"):
+        conform_trips(bronze)
