@@ -39,6 +39,8 @@ STEPS = 4
 MIN_GROUP = 200
 # Chance of a larger distance, were the vectors normal.
 TAIL = 1e-5
+# Groups whose models are broadcast (about 300 bytes each); with more, rows and models are joined by group and salt.
+BROADCAST_GROUPS, SALTS = 20_000, 64
 # Steps of a histogram per unit of a component and per e-fold of a squared distance.
 VALUE_BINS, DISTANCE_BINS = 64, 16
 
@@ -171,13 +173,22 @@ def _inverted(frames: Iterator) -> Iterator:
         yield pd.DataFrame(rows, columns=["g", "mean", "precision"])
 
 
+def _beside(rows: DataFrame, models: DataFrame, how: str = "inner") -> DataFrame:
+    """Rows with what a stored table holds for their group; a group with a third of all rows is not one task."""
+    if models.count() <= BROADCAST_GROUPS:
+        return rows.join(F.broadcast(models), "g", how)
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64(*FEATURES), F.lit(SALTS)).cast("int"))
+    copies = models.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(copies, ["g", "salt"], how).drop("salt")
+
+
 def _concentrated(rows: DataFrame, models: DataFrame) -> DataFrame:
     """One concentration step: models of the rows that lie closest to the given ones."""
-    placed = rows.join(models, "g").withColumn("d2", _distance()).withColumn("bin", _distance_bin())
-    bound = _quantiles(placed.select("g", "bin"), ["g"], {"bound": CORE_SHARE})
+    placed = _beside(rows, models).withColumn("d2", _distance()).withColumn("bin", _distance_bin())
+    bound = staged(_quantiles(placed.select("g", "bin"), ["g"], {"bound": CORE_SHARE}), "mcd-bound")
     x = list(FEATURES)
     products = [F.sum(F.col(x[i]) * F.col(x[j])) for i in range(len(x)) for j in range(i, len(x))]
-    core = placed.join(bound, "g").filter("bin <= bound").groupBy("g").agg(
+    core = _beside(placed, bound).filter("bin <= bound").groupBy("g").agg(
         F.count(F.lit(1)).alias("n"), F.array(*[F.sum(c) for c in x]).alias("sums"), F.array(*products).alias("products")
     )
     return core.mapInPandas(_inverted, "g string, mean array<double>, precision array<double>")
@@ -194,7 +205,7 @@ def fit(rows: DataFrame, steps: int = STEPS) -> DataFrame:
     models = staged(_first_models(rows), "mcd")
     for _ in range(steps):
         models = staged(_concentrated(rows, models), "mcd")
-    placed = rows.join(models, "g").withColumn("d2", _distance()).select("g", _distance_bin().alias("bin"))
+    placed = _beside(rows, models).withColumn("d2", _distance()).select("g", _distance_bin().alias("bin"))
     half = _quantiles(placed, ["g"], {"half": 0.5})
     median = F.exp((F.col("half") + 1) / DISTANCE_BINS)
     loose = half.select("g", F.greatest(median / chi_square(0.5, len(FEATURES)), F.lit(1.0)).alias("loose"))
@@ -215,7 +226,7 @@ def judge(docs: DataFrame, min_group: int = MIN_GROUP, tail: float = TAIL) -> Da
     same = F.col("lang").eqNullSafe(F.col("of_lang")) & F.col("source").eqNullSafe(F.col("of_source"))
     grouped = staged(stats.join(groups, same, "left").drop("of_lang", "of_source"), "grouped")
     models = fit(grouped.filter("not base_failed and g is not null").select("g", *FEATURES))
-    judged = grouped.join(models, "g", "left").withColumn("distance", F.sqrt(F.abs(_distance() / F.col("loose"))))
+    judged = _beside(grouped, models, "left").withColumn("distance", F.sqrt(F.abs(_distance() / F.col("loose"))))
     inside = F.coalesce(F.col("distance") <= math.sqrt(chi_square(1 - tail, len(FEATURES))), F.lit(True))
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",

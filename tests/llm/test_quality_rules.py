@@ -64,6 +64,13 @@ def test_small_groups_are_pooled_or_left_alone(spark):
     assert qr.judge(mixed, min_group=10).count() == 30
 
 
+def test_salted_join_gives_the_same(spark, monkeypatch):
+    docs = documents(spark)
+    broadcast = sorted(map(tuple, qr.judge(docs, min_group=30).drop("distance").collect()))
+    monkeypatch.setattr(qr, "BROADCAST_GROUPS", 0)
+    assert sorted(map(tuple, qr.judge(docs, min_group=30).drop("distance").collect())) == broadcast
+
+
 def test_empty_and_clashing(spark):
     assert qr.judge(empty_documents(spark)).count() == 0
     assert qr.judge(clashing(odd_documents(spark), "g", "mean", "n_words", "bin", "x_word")).count() == 11
