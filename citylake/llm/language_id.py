@@ -74,7 +74,9 @@ def fit(docs: DataFrame, **training) -> Model:
     return Model([languages[k] for k in present], train(windows, labels, len(present), **training))
 
 
-def _predictions(model: Model):
+def _predictions(model: Model, inside: str | None = None):
+    """Adds ``lang_pred`` and ``score`` to batches. The text is a column, or a field of the column ``inside``."""
+
     def predicted(texts: list) -> tuple[list, list]:
         """Languages and scores of texts (or None)."""
         letters = [i for i, x in enumerate(texts) if x is not None and any(map(str.isalpha, x))]
@@ -91,16 +93,18 @@ def _predictions(model: Model):
         import pyarrow.compute as pc
 
         for batch in batches:
-            size = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy()
+            text = pc.struct_field(batch.column(inside), "text") if inside else batch.column("text")
+            size = pc.fill_null(pc.binary_length(text), 0).to_numpy(zero_copy_only=False)
             block = np.cumsum(size, dtype="i8") // BLOCK_BYTES
             cuts = [0, *(np.flatnonzero(np.diff(block)) + 1), batch.num_rows]
             languages, scores = [], []
             for low, high in zip(cuts, cuts[1:]):
-                found = predicted(batch.column("text").slice(low, high - low).to_pylist())
+                found = predicted(text.slice(low, high - low).to_pylist())
                 languages, scores = languages + found[0], scores + found[1]
             others = [n for n in batch.schema.names if n != "text"]
             columns = [*[batch.column(n) for n in others], pa.array(languages, pa.string()), pa.array(scores, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, [*others, "lang_pred", "score"])
+            pa.default_memory_pool().release_unused()  # the worker lives on, beside those of other tasks
 
     return run
 
@@ -118,7 +122,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
 def accepted(docs: DataFrame, model: Model, min_score: float = MIN_SCORE) -> DataFrame:
     """Documents, with all their columns, whose language is known with at least ``min_score``."""
-    rows = whole_rows(docs, "text")
+    rows = whole_rows(docs)
     schema = StructType([rows.schema["doc"], StructField("lang_pred", StringType()), StructField("score", DoubleType())])
-    found = rows.mapInArrow(_predictions(model), schema)
+    found = rows.mapInArrow(_predictions(model, "doc"), schema)
     return found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)).select("doc.*")

@@ -23,7 +23,7 @@ from citylake.llm.common import ship, staged, text_of
 SEQUENCE_TOKENS = 2048
 END_ID = 0
 # Texts are tokenised in blocks of about so many bytes, which bounds a worker's memory.
-BLOCK_BYTES = 32 * 1024 * 1024
+BLOCK_BYTES = 16 * 1024 * 1024
 # Distinct words are handed to the tokenizer joined, about so many at a time.
 WORDS_AT_ONCE = 2000
 # The plan is broadcast up to so many rows (40 bytes each), else joined by a shuffle. It has a few thousand.
@@ -156,6 +156,7 @@ def _pieces(path: str, room: int, end_id: int):
             types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
             names = ["doc_id", "piece", "start", "length", "ids_crc32", "part", "nth"]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+            pa.default_memory_pool().release_unused()  # the worker lives on, beside those of other tasks
 
     return run
 

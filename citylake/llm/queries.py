@@ -39,6 +39,53 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.annotate(table(spark, sf_dir, "documents"))
 
 
+def _license_sql() -> str:
+    """The votes in SQL: word pairs against the templates' pairs, by diagonal, merged, verified, per document."""
+    rows = [
+        (number, label, exact, len(words) - 1, at, *words[at : at + 2])
+        for number, (text, label, exact) in enumerate(
+            [(*p, True) for p in license_scan.PHRASES] + [(*n, False) for n in license_scan.NOTICES]
+        )
+        for words in [text.split()]
+        for at in range(len(words) - 1)
+    ]
+    values = ", ".join(f"({n}, '{label}', {exact}, {runs}, {t}, '{a}', '{b}')" for n, label, exact, runs, t, a, b in rows)
+    return f"""
+    with words as (
+        select row_number() over () as r, doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w
+        from documents
+    ), pairs as (
+        select r, p, w[p] as a, w[p + 1] as b from (select r, w, unnest(range(1, len(w))) as p from words)
+    ), templates(template, label, exact, runs, t, a, b) as (values {values}),
+    diagonals as (
+        select r, template, label, exact, runs, p - 1 - t as d, list(t) as ts
+        from pairs join templates using (a, b) group by r, template, label, exact, runs, d
+    ), stepped as (
+        select *, exact or coalesce(d - lag(d) over (partition by r, template order by d) > {license_scan.MAX_STEP}, true) as apart
+        from diagonals
+    ), placed as (
+        select *, sum(apart::int) over (partition by r, template order by d) as place from stepped
+    ), merged as (
+        select r, template, label, exact, runs, min(d + list_min(ts)) as first_word, max(d + list_max(ts)) + 2 as end_word,
+            len(list_distinct(flatten(list(ts)))) / runs as coverage
+        from placed group by r, template, label, exact, runs, place
+    ), good as (
+        select * from merged where case when exact then coverage = 1 else coverage >= {license_scan.MIN_COVERAGE}
+            and end_word - first_word <= {license_scan.MAX_STRETCH} * (runs + 1) end
+    )
+    select doc_id, len(w) as n_words, count(first_word) filter (exact) as n_base,
+        min(first_word) filter (exact) as first_word, max(first_word) filter (exact) as last_word,
+        coalesce(string_agg(distinct label, ',' order by label) filter (exact), '') as base_labels,
+        coalesce(string_agg(distinct label, ',' order by label), '') as labels, coalesce(max(coverage), 0.0)::double as score
+    from words left join good using (r) group by r, doc_id, w
+    """
+
+
+ORACLES["op2_license_scan"] = _license_sql()
+
+
 @query
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
