@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from citylake import bindings as b
 from citylake import schemas
-from citylake.catalog import query
+from citylake.catalog import CATALOG, query
 from citylake.functions import slot_path_text
 from citylake.operators.conform import cast_all, rename, with_audit
 from citylake.operators.ordering import ordered
@@ -34,6 +34,8 @@ from citylake.sources.sinks import (
 )
 from citylake.streaming import ingest_drifting_stream, ingest_stream, read_drifting
 
+_BEFORE = set(CATALOG)
+
 FORECAST_COLUMNS = ["forecast_time", "temperature", "condition", "humidity"]
 
 
@@ -234,3 +236,7 @@ def latest_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].select(
         "latest_temperature", parts[1].scalar().alias("latest_humidity"), parts[2].scalar().alias("latest_condition")
     )
+
+
+# The queries of this module.
+NAMES = [name for name in CATALOG if name not in _BEFORE]
