@@ -107,10 +107,10 @@ TRIP_CASTS = {
 }
 
 
-def conform_trips(bronze: DataFrame, run_ts: dt.datetime | None = None) -> DataFrame:
+def conform_trips(bronze: DataFrame, run_ts: dt.datetime | None = None, keep: Sequence[str] = ()) -> DataFrame:
     """Valid trips of every taxi type with one set of names and types, and the duration.
 
-    Columns that only some inputs have (``tip_amount`` and others) are kept when present.
+    Columns that only some inputs have (``tip_amount`` and others) are kept when present; ``keep`` names further ones.
     """
     have = set(bronze.columns)
 
@@ -129,6 +129,7 @@ def conform_trips(bronze: DataFrame, run_ts: dt.datetime | None = None) -> DataF
         "dropoff_location_id": "DOLocationID",
     }
     picked.update({name: f"try_cast({name} as {t})" for name, t in TRIP_CASTS.items() if name in have})
+    picked.update({name: f"`{name}`" for name in keep if name not in picked})
     trips = valid_trips(bronze.selectExpr(*[f"{text} as {name}" for name, text in picked.items()]))
     stamp = F.current_timestamp() if run_ts is None else F.lit(run_ts).cast("timestamp")
     return trips.withColumns(

@@ -6,9 +6,11 @@ Layers hand over through tables, so each can be run again on its own. Only this
 from __future__ import annotations
 
 import datetime as dt
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from citylake import schemas
 from citylake.operators.conform import conform_trips, with_audit
@@ -22,17 +24,20 @@ from citylake.operators.joins import sensor_measurements
 from citylake.operators.quality import gate, quality_report, run_suite, suite_status, weather_rules
 from citylake.operators.series import forward_fill_bucketed
 from citylake.plans.dimensions import dim_date, dim_fx, dim_gdp, dim_zone, weather_forecast
-from citylake.session import path_bytes, session_for, size_for
+from citylake.session import path_bytes, sized
 from citylake.sources import files
 from citylake.sources.calendar import calendar
+from citylake.sources.manifest import SLOT
 from citylake.sources.sinks import (
     export_top_n,
     overwrite_enforced,
+    overwrite_partitions,
     overwrite_table,
     promote,
     write_report,
 )
-from citylake.streaming import ingest_drifting_stream, read_drifting
+from citylake.sources.store import WideningTable, exists, read_text, write_text
+from citylake.streaming import ingest_drifting_stream
 
 
 @dataclass(frozen=True)
@@ -63,9 +68,29 @@ def run_bronze(spark: SparkSession, at: Landing, run_ts: dt.datetime | None = No
     overwrite_table(files.read_fx(spark, at.fx), "bronze_fx")
 
 
+def conform_new_trips(spark: SparkSession, at: Landing, run_ts: dt.datetime | None = None) -> None:
+    """Conform the trips of the slots that new loads have rows for; all other slots of the table stay as they are.
+
+    The table is partitioned by slot. It is built anew where it is missing or its columns have changed. What has been
+    conformed is noted after the table is written, so a run that breaks off is made up for by the next.
+    """
+    name, note = "silver_nyc_taxi", f"{at.bronze_trips}/_conformed.json"
+    bronze = WideningTable(spark, at.bronze_trips, SLOT)
+    loads = bronze.loads()
+    trips = conform_trips(bronze.read(), run_ts, keep=SLOT)
+    same = spark.catalog.tableExists(name) and set(spark.table(name).columns) == set(trips.columns)
+    done = set(json.loads(read_text(spark, note))) if same and exists(spark, note) else set()
+    if not done:
+        overwrite_table(trips, name, SLOT)
+    elif new := [load for load in loads if load not in done]:
+        changed = bronze.read(with_load=True).filter(F.col("load").isin(new)).select(*SLOT).distinct()
+        overwrite_partitions(trips.join(changed, SLOT, "left_semi"), name, SLOT)
+    write_text(spark, note, json.dumps(loads))
+
+
 def run_silver(spark: SparkSession, at: Landing, run_ts: dt.datetime | None = None) -> None:
     """Conform the raw tables."""
-    overwrite_table(conform_trips(read_drifting(spark, at.bronze_trips), run_ts), "silver_nyc_taxi")
+    conform_new_trips(spark, at, run_ts)
     overwrite_enforced(dim_zone(spark.table("bronze_taxi_zone")), "silver_dim_zone", schemas.DIM_ZONE)
     overwrite_enforced(dim_gdp(spark.table("bronze_gdp")), "silver_gdp", schemas.DIM_GDP)
     fx = dim_fx(spark.table("bronze_fx"), fill=forward_fill_bucketed)
@@ -122,10 +147,9 @@ def run_daily(
     max_rate: float = 0.01,
 ) -> DataFrame:
     """All layers in order. A failed gate raises before the star is touched. Gives the quality report."""
-    spark = session_for(spark)
-    size_for(spark, path_bytes(spark, at.trips))
-    run_bronze(spark, at, run_ts)
-    run_silver(spark, at, run_ts)
-    report = check_silver(spark, max_rate)
-    run_gold(spark, start, end)
+    with sized(spark, path_bytes(spark, at.trips)):
+        run_bronze(spark, at, run_ts)
+        run_silver(spark, at, run_ts)
+        report = check_silver(spark, max_rate)
+        run_gold(spark, start, end)
     return report

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -95,6 +97,21 @@ def size_for(
     return wanted, max(split, wanted_split)
 
 
+@contextmanager
+def sized(spark: SparkSession, input_bytes: int) -> Iterator[None]:
+    """For a run that acts: the session fits the input and gives the library's results, and is as before afterwards."""
+    keys = [
+        "spark.sql.session.timeZone", "spark.sql.ansi.enabled", "spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes",
+    ]
+    before = {key: spark.conf.get(key) for key in keys}
+    try:
+        size_for(prepare(spark), input_bytes)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def _bytes(text: str) -> int:
     """Number of bytes of a setting such as ``134217728b`` or ``128MB``."""
     number = text.lower().rstrip("b")

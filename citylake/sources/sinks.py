@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from citylake.operators.ordering import ordered
-from citylake.schemas import enforce_schema
+from citylake.schemas import SchemaMismatch, enforce_schema
 from citylake.sources.store import write_text
 
 
@@ -38,6 +38,20 @@ def overwrite_table(df: DataFrame, name: str, partition_by: Sequence[str] = ())
     balanced(df, partition_by).write.mode("overwrite").partitionBy(*partition_by).saveAsTable(name)
 
 
+def overwrite_partitions(df: DataFrame, name: str, partition_by: Sequence[str]) -> None:
+    """Replace the partitions of a table that ``df`` has rows for; the others stay. Columns must be the table's."""
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(name) or set(spark.table(name).columns) != set(df.columns):
+        raise SchemaMismatch(f"{name} does not have the columns {df.columns}")
+    key = "spark.sql.sources.partitionOverwriteMode"  # inserting into a table heeds the session's setting only
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        balanced(df.select(*spark.table(name).columns), partition_by).write.insertInto(name, overwrite=True)
+    finally:
+        spark.conf.set(key, before)
+
+
 def overwrite_enforced(df: DataFrame, name: str, schema: T.StructType) -> None:
     """Replace the rows of a table whose schema is fixed; raises before writing on a mismatch."""
     overwrite_table(enforce_schema(df, schema), name)

@@ -124,16 +124,22 @@ class WideningTable:
         out = f"{self.path}/version={version}/load={name}"
         conformed_to(rows, new).write.mode("overwrite").partitionBy(*self.slot).parquet(out)
 
-    def read(self) -> DataFrame:
-        """All rows, in the newest schema."""
+    def loads(self) -> list[str]:
+        """Names of all loads."""
+        found = [names(self.spark, f"{self.path}/version={v}") for v in self.versions()]
+        return sorted(n.removeprefix("load=") for part in found for n in part if n.startswith("load="))
+
+    def read(self, with_load: bool = False) -> DataFrame:
+        """All rows, in the newest schema; ``with_load`` adds the name of each row's load."""
         versions, parts = self.versions(), []
         if not versions:
             raise ValueError(f"nothing has been loaded to {self.path}")
-        newest = self.schema(versions[-1])
+        load = [T.StructField("load", T.StringType())]
+        newest = T.StructType([*self.schema(versions[-1]).fields, *(load if with_load else [])])
         for version in versions:
             root = f"{self.path}/version={version}"
             if exists(self.spark, root):
-                own = T.StructType([*self.schema(version).fields, T.StructField("load", T.StringType())])
+                own = T.StructType([*self.schema(version).fields, *load])
                 parts.append(conformed_to(self.spark.read.schema(own).parquet(root), newest))
         return union_conformed(*parts)
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from citylake import schemas
 from citylake.operators.quality import QualityGateError
-from citylake.plans.layers import Landing, run_daily, run_weather
+from citylake.plans.layers import Landing, conform_new_trips, run_bronze, run_daily, run_weather
 from citylake.session import build_session, staging_path
 from citylake.sources.manifest import slot_path
 from citylake.sources.sinks import read_evolving
@@ -199,5 +199,26 @@ def test_weather_branch(spark, landing, tmp_path):
 
 
 def test_staging_lies_below_the_configured_folder(spark):
-    assert staging_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+    assert spark.conf.get("spark.checkpoint.dir") in staging_path(spark, "x")
     assert build_session("again").conf.get("spark.sql.session.timeZone") == "UTC"
+
+
+def test_a_new_month_rewrites_that_month_only(spark, landing):
+    def files_of(month):
+        rows = spark.table("silver_nyc_taxi").filter(F.col("month") == month)
+        return sorted({r[0] for r in rows.select(F.col("_metadata.file_path")).collect()})
+
+    spark.sql("drop table if exists silver_nyc_taxi")
+    run_bronze(spark, landing, RUN)
+    conform_new_trips(spark, landing, RUN)
+    first = files_of("01"), files_of("02")
+    land_trips(spark, landing.trips, "green", 2, [2.0] * 3)
+    land_trips(spark, landing.trips, "green", 3, [1.0] * 4)
+    run_bronze(spark, landing, RUN)
+    conform_new_trips(spark, landing, RUN)
+    assert files_of("01") == first[0] and files_of("02") != first[1] and files_of("03")
+    partly = values(spark.table("silver_nyc_taxi"))
+    spark.sql("drop table silver_nyc_taxi")
+    conform_new_trips(spark, landing, RUN)
+    assert values(spark.table("silver_nyc_taxi").select(*[c for c in spark.table("silver_nyc_taxi").columns])) == partly
+    assert len(partly) == 47
