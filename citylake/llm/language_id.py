@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from citylake.llm.bigru import Reader, Weights, train
-from citylake.llm.common import ship, text_of, whole_rows
+from citylake.llm.common import ship, whole_rows
 
 UNKNOWN = "und"
 FOLDS = 5
