@@ -1,12 +1,13 @@
 """Personal data: four fixed patterns, and terms that give a protected entity away.
 
-An entity is a value the fixed patterns find. The corpus says how much a term near it reveals: their pointwise
-mutual information over the entity's own information content, counted in documents over the whole corpus. The
-quotient is 1 for a term that occurs with the entity only. In documents that hold the entity, terms of its context
-above one threshold are generalised, above a higher one removed, wherever they stand.
-
-Per document, only entities, their contexts' terms and places go on; texts are never shuffled. Counts combine
-before the shuffle.
+An entity is a value the fixed patterns find. The corpus says how much a term reveals of it: their pointwise
+mutual information over the entity's own information content, counted in whole documents over the whole corpus. The
+quotient is 1 for a term that occurs with the entity only. Terms above one threshold are generalised, above a
+higher one removed, in all documents and wherever they stand: in one without the entity they still point to it.
+
+An entity in fewer documents than a pair must share has no such pair, so only the distinct words of documents with
+more frequent entities are paired. The terms found go to the workers, if they are few enough, and the texts are
+read where they lie. Counts combine before the shuffle.
 """
 
 from __future__ import annotations
@@ -23,14 +24,16 @@ from citylake.llm.common import ship, staged, text_of, whole_rows
 ship(__name__)
 
 KINDS = ["email", "ip", "card", "phone"]
-# Words on either side of an entity that count as its context, and the shortest of them.
-CONTEXT_WORDS, TERM_CHARS = 5, 3
+# Characters of the shortest word that is a term.
+TERM_CHARS = 3
 # Documents that must hold both, before their number says anything.
 MIN_DOCUMENTS = 3
 # Share of an entity's information that a term may reveal before it is generalised, or removed.
 GENERALISE, REMOVE = 0.8, 0.95
 # Characters of text whose terms a worker counts before it passes the counts on.
 COUNTED_CHARS = 32 * 1024 * 1024
+# Disclosing terms, and bytes of them, that every worker can hold; with more, words and terms are joined.
+HELD_TERMS, HELD_BYTES = 200_000, 8 * 1024 * 1024
 
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -42,7 +45,9 @@ DIGIT = re.compile(r"[0-9]")
 WORD = re.compile(r"\w+")
 
 SPAN = "struct<rank:int,start:int,end:int,kind:string>"
-FOUND = f"doc_id bigint, key bigint, base array<{SPAN}>, terms array<struct<entity:bigint,term:string,starts:array<int>>>"
+FOUND = "entities array<bigint>, terms array<string>"
+JUDGED = f"doc_id bigint, key bigint, base array<{SPAN}>, spans array<{SPAN}>"
+SPELLED = f"doc_id bigint, key bigint, base array<{SPAN}>, words array<struct<term:string,starts:array<int>>>"
 
 
 def emails(text: str) -> Iterator[tuple[int, int]]:
@@ -92,44 +97,65 @@ def lowered(word: str) -> str:
     return low if len(low) == len(word) else word
 
 
-def contexts(text: str, spans: list) -> list[tuple[int, str, list[int]]]:
-    """``(entity, term, all places of the term)`` for terms within ``CONTEXT_WORDS`` words of an entity."""
-    from bisect import bisect_left
-
-    import xxhash
-
-    if not spans:
-        return []
-    words = [(m.start(), m.end(), lowered(m[0])) for m in WORD.finditer(text)]
-    starts = [w[0] for w in words]
-    near = {}
-    for _, start, end, entity in spans:
-        low = bisect_left(starts, start)
-        high = bisect_left(starts, end)
-        before = [w for w in words[max(0, low - CONTEXT_WORDS) : low] if w[1] <= start]
-        terms = near.setdefault(xxhash.xxh64_intdigest(entity.encode()) - (1 << 63), set())
-        terms.update(w[2] for w in before + words[high : high + CONTEXT_WORDS] if len(w[2]) >= TERM_CHARS)
-    wanted, places = set().union(*near.values()), {}
-    for start, _, term in words:
-        if term in wanted:
-            places.setdefault(term, []).append(start)
-    return [(entity, term, places[term]) for entity, terms in near.items() for term in sorted(terms)]
+def free_words(text: str, spans: list) -> dict[str, list[int]]:
+    """All places of every term that do not overlap a base span."""
+    taken, places, k = sorted((start, end) for _, start, end, _ in spans), {}, 0
+    reach = []  # furthest end of the spans so far
+    for _, end in taken:
+        reach.append(max(end, reach[-1]) if reach else end)
+    for m in WORD.finditer(text):
+        while k < len(taken) and taken[k][0] < m.end():
+            k += 1
+        if len(m[0]) >= TERM_CHARS and not (k and reach[k - 1] > m.start()):
+            places.setdefault(lowered(m[0]), []).append(m.start())
+    return places
 
 
 def _found(batches: Iterator) -> Iterator:
     import pyarrow as pa
+    import xxhash
 
-    span = pa.struct([("rank", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string())])
-    term = pa.struct([("entity", pa.int64()), ("term", pa.string()), ("starts", pa.list_(pa.int32()))])
     for batch in batches:
-        base, terms = [], []
+        entities, terms = [], []
         for text in batch.column("text"):
             text = text.as_py()
-            spans = base_spans(text)
-            base.append([(k, s, e, KINDS[k]) for k, s, e, _ in spans])
-            terms.append(contexts(text, spans))
-        columns = [batch.column("doc_id"), batch.column("key"), pa.array(base, pa.list_(span)), pa.array(terms, pa.list_(term))]
-        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "base", "terms"])
+            if spans := base_spans(text):
+                entities.append([xxhash.xxh64_intdigest(e.encode()) - (1 << 63) for e in {s[3] for s in spans}])
+                terms.append(list(free_words(text, spans)))
+        columns = [pa.array(entities, pa.list_(pa.int64())), pa.array(terms, pa.list_(pa.string()))]
+        yield pa.RecordBatch.from_arrays(columns, ["entities", "terms"])
+
+
+def _judged(removed: dict[str, bool] | None):
+    """Base spans of every row, with those of the given terms, or (None) with all its words and their places."""
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        span = pa.struct([("rank", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string())])
+        word = pa.struct([("term", pa.string()), ("starts", pa.list_(pa.int32()))])
+        marks = {False: (len(KINDS), "generalise"), True: (len(KINDS) + 1, "remove")}
+        for batch in batches:
+            base, more = [], []
+            for text in batch.column("text"):
+                text = text.as_py()
+                found = base_spans(text)
+                base.append([(k, s, e, KINDS[k]) for k, s, e, _ in found])
+                if removed is None:
+                    more.append(list(free_words(text, found).items()))
+                    continue
+                spans = list(base[-1])
+                if removed and any(lowered(w) in removed for w in set(WORD.findall(text))):
+                    for term, starts in free_words(text, found).items():
+                        if term in removed:
+                            rank, kind = marks[removed[term]]
+                            spans += [(rank, start, start + len(term), kind) for start in starts]
+                more.append(sorted(spans))
+            last = pa.array(more, pa.list_(word if removed is None else span))
+            columns = [batch.column("doc_id"), batch.column("key"), pa.array(base, pa.list_(span)), last]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "base", "words" if removed is None else "spans"])
+
+    return run
 
 
 def _term_counts(batches: Iterator) -> Iterator:
@@ -154,16 +180,23 @@ def _term_counts(batches: Iterator) -> Iterator:
 
 
 def find(docs: DataFrame) -> DataFrame:
-    """One stored row per document: ``row_id``, ``doc_id``, ``key`` of the text, ``base`` spans, context ``terms``."""
-    rows = docs.select(F.col("doc_id").cast("bigint"), F.xxhash64("text").alias("key"), text_of().alias("text"))
-    return staged(rows.mapInArrow(_found, FOUND).withColumn("row_id", F.monotonically_increasing_id()), "pii")
+    """One stored row per document with entities: ``row_id``, its distinct ``entities`` and other ``terms``."""
+    found = docs.select(text_of().alias("text")).mapInArrow(_found, FOUND)
+    return staged(found.withColumn("row_id", F.monotonically_increasing_id()), "pii")
 
 
 def disclosing(docs: DataFrame, found: DataFrame, least: float = GENERALISE, documents: int = MIN_DOCUMENTS) -> DataFrame:
     """``entity``, ``term`` and ``revealed``, the share of the entity's information, from ``least`` up."""
-    total = found.count()
-    pairs = found.select(F.inline("terms")).groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both"))
-    entities = found.select(F.explode(F.expr("array_distinct(terms.entity)")).alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
+    total = docs.count()
+    held = found.select("row_id", F.explode("entities").alias("entity"))
+    entities = held.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")).filter(F.col("n_entity") >= documents)
+    pairs = (
+        found.select("row_id", "terms")
+        .join(held.join(entities, "entity").select("row_id", "entity"), "row_id")
+        .select("entity", F.explode("terms").alias("term"))
+        .groupBy("entity", "term")
+        .agg(F.count(F.lit(1)).alias("n_both"))
+    )
     counted = docs.select(text_of().alias("text")).mapInArrow(_term_counts, "term string, n bigint")
     terms = counted.groupBy("term").agg(F.sum("n").alias("n_term"))
     bits = F.log2(F.col("n_both") * float(total) / (F.col("n_entity").cast("double") * F.col("n_term")))
@@ -177,23 +210,26 @@ def disclosing(docs: DataFrame, found: DataFrame, least: float = GENERALISE, doc
     )
 
 
-def spans(docs: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE, documents: int = MIN_DOCUMENTS) -> DataFrame:
+def spans(docs: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE, documents: int = MIN_DOCUMENTS, held_terms: int = HELD_TERMS) -> DataFrame:
     """``doc_id``, ``key``, ``base`` and ``spans`` (base and disclosing terms, by kind, then start) of every row.
 
     A span is ``(rank, start, end, kind)`` in code points; kinds beyond the base are ``generalise`` and ``remove``.
-    Terms that overlap a base span are left to it. Null and empty texts have no spans. Rows that repeat a
-    ``doc_id``, or have none, are judged each, and count as documents each. An entity that every document holds
-    has no information to give away. No documents give no rows.
+    A term counts in every document, by the entity it reveals most of. Where it overlaps a base span it is left to
+    that. Null and empty texts have no spans. Rows that repeat a ``doc_id``, or have none, are judged each, and
+    count as documents each. An entity that every document holds has no information to give away. No documents give
+    no rows.
     """
-    found = find(docs)
-    revealing = staged(disclosing(docs, found, generalise, documents), "disclosing")
-    here = found.select("row_id", F.inline("terms"))
-    removed = F.col("revealed") >= remove
-    # A pair of entity and term that very many documents share meets one row; AQE splits its documents.
+    pairs = disclosing(docs, find(docs), generalise, documents)
+    terms = staged(pairs.groupBy("term").agg((F.max("revealed") >= remove).alias("removed")), "disclosing")
+    rows = docs.select(F.col("doc_id").cast("bigint"), F.xxhash64("text").alias("key"), text_of().alias("text"))
+    n, size = terms.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("term")), F.lit(0))).first()
+    if n <= held_terms and size <= HELD_BYTES:
+        return rows.mapInArrow(_judged({r["term"]: r["removed"] for r in terms.collect()}), JUDGED)
+    # A term that very many documents hold meets one row; AQE splits its documents.
+    spelled = staged(rows.mapInArrow(_judged(None), SPELLED).withColumn("row_id", F.monotonically_increasing_id()), "spelled")
     hits = (
-        here.join(revealing, ["entity", "term"])
-        .groupBy("row_id", "term")
-        .agg(F.max(removed).alias("removed"), F.first("starts").alias("starts"))
+        spelled.select("row_id", F.inline("words"))
+        .join(terms, "term")
         .select("row_id", F.explode("starts").alias("start"), "term", "removed")
         .groupBy("row_id")
         .agg(F.collect_list(F.struct(
@@ -202,12 +238,8 @@ def spans(docs: DataFrame, generalise: float = GENERALISE, remove: float = REMOV
             F.when(F.col("removed"), F.lit("remove")).otherwise(F.lit("generalise")).alias("kind"),
         ).cast(SPAN)).alias("more"))
     )
-    free = lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"]))
-    none = F.array().cast(f"array<{SPAN}>")
-    more = F.filter(F.coalesce("more", none), free)
-    return found.join(hits, "row_id", "left").select(
-        "doc_id", "key", "base", F.array_sort(F.concat("base", more)).alias("spans")
-    )
+    more = F.coalesce("more", F.array().cast(f"array<{SPAN}>"))
+    return spelled.join(hits, "row_id", "left").select("doc_id", "key", "base", F.array_sort(F.concat("base", more)).alias("spans"))
 
 
 def digest_columns(found: DataFrame) -> DataFrame:

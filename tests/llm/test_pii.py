@@ -62,6 +62,31 @@ def test_disclosing_terms(spark):
     assert abs(revealed["zorblax"] - 1) < 1e-9 and abs(revealed["writes"]) < 0.1
 
 
+def distant(spark):
+    """Quuxley is in every document of one address, six words off or more, and in one without it."""
+    far = "with one two three four five six seven words between"
+    rows = [(i, f"Quuxley {far} then ann@example.com number {i}") for i in range(4)]
+    rows += [(10 + i, f"nobody {far} then bob{i}@example.com number {i}") for i in range(300)]
+    return docs_of(spark, rows + [(1000, "Here QUUXLEY is alone"), (1001, "write to quuxley@example.com today")])
+
+
+def test_terms_far_from_the_entity_and_without_it(spark):
+    for more in ({}, {"held_terms": 0}):
+        found = {r["doc_id"]: r["spans"] for r in pii.digest_columns(pii.spans(distant(spark), generalise=0.5, remove=0.9, **more)).collect()}
+        assert len(found) == 306
+        assert found[0] == "email:66:81,remove:0:7"
+        assert found[1000] == "remove:5:12" and found[10].startswith("email:") and "," not in found[10]
+        assert found[1001] == "email:9:28"  # the base span keeps its own words
+
+
+def test_near_terms_are_masked_in_other_documents(spark):
+    rows = [(i, f"now Zorblax writes from ann@example.com about number {i}") for i in range(5)]
+    rows += [(10 + i, f"someone now writes from bob{i}@example.com about number {i}") for i in range(40)]
+    rows += [(60, "ann@example.com one two three four five six seven Zorblax"), (61, "we met zorblax there")]
+    found = {r["doc_id"]: r["spans"] for r in pii.digest_columns(pii.spans(docs_of(spark, rows), generalise=0.5)).collect()}
+    assert found[60].endswith(":50:57") and found[61].endswith("e:7:14")
+
+
 def test_sanitise(spark):
     docs = clashing(corpus(spark), "key", "spans", "clean", "doc")
     out = pii.sanitise(docs)
