@@ -46,7 +46,8 @@ class WordEncoder:
     A token never spans the place before a space that a visible character follows: white space before it is split
     off, and the space goes with the word. So a text's ids are those of its words, each with the space before
     it, and every distinct word of a block of texts is encoded once. Texts with a space that is followed by white
-    space or by nothing are encoded whole.
+    space or by nothing are encoded whole, and so are those with the literal of an added token (as <|endoftext|>),
+    which the tokenizer takes out before it looks at words.
     """
 
     def __init__(self, path: str):
@@ -58,12 +59,13 @@ class WordEncoder:
 
         self.np = np
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = {number: token.content for number, token in self.tokenizer.get_added_tokens_decoder().items()}
+        self.literals = [content for content in added.values() if content]
         vocabulary = self.tokenizer.get_vocab()
         # A byte-level token is spelled with one character for each byte it stands for.
         self.token_bytes = np.zeros(max(vocabulary.values()) + 1, "i4")
         for token, number in vocabulary.items():
-            self.token_bytes[number] = len(token)
+            self.token_bytes[number] = len(added[number].encode()) if number in added else len(token)
 
     def _encode(self, texts: list[str]) -> list:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -75,7 +77,10 @@ class WordEncoder:
 
         np, found = self.np, [self.np.zeros(0, "u4")]
         for i in range(0, len(words), WORDS_AT_ONCE):
-            found += self._encode([" " + " ".join(words.slice(i, WORDS_AT_ONCE).to_pylist())])
+            joined = " " + " ".join(group := words.slice(i, WORDS_AT_ONCE).to_pylist())
+            # Words of different texts may spell a literal that has a space in it.
+            mixed = any(x in joined for x in self.literals)
+            found += self._encode([" " + w for w in group] if mixed else [joined])
         flat = np.concatenate(found)
         ends = np.cumsum(self.token_bytes[flat])
         word_ends = np.cumsum(pc.binary_length(words).to_numpy() + 1)
@@ -95,6 +100,8 @@ class WordEncoder:
         odd_word = odd_word.to_numpy(zero_copy_only=False)
         codes = coded.indices.to_numpy()
         odd = np.add.reduceat(np.r_[odd_word[codes], False].astype("i4"), offsets[:-1]) > 0 if len(texts) else np.zeros(0, bool)
+        for literal in self.literals:
+            odd |= pc.match_substring(texts, literal).to_numpy(zero_copy_only=False)
         used = np.zeros(len(odd_word), bool)
         inner = np.repeat(~odd, np.diff(offsets))
         inner[offsets[:-1]] = False  # first words follow no space

@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 
 from citylake.llm import packing as pk
-from tests.llm.fixtures import clashing, documents, empty_documents, odd_documents, texts
+from tests.llm.fixtures import clashing, docs_of, documents, empty_documents, odd_documents, texts
 
 ODD = ["", " ", "a", " a", "a ", "a  b", "a\n b", "a \nb", "x\n\n y", "it's  a\t b's", "　 x", " \n a",
        "<|endoftext|> a <|endoftext|>", "a\x1c b", "a\x85 b 日本 語", "\x00 a", "tab\t x", "end\n"]
@@ -24,6 +24,29 @@ def test_ids_are_the_tokenizers(spark, encoder):
     assert [list(x) for x in encoder.encode(pa.array(every))] == want
 
 
+def test_ids_are_those_of_default_settings(spark, encoder):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(pk.tokenizer_path())
+    every = ODD + ["a <|endoftext|> b", "<|endoftext|>", "one two<|endoftext|>three four", "<|endoftext|", "b a"] + list(texts(spark).values())
+    want = [plain.encode(x, add_special_tokens=False).ids for x in every]
+    got = [list(x) for x in encoder.encode(pa.array(every))]
+    assert got == want and got[len(ODD)] == [64, 220, 50256, 275]
+    row = pk.pack(docs_of(spark, [(1, "a <|endoftext|> b")])).first()
+    assert row["length"] == 5 and row["ids_crc32"] == zlib.crc32(np.array([64, 220, 50256, 275, 0], "<u4").tobytes())
+
+
+def test_added_tokens_with_spaces(tmp_path):
+    from tokenizers import AddedToken, Tokenizer
+
+    more = Tokenizer.from_file(pk.tokenizer_path())
+    more.add_tokens([AddedToken("é end", normalized=False), AddedToken("<x>", normalized=False)])
+    more.save(path := str(tmp_path / "more.json"))
+    every = ["a é", "b end é", "b <x> c", "an é end here", "the end <x>é end", "c é é", "end a end"]
+    want = [x.ids for x in Tokenizer.from_file(path).encode_batch(every, add_special_tokens=False)]
+    assert [list(x) for x in pk.WordEncoder(path).encode(pa.array(every))] == want
+
+
 @pytest.mark.parametrize("seed", range(12))
 def test_plan_is_best_fit_decreasing_one_by_one(seed):
     rnd = random.Random(seed)
