@@ -11,6 +11,9 @@ from dataclasses import dataclass, fields
 
 from citylake.llm.common import ship
 
+# Probabilities (positions of windows times classes) that a worker holds at once.
+BLOCK_CELLS = 4 * 1024 * 1024
+
 ship(__name__)
 
 
@@ -187,6 +190,7 @@ class Reader:
     def pooled(self, texts: list[bytes], t_max: int = 256, block: int = 1024):
         """(N, K) mean over all positions of each text; texts are cut into windows that are read by themselves."""
         np = self.np
+        block = max(1, min(block, BLOCK_CELLS // (t_max * len(self.out_bias))))
         sums = np.zeros((len(texts), len(self.out_bias)))
         sizes = np.array([len(x) for x in texts], "i8")
         counts = -(-sizes // t_max)

@@ -18,13 +18,16 @@ from citylake.llm.common import ship, whole_rows
 
 UNKNOWN = "und"
 FOLDS = 5
-# The fit uses the most frequent languages, about so many documents of each, and so many windows per document.
-MAX_LANGUAGES, DOCS_PER_LANGUAGE, WINDOWS_PER_DOC = 64, 600, 3
+# The fit uses every language, about so many documents of each, and so many windows per document. With very many
+# languages there are fewer documents of each, so that their windows stay small enough for the driver.
+DOCS_PER_LANGUAGE, WINDOWS_PER_DOC = 600, 3
+DOCS_IN_ALL, LEAST_PER_LANGUAGE = 64 * DOCS_PER_LANGUAGE, 20
 TRAIN_BYTES = 64
 # Bytes of text that a task reads at once.
 BLOCK_BYTES = 4 * 1024 * 1024
-# Below this the pipeline does not trust a prediction.
-MIN_SCORE = 0.35
+# The pipeline does not trust a prediction whose score is nearer to chance than to the score that all but this share of
+# the training windows reach, each language counting the same; so many windows are looked at.
+DOUBTED, CALIBRATED = 0.005, 20_000
 
 ship(__name__)
 
@@ -33,6 +36,7 @@ ship(__name__)
 class Model:
     languages: list[str]
     weights: Weights | None
+    min_score: float = 0.0
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -41,26 +45,51 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def sample(docs: DataFrame, per_language: int = DOCS_PER_LANGUAGE, windows: int = WINDOWS_PER_DOC) -> tuple[list[str], list]:
-    """Languages, and ``(language, text)`` windows at hashed places of documents drawn by hash; bounded by arguments."""
+    """Languages, and ``(language, text)`` windows at hashed places of documents drawn by hash.
+
+    All languages count, however many and however rare; their documents are bounded by arguments. The document
+    with the smallest draw is always there, so no language is without windows.
+    """
     known = docs.filter(~held_out() & F.col("lang").isNotNull() & (F.length("text") > 0)).select("doc_id", "text", "lang")
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    known = known.withColumn("draw", F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)))
+    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("count"), F.min("draw").alias("first")).collect()
     languages = sorted(r["lang"] for r in counts)
-    shares = [(r["lang"], min(1.0, 1.2 * per_language / r["count"])) for r in counts]
-    drawn_by = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))
-    chosen = (
-        known.join(F.broadcast(docs.sparkSession.createDataFrame(shares, "lang string, share double")), "lang")
-        .withColumn("draw", drawn_by)
-        .filter(F.col("draw") < F.col("share") * (1 << 30))
-        .orderBy("draw", "doc_id")
-        .limit(2 * per_language * max(1, len(languages)))
-    )
+    if not languages:
+        return [], []
+    per_language = min(per_language, max(LEAST_PER_LANGUAGE, DOCS_IN_ALL // len(languages)))
+    below = [(r["lang"], max(r["first"] + 1, int(min(1.0, 1.2 * per_language / r["count"]) * (1 << 30)))) for r in counts]
+    bounds = F.broadcast(docs.sparkSession.createDataFrame(below, "lang string, below long"))
     at = [F.pmod(F.xxhash64("text", F.lit(k)), F.greatest(F.length("text") - TRAIN_BYTES, F.lit(1))) for k in range(windows)]
     parts = F.array(*[F.substring("text", (a + 1).cast("int"), F.lit(TRAIN_BYTES)) for a in at])
-    return languages, [(r["lang"], r["part"]) for r in chosen.select("lang", F.explode(parts).alias("part")).collect()]
+    chosen = known.join(bounds, "lang").filter(F.col("draw") < F.col("below")).select("lang", "draw", parts.alias("parts"))
+    # Copies of a row have one draw, and would all be drawn.
+    drawn = sorted(chosen.dropDuplicates(["lang", "draw"]).collect(), key=lambda r: (r["draw"], r["lang"]))
+    return languages, [(r["lang"], part) for r in drawn for part in r["parts"]]
+
+
+def trusted_from(weights: Weights, windows, labels) -> float:
+    """Halfway from chance to the score that all but ``DOUBTED`` of the windows reach, each class counting the same.
+
+    Whole texts are noisier than windows the network has learned from, hence not that score itself. A single class
+    is always predicted with certainty, and nothing can be told from it.
+    """
+    import numpy as np
+
+    if (classes := len(weights.out_bias)) == 1:
+        return 0.0
+    some = np.random.default_rng(5).permutation(len(windows))[:CALIBRATED]
+    scores = Reader(weights).pooled([w.tobytes() for w in windows[some]]).max(1)
+    each = 1 / np.bincount(labels[some])[labels[some]]
+    order = np.argsort(scores)
+    share = np.cumsum(each[order]) / each.sum()
+    return float(scores[order][np.searchsorted(share, DOUBTED)] + 1 / classes) / 2
 
 
 def fit(docs: DataFrame, **training) -> Model:
-    """Network fitted on labelled documents that are not held out; no such documents, no languages."""
+    """Network fitted on labelled documents that are not held out; no such documents, no languages.
+
+    With more than eight languages the network has more units and takes more steps, unless told otherwise.
+    """
     import numpy as np
 
     languages, rows = sample(docs)
@@ -68,10 +97,12 @@ def fit(docs: DataFrame, **training) -> Model:
         return Model([], None)
     raw = [part.encode() for _, part in rows]
     windows = np.array([np.resize(np.frombuffer(x, "u1"), TRAIN_BYTES) for x in raw])
-    labels = np.array([languages.index(lang) for lang, _ in rows])
-    present = sorted(set(labels.tolist()))
-    labels = np.searchsorted(present, labels)
-    return Model([languages[k] for k in present], train(windows, labels, len(present), **training))
+    number = {lang: k for k, lang in enumerate(languages)}
+    labels = np.array([number[lang] for lang, _ in rows])
+    scale = max(1.0, len(languages) / 8)
+    training = {"size": min(32, int(8 * scale**0.5)), "steps": min(2000, int(400 * scale**0.5)), **training}
+    weights = train(windows, labels, len(languages), **training)
+    return Model(languages, weights, trusted_from(weights, windows, labels))
 
 
 def _predictions(model: Model, inside: str | None = None):
@@ -120,8 +151,9 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     return rows.mapInArrow(_predictions(model), "doc_id bigint, held_out boolean, lang_pred string, score double")
 
 
-def accepted(docs: DataFrame, model: Model, min_score: float = MIN_SCORE) -> DataFrame:
-    """Documents, with all their columns, whose language is known with at least ``min_score``."""
+def accepted(docs: DataFrame, model: Model, min_score: float | None = None) -> DataFrame:
+    """Documents, with all their columns, whose language is known with at least ``min_score``, or else the model's."""
+    min_score = model.min_score if min_score is None else min_score
     rows = whole_rows(docs)
     schema = StructType([rows.schema["doc"], StructField("lang_pred", StringType()), StructField("score", DoubleType())])
     found = rows.mapInArrow(_predictions(model, "doc"), schema)

@@ -81,3 +81,42 @@ def test_nothing_to_learn_from(spark):
     model = li.fit(empty_documents(spark))
     assert model.languages == [] and li.identify(empty_documents(spark), model).count() == 0
     assert {r["lang_pred"] for r in li.identify(docs_of(spark, [(1, "some words")]), model).collect()} == {"und"}
+
+
+def many_languages(spark, n=70, each=30):
+    """Every language has letters of its own; the rarest has one document only, copied."""
+    rows = []
+    for k in range(n):
+        letters = [chr(0x4E00 + 64 * k + j) for j in range(8)]
+        for i in range(each if k else 5):
+            word = lambda j: "".join(letters[(i * j + j + m) % 8] for m in range(4))
+            rows.append((k * 1000 + (i if k else 0), " ".join(word(j) for j in range(12 if k else 3)), f"l{k:03}", "s"))
+    return docs_of(spark, rows)
+
+
+def test_more_languages_than_64_are_learned(spark):
+    docs = many_languages(spark)
+    want = {r["lang"] for r in docs.filter(~li.held_out()).select("lang").distinct().collect()}
+    assert len(want) > 64
+    model = li.fit(docs)
+    assert set(model.languages) == want
+    rows = li.identify(docs, model).join(docs.select("doc_id", "lang").distinct(), "doc_id").filter("held_out").collect()
+    right = [r["lang_pred"] == r["lang"] for r in rows if r["lang"] in want]
+    assert sum(right) / len(right) > 0.9
+
+
+def test_copies_do_not_crowd_out_a_language(spark):
+    docs = docs_of(spark, [(1, "the same words", "aa", "s")] * 3000 + [(k, f"other words {k}", "bb", "s") for k in range(2, 40)])
+    languages, rows = li.sample(docs, per_language=5)
+    assert languages == ["aa", "bb"] and {lang for lang, _ in rows} == {"aa", "bb"} and len(rows) < 100
+
+
+def test_threshold_follows_the_classes():
+    labels = np.arange(200) % 2
+    windows = (97 + labels[:, None] + np.zeros((1, 64))).astype("u1")
+    assert 0.6 < li.trusted_from(bigru.train(windows, labels, 2, steps=60), windows, labels) < 0.75
+    blank = bigru.Weights.random(3, 64, 1)
+    for v in blank.arrays():
+        v[:] = 0
+    assert abs(li.trusted_from(blank, windows, np.arange(200) % 64) - 1 / 64) < 1e-6
+    assert li.trusted_from(bigru.Weights.random(3, 1, 1), windows, 0 * labels) == 0
