@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from citylake.llm import (
+    centroids,
+    divergence,
     exact_dedup,
     language_id,
     license_scan,
@@ -16,6 +19,7 @@ from citylake.llm import (
     quality_rules,
     secret_scan,
     simhash,
+    topk,
     url_filter,
 )
 from citylake.llm.common import table
@@ -167,3 +171,104 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return language_id.identify(docs, language_id.fit(docs))
+
+
+@query
+def op11_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+    return found.select("query_id", "rank", "vec_id", "score")
+
+
+ORACLES["op11_topk_search"] = f"""
+    with whole as (
+        select vec_id, list_transform(embedding, lambda x: floor({topk.SCALE} * x::double)) as v
+        from embeddings
+        where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    ), scored as (
+        select q.vec_id as query_id, c.vec_id, list_inner_product(q.v, c.v)::bigint as score
+        from whole q join whole c on q.vec_id <> c.vec_id where q.vec_id % 20 = 0
+    )
+    select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank, vec_id, score
+    from scored qualify rank <= {topk.K}
+"""
+
+
+@query
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_source_divergence"] = f"""
+    with docs as (
+        select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') as w
+        from documents
+    ), occurring as (
+        select lang, source, term, count(*) as n, count(distinct r) as docs
+        from (select r, lang, source, unnest(w) as term from docs) group by all
+    ), kept as (
+        select lang, term, sum(n) as total from occurring group by all having sum(docs) >= {divergence.MIN_DOCS}
+    ), groups as (select distinct lang, source from docs),
+    counted as (
+        select lang, source, term, coalesce(n, 0)::hugeint as n, total::hugeint as total
+        from groups join kept using (lang) left join occurring using (lang, source, term)
+    ), shared as (
+        select lang, source, term, n,
+            1 + ({divergence.UNIT} * (n + 1)) // (sum(n) over (partition by lang, source) + count(*) over (partition by lang, source)) as p,
+            1 + ({divergence.UNIT} * (total + 1)) // (sum(total) over (partition by lang, source) + count(*) over (partition by lang, source)) as q
+        from counted
+    ), pairs as (
+        select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // b.p) as value
+        from shared a join shared b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all
+    ), parts as (
+        select a.lang, a.source, 'pair' as part, b.source as item, coalesce(value, 0) as value
+        from groups a join groups b on a.lang = b.lang and a.source <> b.source
+        left join pairs p on p.lang = a.lang and p.source = a.source and p.item = b.source
+        union all
+        select lang, source, 'term', term, (p - q) * (p - q) // q from shared where n > 0 and p > q
+    )
+    select lang, source, part, item, value::bigint as value,
+        cast(row_number() over (partition by lang, source, part order by value desc, item) as integer) as rank
+    from parts qualify part = 'pair' or rank <= {divergence.TOP_TERMS}
+"""
+
+
+@query
+def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def _clusters_sql() -> str:
+    """Rounds written out: assignment by the sum of squared differences, then the floor of the mean of every dimension."""
+    parts = [
+        f"""whole as materialized (
+            select row_number() over () as r, vec_id,
+                list_transform(embedding, lambda x: floor({centroids.SCALE} * x::double)::bigint) as v
+            from embeddings
+            where embedding is not null and len(embedding) = {centroids.DIMS}
+                and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0)""",
+        "cells as materialized (select r, unnest(range(1, len(v) + 1)) as d, unnest(v) as x from whole)",
+        f"""chosen as (select v, row_number() over (order by sha256('{centroids.SEED}:' || vec_id), v) - 1 as c
+            from whole qualify c < {centroids.CLUSTERS})""",
+        "c0 as materialized (select c, unnest(range(1, len(v) + 1)) as d, unnest(v) as y from chosen)",
+    ]
+    for k in range(centroids.ROUNDS + 1):
+        parts.append(f"""a{k} as materialized (
+            select r, arg_min(c, (far, c)) as c, min(far) as far
+            from (select r, c, sum((x - y) * (x - y)) as far from cells join c{k} using (d) group by r, c) group by r)""")
+        if k < centroids.ROUNDS:
+            parts.append(f"""c{k + 1} as materialized (
+                select c, d, coalesce((s - ((s % n) + n) % n) // n, y) as y
+                from c{k} left join (
+                    select c, d, sum(x)::hugeint as s, count(*)::hugeint as n from cells join a{k} using (r) group by c, d
+                ) using (c, d))""")
+    last = centroids.ROUNDS
+    return f"""with {', '.join(parts)}
+        select vec_id, c::integer as cluster, far::bigint as distance, (sum(far) over (partition by c))::bigint as cluster_inertia,
+            (sum(far) over ())::bigint as inertia, centroid_sha256
+        from whole join a{last} using (r)
+        join (select c, sha256(string_agg(y::bigint::varchar, ',' order by d)) as centroid_sha256 from c{last} group by c) using (c)"""
+
+
+ORACLES["op13_centroid_clusters"] = _clusters_sql()

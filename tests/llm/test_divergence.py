@@ -1,0 +1,114 @@
+"""Source divergence against counting term by term, and odd documents."""
+
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+
+from citylake.llm import divergence
+from tests.llm.fixtures import SF, clashing, docs_of, documents, empty_documents, odd_documents
+
+COLUMNS = ["lang", "source", "part", "item", "value", "rank"]
+TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def brute(rows, min_docs=3, top=200):
+    """Rows are ``(text, lang, source)``."""
+    n, docs, groups = defaultdict(Counter), defaultdict(Counter), defaultdict(set)
+    for text, lang, source in [[x or "" for x in r] for r in rows]:
+        words = TERM.findall(text.translate(LOWER))
+        groups[lang].add(source)
+        n[lang, source].update(words)
+        n[lang].update(words)
+        docs[lang].update(set(words))
+    out = []
+    for lang in groups:
+        kept = [t for t, d in docs[lang].items() if d >= min_docs]
+
+        def share(counts):
+            total = sum(counts[t] for t in kept)
+            return {t: 1 + (10**9 * (counts[t] + 1)) // (total + len(kept)) for t in kept}
+
+        p, whole = {s: share(n[lang, s]) for s in groups[lang]}, share(n[lang])
+        f = lambda a, b: (a - b) ** 2 // b
+        for s in groups[lang]:
+            pair = [(o, sum(f(p[s][t], p[o][t]) for t in kept)) for o in groups[lang] if o != s]
+            term = [(t, f(p[s][t], whole[t])) for t in kept if n[lang, s][t] > 0 and p[s][t] > whole[t]]
+            for part, items, most in (("pair", pair, None), ("term", term, top)):
+                ranked = sorted(items, key=lambda x: (-x[1], x[0].encode()))[:most]
+                out += [(lang, s, part, i, v, rank) for rank, (i, v) in enumerate(ranked, 1)]
+    return sorted(out)
+
+
+def audited(docs, **options):
+    return sorted(tuple(r) for r in divergence.audit(docs, **options).select(*COLUMNS).collect())
+
+
+def rows_of(docs):
+    return [tuple(r) for r in docs.select("text", "lang", "source").collect()]
+
+
+def test_equals_counting_on_the_given_documents(spark):
+    docs = documents(spark, SF)
+    assert audited(docs) == brute(rows_of(docs))
+
+
+def test_small_blocks_and_narrow_matrices_give_the_same(spark, monkeypatch):
+    docs = documents(spark, SF)
+    monkeypatch.setattr(divergence, "HELD_TERMS", 50)  # counts are passed on again and again
+    assert audited(docs, block_cells=40) == brute(rows_of(docs))
+
+
+def test_odd_documents(spark):
+    docs = odd_documents(spark).unionByName(docs_of(spark, [
+        (20, "a b c", None, None), (21, "A b", None, ""), (22, "a", "", "x"), (23, None, "fr", "empty"), (24, "seul", "fr", "one"),
+        (25, "É É été", "de", "z"), (26, "É", "de", "y"), (27, "É été", "de", "x"), (28, "été b@b", "de", "x"), (29, " x  ", "de", "x"),
+    ]))
+    assert audited(docs) == brute(rows_of(docs))
+    assert audited(docs, min_docs=1, top_terms=3) == brute(rows_of(docs), 1, 3)
+
+
+def test_a_language_that_keeps_no_term_has_pairs_of_value_zero(spark):
+    docs = docs_of(spark, [(1, "only here", "en", "a"), (2, None, "en", "b")])
+    assert audited(docs) == [("en", "a", "pair", "b", 0, 1), ("en", "b", "pair", "a", 0, 1)]
+
+
+def test_hot_source_and_repeated_rows(spark):
+    r = random.Random(4)
+    rows = [(i, " ".join(r.choice("abcdefghij") * 2 for _ in range(30)), "en", "hot" if i % 3 else f"s{i % 7}") for i in range(300)]
+    docs = docs_of(spark, rows + rows[:40])
+    assert audited(docs) == brute(rows_of(docs))
+
+
+def test_empty_table_and_clashing_columns(spark):
+    assert audited(empty_documents(spark)) == []
+    docs = clashing(documents(spark, SF).limit(60), "term", "n", "total", "part", "octave", "v", "value", "p")
+    assert audited(docs) == brute(rows_of(docs))
+
+
+def test_joint_price_equals_pricing_term_by_term(monkeypatch):
+    r = np.random.default_rng(1)
+    table = r.integers(0, 9, (60, 5))
+    p = lambda g, c: 1 + 10**9 * (c + 1) // (1000 + 37 * g)
+    term, group = np.nonzero(table)
+    level = table[term, group]
+    zero = np.array([p(g, 0) for g in range(5)])
+    want = [[sum((p(a, x[a]) - p(b, x[b])) ** 2 // p(b, x[b]) for x in table) if a != b else 0 for b in range(5)] for a in range(5)]
+    for columns, cells in ((1024, 1 << 22), (7, 1 << 22), (3, 64)):
+        monkeypatch.setattr(divergence, "COLUMNS", columns)
+        monkeypatch.setattr(divergence, "MATRIX_CELLS", cells)
+        got = divergence.joint_price(term, group, level, np.array([p(g, c) for g, c in zip(group, level)]), 5, zero)
+        assert got.tolist() == want
+
+
+def test_shares_do_not_overflow(spark):
+    df = spark.createDataFrame([(10**13, 9 * 10**13, 10**7)], "c bigint, n bigint, v bigint")
+    assert df.select(divergence.share("c", "n", "v").alias("p")).first()["p"] == 1 + 10**9 * (10**13 + 1) // (9 * 10**13 + 10**7)
+    assert df.select(divergence.share("c", "n", "0").alias("p")).first()["p"] is None
+
+
+def test_plan_counts_terms_with_one_shuffle(spark):
+    plan = divergence.counts(documents(spark, SF))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(lang") == 1
