@@ -176,7 +176,8 @@ def pair_prices(cells: DataFrame, groups: DataFrame, block_cells: int = BLOCK_CE
     counts. Every block also gets its language's groups, whose count may be zero for any term.
     """
     banded = cells.withColumn("octave", F.length(F.bin("total")))
-    parts = banded.groupBy("lang", "octave").agg(F.expr(f"cast(ceil(count(*) / {block_cells}) as int)").alias("parts"))
+    sizes = banded.groupBy("lang", "octave").agg(F.expr(f"cast(ceil(count(*) / {block_cells}) as int)").alias("parts"))
+    parts = staged(sizes, "block-parts")  # its size is known to the planner, which broadcasts it only where it is small
     key = ["lang", "octave", "part"]
     dealt = banded.join(parts, ["lang", "octave"]).withColumn("part", F.expr("cast(pmod(xxhash64(term), parts) as int)"))
     priced = dealt.join(groups.withColumnRenamed("n", "group_n"), ["lang", "source"]).select(
@@ -187,7 +188,8 @@ def pair_prices(cells: DataFrame, groups: DataFrame, block_cells: int = BLOCK_CE
         *key, "source", F.lit(None).cast("string").alias("term"), F.lit(None).cast("bigint").alias("total"),
         F.lit(0).cast("bigint").alias("n"), share("0", "n", "v").alias("p"),
     )
-    blocked = priced.unionByName(zeros).groupBy(*key)
+    # Dealt by the whole key, so that the parts of one octave do not stay where a join by octave has put them.
+    blocked = priced.unionByName(zeros).repartition(*key).groupBy(*key)
     found = blocked.applyInArrow(_price_block, "lang string, source string, item string, value bigint")
     return found.groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
 
