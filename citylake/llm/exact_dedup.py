@@ -1,45 +1,89 @@
 """Exact de-duplication against a persistent index of digests.
 
-The index is a table of one row per text, bucketed and sorted by digest. A batch is reduced to one row per
+The index is a folder of one row per text, bucketed and sorted by digest, with its layout in a small file beside the
+rows; any session that opens the folder goes on where the last one stopped. A batch is reduced to one row per
 digest, joined to the index by sort-merge anti-join, and what is new is appended. The index side of that join
 is read as it lies: only the batch, some forty bytes per text, is shuffled.
 """
 
 from __future__ import annotations
 
-import uuid
+import hashlib
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citylake.llm.common import ascii_lower, staged, text_of, whole_rows
-from citylake.session import staging_path
+from citylake.session import scanned_bytes, shuffle_partitions_for, staging_path
+from citylake.sources.store import names, read_text, write_text
 
 INDEX_SCHEMA = "digest binary, keep_id bigint"
+LAYOUT = "_layout.json"
 
 
-@dataclass
+def buckets_for(docs: DataFrame) -> int:
+    """Buckets for an index of these documents: one for each 256 MB of text files, and one a shuffle partition at least."""
+    spark = docs.sparkSession
+    return shuffle_partitions_for(scanned_bytes(docs), int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+@dataclass(frozen=True)
 class DigestIndex:
-    """Digest table ``name``; ``buckets`` is fixed when the table is made (about 1 GB of index each at full size)."""
+    """Rows ``digest, keep_id`` at ``path`` in ``buckets`` buckets. Make or reopen it with :meth:`open`.
+
+    The folder is the index. A session's catalog only gets an entry for it, named after the path, because Spark reads
+    buckets through a table; :meth:`close` takes the entry away and leaves the folder.
+    """
 
     spark: SparkSession
-    name: str
-    buckets: int = 64
-    path: str | None = None
+    path: str
+    buckets: int
 
     @classmethod
-    def temporary(cls, spark: SparkSession, buckets: int = 16) -> DigestIndex:
-        """New, empty index below the shared folder."""
-        name = f"digest_index_{uuid.uuid4().hex}"
-        return cls(spark, name, buckets, staging_path(spark, name)).create()
-
-    def create(self) -> DigestIndex:
-        """Make the table unless it exists."""
-        if not self.spark.catalog.tableExists(self.name):
-            self._append(self.spark.createDataFrame([], INDEX_SCHEMA))
+    def open(cls, spark: SparkSession, path: str, buckets: int | None = None) -> DigestIndex:
+        """The index at ``path``, made where there is none (64 buckets unless told).
+
+        A number of buckets other than the one that the index was made with is refused, and so is a folder that holds
+        something else. Rows that are there stay.
+        """
+        path = path.rstrip("/")
+        held = names(spark, path)
+        if LAYOUT in held:
+            layout = json.loads(read_text(spark, f"{path}/{LAYOUT}"))["buckets"]
+            if buckets not in (None, layout):
+                raise ValueError(f"{path} has {layout} buckets, not {buckets}")
+            buckets = layout
+        elif held:
+            raise ValueError(f"{path} is not empty and no digest index")
+        else:
+            buckets = buckets or 64
+            write_text(spark, f"{path}/{LAYOUT}", json.dumps({"buckets": buckets}))
+        return cls(spark, path, buckets)._registered()
+
+    @classmethod
+    def temporary(cls, spark: SparkSession, docs: DataFrame) -> DigestIndex:
+        """New, empty index below the shared folder, with buckets for these documents."""
+        return cls.open(spark, staging_path(spark, "digest-index"), buckets_for(docs))
+
+    @property
+    def name(self) -> str:
+        return f"digest_index_{hashlib.sha256(self.path.encode()).hexdigest()[:24]}"
+
+    def _registered(self) -> DigestIndex:
+        at = self.path.replace("\\", "\\\\").replace("'", "\\'")
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {self.name} ({INDEX_SCHEMA}) USING parquet "
+            f"CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{at}'"
+        )
+        self.spark.catalog.refreshTable(self.name)  # files may have come from another session
         return self
 
+    def close(self) -> None:
+        """Take the entry out of the catalog; the rows stay at the path."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+
     def read(self) -> DataFrame:
         return self.spark.table(self.name)
 
@@ -50,11 +94,8 @@ class DigestIndex:
 
     def add(self, groups: DataFrame) -> None:
         """Append what is new. Adding a batch again adds nothing."""
-        self._append(self.unseen(groups).select("digest", "keep_id"))
-
-    def _append(self, rows: DataFrame) -> None:
-        writer = rows.write.format("parquet").mode("append").bucketBy(self.buckets, "digest").sortBy("digest")
-        (writer.option("path", self.path) if self.path else writer).saveAsTable(self.name)
+        rows = self.unseen(groups).select("digest", "keep_id")
+        rows.write.format("parquet").mode("append").bucketBy(self.buckets, "digest").sortBy("digest").saveAsTable(self.name)
 
 
 def digest_of(column: str = "text"):
@@ -80,27 +121,23 @@ def batch_groups(rows: DataFrame) -> DataFrame:
     )
 
 
+def load(rows: DataFrame, index: DigestIndex) -> DataFrame:
+    """Add a batch's digests to the index. Gives its groups that the index lacked, as a written table."""
+    fresh = staged(index.unseen(batch_groups(rows)), "fresh-digests")
+    index.add(fresh)
+    return fresh
+
+
 def resolve(rows: DataFrame, index: DigestIndex) -> DataFrame:
     """Add a batch's digests to the index; per digest, the row that stays and whether it came with this batch."""
-    groups = batch_groups(rows)
-    fresh = staged(index.unseen(groups), "fresh-digests")
-    index.add(fresh)
-    entries = groups.drop("keep_id").join(index.read(), "digest").join(
+    fresh = load(rows, index)
+    entries = batch_groups(rows).drop("keep_id").join(index.read(), "digest").join(
         fresh.select("digest", F.lit(True).alias("fresh")), "digest", "left"
     )
     return staged(entries.withColumn("fresh", F.coalesce("fresh", F.lit(False))), "digest-entries")
 
 
-def annotate(docs: DataFrame, index: DigestIndex) -> DataFrame:
-    """One row per document with the id of the row that stays for its text.
-
-    Null text equals empty text. Of equal texts in one batch the largest ``doc_id`` stays; a text that an
-    earlier batch brought keeps that batch's id, and no row of the new batch stays. ``group_size`` counts the rows
-    of the batch. A null ``doc_id`` loses against any other; rows that repeat a ``doc_id`` and its text are one
-    document and all get its result. An empty batch gives no rows and leaves the index as it is.
-    """
-    rows = staged(digests(docs), "digests")
-    entries = resolve(rows, index)
+def _result(rows: DataFrame, entries: DataFrame) -> DataFrame:
     # Rows of a very frequent text meet one entry; both sides are plain shuffles, so AQE splits them.
     return rows.join(entries, "digest").select(
         "doc_id",
@@ -111,11 +148,42 @@ def annotate(docs: DataFrame, index: DigestIndex) -> DataFrame:
     )
 
 
+def annotate(docs: DataFrame, index: DigestIndex) -> DataFrame:
+    """One row per document of a batch, with the id of the row that stays for its text.
+
+    Null text equals empty text. Of equal texts in one batch the largest ``doc_id`` stays; a text that an
+    earlier batch brought keeps that batch's id, and no row of the new batch stays. ``group_size`` counts the rows
+    of the batch. A null ``doc_id`` loses against any other; rows that repeat a ``doc_id`` and its text are one
+    document and all get its result. An empty batch gives no rows and leaves the index as it is. Very long texts are
+    hashed whole. Further columns are not read.
+    """
+    rows = staged(digests(docs), "digests")
+    return _result(rows, resolve(rows, index))
+
+
+def annotate_table(docs: DataFrame, index: DigestIndex) -> DataFrame:
+    """As :func:`annotate` for a whole table and an index of its own, loaded in two batches, larger ids first.
+
+    The ids are parted in the middle of their range. The second batch meets the first in the index, where the
+    anti-join leaves its copies out; so the largest ``doc_id`` of the whole table stays, and ``group_size`` counts
+    all its rows.
+    """
+    rows = staged(digests(docs), "digests")
+    least, most = rows.agg(F.min("doc_id"), F.max("doc_id")).first()
+    upper = F.col("doc_id") > F.lit(0 if least is None else (least + most) // 2)
+    fresh = F.lit(True).alias("fresh")
+    load(rows.filter(upper), index)
+    load(rows.filter(~F.coalesce(upper, F.lit(False))), index)
+    entries = batch_groups(rows).drop("keep_id").join(index.read(), "digest").select("digest", "keep_id", "group_size", fresh)
+    return _result(rows, staged(entries, "digest-entries"))
+
+
 def deduplicate(docs: DataFrame, index: DigestIndex) -> DataFrame:
-    """The documents that stay, with all their columns; one of each text.
+    """The documents that stay, with all their columns; one of each text that the index lacked.
 
-    Where rows repeat the ``doc_id`` and text that stay, one of them is taken (one of each if they differ in
-    another column).
+    Null text equals empty text; a null ``doc_id`` loses against any other, and a text of which all rows lack an id keeps
+    one of them. Where rows repeat the ``doc_id`` and text that stay, one of them is taken (one of each if they differ in
+    another column). No documents give no rows. Columns may have any names.
     """
     entries = resolve(digests(docs), index).filter("fresh").select("digest", "keep_id", "n_keep")
     rows = whole_rows(docs, "doc_id").withColumn("digest", digest_of("doc.text"))

@@ -93,7 +93,10 @@ ORACLES["op2_license_scan"] = _license_sql()
 @query
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return exact_dedup.annotate(docs, exact_dedup.DigestIndex.temporary(spark))
+    index = exact_dedup.DigestIndex.temporary(spark, docs)
+    found = exact_dedup.annotate_table(docs, index)
+    index.close()
+    return found
 
 
 ORACLES["op3_exact_dedup"] = """
@@ -146,14 +149,13 @@ ORACLES["op7_source_mix"] = """
         select doc_id, source, part,
             ('0x' || substr(md5('mix-1:' || coalesce(doc_id::varchar, '') || ':' || part), 1, 13))::bigint::double
                 / 4503599627370496.0 as u
-        from documents join parted using (source), range(1, 100) as r(part) where part <= parts
+        from documents join (select *, unnest(range(1, parts::bigint + 1)) as part from parted) using (source)
     ), counted as (
         select doc_id, count(*)::int as n_copies
         from drawn join steps using (source) where total <= u group by doc_id
     )
     select d.*, c.copy::int as copy, n_copies, md5('mix-1:order:' || doc_id || ':' || c.copy) as shuffle_key
-    from documents d join counted using (doc_id), range(1, 1000) as c(copy)
-    where c.copy <= n_copies
+    from documents d join (select *, unnest(range(1, n_copies + 1)) as copy from counted) c using (doc_id)
 """
 
 
