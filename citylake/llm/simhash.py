@@ -51,13 +51,15 @@ def fingerprint(text: str, words_each: int = SHINGLE_WORDS, seed: int = SEED) ->
 
 
 def _fingerprint_batches(batches: Iterator) -> Iterator:
+    """The text column, which is the last, becomes its fingerprint."""
     import numpy as np
     import pyarrow as pa
 
     for batch in batches:
         found = (fingerprint(text.as_py()) for text in batch.column("text"))
         prints = np.fromiter(found, "u8", batch.num_rows).view("i8")
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(prints)], ["doc_id", "fp"])
+        names = [*batch.schema.names[:-1], "fp"]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(prints)], names)
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -165,12 +167,12 @@ def links(points: DataFrame, block: int = BLOCK_POINTS) -> DataFrame:
 
 
 def classes(prints: DataFrame) -> DataFrame:
-    """``fp`` and ``component_id``, the smallest ``doc_id`` of its component, for every fingerprint."""
+    """``fp``, ``root`` (the smallest fingerprint) and ``component_id`` (the smallest ``doc_id``) of its component, for each."""
     points = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "points")
     roots = components(links(points)).withColumnRenamed("node", "fp")
     rooted = points.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return staged(rooted.join(smallest, "root").select("fp", "component_id"), "classes")
+    return staged(rooted.join(smallest, "root").select("fp", "root", "component_id"), "classes")
 
 
 def annotate(docs: DataFrame) -> DataFrame:
@@ -188,13 +190,26 @@ def annotate(docs: DataFrame) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
-    """One document of each component stays, that of the smallest id, with all its columns.
+    """One row of each component stays, with all its columns: that of the smallest ``doc_id``, of equal ids one of them.
 
-    Rows without a ``doc_id`` stay. Rows that repeat a ``doc_id`` stay or go together: they go if the text of
-    any of them has a smaller id in its component.
+    Null text equals empty text. A row without an id stays only where its component has no row with one. Rows that repeat
+    an id are judged each by its own text, so a near copy goes and a clean text under the same id stays. Of rows that are
+    equal in every column one is taken. No documents give no rows. Columns may have any names.
     """
-    found = annotate(docs)
-    stays = found.groupBy("doc_id").agg(F.min(F.col("component_id")).alias("least"))
-    gone = stays.filter("doc_id <> least").select("doc_id")
-    rows = whole_rows(docs, "doc_id")
-    return rows.join(gone, "doc_id", "left_anti").select("doc.*")
+    # A digest of the whole row tells rows of one id apart.
+    rows = whole_rows(docs, "doc_id").select("doc", F.col("doc_id").cast("bigint"), F.xxhash64("doc").alias("row_key"))
+    keyed = rows.select("doc_id", "row_key", text_of("doc.text").alias("text"))
+    prints = staged(keyed.mapInArrow(_fingerprint_batches, "doc_id bigint, row_key bigint, fp bigint"), "fingerprints")
+    roots = classes(prints).select("fp", "root")
+    # Equal rows are one; the smallest of a component is an aggregate that combines before it shuffles.
+    rows_of = prints.groupBy("fp", "doc_id", "row_key").agg(F.count(F.lit(1)).alias("n"))
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row_key", "n")
+    of_print = rows_of.groupBy("fp").agg(F.min(order).alias("first"))
+    first = of_print.join(roots, "fp").groupBy("root").agg(F.min("first").alias("first")).select("first.*")
+    stays = staged(first.select(F.col("doc_id").alias("keep_id"), "row_key", "n"), "near-copies-kept")
+
+    def kept(number: str) -> DataFrame:
+        found = rows.join(stays.filter(number), "row_key")
+        return found.filter(F.col("doc_id").eqNullSafe(F.col("keep_id"))).select("doc.*")
+
+    return kept("n = 1").unionByName(kept("n > 1").dropDuplicates())

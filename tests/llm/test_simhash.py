@@ -96,3 +96,23 @@ def test_stage(spark):
     assert kept.columns == docs.columns
     assert sorted((r["doc_id"] for r in kept.collect()), key=str) == [1, 3, 4, None]
     assert sh.annotate(empty_documents(spark)).count() == 0 and sh.deduplicate(empty_documents(spark)).count() == 0
+
+
+def test_stage_keeps_one_row_of_each_component(spark):
+    """Ids that repeat with other texts, and rows without an id, are judged by their own text."""
+    base = " ".join(f"w{i}" for i in range(400))
+    rows = [(5, base), (5, base + " end"), (None, base + " fin"), (9, "alone unique text"), (9, base + " x")]
+    assert [(r["doc_id"], r["text"][-6:]) for r in sh.deduplicate(docs_of(spark, rows[1:3] + rows[4:])).collect()] == [(5, "99 end")]
+    kept = sorted((r["doc_id"], r["text"]) for r in sh.deduplicate(docs_of(spark, rows)).collect())
+    assert len(kept) == 2 and kept[0][0] == 5 and kept[1] == (9, "alone unique text")
+    unnamed = docs_of(spark, [(None, base), (None, base + " end"), (None, "other words here"), (None, "other words here")])
+    assert sh.deduplicate(unnamed).count() == 2
+
+
+def test_stage_against_brute_force(spark):
+    docs = documents(spark).unionByName(odd_documents(spark).withColumn("doc_id", sh.F.col("doc_id") + 1_000_000))
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    component = {(i, p): c for i, p, c in brute(rows)}
+    kept = [(r["doc_id"], r["text"]) for r in sh.deduplicate(docs).collect()]
+    assert len(kept) == len(set(component.values()))  # one component has no id at all
+    assert all(component[i, f"{plain_fingerprint(t):016x}"] == i for i, t in kept)
