@@ -32,6 +32,8 @@ LEAN_PAIRS = 20
 # Nats by which a token must be likelier as a random string.
 MIN_LOG_RATIO = 10.0
 KINDS = ["assign", "access", "hex", "markov"]
+# Elements of an array that are summed one after another.
+CHUNK = 256
 
 
 def _pairs(tokens: DataFrame) -> DataFrame:
@@ -78,61 +80,132 @@ def log_ratios(secret: DataFrame, ordinary: DataFrame) -> list[float]:
     return [s - o for a, b in zip(*tables) for s, o in zip(a, b)]
 
 
-def _found(text: str, pattern: str, kind: str, value_chars: int = 0) -> Column:
-    """Spans of all matches of a pattern, in code points; with ``value_chars``, those whose assigned value is as long.
+SPAN = "struct<start:int,rank:int,kind:string,end:int,token:string>"
 
-    The texts between the matches give the positions: their lengths and those of the matches are added up.
+
+def _running(values: str, chunk: int = CHUNK) -> Column:
+    """Running sums of a column's array of integers, each with its own value.
+
+    Growing one array by appending copies it for every element. Here it is cut into chunks: what lies before a chunk is
+    the sum of the chunks' sums, and only a chunk's own array grows.
+    """
+    zero, add = F.lit(0), lambda total, x: total + x
+    chunks = F.transform(F.sequence(zero, F.floor((F.size(values) - 1) / chunk).cast("int")), lambda j: F.slice(values, j * chunk + 1, F.lit(chunk)))
+    sums = lambda cs: F.transform(cs, lambda c: F.aggregate(c, zero, add))
+    start = lambda before: F.struct(before.alias("sum"), F.array().cast("array<int>").alias("out"))
+
+    def grow(state: Column, x: Column) -> Column:
+        return F.struct((state["sum"] + x).alias("sum"), F.concat(state["out"], F.array(state["sum"] + x)).alias("out"))
+
+    def scanned(c: Column, before: Column) -> Column:
+        return F.aggregate(c, start(before), grow, lambda state: state["out"])
+
+    # No expression over the whole array stands inside a lambda, where it would be computed for every element.
+    before = F.zip_with(scanned(sums(chunks), zero), sums(chunks), lambda total, own: total - own)
+    return F.when(F.size(values) > 0, F.flatten(F.zip_with(chunks, before, scanned))).otherwise(F.array().cast("array<int>"))
+
+
+def _spans(kind: str, value_chars: int = 0) -> Column:
+    """Spans of a kind's matches (column ``<kind>``), in code points; with ``value_chars``, those whose assigned value is as long.
+
+    The lengths of the texts between the matches (``<kind>_gaps``) and of the matches, summed up, give the ends (``<kind>_ends``).
     """
-    matches = F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0))
-    between = F.split(F.col(text), pattern, -1)
-    span = "struct<start:int,rank:int,kind:string,end:int,token:string>"
-    start = F.struct(F.lit(0).alias("pos"), F.array().cast(f"array<{span}>").alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        begin = acc["pos"] + F.length(x["b"])
-        end = begin + F.length(x["m"])
-        one = F.struct(
-            begin.alias("start"), F.lit(KINDS.index(kind)).alias("rank"), F.lit(kind).alias("kind"),
-            end.alias("end"), x["m"].alias("token"),
-        )
-        return F.struct(end.alias("pos"), F.concat(acc["out"], F.array(one)).alias("out"))
-
-    pairs = F.zip_with(F.slice(between, 1, F.size(matches)), matches, lambda b, m: F.struct(b.alias("b"), m.alias("m")))
-    spans = F.aggregate(pairs, start, step, lambda acc: acc["out"])
+    placed = F.zip_with(kind, f"{kind}_ends", lambda m, end: F.struct(
+        (end - F.length(m)).alias("start"), F.lit(KINDS.index(kind)).alias("rank"), F.lit(kind).alias("kind"), end.alias("end"), m.alias("token"),
+    ))
     if value_chars:
-        spans = F.filter(spans, lambda s: F.length(F.regexp_extract(s["token"], ASSIGN, 2)) >= value_chars)
-    return F.when(F.size(matches) > 0, spans).otherwise(F.array().cast(f"array<{span}>"))
+        placed = F.filter(placed, lambda s: F.length(F.regexp_extract(s["token"], ASSIGN, 2)) >= value_chars)
+    return placed.cast(f"array<{SPAN}>")
+
+
+def _found(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and for every kind an array of spans. Each pattern runs twice over a text: for matches and for gaps."""
+    patterns = {"assign": ASSIGN, "access": ACCESS, "hex": HEX, "markov": TOKEN % TOKEN_CHARS}
+    columns = ["doc_id", *patterns]
+    matched = docs.select("doc_id", text_of().alias("text")).select(
+        "doc_id", "text", *[F.regexp_extract_all("text", F.lit(p), F.lit(0)).alias(k) for k, p in patterns.items()]
+    )
+    gaps = {k: F.transform(F.split("text", p, -1), F.length) for k, p in patterns.items()}
+    none = F.array().cast("array<int>")
+    cut = matched.select(*columns, *[F.when(F.size(k) > 0, g).otherwise(none).alias(f"{k}_gaps") for k, g in gaps.items()])
+    # A gap's and a match's length together; the gap after the last match is left out.
+    steps = {k: F.zip_with(F.slice(f"{k}_gaps", F.lit(1), F.size(k)), k, lambda g, m: g + F.length(m)) for k in patterns}
+    stepped = cut.select(*columns, *[s.alias(f"{k}_steps") for k, s in steps.items()])
+    ended = stepped.select(*columns, *[_running(f"{k}_steps").alias(f"{k}_ends") for k in patterns])
+    return ended.select("doc_id", _spans("assign", ASSIGN_VALUE_CHARS).alias("assign"), *[_spans(k).alias(k) for k in KINDS[1:]])
+
+
+def _events(points: Column, queries: Column, points_first: bool) -> Column:
+    """Points and queries in one array, in order; at one place the points come first, or last."""
+    event = lambda kind: lambda at: F.struct(at.alias("at"), F.lit(kind).alias("kind"))
+    return F.sort_array(F.concat(F.transform(points, event(0 if points_first else 2)), F.transform(queries, event(1))))
+
+
+def _before(events: str) -> Column:
+    """For every query of ``<events>``, the number of points before it; ``<events>_sums`` runs over the points."""
+    both = F.zip_with(events, f"{events}_sums", lambda e, n: F.struct(e["kind"].alias("kind"), n.alias("n")))
+    return F.transform(F.filter(both, lambda e: e["kind"] == 1), lambda e: e["n"])
+
+
+def free_tokens(found: DataFrame) -> DataFrame:
+    """``found`` with the tokens of ``markov`` that no span of ``base`` overlaps.
+
+    Tokens are in order and do not overlap, so a token is free if as many spans start before its end as end by its start.
+    Both numbers come from sorting and a running sum: nothing is compared pair by pair.
+    """
+    kept = ["doc_id", "base", "markov"]
+    at = lambda c, end: F.transform(c, lambda s: s[end])
+    some = (F.size("base") > 0) & (F.size("markov") > 0)
+    none = F.array().cast("array<struct<at:int,kind:int>>")
+    events = {
+        "starts": _events(at("base", "start"), at("markov", "end"), points_first=False),
+        "ends": _events(at("base", "end"), at("markov", "start"), points_first=True),
+    }
+    merged = found.select(*kept, *[F.when(some, e).otherwise(none).alias(n) for n, e in events.items()])
+    point = lambda e: F.when(e["kind"] == 1, 0).otherwise(1)
+    pointed = merged.select(*kept, *events, *[F.transform(n, point).alias(f"{n}_points") for n in events])
+    summed = pointed.select(*kept, *events, *[_running(f"{n}_points").alias(f"{n}_sums") for n in events])
+    counted = summed.select(*kept, F.zip_with(_before("starts"), _before("ends"), lambda s, e: s == e).alias("clear"))
+    told = F.zip_with("markov", "clear", lambda t, clear: F.struct(t.alias("token"), F.coalesce(clear, F.lit(True)).alias("clear")))
+    clear = F.transform(F.filter(told, lambda t: t["clear"]), lambda t: t["token"])
+    return counted.select("doc_id", "base", clear.alias("markov"))
 
 
 def log_ratio(token: Column, model: Column) -> Column:
-    """Log-likelihood ratio of a token under the models."""
-    place = lambda at: F.instr(F.lit(ALPHABET), F.substring(token, at, F.lit(1))) - 1
-    size = len(ALPHABET)
-    each = lambda total, i: total + F.get(model, place(i) * size + place(i + 1))
-    return F.aggregate(F.sequence(F.lit(1), F.length(token) - 1), F.lit(0.0), each)
+    """Log-likelihood ratio of a token under the models; the token is taken apart once."""
+    places = F.transform(F.split(token, ""), lambda c: F.instr(F.lit(ALPHABET), c) - 1)
+    start = F.struct(F.lit(-1).alias("last"), F.lit(0.0).alias("sum"))
+
+    def each(state: Column, at: Column) -> Column:
+        pair = F.get(model, state["last"] * len(ALPHABET) + at)
+        return F.struct(at.alias("last"), (state["sum"] + F.when(state["last"] >= 0, pair).otherwise(0.0)).alias("sum"))
 
+    return F.aggregate(places, start, each, lambda state: state["sum"])
 
-def scan(docs: DataFrame, train_docs: int = TRAIN_DOCS, min_log_ratio: float = MIN_LOG_RATIO) -> DataFrame:
+
+def scan(
+    docs: DataFrame,
+    train_docs: int = TRAIN_DOCS,
+    min_log_ratio: float = MIN_LOG_RATIO,
+    secrets: DataFrame | None = None,
+    ordinary: DataFrame | None = None,
+) -> DataFrame:
     """``doc_id``, ``base`` (spans of the fixed patterns) and ``spans`` (those and the models'), sorted by start.
 
     A span is ``(start, rank, kind, end, token)`` in code points. Tokens that overlap a fixed pattern's span are
-    left to it. Null and empty texts have no spans; without documents to learn from, the models know random strings
-    only and judge by those. Rows that repeat a ``doc_id``, or have none, are scanned each.
+    left to it. The models learn from ``secrets`` and ``ordinary``, labelled samples with a column ``token`` of characters of
+    the alphabet, or else from made random strings and the documents' identifiers. Null and empty texts have no spans;
+    without documents to learn from, the models know random strings only and judge by those. Rows that repeat a
+    ``doc_id``, or have none, are scanned each. Time grows with a text's length and, a little faster, with its matches.
     """
     spark = docs.sparkSession
-    ratios = log_ratios(random_strings(spark), identifiers(docs, train_docs))
+    positive = secrets if secrets is not None else random_strings(spark)
+    ratios = log_ratios(positive, ordinary if ordinary is not None else identifiers(docs, train_docs))
     model = F.split(F.lit(",".join(map(repr, ratios))), ",").cast("array<double>")
-    found = docs.select("doc_id", text_of().alias("text")).select(
-        "doc_id",
-        _found("text", ASSIGN, "assign", ASSIGN_VALUE_CHARS).alias("assign"),
-        _found("text", ACCESS, "access").alias("access"),
-        _found("text", HEX, "hex").alias("hex"),
-        _found("text", TOKEN % TOKEN_CHARS, "markov").alias("tokens"),
-    )
-    base = found.select("doc_id", "tokens", F.array_sort(F.concat("assign", "access", "hex")).alias("base"))
-    free = lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"]))
-    likely = F.filter("tokens", lambda t: free(t) & (log_ratio(t["token"], model) > min_log_ratio))
-    return base.select("doc_id", "base", F.array_sort(F.concat("base", likely)).alias("spans"))
+    found = _found(docs)
+    based = found.select("doc_id", "markov", F.sort_array(F.concat("assign", "access", "hex")).alias("base"))
+    likely = F.filter("markov", lambda t: log_ratio(t["token"], model) > min_log_ratio)
+    return free_tokens(based).select("doc_id", "base", F.sort_array(F.concat("base", likely)).alias("spans"))
 
 
 def digest_columns(found: DataFrame) -> DataFrame:

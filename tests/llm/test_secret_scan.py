@@ -1,6 +1,8 @@
 import base64
 import hashlib
+import random
 import re
+import time
 
 from citylake.llm import secret_scan as ss
 from tests.llm.fixtures import clashing, docs_of, documents, empty_documents, odd_documents
@@ -62,3 +64,54 @@ def test_models_add_spans_and_leave_the_base(spark):
 def test_empty_and_clashing(spark):
     assert ss.scan(empty_documents(spark)).count() == 0
     assert ss.scan(clashing(odd_documents(spark), "base", "spans", "tokens")).count() == 11
+
+
+def test_many_matches_in_one_text_take_linear_time(spark):
+    """A hundred thousand tokens, every other one in a fixed pattern's span."""
+    digest = lambda i: hashlib.sha256(str(i).encode())
+    made = lambda i: digest(i).hexdigest()[:32] if i % 2 else base64.b64encode(digest(i).digest()).decode()[:32]
+    tokens = [made(i) for i in range(100_000)]
+    ordinary = spark.createDataFrame([(t,) for t in words_joined(random.Random(2), 500)], "token string")
+    ss.scan(docs_of(spark, [(1, "warm up")]), ordinary=ordinary).count()
+    start = time.time()
+    found = ss.digest_columns(ss.scan(docs_of(spark, [(1, " ".join(tokens))]), ordinary=ordinary)).first()
+    assert time.time() - start < 40
+    assert found["n_hex"] == 50_000 and found["spans"].count("markov") > 45_000
+    assert found["base_sha256"] == brute(1, " ".join(tokens))[-1]
+
+
+def test_running_sums_and_free_tokens(spark):
+    r = random.Random(6)
+    for n in (0, 1, 5, 700):
+        numbers = [r.randint(0, 9) for _ in range(n)]
+        df = spark.createDataFrame([(numbers,)], "x array<int>")
+        for chunk in (3, 256):
+            want = [sum(numbers[: i + 1]) for i in range(n)]
+            assert df.select(ss._running("x", chunk).alias("s")).first()["s"] == want
+    for _ in range(12):
+        cuts = sorted(r.sample(range(200), 16))
+        tokens = [(a, 3, "markov", b, "t") for a, b in zip(cuts[::2], cuts[1::2])]
+        base = sorted((a, 0, "hex", a + r.randint(1, 30), "b") for a in r.sample(range(200), r.randint(0, 6)))
+        df = spark.createDataFrame([(1, base, tokens)], f"doc_id bigint, base array<{ss.SPAN}>, markov array<{ss.SPAN}>")
+        free = [tuple(t) for t in ss.free_tokens(df).first()["markov"]]
+        assert free == [t for t in tokens if not any(b[0] < t[3] and t[0] < b[3] for b in base)]
+
+
+def words_joined(r, n):
+    """Ordinary identifiers: words of the given documents' kind, joined."""
+    syllables = ["ra", "ten", "lo", "mis", "ter", "con", "pa", "ver", "in", "da", "est", "or"]
+    word = lambda: "".join(r.choice(syllables) for _ in range(r.randint(2, 4)))
+    return ["_".join(word() for _ in range(4)) for _ in range(n)]
+
+
+def test_rates_on_held_out_samples(spark):
+    """Labelled samples are given; others of the same kinds are detected, and other identifiers left alone."""
+    r = random.Random(1)
+    key = lambda: "".join(r.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") for _ in range(24))
+    secrets = spark.createDataFrame([(key(),) for _ in range(500)], "token string")
+    ordinary = spark.createDataFrame([(t,) for t in words_joined(r, 500)], "token string")
+    samples = [key() for _ in range(300)] + words_joined(r, 300)
+    docs = docs_of(spark, [(i, f"see {t} there") for i, t in enumerate(samples)])
+    hit = {row["doc_id"]: "markov" in row["spans"] for row in ss.digest_columns(ss.scan(docs, secrets=secrets, ordinary=ordinary)).collect()}
+    assert sum(hit[i] for i in range(300)) >= 0.98 * 300
+    assert sum(hit[300 + i] for i in range(300)) <= 0.01 * 300
