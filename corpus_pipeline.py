@@ -19,7 +19,10 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the document with the largest id stays."""
-    return exact_dedup.deduplicate(docs, exact_dedup.DigestIndex.temporary(spark))
+    index = exact_dedup.DigestIndex.temporary(spark, docs)
+    kept = exact_dedup.deduplicate(docs, index)
+    index.close()
+    return kept
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
