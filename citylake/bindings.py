@@ -12,8 +12,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citylake.functions import exact_sum
 from citylake.operators.conform import conform_trips
+from citylake.operators.exact import exact_aggregate
 from citylake.operators.facts import fact_aq_daily, fact_taxi_daily, silver_air_quality
 from citylake.plans.dimensions import dim_date, dim_fx, weather_forecast
 from citylake.plans.measures import CityModel
@@ -194,16 +194,13 @@ def silver_aq(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def aq_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fact_aq_daily(silver_aq(spark, sf_dir))
+    return fact_aq_daily(silver_aq(spark, sf_dir), unique=True)
 
 
 def fx_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One rate per order priority and day: the mean price in 100,000; none on weekends."""
-    daily = (
-        table(spark, sf_dir, "orders")
-        .groupBy(F.expr("o_orderpriority as CURRENCY"), F.expr("cast(o_orderdate as date) as day"))
-        .agg(exact_sum("o_totalprice").alias("total"), F.expr("count(*) as n"))
-    )
+    keys = [F.expr("o_orderpriority as CURRENCY"), F.expr("cast(o_orderdate as date) as day")]
+    daily = exact_aggregate(table(spark, sf_dir, "orders"), keys, {"total": "o_totalprice"}, also={"n": "count(*)"})
     return daily.selectExpr(
         "date_format(day, 'yyyy-MM-dd') as TIME_PERIOD",
         "CURRENCY",
@@ -218,16 +215,11 @@ def fx(spark: SparkSession, sf_dir: str) -> DataFrame:
 def gdp_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """GDP rows by nation and year. Orders are summed per customer and year before the first join."""
     customer, nation = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
-    spent = (
-        table(spark, sf_dir, "orders")
-        .groupBy("o_custkey", F.year("o_orderdate").alias("y"))
-        .agg(exact_sum("o_totalprice").alias("spent"))
-    )
-    by_nation = (
-        spent.join(customer, spent["o_custkey"] == customer["c_custkey"])
-        .groupBy("c_nationkey", "y")
-        .agg(exact_sum("spent").alias("value"))
+    spent = exact_aggregate(
+        table(spark, sf_dir, "orders"), ["o_custkey", F.year("o_orderdate").alias("y")], {"spent": "o_totalprice"}
     )
+    with_nation = spent.join(customer, spent["o_custkey"] == customer["c_custkey"])
+    by_nation = exact_aggregate(with_nation, ["c_nationkey", "y"], {"value": "spent"})
     return by_nation.join(nation, by_nation["c_nationkey"] == nation["n_nationkey"]).selectExpr(
         "named_struct('id', cast(n_nationkey as string), 'value', n_name) as country",
         "named_struct('id', 'NY.GDP.MKTP.CD', 'value', 'GDP (current US$)') as indicator",

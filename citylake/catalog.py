@@ -332,6 +332,16 @@ def revenue_eur_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def avg_fare_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return measure(b.model(spark, sf_dir), "avg_fare", ["year", "month"], totals=True)
+
+
+@query
+def revenue_eur_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return measure(b.model(spark, sf_dir, with_fx=True), "revenue_eur", ["borough", "year"], totals=True)
+
+
 @query
 def latest_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     minute = F.date_trunc("minute", "forecast_time")

@@ -18,15 +18,17 @@ from citylake.functions import slot_path_text
 from citylake.operators.conform import cast_all, rename, with_audit
 from citylake.operators.ordering import ordered
 from citylake.operators.quality import gate_checks, quality_report, report_text, run_suite, suite_status, weather_rules
+from citylake.plans.gold import TaxiGold
 from citylake.plans.measures import CityModel, measure
 from citylake.session import staging_path
 from citylake.sources import files
-from citylake.sources.manifest import ingest_manifest, landed_slots, slot_path
+from citylake.sources.manifest import SLOT, ingest_manifest, landed_slots, slot_path
 from citylake.sources.sinks import (
     append_evolving,
     export_name,
     export_top_n,
     overwrite_enforced,
+    overwrite_partitions,
     overwrite_table,
     promote,
     read_evolving,
@@ -178,6 +180,41 @@ def drifting_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loaded.groupBy("month", "surcharge").agg(F.count(F.lit(1)).alias("n"), F.sum("passenger_count").alias("passengers"))
 
 
+def _slot_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conformed trips with the slot they would be loaded from: type, and year and month of the pickup."""
+    begun = F.col("pickup_datetime")
+    return b.trips(spark, sf_dir).withColumns({"year": F.date_format(begun, "yyyy"), "month": F.date_format(begun, "MM")})
+
+
+def _fresh_gold(spark: SparkSession) -> TaxiGold:
+    note = f"{staging_path(spark, 'gold')}/note.json"
+    return TaxiGold(spark, note, _name("silver"), _name("states"), _name("fact"), _name("by_zone"))
+
+
+@query
+def incremental_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips without a year, then with half of that year's, then with all: each run merges the months it changes."""
+    gold, trips = _fresh_gold(spark), _slot_trips(spark, sf_dir)
+    late, half = F.col("year") == "1996", F.col("trip_distance") < 25
+    overwrite_table(trips.filter(~late), gold.silver, SLOT)
+    gold.refresh()
+    for part in (late & half, late):
+        overwrite_partitions(trips.filter(part), gold.silver, SLOT)
+        gold.refresh()
+    return spark.table(gold.fact)
+
+
+@query
+def avg_fare_of_a_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From a written fact that is partitioned by month: the filter on the days' years prunes its files."""
+    gold, dates = _fresh_gold(spark), _name("dates")
+    overwrite_table(_slot_trips(spark, sf_dir), gold.silver, SLOT)
+    gold.refresh()
+    overwrite_table(b.dates(spark), dates)
+    model = CityModel(taxi=spark.table(gold.by_zone), dates=spark.table(dates), zones=b.zones(spark, sf_dir))
+    return measure(model, "avg_fare", ["year", "month"], where={"year": 1996})
+
+
 @query
 def manifest_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Slots wanted up to a month inside a year, with the order lines of each."""

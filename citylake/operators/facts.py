@@ -7,37 +7,45 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citylake.functions import as_date, avg_or_zero, exact_avg, exact_sum
+from citylake.functions import as_date
 from citylake.operators.conform import keep_any_not_null
+from citylake.operators.exact import average, exact_aggregate, partial_states, total
 from citylake.schemas import AQ_METRICS, DEFAULT_SUMMARY, MAJOR_POLLUTANTS, PARAMETERS
 
 
 def fact_taxi_daily(trips: DataFrame) -> DataFrame:
     """Trips, revenue and averages per day, pickup zone and taxi type."""
-    return (
-        trips.withColumn("pickup_date", F.to_date("pickup_datetime"))
-        .groupBy("pickup_date", "pickup_location_id", "taxi_type")
-        .agg(
-            F.count(F.lit(1)).alias("total_trips"),
-            exact_sum("total_amount").alias("daily_revenue_usd"),
-            exact_avg("trip_distance").alias("avg_trip_distance"),
-            avg_or_zero(trips, "tip_amount", "avg_tip_amount"),
-        )
+    return taxi_fact_of(taxi_states(trips))
+
+
+# Key of the daily fact.
+TAXI_KEY = ["pickup_date", "pickup_location_id", "taxi_type"]
+
+
+def taxi_states(trips: DataFrame, slot: Sequence[str] = ()) -> DataFrame:
+    """Mergeable states of the daily fact by its key, and by the slot that the trips were loaded from."""
+    amounts = {"revenue": "total_amount", "distance": "trip_distance"}
+    if "tip_amount" in trips.columns:
+        amounts["tip"] = "tip_amount"
+    dated = trips.withColumn("pickup_date", F.to_date("pickup_datetime"))
+    return partial_states(dated, [*TAXI_KEY, *[c for c in slot if c not in TAXI_KEY]], amounts, {"total_trips": "count(1)"})
+
+
+def taxi_fact_of(states: DataFrame, keys: Sequence[str] = TAXI_KEY) -> DataFrame:
+    """The daily fact that states stand for; they have one row per key."""
+    tip = average(states, "tip") if "tip__n" in states.columns else F.lit(0.0)
+    return states.select(
+        *keys, "total_trips", total(states, "revenue").alias("daily_revenue_usd"),
+        average(states, "distance").alias("avg_trip_distance"), tip.alias("avg_tip_amount"),
     )
 
 
 def taxi_daily_by_zone(fact: DataFrame) -> DataFrame:
     """The daily fact without taxi type, under the column names the measures use."""
-    weighted = exact_sum("avg_trip_distance * total_trips")
-    return (
-        fact.withColumnRenamed("pickup_location_id", "pickup_zone_id")
-        .groupBy("pickup_date", "pickup_zone_id")
-        .agg(
-            F.sum("total_trips").alias("total_trips"),
-            exact_sum("daily_revenue_usd").alias("daily_revenue_usd"),
-            F.try_divide(weighted, F.sum("total_trips")).alias("avg_trip_distance"),
-        )
-    )
+    sums = {"daily_revenue_usd": "daily_revenue_usd", "weighted": "avg_trip_distance * total_trips"}
+    named = fact.withColumnRenamed("pickup_location_id", "pickup_zone_id")
+    found = exact_aggregate(named, ["pickup_date", "pickup_zone_id"], sums, also={"total_trips": "sum(total_trips)"})
+    return found.withColumn("avg_trip_distance", F.try_divide("weighted", "total_trips")).drop("weighted")
 
 
 def pivot_parameters(
@@ -52,8 +60,8 @@ def pivot_parameters(
     has combined.
     """
     cells = {f"_cell_{k}": F.when(F.col("parameter") == v, F.col("value")) for k, v in enumerate(values)}
-    averages = [exact_avg(cell).alias(v) for cell, v in zip(cells, values)]
-    return readings.select(*keys, *[c.alias(cell) for cell, c in cells.items()]).groupBy(*keys).agg(*averages)
+    wide = readings.select(*keys, *[c.alias(cell) for cell, c in cells.items()])
+    return exact_aggregate(wide, keys, averages=dict(zip(values, cells)))
 
 
 def silver_air_quality(
@@ -68,10 +76,17 @@ def silver_air_quality(
     return pivot_parameters(rows.withColumn("reading_date", as_date(date_field)))
 
 
-def fact_aq_daily(wide: DataFrame, metrics: Mapping[str, str] = AQ_METRICS) -> DataFrame:
-    """Average pollutants per day and place; rows with none of the major ones are left out."""
-    averages = [exact_avg(source).alias(name) for source, name in metrics.items()]
-    fact = wide.groupBy("reading_date", "location_name", "lat", "lon").agg(*averages)
+def fact_aq_daily(wide: DataFrame, metrics: Mapping[str, str] = AQ_METRICS, unique: bool = False) -> DataFrame:
+    """Average pollutants per day and place; rows with none of the major ones are left out.
+
+    With ``unique`` the rows have one per day and place already, as :func:`silver_air_quality` makes them: a value is its
+    own average, and nothing is shuffled again.
+    """
+    keys = ["reading_date", "location_name", "lat", "lon"]
+    if unique:
+        doubles = [F.col(source).cast("double").alias(name) for source, name in metrics.items()]
+        return keep_any_not_null(wide.select(*keys, *doubles), MAJOR_POLLUTANTS)
+    fact = exact_aggregate(wide, keys, averages={name: source for source, name in metrics.items()})
     return keep_any_not_null(fact, MAJOR_POLLUTANTS)
 
 
@@ -83,5 +98,6 @@ def summarize(df: DataFrame, by: Sequence[str] | str, cols: Sequence[str] | None
     if unknown:
         raise ValueError(f"columns without a default summary: {unknown}")
     types = dict(df.dtypes)
-    sums = [(exact_sum(c) if types[c] == "double" else F.sum(c)).alias(c) for c in chosen]
-    return df.groupBy(*keys).agg(*sums)
+    doubles = [c for c in chosen if types[c] == "double"]
+    found = exact_aggregate(df, keys, {c: c for c in doubles}, also={c: f"sum({c})" for c in chosen if c not in doubles})
+    return found.select(*keys, *chosen)

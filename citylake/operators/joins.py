@@ -3,23 +3,29 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from citylake.functions import exact_avg, exact_sum
+from citylake.operators.exact import exact_aggregate
 
 
 def with_dim(
-    fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, attrs: Sequence[str]
+    fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, attrs: Sequence[str], by_month: Sequence[str] = ()
 ) -> DataFrame:
     """Dimension attributes on fact rows; a fact without its dimension row keeps NULL attributes.
 
+    ``by_month`` names the fact's column of the key's month (``yyyy-MM``), if it is partitioned by one: the join then goes by the
+    month too, and a filter on the dimension reaches the fact's partitions.
+
     No broadcast is forced: a dimension may grow with the data, and Spark knows its size at run time.
     A dominating fact key in a shuffled join is split by adaptive execution.
     """
-    right = dim.select(F.col(dim_key).alias("_dim_key"), *attrs)
-    return fact.join(right, F.col(fact_key) == F.col("_dim_key"), "left").drop("_dim_key")
+    months = [F.date_format(dim_key, "yyyy-MM").alias(f"_dim_{c}") for c in by_month]
+    right = dim.select(F.col(dim_key).alias("_dim_key"), *months, *attrs)
+    same = [F.col(fact_key) == F.col("_dim_key"), *[F.col(c) == F.col(f"_dim_{c}") for c in by_month]]
+    return fact.join(right, reduce(Column.__and__, same), "left").drop("_dim_key", *[f"_dim_{c}" for c in by_month])
 
 
 def sensor_measurements(sensors: DataFrame, days: DataFrame) -> DataFrame:
@@ -31,10 +37,10 @@ def sensor_measurements(sensors: DataFrame, days: DataFrame) -> DataFrame:
 
 def overlay_daily(taxi: DataFrame, aq: DataFrame) -> DataFrame:
     """Trips and mean PM2.5 per day. Each fact is reduced to days before the two meet."""
-    trips = taxi.groupBy(F.col("pickup_date").alias("day")).agg(
-        F.sum("total_trips").alias("total_trips"), exact_sum("daily_revenue_usd").alias("revenue_usd")
+    trips = exact_aggregate(
+        taxi, [F.col("pickup_date").alias("day")], {"revenue_usd": "daily_revenue_usd"}, also={"total_trips": "sum(total_trips)"}
     )
-    air = aq.groupBy(F.col("reading_date").alias("day")).agg(exact_avg("avg_pm25").alias("avg_pm25"))
+    air = exact_aggregate(aq, [F.col("reading_date").alias("day")], averages={"avg_pm25": "avg_pm25"})
     return trips.join(air, "day", "full")
 
 
@@ -51,7 +57,7 @@ def mobility_vs_gdp(taxi: DataFrame, gdp: DataFrame) -> DataFrame:
     trips = taxi.groupBy(F.year("pickup_date").alias("year")).agg(
         F.sum("total_trips").alias("total_trips")
     )
-    yearly = gdp.groupBy("country_name", "gdp_year").agg(exact_sum("gdp_value").alias("gdp_value"))
+    yearly = exact_aggregate(gdp, ["country_name", "gdp_year"], {"gdp_value": "gdp_value"})
     # A country has one row per year by now, so its window is short whatever the input was.
     before = F.lag("gdp_value").over(Window.partitionBy("country_name").orderBy("gdp_year"))
     growth = F.try_divide(F.col("gdp_value") - before, before)

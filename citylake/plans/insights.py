@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citylake.functions import exact_avg, rate
+from citylake.functions import rate
 from citylake.operators import joins
+from citylake.operators.exact import exact_aggregate
 from citylake.operators.facts import summarize
 from citylake.operators.ordering import ordered, top_k
 from citylake.operators.quality import bad_trip
@@ -36,9 +37,7 @@ def average_fare(model: CityModel, by: Sequence[str] = ("year", "month")) -> Dat
 
 def aq_hotspots(aq: DataFrame, k: int) -> DataFrame:
     """The ``k`` places with the highest mean PM2.5."""
-    places = aq.groupBy("location_name").agg(
-        exact_avg("avg_pm25").alias("avg_pm25"), F.count("avg_pm25").alias("days")
-    )
+    places = exact_aggregate(aq, ["location_name"], averages={"avg_pm25": "avg_pm25"}, also={"days": "count(avg_pm25)"})
     return top_k(places, k, "avg_pm25", "location_name")
 
 
@@ -46,9 +45,7 @@ def aq_trend(aq: DataFrame, dates: DataFrame, by: Sequence[str] = ("year", "mont
     """Mean pollutants by calendar attributes and place."""
     attrs = [n for n in by if n in dates.columns]
     rows = joins.with_dim(aq, dates, "reading_date", "date_key", attrs)
-    return rows.groupBy(*by).agg(
-        exact_avg("avg_pm25").alias("avg_pm25"), exact_avg("avg_no2").alias("avg_no2"), exact_avg("avg_o3").alias("avg_o3")
-    )
+    return exact_aggregate(rows, list(by), averages={c: c for c in ("avg_pm25", "avg_no2", "avg_o3")})
 
 
 def overlay(taxi: DataFrame, aq: DataFrame) -> DataFrame:
@@ -90,7 +87,7 @@ def daily_summary(trips: DataFrame, aq: DataFrame, max_rate: float = 0.01) -> Da
             "quality": F.when(share > max_rate, F.lit("Failure")).otherwise(F.lit("Success")),
         }
     )
-    air = aq.groupBy(F.col("reading_date").alias("day")).agg(exact_avg("avg_pm25").alias("avg_pm25"))
+    air = exact_aggregate(aq, [F.col("reading_date").alias("day")], averages={"avg_pm25": "avg_pm25"})
     return day.join(air, "day", "left")
 
 

@@ -14,16 +14,12 @@ from pyspark.sql import functions as F
 
 from citylake import schemas
 from citylake.operators.conform import conform_trips, with_audit
-from citylake.operators.facts import (
-    fact_aq_daily,
-    fact_taxi_daily,
-    silver_air_quality,
-    taxi_daily_by_zone,
-)
+from citylake.operators.facts import fact_aq_daily, silver_air_quality
 from citylake.operators.joins import sensor_measurements
 from citylake.operators.quality import gate, quality_report, run_suite, suite_status, weather_rules
 from citylake.operators.series import forward_fill_bucketed
 from citylake.plans.dimensions import dim_date, dim_fx, dim_gdp, dim_zone, weather_forecast
+from citylake.plans.gold import TaxiGold
 from citylake.session import path_bytes, sized
 from citylake.sources import files
 from citylake.sources.calendar import calendar
@@ -111,18 +107,16 @@ def check_silver(spark: SparkSession, max_rate: float = 0.01) -> DataFrame:
     return spark.table("quality_report")
 
 
-def run_gold(spark: SparkSession, start: dt.date, end: dt.date) -> None:
-    """Build the star from the conformed tables."""
+def run_gold(spark: SparkSession, at: Landing, start: dt.date, end: dt.date) -> None:
+    """Build the star from the conformed tables. Of the taxi facts only the months of changed slots are written."""
     for src, dst in [
         ("silver_dim_zone", "gold_dim_zone"),
         ("silver_gdp", "gold_dim_gdp"),
         ("silver_fx", "gold_dim_fx"),
     ]:
         promote(spark, src, dst)
-    overwrite_table(fact_taxi_daily(spark.table("silver_nyc_taxi")), "gold_fact_nyc_taxi_daily")
-    # From the written fact: its few rows are read instead of the trips.
-    overwrite_table(taxi_daily_by_zone(spark.table("gold_fact_nyc_taxi_daily")), "gold_fact_taxi_daily")
-    overwrite_enforced(fact_aq_daily(spark.table("silver_openaq")), "gold_fact_aq_daily", schemas.FACT_AQ)
+    TaxiGold(spark, f"{at.bronze_trips}/_gold.json").refresh()
+    overwrite_enforced(fact_aq_daily(spark.table("silver_openaq"), unique=True), "gold_fact_aq_daily", schemas.FACT_AQ)
     overwrite_enforced(dim_date(calendar(spark, start, end)), "gold_dim_date", schemas.DIM_DATE)
 
 
@@ -151,5 +145,5 @@ def run_daily(
         run_bronze(spark, at, run_ts)
         run_silver(spark, at, run_ts)
         report = check_silver(spark, max_rate)
-        run_gold(spark, start, end)
+        run_gold(spark, at, start, end)
     return report

@@ -22,7 +22,8 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from citylake.functions import exact_avg, exact_sum, rate
+from citylake.functions import rate
+from citylake.operators.exact import average, exact_aggregate, partial_states, rolled_up, total
 from citylake.operators.joins import with_dim
 
 DATE_ATTRS = ("date_key", "year", "month", "month_name", "day_name", "is_weekend")
@@ -59,8 +60,8 @@ class CityModel:
     fx: DataFrame | None = None
     weather: DataFrame | None = None
 
-    def taxi_totals(self, by: Sequence[str] = (), where: Filters | None = None) -> DataFrame:
-        """Revenue and trips by any attributes the taxi fact can be reached from.
+    def _taxi_rows(self, by: Sequence[str], where: Filters | None) -> DataFrame:
+        """Rows of the fact, reduced where possible, with the attributes ``by``.
 
         When only one of the fact's two foreign keys is in use, the fact is first reduced to that key: the
         join then sees one row per day or zone, and a busy zone is combined on the map side. With both
@@ -79,11 +80,14 @@ class CityModel:
         keys = list(own)
         keys += ["pickup_date"] if date_attrs and "pickup_date" not in keys else []
         keys += ["pickup_zone_id"] if zone_attrs and "pickup_zone_id" not in keys else []
+        # A fact that is partitioned by month is joined by it too, so that a filter on days prunes its files at run time.
+        by_month = ["pickup_month"] if date_attrs and "pickup_month" in self.taxi.columns else []
+        keys += [c for c in by_month if c not in keys]
         rows = _filtered(self.taxi, where, own)
         if bool(date_attrs) != bool(zone_attrs):
             rows = _totals(rows, keys)
         if date_attrs:
-            rows = with_dim(rows, self.dates, "pickup_date", "date_key", date_attrs)
+            rows = with_dim(rows, self.dates, "pickup_date", "date_key", date_attrs, by_month)
         if date_attrs and zone_attrs:
             rows = _filtered(rows, where, date_attrs)
             reached = [n for n in by if n in date_attrs]
@@ -91,40 +95,57 @@ class CityModel:
             date_attrs = []
         if zone_attrs:
             rows = with_dim(rows, self.zones, "pickup_zone_id", "location_id", zone_attrs)
-        return _totals(_filtered(rows, where, [*date_attrs, *zone_attrs]), list(by))
+        return _filtered(rows, where, [*date_attrs, *zone_attrs])
 
-    def average_rate(self, by: Sequence[str] = (), where: Filters | None = None) -> DataFrame:
-        """Average exchange rate by date attributes."""
+    def taxi_totals(self, by: Sequence[str] = (), where: Filters | None = None) -> DataFrame:
+        """Revenue and trips by any attributes the taxi fact can be reached from."""
+        return _totals(self._taxi_rows(by, where), list(by))
+
+    def taxi_levels(self, by: Sequence[str], where: Filters | None = None) -> DataFrame:
+        """As :func:`taxi_totals` at every level: all attributes, all but the last, and so on to none.
+
+        The fact is read and joined once, the finest level is reduced to states, and coarser levels are merged from
+        those. ``level`` is the number of attributes a row is by; the others are NULL in it.
+        """
+        states = partial_states(self._taxi_rows(by, where), list(by), _REVENUE, _TRIPS)
+        levels = rolled_up(states, list(by), list(_REVENUE), list(_TRIPS))
+        return levels.select(*by, "level", "total_trips", total(levels, "daily_revenue_usd").alias("daily_revenue_usd"))
+
+    def _rate_rows(self, by: Sequence[str], where: Filters | None) -> DataFrame:
         if self.fx is None:
             raise ValueError("the model has no exchange rates")
         where = where or {}
         used = list(dict.fromkeys([*by, *[n for n in where if n in DATE_ATTRS]]))
         rows = with_dim(self.fx, self.dates, "fx_date", "date_key", used) if used else self.fx
-        return _filtered(rows, where, used).groupBy(*by).agg(
-            exact_avg("exchange_rate_to_eur").alias("average_rate")
-        )
+        return _filtered(rows, where, used)
+
+    def average_rate(self, by: Sequence[str] = (), where: Filters | None = None) -> DataFrame:
+        """Average exchange rate by date attributes."""
+        return exact_aggregate(self._rate_rows(by, where), list(by), averages={"average_rate": "exchange_rate_to_eur"})
 
-    def avg_fare(self, by: Sequence[str] = (), where: Filters | None = None) -> DataFrame:
-        """Revenue per trip: a ratio of sums, NULL without trips."""
-        totals = self.taxi_totals(by, where)
-        return totals.select(*by, rate("daily_revenue_usd", "total_trips").alias("avg_fare"))
+    def avg_fare(self, by: Sequence[str] = (), where: Filters | None = None, totals: bool = False) -> DataFrame:
+        """Revenue per trip: a ratio of sums, NULL without trips. ``totals`` adds every coarser level, told by ``level``."""
+        found = self.taxi_levels(by, where) if totals else self.taxi_totals(by, where)
+        level = ["level"] if totals else []
+        return found.select(*by, *level, rate("daily_revenue_usd", "total_trips").alias("avg_fare"))
 
     def revenue_eur(
-        self, by: Sequence[str] = (), where: Filters | None = None, mode: str = "multiply"
+        self, by: Sequence[str] = (), where: Filters | None = None, mode: str = "multiply", totals: bool = False
     ) -> DataFrame:
         """Sum of revenue and average of rates, each in its own filter context, then combined.
 
         ``multiply`` is how the measure is defined. The rates are dollars per euro, so ``divide`` is the
-        economic conversion. Not additive: a total is not the sum of its groups.
+        economic conversion. Not additive: a total is not the sum of its groups, so with ``totals`` each coarser level is
+        evaluated for itself.
         """
-        both = self.revenue_and_rate(by, where)
+        both = self.revenue_and_rate_levels(by, where) if totals else self.revenue_and_rate(by, where)
         combine: dict[str, Callable[[], Column]] = {
             "multiply": lambda: F.col("revenue_usd") * F.col("average_rate"),
             "divide": lambda: rate("revenue_usd", "average_rate"),
         }
         if mode not in combine:
             raise ValueError(f"mode is one of {list(combine)}")
-        return both.select(*by, combine[mode]().alias("revenue_eur"))
+        return both.select(*by, *(["level"] if totals else []), combine[mode]().alias("revenue_eur"))
 
     def revenue_and_rate(self, by: Sequence[str] = (), where: Filters | None = None) -> DataFrame:
         """``revenue_usd`` and ``average_rate`` by group."""
@@ -134,11 +155,21 @@ class CityModel:
         if not reached:
             # One value for all groups: a scalar subquery, no join.
             return revenue.select(*by, "revenue_usd", rates.scalar().alias("average_rate"))
-        renamed = rates.select(*[F.col(n).alias(f"_r_{n}") for n in reached], "average_rate")
-        # Dates outside the calendar form the blank member on both sides, and blanks match.
-        same = reduce(lambda a, b: a & b, [F.col(n).eqNullSafe(F.col(f"_r_{n}")) for n in reached])
-        return revenue.join(renamed, same, "left").select(*by, "revenue_usd", "average_rate")
+        return _beside(revenue, rates, reached).select(*by, "revenue_usd", "average_rate")
+
+    def revenue_and_rate_levels(self, by: Sequence[str], where: Filters | None = None) -> DataFrame:
+        """``level``, ``revenue_usd`` and ``average_rate`` at every level of ``by``; both sides are rolled up from states.
 
+        A level of the revenue meets the rates at the level of the date attributes it is by.
+        """
+        reached = [n for n in by if n in DATE_ATTRS]
+        revenue = self.taxi_levels(by, where).withColumnRenamed("daily_revenue_usd", "revenue_usd")
+        by_rate = [sum(n in reached for n in by[:level]) for level in range(len(by) + 1)]
+        revenue = revenue.withColumn("rate_level", F.element_at(F.array(*map(F.lit, by_rate)), F.col("level").cast("int") + 1))
+        states = partial_states(self._rate_rows(reached, where), reached, {"rate": "exchange_rate_to_eur"})
+        rates = rolled_up(states, reached, ["rate"])
+        rates = rates.select(*reached, F.col("level").alias("rate_level"), average(rates, "rate").alias("average_rate"))
+        return _beside(revenue, rates, [*reached, "rate_level"]).select(*by, "level", "revenue_usd", "average_rate")
 
     def latest(self, column: str, by: Sequence[str] = (), where: Filters | None = None) -> DataFrame:
         """A forecast column at the latest forecast time. The forecast has no relations, only own columns."""
@@ -149,10 +180,19 @@ class CityModel:
         return latest_value(rows, "forecast_time", column, by).drop("latest_time")
 
 
+# What the taxi fact adds up.
+_REVENUE, _TRIPS = {"daily_revenue_usd": "daily_revenue_usd"}, {"total_trips": "sum(total_trips)"}
+
+
 def _totals(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return rows.groupBy(*keys).agg(
-        F.sum("total_trips").alias("total_trips"), exact_sum("daily_revenue_usd").alias("daily_revenue_usd")
-    )
+    return exact_aggregate(rows, list(keys), _REVENUE, also=_TRIPS)
+
+
+def _beside(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join by attributes. Dates outside the calendar form the blank member on both sides, and blanks match."""
+    renamed = right.withColumnsRenamed({n: f"_r_{n}" for n in keys})
+    same = reduce(lambda a, b: a & b, [F.col(n).eqNullSafe(F.col(f"_r_{n}")) for n in keys])
+    return left.join(renamed, same, "left")
 
 
 def measure(

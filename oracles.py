@@ -303,6 +303,25 @@ ORACLES: dict[str, str] = {
                      case when trip_distance <= 0 then 'no distance' end,
                      case when tip_amount <= 0 then 'no tip' end) as reasons from raw""",
     "avg_fare_by_month": _with(_star("year", "month")) + f" select year, month, {_FARE} as avg_fare from star group by year, month",
+    "avg_fare_totals": _with(_star("year", "month"))
+    + f""" select year, month, cast(2 - grouping(year) - grouping(month) as integer) as level, {_FARE} as avg_fare
+      from star group by rollup(year, month)""",
+    "revenue_eur_totals": _with(_star("borough", "year"), FX, f"""rates as (
+        select year, cast(1 - grouping(year) as integer) as rate_level, {_mean('exchange_rate_to_eur')} as average_rate
+        from fx left join dates on fx_date = date_key group by rollup(year))""")
+    + f""" select borough, s.year, level, revenue * average_rate as revenue_eur from (
+        select borough, year, cast(2 - grouping(borough) - grouping(year) as integer) as level, {_REVENUE} as revenue
+        from star group by rollup(borough, year)) s
+      left join rates r on s.year is not distinct from r.year and rate_level = case when level = 2 then 1 else 0 end""",
+    "incremental_gold": _with(FACT)
+    + """ select pickup_date, pickup_location_id, taxi_type, total_trips, daily_revenue_usd, avg_trip_distance, avg_tip_amount,
+      strftime(pickup_date, '%Y-%m') as pickup_month from fact""",
+    "avg_fare_of_a_year": _with(f"""{MODEL},
+      by_zone as (
+        select pickup_date, pickup_location_id, {_TRIPS} as total_trips, {_REVENUE} as daily_revenue_usd from fact group by all),
+      reduced as (select pickup_date, {_TRIPS} as total_trips, {_REVENUE} as daily_revenue_usd from by_zone group by all)""")
+    + f""" select year, month, {_FARE} as avg_fare from reduced join dates on pickup_date = date_key where year = 1996
+      group by year, month""",
     "avg_fare_by_borough": _with(_star("borough")) + f" select borough, {_FARE} as avg_fare from star group by borough",
     "avg_fare_by_zone_month": _with(_star("zone_name", "year", "month"))
     + f" select zone_name, year, month, {_FARE} as avg_fare from star group by zone_name, year, month",

@@ -1,13 +1,15 @@
 """Laws that hold for any input."""
 
+import math
 from fractions import Fraction
 
-from hypothesis import HealthCheck, given, settings
+from hypothesis import HealthCheck, example, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from citylake.functions import exact_sum
 from citylake.operators.conform import dedup, union_conformed
+from citylake.operators.exact import exact_aggregate, merged, partial_states, rolled_up
 from citylake.operators.facts import fact_aq_daily, pivot_parameters
 from citylake.operators.series import forward_fill, forward_fill_bucketed
 from citylake.plans.measures import latest_value
@@ -23,11 +25,40 @@ small = st.integers(0, 3)
 
 @few
 @given(st.lists(amount, max_size=30))
+@example([1e-06, -3e-06])
+@example([0.1, 0.2, -0.3, 1e11])
 def test_exact_sum_is_the_true_sum(spark, amounts):
+    """The sum of the doubles as they are, rounded once, but for the rests below 2^-20, which are added as doubles."""
     df = spark.createDataFrame([(a,) for a in amounts], "a double")
-    millionths = [round(a * 1e6) for a in amounts if a is not None]
-    expected = float(Fraction(sum(millionths), 10**6)) if millionths else None
-    assert df.agg(exact_sum("a").alias("s")).first()["s"] == expected
+    known = [Fraction(a) for a in amounts if a is not None]
+    for got in (df.agg(exact_sum("a")).first()[0], exact_aggregate(df, [], {"s": "a"}).first()[0]):
+        if not known:
+            assert got is None
+        else:
+            true = sum(known)
+            rests = Fraction(len(known) ** 2, 2**73)
+            assert abs(Fraction(got) - true) <= rests + abs(Fraction(math.ulp(float(true))))
+
+
+@few
+@given(st.lists(st.integers(-(2**59), 2**59).map(lambda n: n / 2**20), max_size=30))
+def test_sums_of_fine_multiples_are_rounded_once(spark, amounts):
+    df = spark.createDataFrame([(a,) for a in amounts], "a double")
+    want = float(sum(map(Fraction, amounts))) if amounts else None
+    assert exact_aggregate(df, [], {"s": "a"}).first()["s"] == want == df.agg(exact_sum("a")).first()[0]
+
+
+@few
+@given(st.lists(st.tuples(small, small, amount), max_size=30))
+def test_merged_states_are_the_states_of_all_rows(spark, rows):
+    df = spark.createDataFrame(rows, "k int, slot int, a double")
+    fine = partial_states(df, ["k", "slot"], {"a": "a"}, {"n": "count(1)"})
+    both = [merged(fine, ["k"], ["a"], ["n"]), partial_states(df, ["k"], {"a": "a"}, {"n": "count(1)"})]
+    whole = [values(s.select("k", "n", "a__high", "a__unit", "a__low", "a__n")) for s in both]
+    assert whole[0] == whole[1]
+    levels = rolled_up(fine, ["k", "slot"], ["a"], ["n"])
+    assert levels.filter("level = 0").agg(F.sum("n")).first()[0] == (len(rows) or None)
+    assert values(levels.filter("level = 1").select("k", "n")) == values(both[0].select("k", "n"))
 
 
 @few
