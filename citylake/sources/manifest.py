@@ -22,10 +22,22 @@ def slot_path(taxi: str, year: str | int, month: str | int, root: str = "") -> s
     return f"{root.rstrip('/') + '/' if root else ''}{taxi}/{int(year):04d}/{int(month):02d}"
 
 
+def folders_of_path(path: Column) -> dict[str, Column]:
+    """The three folders above a landed file, in the places of a slot's columns; whether they are one is not looked at."""
+    return {name: F.substring_index(F.substring_index(path, "/", i - 4), "/", 1) for i, name in enumerate(SLOT)}
+
+
 def slot_of_path(path: Column) -> dict[str, Column]:
-    """Slot columns of a landed file's path."""
-    pattern = "([^/]+)/([0-9]{4})/([0-9]{2})/[^/]+$"
-    return {name: F.regexp_extract(path, pattern, i + 1) for i, name in enumerate(SLOT)}
+    """Slot columns of a landed file's path; empty where the folders above it are no type, year and month.
+
+    Cut by position and checked on the short year and month only: for every row this costs little, a pattern over the
+    whole path would cost a hundred times as much.
+    """
+    folders = folders_of_path(path)
+    is_number = lambda c, n: (F.length(c) == n) & (F.translate(c, "0123456789", "") == "")
+    deep = F.length(path) - F.length(F.translate(path, "/", "")) >= len(SLOT)
+    good = deep & is_number(folders["year"], 4) & is_number(folders["month"], 2) & (folders["taxi_type"] != "")
+    return {name: F.when(good, folder).otherwise("") for name, folder in folders.items()}
 
 
 def _month_columns(first_day: Column) -> list[Column]:

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from citylake.sources.files import read_trip_slots
-from citylake.sources.manifest import SLOT, slot_of_path
+from citylake.sources.manifest import SLOT, folders_of_path, slot_of_path
 from citylake.sources.sinks import balanced
 from citylake.sources.store import WideningTable, exists, names, read_text, write_text
 
@@ -155,7 +155,8 @@ def ingest_drifting_stream(
         if not paths:
             return
         trips = read_trip_slots(spark, paths, schema)
-        slot = slot_of_path(F.col("source_file"))
+        # The listing has checked each path; the rows only take their folders over.
+        slot = folders_of_path(F.col("source_file"))
         table.load(trips.withColumns({"ingestion_timestamp": F.current_timestamp(), **slot}), name)
 
     return (

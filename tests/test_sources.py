@@ -237,3 +237,17 @@ def test_shuffle_size_follows_the_input(spark, tmp_path):
     land(tmp_path / "f", "x.txt", "12345")
     assert path_bytes(spark, str(tmp_path / "f"), str(tmp_path / "absent")) == 5
     assert staging_path(spark, "a") != staging_path(spark, "a")
+
+
+def test_slots_are_cut_from_paths_of_any_shape(spark):
+    from citylake.sources.manifest import SLOT, slot_of_path
+
+    paths = {
+        "file:/a/b/yellow/2024/01/part.parquet": ("yellow", "2024", "01"), "green/2023/12/x": ("green", "2023", "12"),
+        "/yellow/2024/1/x": ("", "", ""), "/yellow/24/01/x": ("", "", ""), "/yellow/20a4/01/x": ("", "", ""), "2024/01/x": ("", "", ""),
+        "/2024/01/x": ("", "", ""), "x": ("", "", ""), "": ("", "", ""), "s3://b/täxi type/2024/01/ü.parquet": ("täxi type", "2024", "01"),
+        "/yellow/2024/01/deeper/x": ("", "", ""),
+    }
+    df = spark.createDataFrame([(p,) for p in paths], "path string")
+    found = df.select("path", *[c.alias(n) for n, c in slot_of_path(df["path"]).items()])
+    assert {r["path"]: tuple(r[n] for n in SLOT) for r in found.collect()} == paths
