@@ -38,7 +38,7 @@ def average_fare(model: CityModel, by: Sequence[str] = ("year", "month")) -> Dat
 def aq_hotspots(aq: DataFrame, k: int) -> DataFrame:
     """The ``k`` places with the highest mean PM2.5."""
     places = exact_aggregate(aq, ["location_name"], averages={"avg_pm25": "avg_pm25"}, also={"days": "count(avg_pm25)"})
-    return top_k(places, k, "avg_pm25", "location_name")
+    return top_k(places.select("location_name", "avg_pm25", "days"), k, "avg_pm25", "location_name")
 
 
 def aq_trend(aq: DataFrame, dates: DataFrame, by: Sequence[str] = ("year", "month", "location_name")) -> DataFrame:
