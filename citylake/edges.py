@@ -34,7 +34,8 @@ from citylake.sources.sinks import (
     read_evolving,
     write_report,
 )
-from citylake.streaming import ingest_drifting_stream, ingest_stream, read_drifting
+from citylake.sources.store import write_text
+from citylake.streaming import failed_slots, ingest_drifting, ingest_drifting_stream, ingest_stream, read_drifting
 
 _BEFORE = set(CATALOG)
 
@@ -74,6 +75,31 @@ def forecast_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def broken_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forecast files of which some are cut off, some are an error message, and some give a time as a word."""
+    docs = b.forecast_documents(spark, sf_dir).withColumn("part", F.expr("doc_id div 100"))
+    days = docs.select("part", F.explode("list").alias("step")).groupBy("part").agg(F.collect_list("step").alias("list"))
+    text = F.to_json(F.struct("list"))
+    kind = F.col("part") % 4
+    value = (
+        F.when(kind == 1, F.left(text, F.length(text) - 1))
+        .when(kind == 2, F.lit('{"cod":"404"}'))
+        .when(kind == 3, F.concat(F.lit('{"cod":"200","list":[{"dt":"noon"},'), F.substr(text, F.lit(10))))
+        .otherwise(text)
+    )
+    path = staging_path(spark, "forecast")
+    days.select("part", value.alias("value")).write.partitionBy("part").text(path)
+    checked = files.checked_forecast(spark, path)
+    steps = F.coalesce(F.size("list"), F.lit(0))
+    loaded = files.loaded_documents(checked.withColumns({"file": F.col("source_file"), "steps": steps})).select("file", "steps")
+    return (
+        checked.join(loaded, F.col("source_file") == F.col("file"), "left")
+        .groupBy("part", "reason")
+        .agg(F.sum("steps").alias("steps"))
+    )
+
+
 @query
 def gdp_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """GDP documents ``[meta, rows]``, one file per indicator."""
@@ -180,6 +206,29 @@ def drifting_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loaded.groupBy("month", "surcharge").agg(F.count(F.lit(1)).alias("n"), F.sum("passenger_count").alias("passengers"))
 
 
+@query
+def republished_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A month published again with fewer rows, one with a file more, one with a file that is no Parquet file."""
+    root, out, checkpoint = staging_path(spark, "landing"), staging_path(spark, "bronze"), staging_path(spark, "ingest")
+    lines = b.table(spark, sf_dir, "lineitem")
+
+    def publish(flag: str, month: int, condition: str, mode: str) -> None:
+        rows = lines.filter(F.col("l_returnflag") == flag).filter(condition)
+        rows = rows.selectExpr("l_orderkey as VendorID", "l_linenumber as passenger_count")
+        rows.write.mode(mode).parquet(f"{root}/{slot_path('yellow', 1998, month)}")
+
+    for month, flag in enumerate("ANR", 1):
+        publish(flag, month, "true", "error")
+    ingest_drifting(spark, root, schemas.TRIP, out, checkpoint)
+    publish("A", 1, "l_quantity > 25", "overwrite")
+    publish("N", 2, "l_quantity < 5", "append")
+    write_text(spark, f"{root}/{slot_path('yellow', 1998, 3)}/cut.parquet", "no rows")
+    ingest_drifting(spark, root, schemas.TRIP, out, checkpoint)
+    loaded = read_drifting(spark, out).groupBy("month").agg(F.count(F.lit(1)).alias("n"), F.sum("passenger_count").alias("passengers"))
+    failed = failed_slots(spark, out).select("month", F.lit(True).alias("failed"))
+    return loaded.join(failed, "month", "left").select("month", "n", "passengers", F.coalesce("failed", F.lit(False)).alias("failed"))
+
+
 def _slot_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conformed trips with the slot they would be loaded from: type, and year and month of the pickup."""
     begun = F.col("pickup_datetime")

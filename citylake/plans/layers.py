@@ -8,6 +8,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,7 +34,11 @@ from citylake.sources.sinks import (
     write_report,
 )
 from citylake.sources.store import WideningTable, exists, read_text, write_text
-from citylake.streaming import ingest_drifting_stream
+from citylake.streaming import ingest_drifting
+
+
+# Fixed value: tables of checked documents begin with it.
+DOCUMENTS = "bronze_documents_"
 
 
 @dataclass(frozen=True)
@@ -53,17 +58,37 @@ class Landing:
 
 
 def run_bronze(spark: SparkSession, at: Landing, run_ts: dt.datetime | None = None) -> None:
-    """Load what has landed: trips incrementally, the small sources in full."""
-    ingest_drifting_stream(spark, at.trips, schemas.TRIP, at.bronze_trips, at.checkpoint).awaitTermination()
+    """Load what has landed: trips incrementally and anew where published again, the small sources in full."""
+    ingest_drifting(spark, at.trips, schemas.TRIP, at.bronze_trips, at.checkpoint)
     overwrite_table(files.read_zones(spark, at.zones), "bronze_taxi_zone")
-    sensors = files.flatten_sensors(files.read_sensor_locations(spark, at.sensor_locations))
-    days = files.flatten_days(files.read_sensor_days(spark, at.sensor_days))
-    overwrite_table(with_audit(sensor_measurements(sensors, days), run_ts, "sensor days"), "bronze_openaq")
-    gdp = with_audit(files.read_gdp(spark, at.gdp), run_ts, "GDP", column="source_api")
-    overwrite_table(gdp, "bronze_gdp")
+    places = land_documents(files.checked_sensor_locations(spark, at.sensor_locations), "sensor_locations")
+    days = land_documents(files.checked_sensor_days(spark, at.sensor_days), "sensor_days")
+    readings = sensor_measurements(
+        files.flatten_sensors(files.loaded_documents(places)), files.flatten_days(files.loaded_documents(days))
+    )
+    overwrite_table(with_audit(readings, run_ts, "sensor days"), "bronze_openaq")
+    gdp = files.gdp_of(land_documents(files.checked_gdp(spark, at.gdp), "gdp"))
+    overwrite_table(with_audit(gdp, run_ts, "GDP", column="source_api"), "bronze_gdp")
     overwrite_table(files.read_fx(spark, at.fx), "bronze_fx")
 
 
+def land_documents(docs: DataFrame, source: str) -> DataFrame:
+    """Write checked documents as a table of their own, so that rows and rejects come from one parse."""
+    overwrite_table(docs, f"{DOCUMENTS}{source}")
+    return docs.sparkSession.table(f"{DOCUMENTS}{source}")
+
+
+def document_rejects(spark: SparkSession) -> DataFrame:
+    """Files of all document sources that something is wrong with: ``source, source_file, reason, loaded``."""
+    found = [t.name for t in spark.catalog.listTables(pattern=f"{DOCUMENTS}*") if not t.isTemporary]
+    none = spark.createDataFrame([], "source string, source_file string, reason string, loaded boolean")
+    parts = [
+        files.rejected_documents(spark.table(name)).select(F.lit(name.removeprefix(DOCUMENTS)).alias("source"), "*")
+        for name in sorted(found)
+    ]
+    return reduce(DataFrame.unionByName, parts, none)
+
+
 def conform_new_trips(spark: SparkSession, at: Landing, run_ts: dt.datetime | None = None) -> None:
     """Conform the trips of the slots that new loads have rows for; all other slots of the table stay as they are.
 
@@ -123,7 +148,8 @@ def run_gold(spark: SparkSession, at: Landing, start: dt.date, end: dt.date) ->
 def run_weather(spark: SparkSession, at: Landing, run_ts: dt.datetime | None = None) -> DataFrame:
     """The forecast branch: table, expectations, report, and a small export. Gives the suite's status."""
     table = "gold_weather_forecast"
-    overwrite_enforced(weather_forecast(files.read_forecast(spark, at.forecast), run_ts), table, schemas.WEATHER)
+    docs = land_documents(files.checked_forecast(spark, at.forecast), "forecast")
+    overwrite_enforced(weather_forecast(files.loaded_documents(docs), run_ts), table, schemas.WEATHER)
     overwrite_table(run_suite(spark.table(table), weather_rules()), "weather_quality")
     status = suite_status(spark.table("weather_quality"))
     write_report(status, f"{at.reports}/weather_quality_report.json", run_ts)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,7 @@ from pyspark.sql import types as T
 
 from citylake.operators.ordering import ordered
 from citylake.schemas import SchemaMismatch, enforce_schema
-from citylake.sources.store import write_text
+from citylake.sources.store import names, remove, write_text
 
 
 def balanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
@@ -33,9 +34,61 @@ def read_evolving(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 
+def _versions_folder(spark: SparkSession, name: str) -> str:
+    """Folder for the files of a table's contents, one folder below it for each replacement."""
+    *database, table = name.split(".")
+    root = spark.catalog.getDatabase(database[0] if database else spark.catalog.currentDatabase()).locationUri
+    return f"{root.rstrip('/')}/{table}.contents"
+
+
+def _layout(df: DataFrame, partition_by: Sequence[str]) -> list[tuple[str, str]]:
+    """Columns in the order a written table has them: those it is partitioned by come last."""
+    fields = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    return [(n, fields[n]) for n in [*[n for n in fields if n not in partition_by], *partition_by]]
+
+
 def overwrite_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> None:
-    """Replace a table, its schema too."""
-    balanced(df, partition_by).write.mode("overwrite").partitionBy(*partition_by).saveAsTable(name)
+    """Replace a table, its schema too; ``df`` may read the table itself.
+
+    The rows are written beside the old ones, as a table of another name. Only when all are there does ``name`` point at
+    them: in one step of the catalog where an unpartitioned table keeps its columns, else by dropping the old entry and
+    renaming the new one. A write that fails leaves the table as it was. The contents before are kept until the next
+    replacement, for queries that still read them; older ones are removed.
+    """
+    spark = df.sparkSession
+    folder, version = _versions_folder(spark, name), uuid.uuid4().hex
+    fresh, path = f"{name}_{version}", f"{folder}/{version}"
+    try:
+        balanced(df, partition_by).write.partitionBy(*partition_by).option("path", path).saveAsTable(fresh)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+        remove(spark, path)
+        raise
+    before = None
+    if spark.catalog.tableExists(name):
+        before = _location(spark, name)
+        kept = not partition_by and not _partitioned(spark, name)
+        if kept and before.startswith(folder) and _layout(spark.table(name), ()) == _layout(spark.table(fresh), ()):
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+            spark.sql(f"DROP TABLE {fresh}")  # of a table whose path was given only the entry goes
+            fresh = ""
+        else:
+            spark.sql(f"DROP TABLE {name}")
+    if fresh:
+        spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
+    spark.catalog.refreshTable(name)
+    for other in names(spark, folder):
+        if other != version and f"{folder}/{other}" != before:
+            remove(spark, f"{folder}/{other}")
+
+
+def _location(spark: SparkSession, name: str) -> str:
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'")
+    return described.first()["data_type"]
+
+
+def _partitioned(spark: SparkSession, name: str) -> bool:
+    return any(c.isPartition for c in spark.catalog.listColumns(name))
 
 
 def overwrite_partitions(df: DataFrame, name: str, partition_by: Sequence[str]) -> None:

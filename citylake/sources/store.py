@@ -2,15 +2,18 @@
 
 A widening table keeps each version of its schema as a small file, and every load under the version it was written
 with. Older loads are read with their own version's schema and cast to the newest, so no read merges
-footers, and no file is read with a type it was not written with.
+footers, and no file is read with a type it was not written with. A load can also take the place of what older loads
+hold of some slots.
 """
 
 from __future__ import annotations
 
 import json
+from collections.abc import Iterable, Iterator
 from functools import reduce
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,6 +36,29 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    """Give a staged folder its place."""
+    fs, p = _file(spark, path)
+    _, target = _file(spark, to)
+    fs.mkdirs(target.getParent())
+    if not fs.rename(p, target):
+        raise OSError(f"{path} could not be renamed to {to}")
+
+
+def is_parquet(spark: SparkSession, path: str) -> bool:
+    """Whether a file has the length and the closing mark of a Parquet file."""
+    fs, p = _file(spark, path)
+    length = fs.getFileStatus(p).getLen()
+    if length < 12:
+        return False
+    stream = fs.open(p)
+    try:
+        stream.seek(length - 4)
+        return bytes(stream.read() for _ in range(4)) == b"PAR1"
+    finally:
+        stream.close()
+
+
 def names(spark: SparkSession, path: str) -> list[str]:
     """Names in a folder; none where there is no folder."""
     fs, p = _file(spark, path)
@@ -110,8 +136,9 @@ class WideningTable:
     def schema(self, version: int) -> T.StructType:
         return T.StructType.fromJson(json.loads(read_text(self.spark, f"{self.path}/_schemas/{version}.json")))
 
-    def load(self, rows: DataFrame, name: str) -> None:
-        """Write a load under its name. A repeated load replaces itself; new columns and wider types make a version."""
+    def _fitted(self, rows: DataFrame, name: str) -> tuple[DataFrame, str]:
+        """Rows in the newest schema, and the folder of their load; new columns and wider types make a version."""
+        self._settle()
         versions = self.versions()
         old = self.schema(versions[-1]) if versions else T.StructType([])
         new, version = widened(old, rows.schema), versions[-1] if versions else 0
@@ -121,8 +148,68 @@ class WideningTable:
         for other in versions:
             if other != version:  # the load may have been written before a version it caused itself
                 remove(self.spark, f"{self.path}/version={other}/load={name}")
-        out = f"{self.path}/version={version}/load={name}"
-        conformed_to(rows, new).write.mode("overwrite").partitionBy(*self.slot).parquet(out)
+        return conformed_to(rows, new), f"{self.path}/version={version}/load={name}"
+
+    def load(self, rows: DataFrame, name: str) -> None:
+        """Write a load under its name. A repeated load replaces itself."""
+        fitted, out = self._fitted(rows, name)
+        fitted.write.mode("overwrite").partitionBy(*self.slot).parquet(out)
+
+    def replace(self, rows: DataFrame, name: str, slots: Iterable[tuple[str, ...]]) -> None:
+        """Write a load that takes the place of all that other loads hold of ``slots``.
+
+        The rows are written where no reader looks. A note then says which folders they stand for, and holds from the
+        moment the load is renamed to its place: readers see the old rows or the new ones. The old folders are removed
+        last, by the next load if this run breaks off.
+        """
+        fitted, out = self._fitted(rows, name)
+        hidden = f"{self.path}/_replacing/{name}"
+        fitted.write.mode("overwrite").partitionBy(*self.slot).parquet(hidden)
+        gone = [[load, *slot] for load, slot, _ in self._held(set(slots)) if load != name]
+        write_text(self.spark, self._note, json.dumps({"load": out.removeprefix(f"{self.path}/"), "gone": gone}))
+        remove(self.spark, out)
+        rename(self.spark, hidden, out)
+        self._settle()
+
+    @property
+    def _note(self) -> str:
+        return f"{self.path}/_replaced.json"
+
+    def _gone(self) -> list[list[str]]:
+        """``[load, *slot]`` of what a load has replaced and is not removed yet."""
+        if not exists(self.spark, self._note):
+            return []
+        note = json.loads(read_text(self.spark, self._note))
+        return note["gone"] if exists(self.spark, f"{self.path}/{note['load']}") else []
+
+    def _settle(self) -> None:
+        """Remove replaced folders, then the note on them."""
+        gone = {tuple(g) for g in self._gone()}
+        for load, slot, folder in list(self._held({g[1:] for g in gone})):
+            if (load, *slot) in gone:
+                remove(self.spark, folder)
+        if exists(self.spark, self._note):
+            remove(self.spark, self._note)
+
+    def _held(self, slots: set[tuple[str, ...]]) -> Iterator[tuple[str, tuple[str, ...], str]]:
+        """Load, slot and folder of everything that loads hold of ``slots``. Lists folders only."""
+
+        def below(folder: str, slot: tuple[str, ...]) -> Iterator[tuple[tuple[str, ...], str]]:
+            if len(slot) == len(self.slot):
+                yield slot, folder
+                return
+            column = f"{self.slot[len(slot)]}="
+            for name in names(self.spark, folder):
+                deeper = (*slot, unquote(name.removeprefix(column)))
+                if name.startswith(column) and deeper in starts:
+                    yield from below(f"{folder}/{name}", deeper)
+
+        starts = {slot[:n] for slot in slots for n in range(len(self.slot) + 1)}
+        for version in self.versions() if slots else []:
+            for name in names(self.spark, f"{self.path}/version={version}"):
+                if name.startswith("load="):
+                    for slot, folder in below(f"{self.path}/version={version}/{name}", ()):
+                        yield name.removeprefix("load="), slot, folder
 
     def loads(self) -> list[str]:
         """Names of all loads."""
@@ -140,6 +227,13 @@ class WideningTable:
             root = f"{self.path}/version={version}"
             if exists(self.spark, root):
                 own = T.StructType([*self.schema(version).fields, *load])
-                parts.append(conformed_to(self.spark.read.schema(own).parquet(root), newest))
+                rows = self.spark.read.schema(own).parquet(root)
+                parts.append(conformed_to(rows.filter(self._is_live()), newest))
         return union_conformed(*parts)
 
+    def _is_live(self) -> Column:
+        """Rows that no load has replaced; looks at partition columns only."""
+        replaced = [
+            reduce(lambda a, b: a & b, [F.col(c) == v for c, v in zip(["load", *self.slot], gone)]) for gone in self._gone()
+        ]
+        return ~reduce(lambda a, b: a | b, replaced, F.lit(False))

@@ -412,6 +412,12 @@ ORACLES: dict[str, str] = {
     "zone_csv": _with(ZONES) + " select location_id, borough, zone_name, service_zone from zones",
     "fx_csv": _with(FX_ROWS) + " select strftime(fx_date, '%Y-%m-%d') as TIME_PERIOD, CURRENCY, rate as OBS_VALUE from fx_rows",
     "forecast_json": _with(WEATHER) + " select dt, temperature, condition from weather",
+    "broken_documents": """
+      with docs as (
+        select event_id // 100 as part, 2 * count_if(event_type <> 'signup') as steps from events group by 1)
+      select part, case part % 4 when 1 then 'not JSON' when 2 then 'no list' when 3 then 'a value of another type' end as reason,
+             cast(case part % 4 when 0 then steps when 3 then steps + 1 end as bigint) as steps
+      from docs where steps > 0""",
     "gdp_file": _with(GDP) + " select countryiso3code, cast(gdp_year as varchar) as date, gdp_value as value from gdp",
     "append_new_column": """
       select l_orderkey, l_quantity, case when l_linestatus <> 'F' then l_tax end as l_tax from lineitem""",
@@ -440,6 +446,13 @@ ORACLES: dict[str, str] = {
              case l_returnflag when 'A' then l_linenumber::varchar when 'N' then l_quantity::varchar
                   else 'x' || l_linestatus end as surcharge,
              count(*) as n, sum(l_linenumber::double) as passengers from lineitem group by 1, 2""",
+    "republished_ingest": """
+      with published as (
+        select '01' as month, l_linenumber from lineitem where l_returnflag = 'A' and l_quantity > 25
+        union all select '02', l_linenumber from lineitem where l_returnflag = 'N'
+        union all select '02', l_linenumber from lineitem where l_returnflag = 'N' and l_quantity < 5
+        union all select '03', l_linenumber from lineitem where l_returnflag = 'R')
+      select month, count(*) as n, sum(l_linenumber::double) as passengers, month = '03' as failed from published group by 1""",
     "manifest_as_of": """
       with wanted as (
         select t.taxi_type, strftime(m, '%Y') as year, strftime(m, '%m') as month

@@ -2,17 +2,30 @@
 
 import datetime as dt
 import json
+import shutil
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from citylake import schemas
 from citylake.operators.quality import QualityGateError
-from citylake.plans.layers import Landing, conform_new_trips, run_bronze, run_daily, run_weather
+from citylake.plans.layers import Landing, conform_new_trips, document_rejects, run_bronze, run_daily, run_weather
 from citylake.session import build_session, staging_path
-from citylake.sources.manifest import slot_path
+from citylake.sources import store
+from citylake.sources.manifest import load_summary, slot_path
 from citylake.sources.sinks import read_evolving
-from citylake.streaming import ingest_drifting_stream, ingest_mixed_stream, ingest_stream, read_drifting, rejected_files
+from citylake.sources.store import WideningTable
+from citylake.streaming import (
+    failed_slots,
+    ingest_drifting,
+    ingest_drifting_stream,
+    ingest_mixed_stream,
+    ingest_stream,
+    read_drifting,
+    rejected_files,
+)
 from tests.conftest import values
 
 RUN = dt.datetime(2024, 4, 1, tzinfo=dt.timezone.utc)
@@ -122,6 +135,98 @@ def test_a_file_in_no_slot_is_reported(spark, tmp_path):
         ingest_stream(spark, landing, schemas.TRIP, str(tmp_path / "o2"), str(tmp_path / "c2")).awaitTermination()
 
 
+def small(spark, folder, taxi, month, numbers, name="data.parquet"):
+    """One file of a slot under a name of its own, replacing what lies there."""
+    target = folder / slot_path(taxi, 2024, month) / name
+    target.parent.mkdir(parents=True, exist_ok=True)
+    pq.write_table(pa.table({"VendorID": pa.array(numbers, pa.int64())}), target)
+    return target
+
+
+def stored(spark, out):
+    return values(read_drifting(spark, out), "taxi_type", "month", "VendorID")
+
+
+def test_a_slot_published_again_is_replaced_once(spark, tmp_path):
+    landing, out, checkpoint = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "cp")
+
+    def run():
+        return ingest_drifting(spark, str(landing), schemas.TRIP, out, checkpoint, files_per_batch=2)
+
+    small(spark, landing, "green", 1, [1, 2])
+    small(spark, landing, "green", 2, [3])
+    small(spark, landing, "yellow", 2, [4])
+    assert run() == []
+    small(spark, landing, "green", 1, [7, 8, 9])  # the same path
+    small(spark, landing, "yellow", 2, [5], "more.parquet")  # a file more is no replacement
+    assert run() == [("green", "2024", "01")]
+    expected = [("green", "01", n) for n in (7, 8, 9)] + [("green", "02", 3), ("yellow", "02", 4), ("yellow", "02", 5)]
+    assert stored(spark, out) == expected
+    assert run() == [] and stored(spark, out) == expected
+    # The slot under other names, with another type of column.
+    (landing / slot_path("green", 2024, 2) / "data.parquet").unlink()
+    spark.createDataFrame([(6, "x")], "VendorID bigint, note string").coalesce(1).write.mode("append").parquet(
+        f"{landing}/{slot_path('green', 2024, 2)}"
+    )
+    assert run() == [("green", "2024", "02")]
+    assert stored(spark, out) == [*expected[:3], ("green", "02", 6), *expected[4:]]
+    assert run() == []
+    # A slot that was cleared away keeps its rows.
+    (landing / slot_path("green", 2024, 1) / "data.parquet").unlink()
+    assert run() == [] and len(stored(spark, out)) == 6
+
+
+def test_a_replacement_that_breaks_off_shows_old_rows_or_new_ones(spark, tmp_path, monkeypatch):
+    table = WideningTable(spark, str(tmp_path / "t"), ["kind"])
+    frame = lambda *rows: spark.createDataFrame(rows, "id int, kind string")
+    table.load(frame((1, "a b"), (2, "c")), "one")
+    monkeypatch.setattr(store, "rename", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        table.replace(frame((3, "a b")), "two", [("a b",)])
+    assert values(table.read(), "id") == [(1,), (2,)]
+    monkeypatch.undo()
+    monkeypatch.setattr(WideningTable, "_settle", lambda self: None)  # the old folder is not removed
+    table.replace(frame((3, "a b")), "two", [("a b",)])
+    assert values(table.read(), "id") == [(2,), (3,)]
+    monkeypatch.undo()
+    table.load(frame((4, "c")), "three")
+    assert values(table.read(), "id") == [(2,), (3,), (4,)]
+    assert not (tmp_path / "t" / "_replaced.json").exists()
+    table.replace(frame((5, "c")), "four", [("c",), ("none",)])
+    assert values(table.read(), "id", "kind") == [(3, "a b"), (5, "c")]
+
+
+def test_a_broken_file_is_listed_and_the_others_load(spark, tmp_path):
+    landing, out, checkpoint = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "cp")
+
+    def run():
+        return ingest_drifting(spark, str(landing), schemas.TRIP, out, checkpoint)
+
+    small(spark, landing, "green", 1, [1])
+    cut = small(spark, landing, "green", 2, [2])
+    cut.write_bytes(cut.read_bytes()[:-30])
+    only = small(spark, landing, "yellow", 1, [3])
+    only.write_bytes(b"PAR1 and nothing more")
+    assert run() == []
+    assert stored(spark, out) == [("green", "01", 1)]
+    assert [(r["path"].split("/")[-4:-1], r["reason"]) for r in rejected_files(spark, out).orderBy("path").collect()] == [
+        (["green", "2024", "02"], "no Parquet file"),
+        (["yellow", "2024", "01"], "no Parquet file"),
+    ]
+    wanted = spark.createDataFrame([("green", "2024", m) for m in ("01", "02", "03")], "taxi_type string, year string, month string")
+    available = wanted.filter("month <> '03'")
+    summary = load_summary(wanted, wanted.limit(0), available, failed_slots(spark, out))
+    assert values(summary) == [("failed", 1), ("loaded", 1), ("missing", 1)]
+    assert run() == []  # broken files are not tried again as long as they are the same
+    small(spark, landing, "green", 2, [2, 20])
+    only.write_bytes(b"PAR1 and still nothing more")
+    good = small(spark, landing, "green", 1, [5])
+    good.write_bytes(good.read_bytes()[:-30])  # a broken replacement leaves the rows as they are
+    assert run() == [("green", "2024", "02")]
+    assert stored(spark, out) == [("green", "01", 1), ("green", "02", 2), ("green", "02", 20)]
+    assert values(failed_slots(spark, out), "taxi_type", "month") == [("green", "01"), ("yellow", "01")]
+
+
 def write_json(path, content):
     path.parent.mkdir(parents=True, exist_ok=True)
     path.write_text(json.dumps(content))
@@ -190,6 +295,35 @@ def test_daily_run_builds_the_star_and_repeats_without_change(spark, landing):
     assert ("bad_trips", 60, 20) in values(spark.table("quality_report"), "rule", "total", "failed")
 
 
+def test_documents_that_are_none_are_listed(spark, landing, tmp_path):
+    (tmp_path / "days" / "sensor_id=7" / "cut.json").write_text('{"results": [{"value": 3.5')
+    write_json(tmp_path / "gdp" / "message.json", [{"message": "no such indicator"}])
+    write_json(tmp_path / "locations" / "gone.json", {"error": "gone"})
+    (tmp_path / "forecast" / "word.json").write_text('{"list": [{"dt": "noon"}, {"dt": 1704067300}]}')
+    run_bronze(spark, landing, RUN)
+    run_weather(spark, landing, RUN)
+    assert spark.table("bronze_openaq").count() == 1 and spark.table("bronze_gdp").count() == 1
+    found = document_rejects(spark).withColumn("file", F.element_at(F.split("source_file", "/"), -1))
+    assert values(found, "source", "file", "reason", "loaded") == [
+        ("forecast", "word.json", "a value of another type", True),
+        ("gdp", "message.json", "no rows", False),
+        ("sensor_days", "cut.json", "not JSON", False),
+        ("sensor_locations", "gone.json", "no results", False),
+    ]
+    assert spark.table("gold_weather_forecast").filter("forecast_time IS NOT NULL").count() == 3
+
+
+def test_a_month_published_again_goes_through_to_the_facts(spark, landing, tmp_path):
+    def run():
+        run_daily(spark, landing, dt.date(2024, 1, 1), dt.date(2024, 12, 31), RUN)
+        return spark.table("gold_fact_nyc_taxi_daily").agg(F.sum("total_trips")).first()[0]
+
+    assert run() == 40
+    shutil.rmtree(tmp_path / "trips" / "green" / "2024" / "02")
+    land_trips(spark, landing.trips, "green", 2, [1.0] * 5)
+    assert run() == 25 and run() == 25
+
+
 def test_weather_branch(spark, landing, tmp_path):
     status = run_weather(spark, landing, RUN)
     assert values(status) == [("Success", 3, 100.0)]

@@ -29,6 +29,7 @@ from citylake.sources.manifest import (
     slot_path,
 )
 from citylake.sources.sinks import (
+    _versions_folder,
     append_evolving,
     balanced,
     export_top_n,
@@ -38,6 +39,7 @@ from citylake.sources.sinks import (
     read_evolving,
     write_report,
 )
+from citylake.sources.store import names
 from tests.conftest import plan_of, values
 
 
@@ -194,6 +196,42 @@ def test_overwrite_replaces_or_enforces_the_schema(spark):
     assert values(spark.table("sink_zone"), "borough") == [("b",)]
 
 
+def failing(df):
+    """Rows of which the last ones cannot be computed."""
+    first = df.columns[0]
+    return df.withColumn(first, F.when(F.col(first) > 90, F.raise_error(F.lit("half-way"))).otherwise(F.col(first)))
+
+
+@pytest.mark.parametrize("by", [[], ["kind"]])
+def test_a_write_that_fails_half_way_leaves_the_table_as_it_was(spark, by):
+    name, old = f"kept_{len(by)}", spark.range(10).withColumn("kind", F.col("id") % 2)
+    overwrite_table(old, name, by)
+    reader = spark.table(name)
+    bad = spark.range(0, 100, 1, 4).withColumn("kind", F.col("id") % 2)
+    with pytest.raises(Exception, match="half-way"):
+        overwrite_table(failing(bad), name, by)
+    assert values(spark.table(name), "id") == [(i,) for i in range(10)]
+    assert [t.name for t in spark.catalog.listTables() if t.name.startswith(f"{name}_")] == []
+    overwrite_table(spark.table(name).filter("id > 6"), name, by)  # of its own rows
+    assert values(spark.table(name), "id") == [(7,), (8,), (9,)]
+    assert reader.count() == (3 if by else 10)  # got before: partitions are looked up when it runs, other files are still there
+    overwrite_table(spark.table(name).withColumn("more", F.lit(1)), name, by)
+    assert sorted(spark.table(name).columns) == ["id", "kind", "more"] and spark.table(name).count() == 3
+    overwrite_table(spark.range(2), name)
+    assert values(spark.table(name)) == [(0,), (1,)]
+
+
+def test_old_contents_are_removed_but_the_last(spark):
+    for n in range(4):
+        overwrite_table(spark.range(n), "contents_t")
+    folder = _versions_folder(spark, "contents_t")
+    assert len(names(spark, folder)) == 2 and spark.table("contents_t").count() == 3
+    spark.sql("create database if not exists other_db")
+    overwrite_table(spark.range(2), "other_db.contents_t")
+    overwrite_table(spark.range(5), "other_db.contents_t")
+    assert spark.table("other_db.contents_t").count() == 5 and spark.table("contents_t").count() == 3
+
+
 def test_enforce_schema_widens_but_never_narrows(spark):
     df = spark.createDataFrame([(1, 2)], "a int, b bigint")
     assert enforce_schema(df, schemas.struct(b=schemas.LONG, a=schemas.LONG)).first() == (2, 1)
