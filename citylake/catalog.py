@@ -28,7 +28,7 @@ from citylake.operators.quality import (
     suite_status,
     weather_rules,
 )
-from citylake.operators.series import forward_fill_bucketed
+from citylake.operators.series import forward_fill_bucketed, forward_fill_by_period
 from citylake.plans import insights
 from citylake.plans.dimensions import dim_date, dim_gdp, dim_zone, weather_forecast
 from citylake.plans.measures import latest_value, measure
@@ -155,6 +155,11 @@ def fx_ffill_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forward_fill_bucketed(_gappy_events(spark, sf_dir), ["user_id"], ["ts", "event_id"], "value")
 
 
+@query
+def fx_ffill_by_period(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forward_fill_by_period(_gappy_events(spark, sf_dir), ["user_id"], ["ts", "event_id"], "value", "to_date(ts)")
+
+
 @query
 def aq_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.silver_aq(spark, sf_dir)

@@ -18,6 +18,7 @@ from citylake.functions import slot_path_text
 from citylake.operators.conform import cast_all, rename, with_audit
 from citylake.operators.ordering import ordered
 from citylake.operators.quality import gate_checks, quality_report, report_text, run_suite, suite_status, weather_rules
+from citylake.plans.filled import FilledSeries
 from citylake.plans.gold import TaxiGold
 from citylake.plans.measures import CityModel, measure
 from citylake.session import staging_path
@@ -264,6 +265,22 @@ def avg_fare_of_a_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     return measure(model, "avg_fare", ["year", "month"], where={"year": 1996})
 
 
+@query
+def incremental_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event values without those of ten days, then with all: late days, and later ones that begin with another value, are filled."""
+    known = F.when(F.col("event_type") != "purchase", F.col("value"))
+    day = F.date_format("ts", "yyyy-MM-dd")
+    events = b.table(spark, sf_dir, "events").select("user_id", "ts", "event_id", known.alias("value"), day.alias("period"))
+    raw, note = _name("raw"), f"{staging_path(spark, 'filled')}/note.json"
+    series = FilledSeries(spark, note, raw, _name("filled"), _name("closings"), ["user_id"], ["ts", "event_id"], "value")
+    late = F.dayofmonth("ts").between(10, 19)
+    overwrite_table(events.filter(~late), raw, ["period"])
+    series.refresh()
+    overwrite_partitions(events.filter(late), raw, ["period"])
+    series.refresh()
+    return spark.table(series.filled).drop("period")
+
+
 @query
 def manifest_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Slots wanted up to a month inside a year, with the order lines of each."""

@@ -56,8 +56,8 @@ def fx_base(rows: DataFrame) -> DataFrame:
 def dim_fx(rows: DataFrame, fill: Callable[..., DataFrame] = forward_fill) -> DataFrame:
     """Exchange rates with gaps filled from the last known rate.
 
-    The default fill suits one row per currency and day. Pass ``forward_fill_bucketed`` for a feed that
-    may repeat days without bound.
+    The default fill suits one row per currency and day. Pass ``forward_fill_by_period`` with a period for longer feeds,
+    and ``forward_fill_bucketed`` for one that may repeat days without bound.
     """
     base = fx_base(rows)
     # The rate is part of the order: it makes repeated days of a currency come in a fixed order.

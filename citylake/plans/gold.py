@@ -42,11 +42,11 @@ def _values(folders: Sequence[str]) -> Slot:
     return tuple(unquote(f.split("=", 1)[1]) for f in folders)
 
 
-def slot_digests(spark: SparkSession, silver: str) -> dict[Slot, str]:
-    """A digest of the file names of each slot; a rewritten slot has other names. Lists files only."""
+def slot_digests(spark: SparkSession, table: str, columns: Sequence[str] = SLOT) -> dict[Slot, str]:
+    """A digest of the file names of each partition; a rewritten one has other names. Lists files only."""
     found: dict[Slot, list[str]] = defaultdict(list)
-    for path in spark.table(silver).inputFiles():
-        *folders, name = path.split("/")[-len(SLOT) - 1 :]
+    for path in spark.table(table).inputFiles():
+        *folders, name = path.split("/")[-len(columns) - 1 :]
         found[_values([unquote(f) for f in folders])].append(name)
     return {slot: hashlib.sha256("\n".join(sorted(names)).encode()).hexdigest() for slot, names in found.items()}
 
@@ -56,15 +56,15 @@ def partitions(spark: SparkSession, table: str) -> set[Slot]:
     return {_values(r[0].split("/")) for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
 
 
-def _drop_partitions(spark: SparkSession, table: str, columns: Sequence[str], gone: set[Slot]) -> None:
+def drop_partitions(spark: SparkSession, table: str, columns: Sequence[str], gone: set[Slot]) -> None:
     for values in gone:
         literal = ", ".join(f"`{c}` = '{v.replace(chr(92), chr(92) * 2).replace(chr(39), chr(92) + chr(39))}'" for c, v in zip(columns, values))
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({literal})")
 
 
-def _of_slots(df: DataFrame, slots: Sequence[Slot]) -> DataFrame:
-    """Rows of some slots; equalities on partition columns, so that only their files are read."""
-    one = [reduce(lambda a, b: a & b, [F.col(c) == v for c, v in zip(SLOT, slot)]) for slot in slots]
+def of_slots(df: DataFrame, slots: Sequence[Slot], columns: Sequence[str] = SLOT) -> DataFrame:
+    """Rows of some partitions; equalities on partition columns, so that only their files are read."""
+    one = [reduce(lambda a, b: a & b, [F.col(c) == v for c, v in zip(columns, slot)], F.lit(True)) for slot in slots]
     return df.filter(reduce(lambda a, b: a | b, one, F.lit(False)))
 
 
@@ -130,7 +130,7 @@ class TaxiGold:
             months |= {p[-1] for p in kept}
             self._say(old, months)
             overwrite_partitions(fresh, self.states, [*SLOT, MONTH])
-            _drop_partitions(spark, self.states, [*SLOT, MONTH], stored - kept)
+            drop_partitions(spark, self.states, [*SLOT, MONTH], stored - kept)
             remove(spark, path)
         if months:
             self._merge(months)
@@ -140,7 +140,7 @@ class TaxiGold:
     def _staged(self, changed: list[Slot]) -> tuple[DataFrame, str]:
         """States of the changed slots, written aside: their partitions are looked at before they are loaded."""
         path = staging_path(self.spark, "slot-states")
-        found = self._states_of(_of_slots(self.spark.table(self.silver), changed))
+        found = self._states_of(of_slots(self.spark.table(self.silver), changed))
         found.write.parquet(path)
         return self.spark.read.schema(found.schema).parquet(path), path
 
@@ -150,4 +150,4 @@ class TaxiGold:
         left = {p[-1] for p in partitions(spark, self.states)}
         for name, df in self._facts_of(touched).items():
             overwrite_partitions(df, name, [MONTH])
-            _drop_partitions(spark, name, [MONTH], {(m,) for m in months - left})
+            drop_partitions(spark, name, [MONTH], {(m,) for m in months - left})

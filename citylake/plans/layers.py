@@ -8,7 +8,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +18,7 @@ from citylake.operators.conform import conform_trips, with_audit
 from citylake.operators.facts import fact_aq_daily, silver_air_quality
 from citylake.operators.joins import sensor_measurements
 from citylake.operators.quality import gate, quality_report, run_suite, suite_status, weather_rules
-from citylake.operators.series import forward_fill_bucketed
+from citylake.operators.series import forward_fill_by_period
 from citylake.plans.dimensions import dim_date, dim_fx, dim_gdp, dim_zone, weather_forecast
 from citylake.plans.gold import TaxiGold
 from citylake.session import path_bytes, sized
@@ -114,7 +114,7 @@ def run_silver(spark: SparkSession, at: Landing, run_ts: dt.datetime | None = No
     conform_new_trips(spark, at, run_ts)
     overwrite_enforced(dim_zone(spark.table("bronze_taxi_zone")), "silver_dim_zone", schemas.DIM_ZONE)
     overwrite_enforced(dim_gdp(spark.table("bronze_gdp")), "silver_gdp", schemas.DIM_GDP)
-    fx = dim_fx(spark.table("bronze_fx"), fill=forward_fill_bucketed)
+    fx = dim_fx(spark.table("bronze_fx"), fill=partial(forward_fill_by_period, period="trunc(fx_date, 'MM')"))
     overwrite_enforced(fx, "silver_fx", schemas.DIM_FX)
     overwrite_enforced(silver_air_quality(spark.table("bronze_openaq")), "silver_openaq", schemas.SILVER_AQ)
 

@@ -53,6 +53,12 @@ fact as (
   from trips group by all)"""
 )
 
+FILLED_EVENTS = """
+      select user_id, ts, event_id,
+             last_value(case when event_type <> 'purchase' then value end ignore nulls) over (
+               partition by user_id order by ts, event_id rows between unbounded preceding and current row) as value
+      from events"""
+
 DATES = """
 dates as (
   select cast(d as date) as date_key, cast(year(d) as integer) as year, cast(month(d) as integer) as month,
@@ -232,11 +238,9 @@ ORACLES: dict[str, str] = {
     + """ select sensor_id, location_name, parameter, lat, lon, value, unit, date_utc from readings
       where ts >= timestamp '2024-01-16' and lon between -74.259 and -73.700 and lat between 40.477 and 40.917""",
     "fx_ffill": _with(FX) + " select fx_date, CURRENCY, exchange_rate_to_eur from fx",
-    "fx_ffill_bucketed": """
-      select user_id, ts, event_id,
-             last_value(case when event_type <> 'purchase' then value end ignore nulls) over (
-               partition by user_id order by ts, event_id rows between unbounded preceding and current row) as value
-      from events""",
+    "fx_ffill_bucketed": FILLED_EVENTS,
+    "fx_ffill_by_period": FILLED_EVENTS,
+    "incremental_fill": FILLED_EVENTS,
     "aq_pivot": _with(WIDE) + f" select location_name, reading_date, lat, lon, {', '.join(PARAMETERS)} from wide",
     "aq_pivot_by_sensor": _with(READINGS)
     + """ select sensor_id, unit, xavg(value) filter (parameter = 'pm25') as pm25,
