@@ -17,7 +17,17 @@ from citylake.catalog import CATALOG, query
 from citylake.functions import slot_path_text
 from citylake.operators.conform import cast_all, rename, with_audit
 from citylake.operators.ordering import ordered
-from citylake.operators.quality import gate_checks, quality_report, report_text, run_suite, suite_status, weather_rules
+from citylake.operators.quality import (
+    daily_rules,
+    gate_checks,
+    quality_report,
+    report_of,
+    report_text,
+    run_suite,
+    suite_status,
+    weather_rules,
+)
+from citylake.plans.counted import CountedTable
 from citylake.plans.filled import FilledSeries
 from citylake.plans.gold import TaxiGold
 from citylake.plans.measures import CityModel, measure
@@ -254,6 +264,20 @@ def incremental_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(gold.fact)
 
 
+@query
+def counted_writes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips written without a year, then with half of it, then a month again: the report sums the counts of the writes."""
+    table, trips = _name("silver"), _slot_trips(spark, sf_dir)
+    counted = CountedTable(spark, f"{staging_path(spark, 'counts')}/note.json", table, daily_rules()["trips"], SLOT)
+    late, first = F.col("year") == "1996", F.col("month") == "01"
+    with counted.writing() as counts:
+        overwrite_table(trips.filter(~late), table, SLOT, counts)
+    for part in (late & (F.col("trip_distance") < 25), late & first):
+        with counted.writing() as counts:
+            overwrite_partitions(trips.filter(part), table, SLOT, counts)
+    return report_of(spark, counted.counts())
+
+
 @query
 def avg_fare_of_a_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From a written fact that is partitioned by month: the filter on the days' years prunes its files."""

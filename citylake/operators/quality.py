@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from citylake.functions import percent_text, rate
@@ -62,6 +62,44 @@ def rule_counts(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     return counted.select(F.inline(F.array(*cells)))
 
 
+# Counts of a rule: rows looked at and rows that fail.
+Counts = dict[str, tuple[int, int]]
+
+
+class RowCounts:
+    """Counts of rules, taken from the rows as they are written, without a scan of their own.
+
+    ``on`` must come last before the write. The rows are then seen by the tasks that write them, of which Spark counts each once,
+    however often one is tried; a task before a shuffle is counted again if its output gets lost.
+    """
+
+    def __init__(self, rules: Mapping[str, Column]):
+        self.rules, self._seen = dict(rules), Observation()
+
+    def on(self, df: DataFrame) -> DataFrame:
+        found = [F.count_if(failed).alias(f"_f{i}") for i, failed in enumerate(self.rules.values())]
+        return df.observe(self._seen, F.count(F.lit(1)).alias("total"), *found)
+
+    def counts(self) -> Counts:
+        """After the write. A write whose rows Spark knows to be none has nothing to count."""
+        seen = self._seen.get
+        return {name: (seen.get("total", 0), seen.get(f"_f{i}", 0)) for i, name in enumerate(self.rules)}
+
+
+def report_of(spark: SparkSession, counts: Counts) -> DataFrame:
+    """The report of counts that are there already."""
+    return failure_rate(spark.createDataFrame([(r, t, f) for r, (t, f) in counts.items()], "rule string, total long, failed long"))
+
+
+def daily_rules() -> dict[str, dict[str, Column]]:
+    """Rules of the trips, the air quality and the rates."""
+    return {
+        "trips": {"bad_trips": bad_trip()},
+        "air": {"impossible_pm25": impossible_pm25()},
+        "fx": {"fx_nulls": missing_rate()},
+    }
+
+
 def failure_rate(counts: DataFrame) -> DataFrame:
     """Share of failing rows; NULL for an empty table."""
     return counts.withColumn("failure_rate", rate("failed", "total"))
@@ -69,11 +107,8 @@ def failure_rate(counts: DataFrame) -> DataFrame:
 
 def quality_report(trips: DataFrame, air: DataFrame, fx: DataFrame) -> DataFrame:
     """The three daily checks, one pass over each table."""
-    parts = [
-        rule_counts(trips, {"bad_trips": bad_trip()}),
-        rule_counts(air, {"impossible_pm25": impossible_pm25()}),
-        rule_counts(fx, {"fx_nulls": missing_rate()}),
-    ]
+    tables = {"trips": trips, "air": air, "fx": fx}
+    parts = [rule_counts(tables[name], rules) for name, rules in daily_rules().items()]
     return failure_rate(reduce(DataFrame.unionByName, parts))
 
 

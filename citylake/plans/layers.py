@@ -17,8 +17,9 @@ from citylake import schemas
 from citylake.operators.conform import conform_trips, with_audit
 from citylake.operators.facts import fact_aq_daily, silver_air_quality
 from citylake.operators.joins import sensor_measurements
-from citylake.operators.quality import gate, quality_report, run_suite, suite_status, weather_rules
+from citylake.operators.quality import daily_rules, gate, report_of, run_suite, suite_status, weather_rules
 from citylake.operators.series import forward_fill_by_period
+from citylake.plans.counted import CountedTable
 from citylake.plans.dimensions import dim_date, dim_fx, dim_gdp, dim_zone, weather_forecast
 from citylake.plans.gold import TaxiGold
 from citylake.session import path_bytes, sized
@@ -89,6 +90,15 @@ def document_rejects(spark: SparkSession) -> DataFrame:
     return reduce(DataFrame.unionByName, parts, none)
 
 
+def counted_tables(spark: SparkSession, at: Landing) -> dict[str, CountedTable]:
+    """The conformed tables that the gate looks at, with the notes on their counts."""
+    tables = {"trips": ("silver_nyc_taxi", SLOT), "air": ("silver_openaq", []), "fx": ("silver_fx", [])}
+    return {
+        name: CountedTable(spark, f"{at.bronze_trips}/_counts_{name}.json", tables[name][0], rules, tables[name][1])
+        for name, rules in daily_rules().items()
+    }
+
+
 def conform_new_trips(spark: SparkSession, at: Landing, run_ts: dt.datetime | None = None) -> None:
     """Conform the trips of the slots that new loads have rows for; all other slots of the table stay as they are.
 
@@ -101,11 +111,14 @@ def conform_new_trips(spark: SparkSession, at: Landing, run_ts: dt.datetime | No
     trips = conform_trips(bronze.read(), run_ts, keep=SLOT)
     same = spark.catalog.tableExists(name) and set(spark.table(name).columns) == set(trips.columns)
     done = set(json.loads(read_text(spark, note))) if same and exists(spark, note) else set()
+    counted = counted_tables(spark, at)["trips"]
     if not done:
-        overwrite_table(trips, name, SLOT)
+        with counted.writing() as counts:
+            overwrite_table(trips, name, SLOT, counts)
     elif new := [load for load in loads if load not in done]:
         changed = bronze.read(with_load=True).filter(F.col("load").isin(new)).select(*SLOT).distinct()
-        overwrite_partitions(trips.join(changed, SLOT, "left_semi"), name, SLOT)
+        with counted.writing() as counts:
+            overwrite_partitions(trips.join(changed, SLOT, "left_semi"), name, SLOT, counts)
     write_text(spark, note, json.dumps(loads))
 
 
@@ -115,19 +128,20 @@ def run_silver(spark: SparkSession, at: Landing, run_ts: dt.datetime | None = No
     overwrite_enforced(dim_zone(spark.table("bronze_taxi_zone")), "silver_dim_zone", schemas.DIM_ZONE)
     overwrite_enforced(dim_gdp(spark.table("bronze_gdp")), "silver_gdp", schemas.DIM_GDP)
     fx = dim_fx(spark.table("bronze_fx"), fill=partial(forward_fill_by_period, period="trunc(fx_date, 'MM')"))
-    overwrite_enforced(fx, "silver_fx", schemas.DIM_FX)
-    overwrite_enforced(silver_air_quality(spark.table("bronze_openaq")), "silver_openaq", schemas.SILVER_AQ)
+    counted = counted_tables(spark, at)
+    with counted["fx"].writing() as counts:
+        overwrite_enforced(fx, "silver_fx", schemas.DIM_FX, counts)
+    with counted["air"].writing() as counts:
+        overwrite_enforced(silver_air_quality(spark.table("bronze_openaq")), "silver_openaq", schemas.SILVER_AQ, counts)
 
 
-def check_silver(spark: SparkSession, max_rate: float = 0.01) -> DataFrame:
-    """Quality report of the conformed tables; raises when the run must stop.
+def check_silver(spark: SparkSession, at: Landing, max_rate: float = 0.01) -> DataFrame:
+    """Quality report of the conformed tables, from the counts of their writes; raises when the run must stop.
 
-    The report is written before it is judged: it is computed once, and stays for looking into a halt.
+    The report is written before it is judged, and stays for looking into a halt.
     """
-    report = quality_report(
-        spark.table("silver_nyc_taxi"), spark.table("silver_openaq"), spark.table("silver_fx")
-    )
-    overwrite_table(report, "quality_report")
+    found = {rule: n for table in counted_tables(spark, at).values() for rule, n in table.counts().items()}
+    overwrite_table(report_of(spark, found), "quality_report")
     gate(spark.table("quality_report"), max_rate)
     return spark.table("quality_report")
 
@@ -170,6 +184,6 @@ def run_daily(
     with sized(spark, path_bytes(spark, at.trips)):
         run_bronze(spark, at, run_ts)
         run_silver(spark, at, run_ts)
-        report = check_silver(spark, max_rate)
+        report = check_silver(spark, at, max_rate)
         run_gold(spark, at, start, end)
     return report

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from citylake.operators.ordering import ordered
+from citylake.operators.quality import RowCounts
 from citylake.schemas import SchemaMismatch, enforce_schema
 from citylake.sources.store import names, remove, write_text
 
@@ -24,6 +25,11 @@ def balanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
 
 
+def _prepared(df: DataFrame, partition_by: Sequence[str], counts: RowCounts | None) -> DataFrame:
+    rows = balanced(df, partition_by)
+    return counts.on(rows) if counts else rows
+
+
 def append_evolving(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Append rows that may bring new columns."""
     balanced(df, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
@@ -47,19 +53,19 @@ def _layout(df: DataFrame, partition_by: Sequence[str]) -> list[tuple[str, str]]
     return [(n, fields[n]) for n in [*[n for n in fields if n not in partition_by], *partition_by]]
 
 
-def overwrite_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> None:
+def overwrite_table(df: DataFrame, name: str, partition_by: Sequence[str] = (), counts: RowCounts | None = None) -> None:
     """Replace a table, its schema too; ``df`` may read the table itself.
 
     The rows are written beside the old ones, as a table of another name. Only when all are there does ``name`` point at
     them: in one step of the catalog where an unpartitioned table keeps its columns, else by dropping the old entry and
     renaming the new one. A write that fails leaves the table as it was. The contents before are kept until the next
-    replacement, for queries that still read them; older ones are removed.
+    replacement, for queries that still read them; older ones are removed. ``counts`` sees the rows that are written.
     """
     spark = df.sparkSession
     folder, version = _versions_folder(spark, name), uuid.uuid4().hex
     fresh, path = f"{name}_{version}", f"{folder}/{version}"
     try:
-        balanced(df, partition_by).write.partitionBy(*partition_by).option("path", path).saveAsTable(fresh)
+        _prepared(df, partition_by, counts).write.partitionBy(*partition_by).option("path", path).saveAsTable(fresh)
     except Exception:
         spark.sql(f"DROP TABLE IF EXISTS {fresh}")
         remove(spark, path)
@@ -91,7 +97,7 @@ def _partitioned(spark: SparkSession, name: str) -> bool:
     return any(c.isPartition for c in spark.catalog.listColumns(name))
 
 
-def overwrite_partitions(df: DataFrame, name: str, partition_by: Sequence[str]) -> None:
+def overwrite_partitions(df: DataFrame, name: str, partition_by: Sequence[str], counts: RowCounts | None = None) -> None:
     """Replace the partitions of a table that ``df`` has rows for; the others stay. Columns must be the table's."""
     spark = df.sparkSession
     if not spark.catalog.tableExists(name) or set(spark.table(name).columns) != set(df.columns):
@@ -100,14 +106,14 @@ def overwrite_partitions(df: DataFrame, name: str, partition_by: Sequence[str])
     before = spark.conf.get(key)
     spark.conf.set(key, "dynamic")
     try:
-        balanced(df.select(*spark.table(name).columns), partition_by).write.insertInto(name, overwrite=True)
+        _prepared(df.select(*spark.table(name).columns), partition_by, counts).write.insertInto(name, overwrite=True)
     finally:
         spark.conf.set(key, before)
 
 
-def overwrite_enforced(df: DataFrame, name: str, schema: T.StructType) -> None:
+def overwrite_enforced(df: DataFrame, name: str, schema: T.StructType, counts: RowCounts | None = None) -> None:
     """Replace the rows of a table whose schema is fixed; raises before writing on a mismatch."""
-    overwrite_table(enforce_schema(df, schema), name)
+    overwrite_table(enforce_schema(df, schema), name, counts=counts)
 
 
 def promote(spark: SparkSession, src: str, dst: str) -> None:

@@ -457,6 +457,11 @@ ORACLES: dict[str, str] = {
         union all select '02', l_linenumber from lineitem where l_returnflag = 'N' and l_quantity < 5
         union all select '03', l_linenumber from lineitem where l_returnflag = 'R')
       select month, count(*) as n, sum(l_linenumber::double) as passengers, month = '03' as failed from published group by 1""",
+    "counted_writes": _with(TRIPS)
+    + """, kept as (
+        select * from trips where year(pickup_datetime) <> 1996 or month(pickup_datetime) = 1 or trip_distance < 25)
+      select 'bad_trips' as rule, count(*) as total, cast(count_if(passenger_count <= 0 or trip_distance <= 0) as bigint) as failed,
+             count_if(passenger_count <= 0 or trip_distance <= 0)::double / count(*) as failure_rate from kept""",
     "manifest_as_of": """
       with wanted as (
         select t.taxi_type, strftime(m, '%Y') as year, strftime(m, '%m') as month
