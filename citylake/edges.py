@@ -31,6 +31,7 @@ from citylake.plans.counted import CountedTable
 from citylake.plans.filled import FilledSeries
 from citylake.plans.gold import TaxiGold
 from citylake.plans.measures import CityModel, measure
+from citylake.plans.versions import VersionedDimension
 from citylake.session import staging_path
 from citylake.sources import files
 from citylake.sources.manifest import SLOT, ingest_manifest, landed_slots, slot_path
@@ -305,6 +306,18 @@ def incremental_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(series.filled).drop("period")
 
 
+@query
+def zone_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes of three lookups: all zones, some renamed and some gone, the same again."""
+    zones = b.zones(spark, sf_dir).withColumn("location_id", F.col("location_id").cast("int"))
+    renamed = F.when(F.col("location_id") % 5 == 0, F.concat("zone_name", F.lit(" (new)"))).otherwise(F.col("zone_name"))
+    later = zones.filter("location_id % 7 <> 0").withColumn("zone_name", renamed)
+    dimension = VersionedDimension(spark, staging_path(spark, "zones"), ["location_id"], schemas.DIM_ZONE)
+    for lookup in (zones, later, later):
+        dimension.load(lookup)
+    return dimension.history()
+
+
 @query
 def manifest_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Slots wanted up to a month inside a year, with the order lines of each."""
@@ -324,8 +337,9 @@ def slot_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def audit_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stamped = with_audit(b.table(spark, sf_dir, "nation"), b.RUN_TS, "nation.parquet", taxi_type="yellow")
-    typed = cast_all(stamped, {"n_regionkey": "string"})
+    orders = b.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    stamped = with_audit(orders, b.RUN_TS, "orders.parquet", taxi_type="yellow")
+    typed = cast_all(stamped, {"o_custkey": "string"})
     return typed.withColumn("ingestion_timestamp", F.col("ingestion_timestamp").cast("timestamp_ntz"))
 
 
@@ -351,9 +365,9 @@ def report_percent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def configured_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of the configuration joined to a table."""
-    wanted = files.rows_df(spark, [("ASIA", 1), ("EUROPE", 2)], "r_name string, priority int")
-    return b.table(spark, sf_dir, "region").join(wanted, "r_name")
+    """Zones of the boroughs that the configuration names."""
+    wanted = files.rows_df(spark, [("ASIA", 1), ("EUROPE", 2)], "borough string, priority int")
+    return b.zones(spark, sf_dir).join(wanted, "borough").select("location_id", "borough", "zone_name", "priority")
 
 
 @query

@@ -22,6 +22,7 @@ from citylake.operators.series import forward_fill_by_period
 from citylake.plans.counted import CountedTable
 from citylake.plans.dimensions import dim_date, dim_fx, dim_gdp, dim_zone, weather_forecast
 from citylake.plans.gold import TaxiGold
+from citylake.plans.versions import VersionedDimension
 from citylake.session import path_bytes, sized
 from citylake.sources import files
 from citylake.sources.calendar import calendar
@@ -125,7 +126,12 @@ def conform_new_trips(spark: SparkSession, at: Landing, run_ts: dt.datetime | No
 def run_silver(spark: SparkSession, at: Landing, run_ts: dt.datetime | None = None) -> None:
     """Conform the raw tables."""
     conform_new_trips(spark, at, run_ts)
-    overwrite_enforced(dim_zone(spark.table("bronze_taxi_zone")), "silver_dim_zone", schemas.DIM_ZONE)
+    zones = VersionedDimension(spark, f"{at.bronze_trips}/_zones", ["location_id"], schemas.DIM_ZONE)
+    zones.load(dim_zone(spark.table("bronze_taxi_zone")))
+    note, version = f"{at.bronze_trips}/_zones_of_table.txt", str(zones.version())
+    if not spark.catalog.tableExists("silver_dim_zone") or not exists(spark, note) or read_text(spark, note) != version:
+        overwrite_enforced(zones.current(), "silver_dim_zone", schemas.DIM_ZONE)
+        write_text(spark, note, version)
     overwrite_enforced(dim_gdp(spark.table("bronze_gdp")), "silver_gdp", schemas.DIM_GDP)
     fx = dim_fx(spark.table("bronze_fx"), fill=partial(forward_fill_by_period, period="trunc(fx_date, 'MM')"))
     counted = counted_tables(spark, at)

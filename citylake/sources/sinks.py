@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
 from collections.abc import Sequence
 
@@ -13,7 +14,7 @@ from pyspark.sql import types as T
 from citylake.operators.ordering import ordered
 from citylake.operators.quality import RowCounts
 from citylake.schemas import SchemaMismatch, enforce_schema
-from citylake.sources.store import names, remove, write_text
+from citylake.sources.store import exists, names, read_text, remove, write_text
 
 
 def balanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
@@ -30,14 +31,34 @@ def _prepared(df: DataFrame, partition_by: Sequence[str], counts: RowCounts | No
     return counts.on(rows) if counts else rows
 
 
+def _columns(spark: SparkSession, path: str) -> T.StructType | None:
+    note = f"{path.rstrip('/')}/_columns.json"
+    return T.StructType.fromJson(json.loads(read_text(spark, note))) if exists(spark, note) else None
+
+
 def append_evolving(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Append rows that may bring new columns."""
+    """Append rows that may bring new columns, or lack some; a column keeps its type.
+
+    The columns of all appends lie beside the rows, so that no read has to open every file for them. They are written ahead
+    of the rows; a new column whose rows never come is NULL. Appends must not run at the same time.
+    """
+    spark, here = df.sparkSession, T.StructType([T.StructField(f.name, f.dataType) for f in df.schema.fields])
+    known = _columns(spark, path)
+    if known is None:  # rows from before the columns were noted
+        known = read_evolving(spark, path).schema if names(spark, path) else T.StructType([])
+    types = {f.name: f.dataType for f in known.fields}
+    if unlike := [f.name for f in here.fields if types.get(f.name, f.dataType) != f.dataType]:
+        raise SchemaMismatch(f"{path} has other types of {unlike}")
+    merged = T.StructType([*known.fields, *[f for f in here.fields if f.name not in types]])
+    if merged != _columns(spark, path):
+        write_text(spark, f"{path.rstrip('/')}/_columns.json", merged.json())
     balanced(df, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
 def read_evolving(spark: SparkSession, path: str) -> DataFrame:
     """Read what :func:`append_evolving` wrote; rows from before a column existed have NULL."""
-    return spark.read.option("mergeSchema", "true").parquet(path)
+    known = _columns(spark, path)
+    return spark.read.schema(known).parquet(path) if known else spark.read.option("mergeSchema", "true").parquet(path)
 
 
 def _versions_folder(spark: SparkSession, name: str) -> str:

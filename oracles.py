@@ -472,8 +472,8 @@ ORACLES: dict[str, str] = {
         from lineitem group by all) using (taxi_type, year, month)""",
     "slot_paths": _with(SLOTS) + " select taxi_type || '/' || year || '/' || month as path, landed from slots",
     "audit_columns": """
-      select n_nationkey, n_name, n_regionkey::varchar as n_regionkey, timestamp '2024-02-01' as ingestion_timestamp,
-             'nation.parquet' as source_file, 'yellow' as taxi_type from nation""",
+      select o_orderkey, o_custkey::varchar as o_custkey, o_totalprice, timestamp '2024-02-01' as ingestion_timestamp,
+             'orders.parquet' as source_file, 'yellow' as taxi_type from orders""",
     "months_in_order": """
       select month_name, cast(row_number() over (order by m) as integer) as rank
       from (select distinct monthname(o_orderdate) as month_name, month(o_orderdate) as m from orders)""",
@@ -489,9 +489,15 @@ ORACLES: dict[str, str] = {
         union all select 'impossible_pm25', count(*), cast(count_if(pm25 < 0 or pm25 > 500) as bigint) from wide
         union all select 'fx_nulls', count(*), cast(count_if(exchange_rate_to_eur is null) as bigint) from fx)
       select rule, total, failed, printf('%.4f', failed::double / total * 100) || '%' as failure_percent from counted""",
-    "configured_regions": """
-      select r_name, r_regionkey, priority::integer as priority
-      from region join (values ('ASIA', 1), ('EUROPE', 2)) as w(r_name, priority) using (r_name)""",
+    "configured_regions": _with(ZONES)
+    + """ select location_id, borough, zone_name, priority::integer as priority
+      from zones join (values ('ASIA', 1), ('EUROPE', 2)) as w(borough, priority) using (borough)""",
+    "zone_changes": _with(ZONES)
+    + """ select location_id::integer as location_id, borough, zone_name, service_zone, false as gone, 1::integer as version from zones
+      union all
+      select location_id::integer, borough, zone_name || case when location_id % 7 = 0 then '' else ' (new)' end, service_zone,
+             location_id % 7 = 0, 2::integer
+      from zones where location_id % 7 = 0 or location_id % 5 = 0""",
     "latest_measures": "select latest_temperature, latest_humidity, latest_condition from ("
     + _with(WEATHER) + " " + _latest(("temperature", "humidity", "condition"), "weather") + ")",
 }
