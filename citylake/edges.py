@@ -31,6 +31,7 @@ from citylake.plans.counted import CountedTable
 from citylake.plans.filled import FilledSeries
 from citylake.plans.gold import TaxiGold
 from citylake.plans.measures import CityModel, measure
+from citylake.plans.sensors import SensorHistory
 from citylake.plans.versions import VersionedDimension
 from citylake.session import staging_path
 from citylake.sources import files
@@ -318,6 +319,18 @@ def zone_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dimension.history()
 
 
+@query
+def sensor_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily values added in two loads, the second one twice, joined bucket by bucket to their sensors."""
+    history = SensorHistory(spark, staging_path(spark, "sensors"), buckets=8, parts=4)
+    history.put_places(files.flatten_sensors(b.sensor_documents(spark, sf_dir)))
+    days = files.flatten_days(b.day_documents(spark, sf_dir))
+    early = F.substring("date_utc", 9, 2) < "16"
+    for load, rows in (("early", days.filter(early)), ("late", days.filter(~early)), ("late", days.filter(~early))):
+        history.add_days(rows, load)
+    return history.measurements()
+
+
 @query
 def manifest_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Slots wanted up to a month inside a year, with the order lines of each."""

@@ -492,6 +492,8 @@ ORACLES: dict[str, str] = {
     "configured_regions": _with(ZONES)
     + """ select location_id, borough, zone_name, priority::integer as priority
       from zones join (values ('ASIA', 1), ('EUROPE', 2)) as w(borough, priority) using (borough)""",
+    "sensor_history": _with(READINGS)
+    + " select sensor_id, location_name, parameter, lat, lon, value, unit, date_utc from readings",
     "zone_changes": _with(ZONES)
     + """ select location_id::integer as location_id, borough, zone_name, service_zone, false as gone, 1::integer as version from zones
       union all

@@ -1,0 +1,93 @@
+"""The stored sensor history against a plain join."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from citylake.operators.joins import sensor_measurements
+from citylake.plans.sensors import SensorHistory
+from tests.conftest import plan_of, values
+
+SENSORS = "id long, location_name string, parameter string, unit string, lat double, lon double"
+DAYS = "sensor_id long, value double, date_utc string"
+
+
+def sensors(spark, ids):
+    return spark.createDataFrame([(i, f"place {i}", "pm25", "u", 40.0, -74.0) for i in ids], SENSORS)
+
+
+def days(spark, rows):
+    return spark.createDataFrame(rows, DAYS)
+
+
+def without_broadcast(spark):
+    own = spark.newSession()
+    for key, value in {"autoBroadcastJoinThreshold": "-1", "adaptive.autoBroadcastJoinThreshold": "-1", "shuffle.partitions": "4"}.items():
+        own.conf.set(f"spark.sql.{key}", value)
+    return own
+
+
+@pytest.fixture
+def history(spark, tmp_path):
+    made = SensorHistory(without_broadcast(spark), str(tmp_path / "sensors"), buckets=4, parts=3)
+    yield made
+    made.close()
+
+
+def test_loads_add_up_and_join_as_the_plain_tables_do(spark, history):
+    place = sensors(spark, [1, 2, 3, None])
+    first = [(1, 0.5, "2024-01-01"), (1, 0.5, "2024-01-01"), (2, None, "2024-01-02"), (9, 1.0, "2024-01-01"), (None, 1.0, None)]
+    second = [(1, 2.0, "2024-01-03"), (3, 4.0, None)]
+    history.put_places(place)
+    assert history.measurements().count() == 0
+    history.add_days(days(spark, first), "a")
+    history.add_days(days(spark, second), "b")
+    assert values(history.measurements()) == values(sensor_measurements(place, days(spark, first + second)))
+    assert values(history.measurements("b")) == values(sensor_measurements(place, days(spark, second)))
+    history.add_days(days(spark, second[:1]), "b")  # published again
+    assert values(history.measurements()) == values(sensor_measurements(place, days(spark, first + second[:1])))
+    history.put_places(sensors(spark, [2]))
+    assert values(history.measurements(), "sensor_id") == [(2,)]
+    history.put_places(sensors(spark, []))
+    assert history.measurements().count() == 0
+
+
+def test_the_join_shuffles_neither_side_and_reads_one_load(spark, history):
+    history.put_places(sensors(spark, range(20)))
+    for load in ("a", "b"):
+        history.add_days(days(spark, [(i, 1.0, f"2024-01-{d:02d}") for i in range(20) for d in range(1, 9)]), load)
+    plan = plan_of(history.measurements())
+    assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
+    assert "Exchange" not in plan
+    one = history.measurements("b")
+    assert "load#" in plan_of(one) and "= b)" in plan_of(one) and one.count() == 160
+
+
+def test_a_hot_sensor_lies_in_several_buckets(spark, tmp_path):
+    history = SensorHistory(without_broadcast(spark), str(tmp_path / "hot"), buckets=16, parts=8)
+    hot = spark.range(4000).selectExpr("7L as sensor_id", "cast(id as double) as value", "cast(date_add(date'2000-01-01', cast(id as int)) as string) as date_utc")
+    history.put_places(sensors(spark, [7, 8]))
+    history.add_days(hot, "all")
+    found = history.spark.table(history.days_table).groupBy(F.col("_metadata.file_path")).count().collect()
+    assert len(found) >= 4 and max(r["count"] for r in found) < 2000 and history.measurements().count() == 4000
+    history.close()
+
+
+def test_a_second_session_reopens_the_history(spark, history):
+    history.put_places(sensors(spark, [1]))
+    history.add_days(days(spark, [(1, 0.5, "2024-01-01")]), "it's a")
+    history.close()
+    again = SensorHistory(without_broadcast(spark), history.path)
+    assert (again.buckets, again.parts) == (4, 3)
+    again.add_days(days(spark, [(1, 1.5, "2024-01-02")]), "b")
+    assert values(again.measurements(), "value") == [(0.5,), (1.5,)]
+    assert "Exchange" not in plan_of(again.measurements())
+    with pytest.raises(ValueError, match="buckets"):
+        SensorHistory(spark, history.path, buckets=5)
+    again.close()
+
+
+def test_a_folder_that_holds_something_else_is_refused(spark, tmp_path):
+    (tmp_path / "other").mkdir()
+    (tmp_path / "other" / "file").write_text("x")
+    with pytest.raises(ValueError, match="no sensor history"):
+        SensorHistory(spark, str(tmp_path / "other"))
