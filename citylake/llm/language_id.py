@@ -152,7 +152,11 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def accepted(docs: DataFrame, model: Model, min_score: float | None = None) -> DataFrame:
-    """Documents, with all their columns, whose language is known with at least ``min_score``, or else the model's."""
+    """Documents, with all their columns, whose language is known with at least ``min_score``, or else the model's.
+
+    Texts that are null or without a letter have no language and go. Rows that repeat a ``doc_id``, or have none, are
+    judged each, and a score equal to the bound stays. No documents give no rows. Columns may have any names.
+    """
     min_score = model.min_score if min_score is None else min_score
     rows = whole_rows(docs)
     schema = StructType([rows.schema["doc"], StructField("lang_pred", StringType()), StructField("score", DoubleType())])

@@ -78,7 +78,8 @@ def spans(docs: DataFrame, phrases=PHRASES, notices=NOTICES, k: int = GRAM_WORDS
 
     Columns: ``row_id`` (one value per input row), ``doc_id``, ``n_words``, ``template``, ``label``, ``exact`` (a
     phrase), ``first_word``, ``end_word`` and ``coverage``; a row that is no span has null from
-    ``template`` on. The text is scanned once and never shuffled.
+    ``template`` on. The text is scanned once and never shuffled. Null and empty texts give their one row without a span;
+    rows that repeat a ``doc_id``, or have none, are scanned each. No documents give no rows.
     """
     found = F.broadcast(templates(docs.sparkSession, phrases, notices, k))
     texts = docs.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", words_of(text_of()).alias("words"))

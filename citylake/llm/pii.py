@@ -269,7 +269,11 @@ def _cleaned(texts, spans) -> list:
 
 
 def sanitise(docs: DataFrame, **thresholds) -> DataFrame:
-    """The documents, with all their columns and a cleaned ``text``. Of overlapping spans the first counts."""
+    """The documents, with all their columns and a cleaned ``text``. Of overlapping spans the first counts.
+
+    Every row stays, one for one: rows that repeat a ``doc_id``, or have none, are cleaned each by their own text. Null text
+    stays null, empty text empty. No documents give no rows. Columns may have any names.
+    """
     @F.pandas_udf("string")
     def cleaned(text: pd.Series, spans: pd.Series) -> pd.Series:
         return pd.Series(_cleaned(text, spans), dtype=object)

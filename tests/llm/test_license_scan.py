@@ -44,6 +44,13 @@ def test_notices_with_changes(spark):
     assert [(r["first_word"], r["end_word"]) for r in spans] == [(2, 2 + len(notice))]
 
 
+def test_a_text_of_very_many_places(spark):
+    docs = docs_of(spark, [(1, "mit license " * 20_000), (2, "cc by and " * 5_000 + "apache license")])
+    names = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels"]
+    got = sorted(tuple(r) for r in ls.annotate(docs).select(names).collect())
+    assert got == [(1, 40_000, 20_000, 0, 39_998, "mit"), (2, 15_002, 5_001, 0, 15_000, "apache,cc-by")]
+
+
 def test_no_python_and_no_text_shuffle(spark):
     plan = ls.annotate(documents(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "BroadcastHashJoin" in plan

@@ -98,5 +98,20 @@ def test_sanitise(spark):
     assert general[1] == "now [NAME] writes from [EMAIL] about number 1"
 
 
+def test_sanitise_takes_every_row_by_its_own_text(spark):
+    rows = [(1, "to ann@example.com"), (1, "to bob at 10.0.0.1"), (1, "to ann@example.com"), (None, "no id, 10.0.0.1"), (None, None), (2, "")]
+    out = pii.sanitise(docs_of(spark, rows))
+    assert sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=str) == sorted(
+        [(1, "to [EMAIL]"), (1, "to bob at [IP]"), (1, "to [EMAIL]"), (None, "no id, [IP]"), (None, None), (2, "")], key=str
+    )
+    assert pii.sanitise(empty_documents(spark)).count() == 0
+
+
+def test_a_text_of_very_many_matches(spark):
+    text = " ".join(f"a{i}@example.com 10.0.{i // 256}.{i % 256}" for i in range(20_000))
+    found = pii.digest_columns(pii.spans(docs_of(spark, [(1, text), (2, "none")]))).filter("doc_id = 1").first()
+    assert (found["n_email"], found["n_ip"], found["n_phone"]) == (20_000, 20_000, 0)
+
+
 def test_empty(spark):
     assert pii.spans(empty_documents(spark)).count() == 0
