@@ -112,3 +112,14 @@ def test_unruled_pages_do_not_all_get_one_verdict(spark):
 def test_entropy(spark):
     row = spark.sql("select 'aabb' as a, '' as b, 'abcd' as c").select(*[uf.entropy(uf.F.col(c)) for c in "abc"]).first()
     assert [round(x, 9) for x in row] == [1, 0, 2]
+
+
+def test_every_labelled_url_is_learnt_from_or_held_out(spark, monkeypatch):
+    rows, staged = {}, uf.staged
+    monkeypatch.setattr(uf, "staged", lambda df, name: rows.setdefault(name, staged(df, name)))
+    monkeypatch.setattr(uf, "TREES", 1)
+    urls = spark.range(0, 30_000, 1, 4).selectExpr(
+        "id as page_id", "concat('http://h', id % 997, if(id % 3 = 0, '.net/es/', '.com/'), id) as url"
+    )
+    found = uf.fit(uf.labelled_urls(uf.prepared(urls)))
+    assert isinstance(found, uf.Filter) and rows["labelled-urls"].count() == 30_000
