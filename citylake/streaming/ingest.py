@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamReader, StreamingQuery
 
+from citylake.session import OPEN_FILES, session_for
 from citylake.sources.files import read_trip_slots
 from citylake.sources.manifest import SLOT, folders_of_path, slot_of_path
 from citylake.sources.sinks import balanced
@@ -71,9 +72,12 @@ def ingest_stream(
 
     The stream's checkpoint, not the existence of a folder, says what has been loaded, and the sink's
     commit log hides files of a batch that did not finish. One slot per file means that the output is
-    partitioned without a shuffle.
+    partitioned without a shuffle. Nor are rows sorted: a task keeps a file open for each slot it meets
+    (``files_kept_open``), for which the stream runs in a session of its own.
     """
-    loaded = landed_stream(spark, landing, schema, slot, files_per_batch)
+    own = session_for(spark)
+    own.conf.set("spark.sql.maxConcurrentOutputFileWriters", str(OPEN_FILES))
+    loaded = landed_stream(own, landing, schema, slot, files_per_batch)
     return (
         loaded.writeStream.format("parquet")
         .option("path", out)

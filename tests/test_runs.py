@@ -7,6 +7,7 @@ import shutil
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from citylake import schemas
@@ -356,3 +357,28 @@ def test_a_new_month_rewrites_that_month_only(spark, landing):
     conform_new_trips(spark, landing, RUN)
     assert values(spark.table("silver_nyc_taxi").select(*[c for c in spark.table("silver_nyc_taxi").columns])) == partly
     assert len(partly) == 47
+
+
+OPEN = "spark.sql.maxConcurrentOutputFileWriters"
+
+
+def test_slot_loads_hold_no_task_s_rows_for_a_sort(spark, tmp_path):
+    """The stream's session keeps a file open for each slot that a task meets; the caller's is as before."""
+    landing, out, before = str(tmp_path / "landing"), str(tmp_path / "out"), spark.conf.get(OPEN)
+    for month in range(1, 13):
+        spark.range(3).selectExpr("id as VendorID").coalesce(1).write.parquet(f"{landing}/{slot_path('yellow', 2024, month)}")
+    query = ingest_stream(spark, landing, schemas.TRIP, out, str(tmp_path / "c"))
+    query.awaitTermination()
+    assert query._jsq.sparkSession().conf().get(OPEN) == "64"
+    assert spark.read.parquet(out).groupBy("month").count().filter("count = 3").count() == 12 and spark.conf.get(OPEN) == before
+
+
+@pytest.mark.parametrize("replace", [False, True])
+def test_widening_loads_keep_files_open_beyond_the_bound_too(spark, tmp_path, monkeypatch, replace):
+    seen, parquet, before = [], DataFrameWriter.parquet, spark.conf.get(OPEN)
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *a, **b: (seen.append(spark.conf.get(OPEN)), parquet(self, *a, **b))[1])
+    rows = spark.range(0, 600, 1, 1).selectExpr("id", "cast(id % 100 as string) as slot")  # one task, 100 slots
+    table = WideningTable(spark, str(tmp_path / "t"), ["slot"])
+    table.replace(rows, "a", [("1",)]) if replace else table.load(rows, "a")
+    assert table.read().groupBy("slot").count().filter("count = 6").count() == 100
+    assert seen == ["64"] and spark.conf.get(OPEN) == before
