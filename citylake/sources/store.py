@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from citylake.operators.conform import union_conformed
+from citylake.session import files_kept_open
 
 
 def _file(spark: SparkSession, path: str):
@@ -150,10 +151,15 @@ class WideningTable:
                 remove(self.spark, f"{self.path}/version={other}/load={name}")
         return conformed_to(rows, new), f"{self.path}/version={version}/load={name}"
 
+    def _write(self, rows: DataFrame, path: str) -> None:
+        """Rows come from files of one slot each, so a task meets few slots."""
+        with files_kept_open(rows.sparkSession):
+            rows.write.mode("overwrite").partitionBy(*self.slot).parquet(path)
+
     def load(self, rows: DataFrame, name: str) -> None:
         """Write a load under its name. A repeated load replaces itself."""
         fitted, out = self._fitted(rows, name)
-        fitted.write.mode("overwrite").partitionBy(*self.slot).parquet(out)
+        self._write(fitted, out)
 
     def replace(self, rows: DataFrame, name: str, slots: Iterable[tuple[str, ...]]) -> None:
         """Write a load that takes the place of all that other loads hold of ``slots``.
@@ -164,7 +170,7 @@ class WideningTable:
         """
         fitted, out = self._fitted(rows, name)
         hidden = f"{self.path}/_replacing/{name}"
-        fitted.write.mode("overwrite").partitionBy(*self.slot).parquet(hidden)
+        self._write(fitted, hidden)
         gone = [[load, *slot] for load, slot, _ in self._held(set(slots)) if load != name]
         write_text(self.spark, self._note, json.dumps({"load": out.removeprefix(f"{self.path}/"), "gone": gone}))
         remove(self.spark, out)
