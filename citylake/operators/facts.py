@@ -40,11 +40,12 @@ def taxi_fact_of(states: DataFrame, keys: Sequence[str] = TAXI_KEY) -> DataFrame
     )
 
 
-def taxi_daily_by_zone(fact: DataFrame) -> DataFrame:
-    """The daily fact without taxi type, under the column names the measures use."""
+def taxi_daily_by_zone(fact: DataFrame, also_by: Sequence[str] = ()) -> DataFrame:
+    """The daily fact without taxi type, under the column names the measures use; ``also_by`` names columns that day and
+    zone determine."""
     sums = {"daily_revenue_usd": "daily_revenue_usd", "weighted": "avg_trip_distance * total_trips"}
     named = fact.withColumnRenamed("pickup_location_id", "pickup_zone_id")
-    found = exact_aggregate(named, ["pickup_date", "pickup_zone_id"], sums, also={"total_trips": "sum(total_trips)"})
+    found = exact_aggregate(named, ["pickup_date", "pickup_zone_id", *also_by], sums, also={"total_trips": "sum(total_trips)"})
     return found.withColumn("avg_trip_distance", F.try_divide("weighted", "total_trips")).drop("weighted")
 
 

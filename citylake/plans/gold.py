@@ -14,7 +14,7 @@ from __future__ import annotations
 import hashlib
 import json
 from collections import defaultdict
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 from urllib.parse import unquote
 
@@ -23,12 +23,16 @@ from pyspark.sql import functions as F
 
 from citylake.operators.exact import merged
 from citylake.operators.facts import TAXI_KEY, taxi_daily_by_zone, taxi_fact_of, taxi_states
-from citylake.session import staging_path
+from citylake.session import path_bytes, staging_path
 from citylake.sources.manifest import SLOT
-from citylake.sources.sinks import overwrite_partitions, overwrite_table
+from citylake.sources.sinks import overwrite_partitions, overwrite_table, table_location
 from citylake.sources.store import exists, read_text, remove, write_text
 
 MONTH = "pickup_month"
+# The zones of a month are dealt in parts that stand for about so many bytes of stored states.
+PART, PART_BYTES = "_part", 8 * 1024 * 1024
+# Marks the file a trip was read from.
+PIECE = "_piece"
 Slot = tuple[str, ...]
 
 
@@ -84,20 +88,37 @@ class TaxiGold:
         self.silver, self.states, self.fact, self.by_zone = silver, states, fact, by_zone
 
     def _states_of(self, trips: DataFrame) -> DataFrame:
-        found = taxi_states(trips, SLOT)
-        return found.withColumn(MONTH, month_of("pickup_date"))
+        """States of each file of trips. A slot of several files may have several rows of one key, which add up.
 
-    def _facts_of(self, states: DataFrame) -> dict[str, DataFrame]:
+        Trips are dealt once, by their file, of which each holds one slot and is of a bounded size: a key with very many
+        trips is grouped file by file, and the states are written as they lie.
+        """
+        pieces = trips.withColumn(PIECE, F.xxhash64("_metadata.file_path")).repartition(PIECE)
+        return taxi_states(pieces, [*SLOT, PIECE]).drop(PIECE).withColumn(MONTH, month_of("pickup_date"))
+
+    def _parts(self) -> int:
+        """Parts of a month of states, for tasks of about a bounded size."""
+        months = {p[-1] for p in partitions(self.spark, self.states)}
+        stored = path_bytes(self.spark, table_location(self.spark, self.states))
+        return max(1, -(-stored // (PART_BYTES * max(1, len(months)))))
+
+    def _facts_of(self, states: DataFrame) -> Iterator[tuple[str, DataFrame]]:
+        """Name and rows of the fact, then, read from what has been written of it, of the fact without taxi type.
+
+        Rows are dealt once, by month and a part of its zones. That is enough to group by key, and they are written as
+        they lie. A zone has few states in a month, so no part is hot.
+        """
         amounts = ["revenue", "distance", *(["tip"] if "tip__n" in states.columns else [])]
-        keys = [*TAXI_KEY, MONTH]
-        fact = taxi_fact_of(merged(states, keys, amounts, ["total_trips"]), keys)
-        by_zone = taxi_daily_by_zone(fact).withColumn(MONTH, month_of("pickup_date"))
-        return {self.fact: fact, self.by_zone: by_zone}
+        keys, part = [*TAXI_KEY, MONTH, PART], F.pmod(F.xxhash64("pickup_location_id"), F.lit(self._parts()))
+        dealt = lambda df: df.withColumn(PART, part).repartition(MONTH, PART)
+        yield self.fact, taxi_fact_of(merged(dealt(states), keys, amounts, ["total_trips"]), keys).drop(PART)
+        written = self.spark.table(self.fact).drop("avg_tip_amount")
+        yield self.by_zone, taxi_daily_by_zone(dealt(written), [MONTH, PART]).drop(PART)
 
     def _build(self) -> None:
-        overwrite_table(self._states_of(self.spark.table(self.silver)), self.states, [*SLOT, MONTH])
-        for name, df in self._facts_of(self.spark.table(self.states)).items():
-            overwrite_table(df, name, [MONTH])
+        overwrite_table(self._states_of(self.spark.table(self.silver)), self.states, [*SLOT, MONTH], together=True)
+        for name, df in self._facts_of(self.spark.table(self.states)):
+            overwrite_table(df, name, [MONTH], together=True)
 
     def _say(self, slots: dict[Slot, str], months: set[str]) -> None:
         told = {"slots": {"/".join(s): d for s, d in slots.items()}, "months": sorted(months)}
@@ -148,6 +169,6 @@ class TaxiGold:
         spark = self.spark
         touched = spark.table(self.states).filter(F.col(MONTH).isin(sorted(months)))
         left = {p[-1] for p in partitions(spark, self.states)}
-        for name, df in self._facts_of(touched).items():
-            overwrite_partitions(df, name, [MONTH])
+        for name, df in self._facts_of(touched):
+            overwrite_partitions(df.filter(F.col(MONTH).isin(sorted(months & left))), name, [MONTH], together=True)
             drop_partitions(spark, name, [MONTH], {(m,) for m in months - left})

@@ -26,8 +26,9 @@ def balanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
 
 
-def _prepared(df: DataFrame, partition_by: Sequence[str], counts: RowCounts | None) -> DataFrame:
-    rows = balanced(df, partition_by)
+def _prepared(df: DataFrame, partition_by: Sequence[str], counts: RowCounts | None, together: bool = False) -> DataFrame:
+    """``together`` tells that rows of one output partition lie in few tasks already; they are not shuffled again."""
+    rows = df if together else balanced(df, partition_by)
     return counts.on(rows) if counts else rows
 
 
@@ -74,26 +75,29 @@ def _layout(df: DataFrame, partition_by: Sequence[str]) -> list[tuple[str, str]]
     return [(n, fields[n]) for n in [*[n for n in fields if n not in partition_by], *partition_by]]
 
 
-def overwrite_table(df: DataFrame, name: str, partition_by: Sequence[str] = (), counts: RowCounts | None = None) -> None:
+def overwrite_table(
+    df: DataFrame, name: str, partition_by: Sequence[str] = (), counts: RowCounts | None = None, together: bool = False
+) -> None:
     """Replace a table, its schema too; ``df`` may read the table itself.
 
     The rows are written beside the old ones, as a table of another name. Only when all are there does ``name`` point at
     them: in one step of the catalog where an unpartitioned table keeps its columns, else by dropping the old entry and
     renaming the new one. A write that fails leaves the table as it was. The contents before are kept until the next
     replacement, for queries that still read them; older ones are removed. ``counts`` sees the rows that are written.
+    Rows are brought together by partition, unless they lie ``together``.
     """
     spark = df.sparkSession
     folder, version = _versions_folder(spark, name), uuid.uuid4().hex
     fresh, path = f"{name}_{version}", f"{folder}/{version}"
     try:
-        _prepared(df, partition_by, counts).write.partitionBy(*partition_by).option("path", path).saveAsTable(fresh)
+        _prepared(df, partition_by, counts, together).write.partitionBy(*partition_by).option("path", path).saveAsTable(fresh)
     except Exception:
         spark.sql(f"DROP TABLE IF EXISTS {fresh}")
         remove(spark, path)
         raise
     before = None
     if spark.catalog.tableExists(name):
-        before = _location(spark, name)
+        before = table_location(spark, name)
         kept = not partition_by and not _partitioned(spark, name)
         if kept and before.startswith(folder) and _layout(spark.table(name), ()) == _layout(spark.table(fresh), ()):
             spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
@@ -109,7 +113,8 @@ def overwrite_table(df: DataFrame, name: str, partition_by: Sequence[str] = (),
             remove(spark, f"{folder}/{other}")
 
 
-def _location(spark: SparkSession, name: str) -> str:
+def table_location(spark: SparkSession, name: str) -> str:
+    """Folder of a table's files."""
     described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'")
     return described.first()["data_type"]
 
@@ -118,8 +123,13 @@ def _partitioned(spark: SparkSession, name: str) -> bool:
     return any(c.isPartition for c in spark.catalog.listColumns(name))
 
 
-def overwrite_partitions(df: DataFrame, name: str, partition_by: Sequence[str], counts: RowCounts | None = None) -> None:
-    """Replace the partitions of a table that ``df`` has rows for; the others stay. Columns must be the table's."""
+def overwrite_partitions(
+    df: DataFrame, name: str, partition_by: Sequence[str], counts: RowCounts | None = None, together: bool = False
+) -> None:
+    """Replace the partitions of a table that ``df`` has rows for; the others stay. Columns must be the table's.
+
+    ``together`` is as for :func:`overwrite_table`.
+    """
     spark = df.sparkSession
     if not spark.catalog.tableExists(name) or set(spark.table(name).columns) != set(df.columns):
         raise SchemaMismatch(f"{name} does not have the columns {df.columns}")
@@ -127,7 +137,7 @@ def overwrite_partitions(df: DataFrame, name: str, partition_by: Sequence[str],
     before = spark.conf.get(key)
     spark.conf.set(key, "dynamic")
     try:
-        _prepared(df.select(*spark.table(name).columns), partition_by, counts).write.insertInto(name, overwrite=True)
+        _prepared(df.select(*spark.table(name).columns), partition_by, counts, together).write.insertInto(name, overwrite=True)
     finally:
         spark.conf.set(key, before)
 

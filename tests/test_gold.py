@@ -139,6 +139,27 @@ def test_a_filter_on_days_prunes_the_facts_files(spark, gold):
     assert "dynamicpruning" in scans.lower()
 
 
+def test_states_and_facts_are_dealt_once(spark, gold):
+    """One exchange each, from the stored rows to the written ones; the second fact is made from the first."""
+    overwrite_table(trips(spark, ROWS), gold.silver, SLOT)
+    gold.refresh()
+    facts = gold._facts_of(spark.table(gold.states))
+    for df in (gold._states_of(spark.table(gold.silver)), next(facts)[1], next(facts)[1]):
+        assert plan_of(df).count("Exchange ") == 1
+    assert built(spark, gold) == full_build(spark, gold)
+
+
+def test_a_slot_in_several_files_adds_up(spark, gold, monkeypatch):
+    """Its states are those of each file; facts in several parts of a month's zones are the same."""
+    monkeypatch.setattr(gold_module, "PART_BYTES", 1)
+    rows = [(1, "2024-01-03", zone, amount) for zone in range(1, 9) for amount in (10.1, 0.3, 7.7)]
+    overwrite_table(trips(spark, rows).repartition(3), gold.silver, SLOT, together=True)
+    assert len(spark.table(gold.silver).inputFiles()) == 3
+    gold.refresh()
+    assert spark.table(gold.states).count() > 8 and gold._parts() > 8
+    assert built(spark, gold) == full_build(spark, gold)
+
+
 def star(spark):
     taxi = trips(spark, ROWS)
     fact = taxi_daily_by_zone(fact_taxi_daily(taxi))
