@@ -248,6 +248,14 @@ def _slot_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.trips(spark, sf_dir).withColumns({"year": F.date_format(begun, "yyyy"), "month": F.date_format(begun, "MM")})
 
 
+def _landed_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, conformed once: several writes read parts of them."""
+    rows = _slot_trips(spark, sf_dir)
+    path = staging_path(spark, "trips")
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 def _fresh_gold(spark: SparkSession) -> TaxiGold:
     note = f"{staging_path(spark, 'gold')}/note.json"
     return TaxiGold(spark, note, _name("silver"), _name("states"), _name("fact"), _name("by_zone"))
@@ -256,7 +264,7 @@ def _fresh_gold(spark: SparkSession) -> TaxiGold:
 @query
 def incremental_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips without a year, then with half of that year's, then with all: each run merges the months it changes."""
-    gold, trips = _fresh_gold(spark), _slot_trips(spark, sf_dir)
+    gold, trips = _fresh_gold(spark), _landed_trips(spark, sf_dir)
     late, half = F.col("year") == "1996", F.col("trip_distance") < 25
     overwrite_table(trips.filter(~late), gold.silver, SLOT)
     gold.refresh()
@@ -269,7 +277,7 @@ def incremental_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def counted_writes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips written without a year, then with half of it, then a month again: the report sums the counts of the writes."""
-    table, trips = _name("silver"), _slot_trips(spark, sf_dir)
+    table, trips = _name("silver"), _landed_trips(spark, sf_dir)
     counted = CountedTable(spark, f"{staging_path(spark, 'counts')}/note.json", table, daily_rules()["trips"], SLOT)
     late, first = F.col("year") == "1996", F.col("month") == "01"
     with counted.writing() as counts:
