@@ -101,11 +101,17 @@ def broken_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == 3, F.concat(F.lit('{"cod":"200","list":[{"dt":"noon"},'), F.substr(text, F.lit(10))))
         .otherwise(text)
     )
-    path = staging_path(spark, "forecast")
-    days.select("part", value.alias("value")).write.partitionBy("part").text(path)
-    checked = files.checked_forecast(spark, path)
+    path, parsed = staging_path(spark, "forecast"), staging_path(spark, "parsed")
+    # Very many files: tasks give them their places, each for its own, and not the driver for all of them.
+    landed = days.select("part", value.alias("value")).write.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+    landed.partitionBy("part").text(path)
+    found = files.checked_forecast(spark, path)
     steps = F.coalesce(F.size("list"), F.lit(0))
-    loaded = files.loaded_documents(checked.withColumns({"file": F.col("source_file"), "steps": steps})).select("file", "steps")
+    # Each document is parsed once, into rows that both sides of the join read.
+    found.withColumns({"file": F.col("source_file"), "steps": steps}).drop("list").write.parquet(parsed)
+    checked = spark.read.parquet(parsed)
+    loaded = files.loaded_documents(checked).select("file", "steps")
+    checked = checked.drop("file", "steps")
     return (
         checked.join(loaded, F.col("source_file") == F.col("file"), "left")
         .groupBy("part", "reason")

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from citylake import schemas
 from citylake.functions import cast_to, nan_to_null
 from citylake.operators.conform import union_conformed
+from citylake.session import listed_in_groups
 from citylake.sources.store import conformed_to, is_parquet, widened
 
 
@@ -93,12 +94,13 @@ def checked_documents(spark: SparkSession, path: str, schema: T.StructType, cont
     without a byte hold no document and give no row.
     """
     text = "_broken"
-    docs = (
+    reader = (
         spark.read.schema(T.StructType([*schema.fields, T.StructField(text, T.StringType())]))
         .option("multiLine", "true")
         .option("columnNameOfCorruptRecord", text)
-        .json(path)
     )
+    with listed_in_groups(spark):  # when the reader is made, and not later
+        docs = reader.json(path)
     is_json = F.expr(f"try_parse_json({text})").isNotNull()
     reason = (
         F.when(F.col(text).isNotNull() & ~is_json, NO_JSON)

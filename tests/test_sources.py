@@ -289,3 +289,16 @@ def test_slots_are_cut_from_paths_of_any_shape(spark):
     df = spark.createDataFrame([(p,) for p in paths], "path string")
     found = df.select("path", *[c.alias(n) for n, c in slot_of_path(df["path"]).items()])
     assert {r["path"]: tuple(r[n] for n in SLOT) for r in found.collect()} == paths
+
+
+def test_documents_are_listed_in_groups_and_parsed_once(spark, monkeypatch):
+    """No scan of the documents is left in what broken_documents returns; it reads what was parsed."""
+    from pyspark.sql import DataFrameReader
+
+    from __spark_entry__ import queries
+
+    key, seen, json_of = "spark.sql.sources.parallelPartitionDiscovery.parallelism", [], DataFrameReader.json
+    monkeypatch.setattr(DataFrameReader, "json", lambda self, *a, **b: (seen.append(int(self._spark.conf.get(key))), json_of(self, *a, **b))[1])
+    before = spark.conf.get(key)
+    assert "Scan json" not in plan_of(queries()["broken_documents"](spark, "/root/testdata/sf0.001"))
+    assert seen == [8 * spark.sparkContext.defaultParallelism] and spark.conf.get(key) == before
