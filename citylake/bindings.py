@@ -61,10 +61,15 @@ YELLOW = "l_linestatus = 'F'"
 TOTAL = "l_extendedprice * (1 - l_discount) * (1 + l_tax)"
 
 
-def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw trip table of both taxi types: each type has its own time columns, only yellow has tips."""
+def trip_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines with their orders: what trips are made of."""
     lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
-    return lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"]).selectExpr(
+    return lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"])
+
+
+def raw_trips_of(lines: DataFrame) -> DataFrame:
+    """Raw trip table of both taxi types: each type has its own time columns, only yellow has tips."""
+    return lines.selectExpr(
         "o_custkey as VendorID",
         f"if({YELLOW}, 'yellow', 'green') as taxi_type",
         f"if({YELLOW}, o_orderdate, null) as tpep_pickup_datetime",
@@ -84,6 +89,10 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return raw_trips_of(trip_lines(spark, sf_dir))
+
+
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform_trips(raw_trips(spark, sf_dir), RUN_TS)
 

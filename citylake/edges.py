@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from contextlib import AbstractContextManager
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from citylake import bindings as b
 from citylake import schemas
 from citylake.catalog import CATALOG, query
 from citylake.functions import slot_path_text
-from citylake.operators.conform import cast_all, rename, with_audit
+from citylake.operators.conform import cast_all, conform_trips, rename, with_audit
 from citylake.operators.ordering import ordered
 from citylake.operators.quality import (
     daily_rules,
@@ -33,11 +34,12 @@ from citylake.plans.gold import TaxiGold
 from citylake.plans.measures import CityModel, measure
 from citylake.plans.sensors import SensorHistory
 from citylake.plans.versions import VersionedDimension
-from citylake.session import staging_path
+from citylake.session import path_bytes, sized, staging_path
 from citylake.sources import files
 from citylake.sources.manifest import SLOT, ingest_manifest, landed_slots, slot_path
 from citylake.sources.sinks import (
     append_evolving,
+    balanced,
     export_name,
     export_top_n,
     overwrite_enforced,
@@ -248,17 +250,37 @@ def republished_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loaded.join(failed, "month", "left").select("month", "n", "passengers", F.coalesce("failed", F.lit(False)).alias("failed"))
 
 
-def _slot_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _with_slot(trips: DataFrame) -> DataFrame:
     """Conformed trips with the slot they would be loaded from: type, and year and month of the pickup."""
     begun = F.col("pickup_datetime")
-    return b.trips(spark, sf_dir).withColumns({"year": F.date_format(begun, "yyyy"), "month": F.date_format(begun, "MM")})
+    return trips.withColumns({"year": F.date_format(begun, "yyyy"), "month": F.date_format(begun, "MM")})
+
+
+def _dealt_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conformed trips with their slot, whose rows lie together by slot.
+
+    What is dealt are the order lines of valid trips. The columns that are computed from them are made where they arrive:
+    they would take up more than all that they come from.
+    """
+    lines = b.trip_lines(spark, sf_dir).withColumn("pickup_month", F.trunc("o_orderdate", "month"))
+    return _with_slot(conform_trips(b.raw_trips_of(balanced(lines, ["l_linestatus", "pickup_month"])), b.RUN_TS))
+
+
+# Order lines are joined with all their columns: sorted in memory they take many times the bytes of their files.
+JOINED_ROWS = 12
+
+
+def _joining(spark: SparkSession, sf_dir: str) -> AbstractContextManager[None]:
+    """For a run that joins the order lines: as many shuffle partitions as they need to be sorted without a spill."""
+    return sized(spark, JOINED_ROWS * path_bytes(spark, b.table_path(sf_dir, "lineitem"), b.table_path(sf_dir, "orders")))
 
 
 def _landed_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same, conformed once: several writes read parts of them."""
-    rows = _slot_trips(spark, sf_dir)
+    """Conformed trips with their slot, conformed once: several writes read parts of them."""
+    rows = _with_slot(b.trips(spark, sf_dir))
     path = staging_path(spark, "trips")
-    rows.write.parquet(path)
+    with _joining(spark, sf_dir):
+        rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 
 
@@ -298,7 +320,8 @@ def counted_writes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def avg_fare_of_a_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From a written fact that is partitioned by month: the filter on the days' years prunes its files."""
     gold, dates = _fresh_gold(spark), _name("dates")
-    overwrite_table(_slot_trips(spark, sf_dir), gold.silver, SLOT)
+    with _joining(spark, sf_dir):
+        overwrite_table(_dealt_trips(spark, sf_dir), gold.silver, SLOT, together=True)
     gold.refresh()
     overwrite_table(b.dates(spark), dates)
     model = CityModel(taxi=spark.table(gold.by_zone), dates=spark.table(dates), zones=b.zones(spark, sf_dir))

@@ -30,9 +30,11 @@ from citylake.sources.store import exists, read_text, remove, write_text
 
 MONTH = "pickup_month"
 # The zones of a month are dealt in parts that stand for about so many bytes of stored states.
-PART, PART_BYTES = "_part", 8 * 1024 * 1024
-# Marks the file a trip was read from.
-PIECE = "_piece"
+PART, PART_BYTES = "_part", 4 * 1024 * 1024
+# Marks the file a trip was read from, and a part of its zones that stands for about so many bytes of stored trips.
+PIECE, PIECE_BYTES = "_piece", 4 * 1024 * 1024
+# Parts share a task where it would stand for fewer bytes than these, and where there would be more tasks than these.
+TASK_BYTES, MOST_TASKS = 1024 * 1024, 32_768
 Slot = tuple[str, ...]
 
 
@@ -90,28 +92,50 @@ class TaxiGold:
     def _states_of(self, trips: DataFrame) -> DataFrame:
         """States of each file of trips. A slot of several files may have several rows of one key, which add up.
 
-        Trips are dealt once, by their file, of which each holds one slot and is of a bounded size: a key with very many
-        trips is grouped file by file, and the states are written as they lie.
+        Trips are dealt once, by their file, of which each holds one slot and is of a bounded size, and by a part of its
+        zones: a key with very many trips is grouped file by file, and the states are written as they lie. The tasks are
+        as many as the parts need, so that each groups its own in memory. Adaptive execution would merge tasks by the
+        bytes dealt, and groups take up many times those. States are written in order of their key, which makes them
+        smaller, and smaller to deal by month.
         """
-        pieces = trips.withColumn(PIECE, F.xxhash64("_metadata.file_path")).repartition(PIECE)
-        return taxi_states(pieces, [*SLOT, PIECE]).drop(PIECE).withColumn(MONTH, month_of("pickup_date"))
+        stored, files = self._stored(self.silver), len(self.spark.table(self.silver).inputFiles())
+        parts = max(1, -(-stored // (PIECE_BYTES * max(1, files))))
+        tasks = self._tasks(len(trips.inputFiles()) * parts, stored)
+        file, part = F.xxhash64("_metadata.file_path"), F.pmod(F.xxhash64("pickup_location_id"), F.lit(parts))
+        pieces = trips.withColumn(PIECE, F.xxhash64(file, part)).repartition(tasks, PIECE)
+        states = taxi_states(pieces, [*SLOT, PIECE]).drop(PIECE).withColumn(MONTH, month_of("pickup_date"))
+        return states.sortWithinPartitions(*SLOT, MONTH, *TAXI_KEY)
+
+    def _stored(self, table: str) -> int:
+        return path_bytes(self.spark, table_location(self.spark, table))
+
+    def _tasks(self, parts: int, stored: int) -> int:
+        """Tasks for the parts of a table of so many bytes."""
+        enough = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), -(-stored // TASK_BYTES))
+        return max(1, min(parts, enough, MOST_TASKS))
 
     def _parts(self) -> int:
         """Parts of a month of states, for tasks of about a bounded size."""
         months = {p[-1] for p in partitions(self.spark, self.states)}
-        stored = path_bytes(self.spark, table_location(self.spark, self.states))
-        return max(1, -(-stored // (PART_BYTES * max(1, len(months)))))
+        return max(1, -(-self._stored(self.states) // (PART_BYTES * max(1, len(months)))))
 
     def _facts_of(self, states: DataFrame) -> Iterator[tuple[str, DataFrame]]:
         """Name and rows of the fact, then, read from what has been written of it, of the fact without taxi type.
 
-        Rows are dealt once, by month and a part of its zones. That is enough to group by key, and they are written as
-        they lie. A zone has few states in a month, so no part is hot.
+        Rows are dealt once, by month and a part of its zones, and parts are spread evenly over tasks. That is enough
+        to group by key, and they are written as they lie. A zone has few states in a month, so no part is hot.
         """
         amounts = ["revenue", "distance", *(["tip"] if "tip__n" in states.columns else [])]
-        keys, part = [*TAXI_KEY, MONTH, PART], F.pmod(F.xxhash64("pickup_location_id"), F.lit(self._parts()))
-        dealt = lambda df: df.withColumn(PART, part).repartition(MONTH, PART)
-        yield self.fact, taxi_fact_of(merged(dealt(states), keys, amounts, ["total_trips"]), keys).drop(PART)
+        keys, parts = [*TAXI_KEY, MONTH, PART], self._parts()
+        months = {path.split("/")[-2] for path in states.inputFiles()}
+        tasks = self._tasks(len(months) * parts, self._stored(self.states))
+        # The parts of months that follow each other have numbers that do, too.
+        month = 12 * F.year("pickup_date") + F.month("pickup_date")
+        number = month * parts + F.pmod(F.xxhash64("pickup_location_id"), F.lit(parts))
+        part = F.coalesce(F.pmod(number, F.lit(tasks)), F.lit(0)).cast("int")
+        dealt = lambda df: df.withColumn(PART, part).repartitionById(tasks, PART)
+        fact = taxi_fact_of(merged(dealt(states), keys, amounts, ["total_trips"]), keys).drop(PART)
+        yield self.fact, fact.sortWithinPartitions(MONTH, *TAXI_KEY)
         written = self.spark.table(self.fact).drop("avg_tip_amount")
         yield self.by_zone, taxi_daily_by_zone(dealt(written), [MONTH, PART]).drop(PART)
 

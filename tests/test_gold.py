@@ -7,6 +7,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
+from citylake import bindings, edges
 from citylake.operators.facts import fact_taxi_daily, taxi_daily_by_zone
 from citylake.plans import gold as gold_module
 from citylake.plans.dimensions import dim_date
@@ -17,6 +18,7 @@ from citylake.sources.manifest import SLOT
 from citylake.sources.sinks import overwrite_partitions, overwrite_table
 from tests.conftest import plan_of, values
 
+SF_DIR = "/root/testdata/sf0.001"
 SCHEMA = (
     "pickup_datetime timestamp, pickup_location_id int, taxi_type string, trip_distance double, total_amount double, "
     "tip_amount double, year string, month string"
@@ -160,6 +162,56 @@ def test_a_slot_in_several_files_adds_up(spark, gold, monkeypatch):
     assert built(spark, gold) == full_build(spark, gold)
 
 
+def test_each_part_is_grouped_in_a_task_of_its_own(spark, gold, monkeypatch):
+    """Adaptive execution does not merge the tasks: what they group in memory is many times what they are dealt."""
+    rows = [(m, f"2024-{m:02d}-{d:02d}", zone, 1.5) for m in range(1, 7) for d in range(1, 5) for zone in range(1, 41)]
+    overwrite_table(trips(spark, rows), gold.silver, SLOT)
+    gold.refresh()
+    plain = built(spark, gold)
+    monkeypatch.setattr(gold_module, "TASK_BYTES", 1)
+    monkeypatch.setattr(gold_module, "PIECE_BYTES", 1024)
+    monkeypatch.setattr(gold, "_parts", lambda: 2)
+    tasks = lambda df: df.select(F.spark_partition_id()).distinct().count()
+    facts = gold._facts_of(spark.table(gold.states))
+    assert [tasks(next(facts)[1]) for _ in range(2)] == [12, 12]
+    assert tasks(gold._states_of(spark.table(gold.silver))) > 6
+    gold._build()
+    assert built(spark, gold) == plain == full_build(spark, gold)
+    # A month that is merged alone has the tasks of its own parts only.
+    facts = gold._facts_of(spark.table(gold.states).filter(F.col(MONTH) == "2024-02"))
+    assert tasks(next(facts)[1]) == 2
+
+
+def test_states_and_facts_are_written_in_order_of_their_key(spark, gold):
+    """Rows dealt from files that lie in order are smaller."""
+    rows = [(1, f"2024-01-{d:02d}", zone, 1.5) for d in (9, 3, 7) for zone in (5, 1, 30, 12)]
+    overwrite_table(trips(spark, rows), gold.silver, SLOT)
+    gold.refresh()
+    for table in (gold.states, gold.fact):
+        df = spark.table(table).select("_metadata.file_path", "_metadata.row_index", "pickup_date", "pickup_location_id")
+        found = [(r[0], r[2], r[3]) for r in df.orderBy("file_path", "row_index").collect()]
+        assert len(found) == 12 and found == sorted(found)
+
+
+def test_trips_are_dealt_before_columns_are_computed(spark):
+    """Only valid ones are, by one exchange after the join's; the rows are those of the conformed trips."""
+    dealt = edges._dealt_trips(spark, SF_DIR)
+    assert values(dealt) == values(edges._with_slot(bindings.trips(spark, SF_DIR)))
+    plan = plan_of(dealt)
+    above, below = plan.split("REBALANCE_PARTITIONS_BY_COL")
+    assert "trip_duration_minutes" in above and "trip_duration_minutes" not in below and "total_amount" not in below
+    assert "< coalesce(" in below and "> 0.0)" in below
+
+
+def test_a_join_of_order_lines_has_partitions_for_its_size(spark, monkeypatch):
+    monkeypatch.setattr(edges, "path_bytes", lambda *paths: 3 << 30)
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    with edges._joining(spark, SF_DIR):
+        assert int(spark.conf.get(key)) == 144
+    assert spark.conf.get(key) == before
+
+
 def star(spark):
     taxi = trips(spark, ROWS)
     fact = taxi_daily_by_zone(fact_taxi_daily(taxi))
